@@ -19,6 +19,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
