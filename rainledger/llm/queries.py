@@ -19,6 +19,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.webp import media_columns
+
+    return media_columns(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.packing import pack
 
