@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 def settled(df: DataFrame) -> DataFrame:
     """df, written to the shared folder and read back: its lineage ends there and it's computed once."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/t-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
