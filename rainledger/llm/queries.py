@@ -13,6 +13,18 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op4_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.tokens import token_counts
 
