@@ -25,6 +25,12 @@ def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.site_style import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.tokens import token_counts
 
