@@ -13,6 +13,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from rainledger.llm.suffix import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.quality import quality_scores
 
