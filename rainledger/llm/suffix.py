@@ -2,8 +2,9 @@
 
 Each window of `length` bytes is keyed by the smallest hash of the short grams
 in it, so equal windows have equal keys, wherever they stand. Runs of windows
-with one key are segments. Segments whose key occurs once are no one's copy.
-Segments whose key always comes with one content are copies throughout. What is
+with one key are segments. Segments whose key occurs once are no one's copy,
+unless they hold their own key twice. Segments whose key comes again and again
+with one content are copies throughout. What is
 left, one of each content, is dealt by key into shards; each shard is sorted
 into a suffix array (Larsson-Sadakane refinement), Kasai's common prefixes tell
 which windows it holds twice, and where a key has too many contents for one
@@ -77,7 +78,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(text number, start, windows, key, content hash) of each segment of the texts; texts shorter than length have none."""
+    """(text number, start, windows, key, content hash, whether the key stands in it twice) of each segment of the texts; texts shorter than length have none."""
     owner, parts, first = [], [], []
     for i, text in enumerate(texts):
         for at in range(0, max(len(text) - length + 1, 0), BLOCK):
@@ -95,7 +96,8 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
         ends = np.cumsum(sizes)
         data = np.frombuffer(b"".join(parts[k:j]), np.uint8)
         hashes = Hashes(data)
-        key = sliding_min(hashes.rolling(GRAM), length - GRAM + 1)
+        grams = hashes.rolling(GRAM)
+        key = sliding_min(grams, length - GRAM + 1)
         part = np.repeat(np.arange(j - k), sizes)[: len(key)]
         inside = np.arange(len(key)) + length <= ends[part]
         turn = np.empty(len(key), bool)
@@ -110,13 +112,25 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
         windows = np.minimum(np.repeat(runs, split) - nth * MOST, MOST)
         content = hashes.of(starts, starts + windows + length - 1) ^ windows.astype(np.uint64)
         whose = part[starts]
-        out.append((np.array(owner[k:j])[whose], np.array(first[k:j])[whose] + starts - (ends - sizes)[whose], windows, key[starts], content))
+        twice = holds_twice(grams, key, starts, windows, length)
+        out.append((np.array(owner[k:j])[whose], np.array(first[k:j])[whose] + starts - (ends - sizes)[whose], windows, key[starts], content, twice))
         k = j
     if not out:
-        return (np.zeros(0, np.int64),) * 5
+        return (*(np.zeros(0, np.int64),) * 5, np.zeros(0, bool))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def holds_twice(grams: np.ndarray, key: np.ndarray, starts: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
+    """Whether a segment's key is the hash of two of its grams; only then can it hold a window twice."""
+    width = length - GRAM + 1
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), key, np.zeros(width - 1, np.uint64)])
+    at = np.flatnonzero(grams == ~sliding_min(~padded, width))  # the grams that are the smallest of a window
+    low, high = np.searchsorted(at, starts), np.searchsorted(at, starts + windows + length - GRAM)
+    inside = np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - high, high - low)
+    same = grams[at[inside]] == np.repeat(key[starts], high - low)
+    return np.bincount(np.repeat(np.arange(len(starts)), high - low), weights=same, minlength=len(starts)) > 1
+
+
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffix array of some bytes, its inverse, and the first eight bytes at each place, by Larsson-Sadakane refinement: each round sorts only groups that aren't settled, by the ranks that stand twice as far on."""
     n = len(data)
@@ -290,18 +304,19 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", "text", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("null")), "text").alias("k1"), F.crc32("text").alias("k2"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, start, windows, key, content = segments(batch.column("text").to_pylist(), length)
+        owner, start, windows, key, content, twice = segments(batch.column("text").to_pylist(), length)
         whose = pa.array(owner)
-        return pa.RecordBatch.from_arrays([_longs(key), _longs(content), batch.column("k1").take(whose), batch.column("k2").take(whose), _longs((start << 9) + windows - 1)], ["h", "s", "k1", "k2", "place"])
+        return pa.RecordBatch.from_arrays([_longs(key), _longs(content), batch.column("k1").take(whose), batch.column("k2").take(whose), _longs((start << 9) + windows - 1), pa.array(twice)], ["h", "s", "k1", "k2", "place", "twice"])
 
-    found = per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long")
-    shared = settled(found.join(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h", "left_semi"))
+    found = per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long, twice boolean")
+    several = found.groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("h")
+    shared = settled(found.drop("twice").join(several, "h", "left_semi"))
     pick = F.xxhash64("k1", "k2", "place")
     each = shared.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(pick).alias("pick"))
     state = settled(each.join(each.groupBy("h").agg(F.count("*").alias("kinds")), "h"))
 
-    # One of each content of the keys that have several, with its bytes.
-    wanted = shared.join(state.where("kinds > 1"), ["h", "s"]).where(pick == F.col("pick"))
+    # One of each content of the keys that have several, or have one that occurs once, with its bytes.
+    wanted = shared.join(state.where("kinds > 1 or n = 1"), ["h", "s"]).where(pick == F.col("pick"))
     wanted = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "h", "s", "n", "kinds")).alias("wanted"))
 
     def shrink(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -329,7 +344,7 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
         bits = F.udf(_with_places, "binary")
         partly = partly.join(merged(shards), ["h", "s"], "left").withColumn("marks", F.when(F.col("places").isNull(), F.col("marks")).otherwise(bits("marks", "places"))).drop("places")
     empty = F.regexp_replace(F.hex("marks"), "0", "") == ""
-    marks = state.where("kinds = 1").select("h", "s", F.lit(None).cast("binary").alias("marks")).unionByName(partly.where(~empty))
+    marks = state.where("kinds = 1 and n > 1").select("h", "s", F.lit(None).cast("binary").alias("marks")).unionByName(partly.where(~empty))
     lists = shared.join(marks, ["h", "s"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "marks")).alias("marks"))
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:

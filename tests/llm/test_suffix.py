@@ -55,7 +55,7 @@ def test_suffix_array_and_prefixes(alphabet):
 
 def test_segments_hold_each_window_once_and_follow_content():
     texts = [(t or "").encode() for t in corpus(1)]
-    owner, start, windows, key, content = segments(texts, 200)
+    owner, start, windows, key, content, _ = segments(texts, 200)
     assert (windows <= suffix.MOST).all()
     held = sorted((o, s + k) for o, s, w in zip(owner, start, windows) for k in range(w))
     assert held == [(i, k) for i, t in enumerate(texts) for k in range(len(t) - 199)]
