@@ -22,6 +22,12 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op4_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.quality import quality_scores
 
@@ -63,4 +69,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from rainledger.llm import decontaminate
+
+    return {"op2_template_decontamination": decontaminate.oracle()}
