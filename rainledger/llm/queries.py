@@ -52,6 +52,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_elias_fano_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.language_model import model_scores
+
+    return model_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.webp import media_columns
 

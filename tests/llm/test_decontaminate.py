@@ -24,7 +24,7 @@ def test_leaks(frames, most):
     docs, items = frames
     rows = {(r.doc_id, r.item_id): r for r in leaks(docs, items, most_broadcast=most).collect()}
     assert set(rows) == {(1, 100), (2, 100), (None, 100), (8, 100), (4, None), (11, 104)}
-    assert rows[1, 100].exact and rows[8, 100].exact and rows[None, 100].exact and not rows[2, 100].exact
+    assert rows[1, 100].exact and rows[8, 100].exact and rows[None, 100].exact and not rows[11, 104].exact
     assert rows[8, 100].coverage == 1.0 and rows[2, 100].n_slots >= 3
 
 
