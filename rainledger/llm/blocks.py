@@ -136,7 +136,7 @@ def with_replies(made: DataFrame, replies: DataFrame) -> DataFrame:
     return made.join(own.hint("shuffle_hash"), "block")
 
 
-def shards(made: DataFrame, each: int = 4 << 20) -> tuple[int, int]:
+def shards(made: DataFrame, each: int = 1 << 20) -> tuple[int, int]:
     """(number of shards, of tokens): a shard gets the keys of `each` tokens or so."""
     total = made.agg(F.sum("n_tokens")).first()[0] or 0
     return total // each + 1, total
