@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from rainledger.llm.frames import per_batch, settled
 
 #: Bytes of a gram; windows in a segment at most; bytes that are hashed at a time; bytes of a suffix array at most.
-GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 21, 1 << 21
+GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 20
 #: Contents of one key in a shard at most.
-CONTENTS = 4096
+CONTENTS = 2048
 
 _dice = np.random.default_rng(20)
 _bytes = [_dice.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
@@ -308,7 +308,7 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
         whose = pa.array(owner)
         return pa.RecordBatch.from_arrays([_longs(key), _longs(content), batch.column("k1").take(whose), batch.column("k2").take(whose), _longs((start << 9) + windows - 1), pa.array(twice)], ["h", "s", "k1", "k2", "place", "twice"])
 
-    found = per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long, twice boolean")
+    found = settled(per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long, twice boolean"))
     several = found.groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("h")
     shared = settled(found.drop("twice").join(several, "h", "left_semi"))
     pick = F.xxhash64("k1", "k2", "place")
