@@ -28,6 +28,12 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op3_weighted_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.quality import quality_scores
 
@@ -70,8 +76,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

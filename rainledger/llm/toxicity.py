@@ -110,8 +110,8 @@ def model(labelled: DataFrame, identity: tuple[str, ...] = tuple(IDENTITY), neut
     return {t: float(w) for t, w in zip(known, weights) if w}, bias
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0, at: float = 0.5, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score (0 to 1), predicted (1 if score >= at) of each row of docs.
+def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0, at: float = 0.5, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """doc_id, held_out, score (0 to 1), predicted (1 if score >= at) of each row of docs; with carry, these columns of docs in the place of doc_id.
 
     The model is fitted on at most fit_rows labelled rows of the other folds (a
     bounded sample by design). A score depends on nothing but the whole text:
@@ -133,6 +133,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
         value = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(value), pa.array((value >= at).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = F.coalesce(crc(F.col(id_col)) % folds == held_out, F.lit(False))
-    return per_batch(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out.alias("held_out")), scored, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    whole = F.struct(*carry) if carry else F.col(id_col)
+    rows = docs.select(whole.alias("id"), F.col(text_col).alias("text"), F.coalesce(crc(F.col(id_col)) % folds == held_out, F.lit(False)).alias("held_out"))
+    kind = rows.schema["id"].dataType.simpleString()
+    found = per_batch(rows, scored, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return found.select("doc_id.*", "held_out", "score", "predicted") if carry else found
