@@ -30,6 +30,7 @@ GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 20
 CONTENTS = 2048
 
 _dice = np.random.default_rng(20)
+_bytes_on = np.array([1 << k for k in range(8, 64, 8)], np.uint64)
 _bytes = [_dice.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
 _base = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -183,7 +184,7 @@ def common_prefixes(order: np.ndarray, rank: np.ndarray, words: np.ndarray, star
             same = difference == 0
             held[going[same]] += 8
             rest = difference[~same]
-            held[going[~same]] += sum((rest < np.uint64(1 << k)).astype(np.int64) for k in range(8, 64, 8))
+            held[going[~same]] += 7 - np.searchsorted(_bytes_on, rest, "right")
             going = going[same]
             going = going[held[going] < cap]
         room = n - np.maximum(here, other)
@@ -260,18 +261,35 @@ def shard_marks(shipped: DataFrame, length: int) -> DataFrame:
 
 def merged(shards: DataFrame, most: int = 200_000) -> DataFrame:
     """(h, s, places): windows that another shard of the same key holds too. Each range of fingerprints is sorted, and binary search counts a fingerprint in it."""
-    prints = shards.where("salts > 1").select("h", "s", F.posexplode(F.arrays_zip("f1", "f2")).alias("place", "f")).select("h", "s", "place", "f.f1", "f.f2").where("f1 != 0 or f2 != 0")
-    ranges = shards.where("salts > 1").select(F.sum(F.size("f1"))).first()[0] or 0
-    kept = prints.withColumn("range", F.pmod(F.col("f1"), F.lit(ranges // most + 1)))
+    wide = shards.where("salts > 1").select("h", "s", "f1", "f2")
+    ranges = (wide.select(F.sum(F.size("f1"))).first()[0] or 0) // most + 1
+    lists = "array<long>"
 
-    def search(pdf):
-        key = np.empty(len(pdf), [("a", np.int64), ("b", np.int64)])
-        key["a"], key["b"] = pdf.f1, pdf.f2
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for h, s, f1, f2 in zip(*(batch.column(c).to_pylist() for c in ("h", "s", "f1", "f2"))):
+            a, b = np.array(f1, np.int64), np.array(f2, np.int64)
+            which = np.where((a != 0) | (b != 0), a % ranges, -1)
+            order = np.argsort(which, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(which[order])) + 1):
+                if len(part) and which[part[0]] >= 0:
+                    out.append((int(which[part[0]]), h, s, part, a[part], b[part]))
+        kinds = (pa.int64(),) * 3 + (pa.list_(pa.int64()),) * 3
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 6, kinds)], ["range", "h", "s", "place", "f1", "f2"])
+
+    def search(table: pa.Table) -> pa.Table:
+        flat = [np.asarray(table.column(c).combine_chunks().flatten()) for c in ("place", "f1", "f2")]
+        key = np.empty(len(flat[0]), [("a", np.int64), ("b", np.int64)])
+        key["a"], key["b"] = flat[1], flat[2]
         run = np.sort(key)
-        many = np.searchsorted(run, key, "right") - np.searchsorted(run, key, "left")
-        return pdf.loc[many > 1, ["h", "s", "place"]]
-
-    return kept.groupBy("range").applyInPandas(search, "h long, s long, place int").groupBy("h", "s").agg(F.collect_set("place").alias("places"))
+        many = np.searchsorted(run, key, "right") - np.searchsorted(run, key, "left") > 1
+        cuts = np.cumsum([len(x) for x in table.column("place").to_pylist()])[:-1]
+        found = [p[m] for p, m in zip(np.split(flat[0], cuts), np.split(many, cuts))]
+        return pa.table([table.column("h"), table.column("s"), pa.array(found, pa.list_(pa.int64()))], ["h", "s", "places"])
+
+    dealt = per_batch(wide, deal, f"range long, h long, s long, place {lists}, f1 {lists}, f2 {lists}")
+    found = dealt.groupBy("range").applyInArrow(search, f"h long, s long, places {lists}").where(F.size("places") > 0)
+    return found.groupBy("h", "s").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
 
 
 def removed(size: int, marks: list[tuple[int, bytes | None]], length: int) -> np.ndarray:

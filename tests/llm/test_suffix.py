@@ -75,7 +75,7 @@ def test_windows_of_a_shard():
     assert sum(int(np.count_nonzero(a | b)) for a, b in prints) == len(seen)
 
 
-@pytest.mark.parametrize("contents,shard", [(4096, 1 << 21), (2, 3000)])
+@pytest.mark.parametrize("contents,shard", [(4096, 1 << 20), (2, 3000)])
 def test_against_brute_force(spark, monkeypatch, contents, shard):
     monkeypatch.setattr(suffix, "SHARD", shard)
     texts = corpus(3)
