@@ -23,7 +23,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from rainledger.llm.frames import settled
 
 #: Tokens of a block, unless one document has more; a token that ends each document and is no word.
-TOKENS, END = 1 << 20, b"\n"
+TOKENS, END = 1 << 19, b"\n"
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -100,6 +100,7 @@ class Block:
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+        pa.default_memory_pool().release_unused()
 
 
 def asked(made: DataFrame, ask: Callable[[dict], Iterator[tuple[int, bytes]]], columns: list[str]) -> DataFrame:

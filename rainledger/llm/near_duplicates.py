@@ -30,7 +30,9 @@ CHUNK = 512
 _dice = np.random.default_rng(3)
 _gamma_r = _dice.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
 _log_c = np.log(_dice.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
+_uniform = (np.arange(1 << 16) / (1 << 16)).astype(np.float32)
 _seeds = _dice.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOW = np.uint64((1 << 40) - 1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -57,25 +59,23 @@ def shingles(block: Block, width: int = WORDS) -> tuple[np.ndarray, np.ndarray,
         value = np.where(left > k, mixed(value * _A + shifted), value)
     begins = (left >= width) | (place == 0)
     owner, value = block.owner[begins], value[begins]
-    order = np.lexsort((value, owner))
+    order = np.argsort((owner.astype(np.uint64) << np.uint64(40)) | (value >> np.uint64(24)))
     owner, value = owner[order], value[order]
     first = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
     return owner[first], value[first], np.diff(np.append(first, len(value)))
 
 
-def _dealt(value: np.ndarray, n_shards: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-    """A block's different shingles by shard and low 40 bits, how many of its documents have each, and (shard, from, to)."""
-    keys, counts = np.unique(value, return_counts=True)
-    shard = (keys >> np.uint64(40)) % np.uint64(n_shards)
-    order = np.lexsort((keys & np.uint64((1 << 40) - 1), shard))
-    keys, counts, shard = keys[order], counts[order], shard[order]
+def _dealt(value: np.ndarray, n_shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """A block's different shingles as shard and low 40 bits, each value's place among them, how many of its documents have each, and (shard, from, to)."""
+    key = (((value >> np.uint64(40)) % np.uint64(n_shards)) << np.uint64(40)) | (value & _LOW)
+    keys, of, counts = np.unique(key, return_inverse=True, return_counts=True)
+    shard = (keys >> np.uint64(40)).astype(np.int64)
     cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-    return keys, counts, [(int(shard[a]), int(a), int(b)) for a, b in zip(cuts, np.append(cuts[1:], len(keys)))]
+    return keys & _LOW, of, counts, [(int(shard[a]), int(a), int(b)) for a, b in zip(cuts, np.append(cuts[1:], len(keys)))]
 
 
 def ask(row: dict, n_shards: int) -> Iterator[tuple[int, bytes]]:
-    keys, counts, parts = _dealt(shingles(Block(row))[1], n_shards)
-    low = keys & np.uint64((1 << 40) - 1)
+    low, _, counts, parts = _dealt(shingles(Block(row))[1], n_shards)
     for shard, a, b in parts:
         yield shard, (b - a).to_bytes(4, "little") + packed(np.diff(low[a:b], prepend=np.uint64(0)), counts[a:b].astype(np.uint32))
 
@@ -99,15 +99,13 @@ def weighted(row: dict, n_shards: int, n_docs: int) -> tuple[np.ndarray, np.ndar
     their few own ones, so a group's size doesn't pull its members apart.
     """
     owner, value, times = shingles(Block(row))
-    keys, _, parts = _dealt(value, n_shards)
+    keys, of, _, parts = _dealt(value, n_shards)
     log_df = np.zeros(len(keys))
     got = {r["shard"]: r["reply"] for r in row["replies"]}
     for shard, a, b in parts:
         log_df[a:b] = unpacked(got[shard], (np.uint16, b - a))[0] / 1024 * np.log(2)
-    order = np.argsort(keys)
-    log_df = log_df[order][np.searchsorted(keys[order], value)]
     idf = (1 + np.maximum(np.log(max(n_docs, 1)) - log_df, 0)) ** 0.25
-    return owner, value, ((1 + np.log(times)) * idf).astype(np.float32)
+    return owner, value, ((1 + np.log(times)) * idf[of]).astype(np.float32)
 
 
 def signatures(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -120,14 +118,19 @@ def signatures(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int)
         x, log_w = value[starts[i] : starts[j]], np.log(weight[starts[i] : starts[j]])
         cuts = starts[i:j] - starts[i]
         for k, seed in enumerate(_seeds):
-            h = mixed(x * seed)
-            r = _gamma_r[h & np.uint64(0xFFFF)]
-            beta = ((h >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float32) / np.float32(65536)
+            h = x * seed
+            h ^= h >> np.uint64(32)
+            h *= _B
+            quarters = h.view(np.uint16).reshape(-1, 4)  # three of them are the dice of r, c and beta
+            r, beta = _gamma_r[quarters[:, 3]], _uniform[quarters[:, 2]]
             t = np.floor(log_w / r + beta)
-            log_a = _log_c[(h >> np.uint64(16)) & np.uint64(0xFFFF)] - r * (t - beta) - r
-            bits = (np.float32(1000) + log_a).view(np.uint32).astype(np.uint64) << np.uint64(32)
-            what = mixed(h + t.astype(np.int64).view(np.uint64) * _A) & np.uint64(0xFFFFFFFF)
-            out[i:j, k] = np.minimum.reduceat(bits | what, cuts)
+            log_a = _log_c[quarters[:, 1]] - r * (t - beta + np.float32(1))
+            bits = (np.float32(1000) + log_a).view(np.uint32).astype(np.uint64)
+            bits <<= np.uint64(32)
+            h += t.astype(np.int64).view(np.uint64)
+            h *= _A
+            bits |= h >> np.uint64(32)
+            out[i:j, k] = np.minimum.reduceat(bits, cuts)
         i = j
     return out.astype(np.uint32)
 
