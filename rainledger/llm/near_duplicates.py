@@ -161,12 +161,15 @@ def alike(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
 
 
 def weighted_jaccard(left: bytes, right: bytes) -> float:
-    """Of two texts' sorted (shingle, weight) records."""
-    kind = np.dtype([("h", "<u8"), ("w", "<f4")])
-    x, y = np.frombuffer(left, kind), np.frombuffer(right, kind)
-    _, i, j = np.intersect1d(x["h"], y["h"], assume_unique=True, return_indices=True)
-    both = np.minimum(x["w"][i], y["w"][j]).sum(dtype=np.float64)
-    return float(both / (x["w"].sum(dtype=np.float64) + y["w"].sum(dtype=np.float64) - both))
+    """Of two texts' shingles and weights, as records makes them."""
+    (x, v), (y, w) = (unpacked(z[4:], (np.uint64, n), (np.float32, n)) for z in (left, right) for n in [int.from_bytes(z[:4], "little")])
+    _, i, j = np.intersect1d(np.cumsum(x), np.cumsum(y), assume_unique=True, return_indices=True)
+    both = np.minimum(v[i], w[j]).sum(dtype=np.float64)
+    return float(both / (v.sum(dtype=np.float64) + w.sum(dtype=np.float64) - both))
+
+
+def records(value: np.ndarray, weight: np.ndarray) -> bytes:
+    return len(value).to_bytes(4, "little") + packed(np.diff(value, prepend=np.uint64(0)), weight)
 
 
 def linked(pairs: DataFrame, nodes: DataFrame, joined: DataFrame, n_shards: int, n_docs: int, least: float) -> DataFrame:
@@ -179,11 +182,9 @@ def linked(pairs: DataFrame, nodes: DataFrame, joined: DataFrame, n_shards: int,
             for row in rows_of(batch):
                 owner, value, weight = weighted(row, n_shards, n_docs)
                 starts = np.searchsorted(owner, np.arange(len(row["sizes"]) + 1))
-                data = np.empty(len(value), [("h", "<u8"), ("w", "<f4")])
-                data["h"], data["w"] = value, weight
                 for k in range(0, len(row["wanted"]), 64):
                     part = row["wanted"][k : k + 64]
-                    made = [data[starts[w["seq"]] : starts[w["seq"] + 1]].tobytes() for w in part]
+                    made = [records(value[a:b], weight[a:b]) for w in part for a, b in [(starts[w["seq"]], starts[w["seq"] + 1])]]
                     yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in part], pa.binary()), pa.array(made, pa.binary())], ["node", "shingles"])
 
     made = settled(joined.join(wanted.hint("shuffle_hash"), "block").select("block", "sizes", "words", "data", "replies", "wanted").mapInArrow(run, "node binary, shingles binary"))
