@@ -44,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of 200-byte strings that stand elsewhere too; parts of characters at the cuts go as well, and n_chars follows."""
-    kept = without_repeats(_rows(docs, "doc_id", "lang", "source"), id_col="row")
+    kept = without_repeats(_rows(docs, "doc_id", "lang", "source"), id_col="row", as_text=True)
     return kept.select("doc_id.*", "text", F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
 
 

@@ -36,13 +36,14 @@ def crc(column: Column) -> Column:
     return F.crc32(column.cast("string").cast("binary"))
 
 
-def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """work on each Arrow batch of df; batches keep to the size that Spark gives them."""
+def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most: int = 1024) -> DataFrame:
+    """work on each Arrow batch of df, at most so many rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for k in range(0, batch.num_rows, most):
+                yield work(batch.slice(k, most))
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -307,12 +307,12 @@ def removed(size: int, marks: list[tuple[int, bytes | None]], length: int) -> np
     return np.cumsum(turns[:-1]) > 0
 
 
-def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """Each row of docs without the bytes that strings of `length` bytes cover which also start elsewhere.
 
     doc_id, n_bytes, n_removed, spans (array of start and end, in bytes),
-    kept (binary: the remaining bytes), text (kept as text, without the parts
-    of characters that cuts leave). Strings are judged on the input's UTF-8
+    kept (binary: the remaining bytes; with as_text instead text, without the
+    parts of characters that cuts leave). Strings are judged on the input's UTF-8
     bytes, overlaps count, matches never cross rows. A null text counts as
     empty; a repeated row is a copy of the other, so both lose what is long
     enough; ids may be null; other columns aren't read; an empty table gives
@@ -382,10 +382,11 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
             lost.append(int(gone.sum()))
             spans.append([{"start": a, "end": b} for a, b in edges.tolist()])
             kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
+        rest = pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(lost, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()), pa.array([x.decode(errors="ignore") for x in kept])], ["doc_id", "n_bytes", "n_removed", "spans", "kept", "text"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(lost, pa.int64()), pa.array(spans, span), rest], ["doc_id", "n_bytes", "n_removed", "spans", "text" if as_text else "kept"])
 
-    return per_batch(small.join(lists.hint("shuffle_hash"), ["k1", "k2"], "left"), finish, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, text string")
+    return per_batch(small.join(lists.hint("shuffle_hash"), ["k1", "k2"], "left"), finish, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, " + ("text string" if as_text else "kept binary"))
 
 
 def _with_places(marks, places):
