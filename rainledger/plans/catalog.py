@@ -1,11 +1,16 @@
 """Registry of the named queries."""
 
-FLAGSHIP = ""
+from __future__ import annotations
+
+from rainledger.plans import groundwater, layers, rain
+
+FLAGSHIP = "status_table"
+PARTS = (groundwater, rain, layers)
 
 
 def queries():
-    return {}
+    return {k: f for part in PARTS for k, f in part.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {k: f for part in PARTS for k, f in part.SQL.items()}
