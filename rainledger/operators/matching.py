@@ -41,7 +41,6 @@ def greedy_pairs(scored: DataFrame, left: str, right: str, score: str) -> DataFr
     return keep_first(best, [right], [F.col(score), F.col(left)])
 
 
-@F.pandas_udf("double")
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two names."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
@@ -50,5 +49,5 @@ def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def fuzzy_match(names: DataFrame, master: DataFrame, least: float = 0.85) -> DataFrame:
     """(group, name, match, ratio): names (group, name) matched within their group, if one master name reaches `least` and no other does. Groups are bounded lists of place names."""
     pairs = names.select("group", "name").distinct().join(master.select("group", F.col("name").alias("match")).distinct(), "group")
-    good = pairs.withColumn("ratio", name_ratio("name", "match")).where(F.col("ratio") >= least)
+    good = pairs.withColumn("ratio", F.pandas_udf(name_ratio, "double")("name", "match")).where(F.col("ratio") >= least)
     return good.groupBy("group", "name").agg(F.min("match").alias("match"), F.max("ratio").alias("ratio"), F.count("*").alias("n")).where("n = 1").drop("n")

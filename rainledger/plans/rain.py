@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rainledger.functions.columns import category, departure, met_week, month_index, rain_reasons, rounded, season_window
+from rainledger.functions.columns import category, departure, finite, met_week, month_index, rain_reasons, rounded, season_window
 from rainledger.operators import spi as S
 from rainledger.operators.series import longest_run, rolling_sum
 from rainledger.sources.tables import load
@@ -122,7 +122,7 @@ def validation_agreement(spark, sf_dir):
     j = m.where("year = 2001").join(base, ["district", "month"]).select("month", departure(F.col("mm"), F.col("nm")).alias("a"), departure(F.col("k"), F.col("nk")).alias("b"))
     d = F.col("a") - F.col("b")
     share = lambda c: r(F.avg(c.cast("double")), 6)
-    return j.groupBy("month").agg(r(F.median(F.abs(d)), 4).alias("median_abs"), r(F.avg(d), 4).alias("mean"), share(F.abs(d) <= 10).alias("within_10"), share(category(F.col("a")) == category(F.col("b"))).alias("same_category"), r(F.corr("a", "b"), 6).alias("r"))
+    return j.groupBy("month").agg(r(F.median(F.abs(d)), 4).alias("median_abs"), r(F.avg(d), 4).alias("mean"), share(F.abs(d) <= 10).alias("within_10"), share(category(F.col("a")) == category(F.col("b"))).alias("same_category"), r(finite(F.corr("a", "b")), 6).alias("r"))
 
 
 _monthly = DAILY + ", monthly AS (SELECT district, year(day) AS year, month(day) AS month, sum(mm) AS mm FROM daily GROUP BY ALL)"
@@ -145,6 +145,6 @@ SQL = {
     "rain_spi_base_stats": f"WITH {_monthly} SELECT district, month, count(*) AS n, count(*) FILTER (WHERE mm > 0) AS n_wet, round_even(avg((mm <= 0)::INT::DOUBLE) * 1e6, 0) / 1e6 AS zero_share, round_even(avg(mm) FILTER (WHERE mm > 0) * 1e7, 0) / 1e7 AS mean, round_even(avg(ln(mm)) FILTER (WHERE mm > 0) * 1e6, 0) / 1e6 AS mean_log FROM monthly WHERE year BETWEEN 1995 AND 2000 GROUP BY ALL",
     "rain_short_rule": f"WITH {_weekly}{_season}{_dry}, j AS (SELECT s.district, {CATEGORY_SQL.format(d='dep')} AS category, dry_weeks FROM season s LEFT JOIN dry USING (district)), k AS (SELECT *, list_filter([CASE WHEN category IN ('Deficient', 'Large Deficient', 'No Rain') THEN 'deviation' END, CASE WHEN dry_weeks >= 4 THEN 'dry_spell' END], lambda x: x IS NOT NULL) AS found FROM j) SELECT district, category, dry_weeks, CASE WHEN category IS NOT NULL OR dry_weeks IS NOT NULL THEN coalesce(array_to_string(found, ','), '') END AS reasons, CASE WHEN category IS NOT NULL OR dry_weeks IS NOT NULL THEN len(found) > 0 END AS short FROM k",
     "validation_agreement": f"""WITH m AS (SELECT c_nationkey AS district, year(o_orderdate) AS year, month(o_orderdate) AS month, sum(o_totalprice) / 1000 AS mm, count(*) AS k FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL), base AS (SELECT district, month, avg(mm) AS nm, avg(k) AS nk FROM m WHERE year BETWEEN 1995 AND 2000 GROUP BY ALL),
-j AS (SELECT m.month, (mm - nm) / nm * 100 AS a, (k - nk) / nk * 100 AS b FROM m JOIN base USING (district, month) WHERE year = 2001) SELECT month, round_even(median(abs(a - b)) * 1e4, 0) / 1e4 AS median_abs, round_even(avg(a - b) * 1e4, 0) / 1e4 AS mean, round_even(avg((abs(a - b) <= 10)::INT::DOUBLE) * 1e6, 0) / 1e6 AS within_10, round_even(avg(({CATEGORY_SQL.format(d='a')} = {CATEGORY_SQL.format(d='b')})::INT::DOUBLE) * 1e6, 0) / 1e6 AS same_category, round_even(corr(a, b) * 1e6, 0) / 1e6 AS r FROM j GROUP BY month""",
+j AS (SELECT m.month, (mm - nm) / nm * 100 AS a, (k - nk) / nk * 100 AS b FROM m JOIN base USING (district, month) WHERE year = 2001) SELECT month, round_even(median(abs(a - b)) * 1e4, 0) / 1e4 AS median_abs, round_even(avg(a - b) * 1e4, 0) / 1e4 AS mean, round_even(avg((abs(a - b) <= 10)::INT::DOUBLE) * 1e6, 0) / 1e6 AS within_10, round_even(avg(({CATEGORY_SQL.format(d='a')} = {CATEGORY_SQL.format(d='b')})::INT::DOUBLE) * 1e6, 0) / 1e6 AS same_category, round_even(CASE WHEN NOT isnan(corr(a, b)) THEN corr(a, b) END * 1e6, 0) / 1e6 AS r FROM j GROUP BY month""",
 }
 QUERIES = {k: globals()[k] for k in [*SQL, "rain_spi"]}
