@@ -3,9 +3,11 @@
 Document frequencies of five-word shingles are counted over all documents by
 the exchange of blocks and shards. Each text gets consistent weighted samples
 of its shingles; bands of samples make buckets. Texts in a bucket are compared
-with the bucket's first one; what is then still in different components of a
-bucket is compared in pairs of bounded chunks, first by samples, and links
-count after the exact weighted Jaccard similarity. Classes are the components.
+with the bucket's first one, then with a few others of other components, a
+number of pairs in proportion to the bucket, which joins most of a large group.
+What is then still in different components of a bucket is compared in pairs of
+bounded chunks, first by samples. Links count after the exact weighted Jaccard
+similarity. Classes are the components.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ WORDS, ROWS, BANDS = 5, 3, 12
 AGREE = 18
 #: Texts of a bucket in a chunk at most, on average.
 CHUNK = 512
+#: Other texts that each is compared with in the second round.
+FEW = 6
 
 _dice = np.random.default_rng(3)
 _gamma_r = _dice.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
@@ -210,6 +214,53 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _pairs(node: np.ndarray, found: list[tuple[int, np.ndarray]]) -> pa.Table:
+    a = [min(node[x], node[y]) for x, others in found for y in others]
+    b = [max(node[x], node[y]) for x, others in found for y in others]
+    wide = lambda x: pa.array([v.ljust(16, b"\0") for v in x], pa.binary())
+    return pa.table([wide(a), wide(b)], ["a", "b"])
+
+
+def _chunk(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (*(np.array(table.column(c).to_pylist(), "S16") for c in ("node", "root")), _signature(table.column("sig")))
+
+
+def some(table: pa.Table, agree: int) -> pa.Table:
+    """Each text of a chunk of a bucket with the next FEW of other components, of which enough samples agree."""
+    node, root, sig = _chunk(table)
+    order = np.argsort(node)  # hashes, so as good as shuffled
+    node, root, sig = node[order], root[order], sig[order]
+    found = []
+    for step in range(1, min(FEW, len(node) - 1) + 1):
+        x = np.arange(len(node))
+        y = (x + step) % len(node)
+        ok = (root[x] != root[y]) & ((sig[x] == sig[y]).sum(1) >= agree)
+        found += [(i, y[i : i + 1]) for i in x[ok]]
+    return _pairs(node, found)
+
+
+def all_between(table: pa.Table, agree: int) -> pa.Table:
+    """All pairs of different components between two chunks of a bucket, or within one, of which enough samples agree."""
+    node, root, sig = _chunk(table)
+    part, low, high = table.column("part").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    ours, found = np.flatnonzero(part == low), []
+    others = np.flatnonzero(part != low) if high != low else ours
+    for x in ours:
+        pick = others[root[others] != root[x]]
+        pick = pick[node[pick] > node[x]] if high == low else pick
+        found.append((x, pick[(sig[pick] == sig[x]).sum(1) >= agree]))
+    return _pairs(node, found)
+
+
+def grown(links: DataFrame, roots: DataFrame, pairs: DataFrame, nodes: DataFrame, joined: DataFrame, n_shards: int, n_docs: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """Links and components after some more pairs are compared."""
+    pairs = settled(pairs)
+    if not pairs.limit(1).count():
+        return links, roots
+    links = links.union(linked(pairs, nodes, joined, n_shards, n_docs, least))
+    return links, components(links)
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8, agree: int = AGREE, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, class_size, kept of each row of docs.
 
@@ -251,33 +302,23 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, agree: int = AGREE, chu
     links = linked(settled(stars), nodes, joined, n_shards, n_docs, least)
     roots = components(links)
 
-    # What is still apart in a bucket of three or more meets in chunks; a bucket of two is done.
-    apart = settled(members.where("n > 2").join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root")))
-    split = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-    parts = F.expr(f"(n - 1) div {chunk} + 1")
-    dealt = apart.join(split, "band", "left_semi").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    several = members.where("n > 2")  # a bucket of two is done
+
+    def apart() -> DataFrame:
+        """Members of buckets that still hold several components, dealt to chunks."""
+        held = several.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+        split = held.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
+        parts = F.expr(f"(n - 1) div {chunk} + 1")
+        return held.join(split, "band", "left_semi").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "band"), F.col("parts")))
+
+    dealt = settled(apart())
+    few = dealt.join(nodes.select("node", "sig"), "node").groupBy("band", "part").applyInArrow(lambda t: some(t, agree), "a binary, b binary").distinct()
+    links, roots = grown(links, roots, few, nodes, joined, n_shards, n_docs, least)
+    dealt = settled(apart())
     sides = dealt.select("band", "node", "root", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
     sides = sides.select("band", "node", "root", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-
-    def meet(table: pa.Table) -> pa.Table:
-        sig, node, root, part = _signature(table.column("sig")), np.array(table.column("node").to_pylist(), "S16"), np.array(table.column("root").to_pylist(), "S16"), table.column("part").to_numpy()
-        low, a, b = int(table.column("i")[0].as_py()), [], []
-        ours = np.flatnonzero(part == low)
-        others = np.flatnonzero(part != low) if int(table.column("j")[0].as_py()) != low else ours
-        for x in ours:
-            pick = others[(root[others] != root[x])]
-            pick = pick[node[pick] > node[x]] if others is ours else pick
-            pick = pick[(sig[pick] == sig[x]).sum(1) >= agree]
-            a += [min(node[x], node[y]) for y in pick]
-            b += [max(node[x], node[y]) for y in pick]
-        wide = lambda x: pa.array([v.ljust(16, b"\0") for v in x], pa.binary())
-        return pa.table([wide(a), wide(b)], ["a", "b"])
-
-    more = sides.join(nodes.select("node", "sig"), "node").groupBy("band", "i", "j").applyInArrow(meet, "a binary, b binary").distinct()
-    more = settled(more)
-    if more.limit(1).count():
-        links = links.union(linked(more, nodes, joined, n_shards, n_docs, least))
-        roots = components(links)
+    rest = sides.join(nodes.select("node", "sig"), "node").groupBy("band", "i", "j").applyInArrow(lambda t: all_between(t, agree), "a binary, b binary").distinct()
+    links, roots = grown(links, roots, rest, nodes, joined, n_shards, n_docs, least)
     classed = rows.select("id", "node", "block", "seq").join(roots, "node", "left").select("id", "block", "seq", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "block", "seq"))
     heads = classed.groupBy("root").agg(first.alias("h"), F.count("*").alias("class_size"))
