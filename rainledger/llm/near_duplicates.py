@@ -1,8 +1,10 @@
 """Near-duplicate documents by improved consistent weighted sampling over TF-IDF shingles.
 
 Document frequencies of five-word shingles are counted over all documents by
-the exchange of blocks and shards. Each text gets consistent weighted samples
-of its shingles; bands of samples make buckets. Texts in a bucket are compared
+the exchange of blocks and shards. A text of which shingles that no other document
+has carry too much weight can't have a link, whatever the other text, and is
+done. Each other text gets consistent weighted samples of its shingles; bands
+of samples make buckets. Texts in a bucket are compared
 with the bucket's first one, then with a few others of other components, a
 number of pairs in proportion to the bucket, which joins most of a large group.
 What is then still in different components of a bucket is compared in pairs of
@@ -95,8 +97,8 @@ def answer(requests: list[bytes]) -> tuple[list[bytes], dict]:
     return [packed(codes[e - len(x) : e]) for e, x in zip(ends, keys)], {}
 
 
-def weighted(row: dict, n_shards: int, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, shingle, weight) of a block with its replies.
+def weighted(row: dict, n_shards: int, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, shingle, weight, whether other documents have it) of a block with its replies.
 
     weight = (1 + ln times) * (1 + ln(documents / document frequency)) ** 0.25. The root keeps the
     common shingles of a large group of copies from counting for much less than
@@ -109,7 +111,7 @@ def weighted(row: dict, n_shards: int, n_docs: int) -> tuple[np.ndarray, np.ndar
     for shard, a, b in parts:
         log_df[a:b] = unpacked(got[shard], (np.uint16, b - a))[0] / 1024 * np.log(2)
     idf = (1 + np.maximum(np.log(max(n_docs, 1)) - log_df, 0)) ** 0.25
-    return owner, value, ((1 + np.log(times)) * idf[of]).astype(np.float32)
+    return owner, value, ((1 + np.log(times)) * idf[of]).astype(np.float32), (log_df > 0)[of]
 
 
 def signatures(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -184,7 +186,7 @@ def linked(pairs: DataFrame, nodes: DataFrame, joined: DataFrame, n_shards: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
-                owner, value, weight = weighted(row, n_shards, n_docs)
+                owner, value, weight, _ = weighted(row, n_shards, n_docs)
                 starts = np.searchsorted(owner, np.arange(len(row["sizes"]) + 1))
                 for k in range(0, len(row["wanted"]), 64):
                     part = row["wanted"][k : k + 64]
@@ -283,12 +285,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, agree: int = AGREE, chu
         for batch in batches:
             for row in rows_of(batch):
                 n = len(row["sizes"])
-                got = signatures(*weighted(row, n_shards, n_docs), n)
-                arrays = [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(row["keys"], pa.binary()), pa.array([row["block"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([x.tobytes() for x in got], pa.binary())]
+                owner, value, weight, shared = weighted(row, n_shards, n_docs)
+                # The similarity with any text is at most the share of the weight that other documents have too.
+                most = np.bincount(owner, weights=weight * shared, minlength=n) / np.bincount(owner, weights=weight, minlength=n)
+                may = most >= least - 1e-6
+                place, keep = np.cumsum(may) - 1, may[owner]
+                made_of = signatures(place[owner[keep]], value[keep], weight[keep], int(may.sum()))
+                got = [made_of[place[i]].tobytes() if may[i] else None for i in range(n)]
+                arrays = [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(row["keys"], pa.binary()), pa.array([row["block"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(got, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "block", "seq", "sig"])
 
     rows = settled(joined.mapInArrow(sample, f"id {kind}, node binary, block long, seq int, sig binary"))
-    nodes = settled(rows.groupBy("node").agg(F.min(F.struct("block", "seq")).alias("at"), F.min("sig").alias("sig")).select("node", "at.block", "at.seq", "sig"))
+    nodes = settled(rows.where("sig IS NOT NULL").groupBy("node").agg(F.min(F.struct("block", "seq")).alias("at"), F.min("sig").alias("sig")).select("node", "at.block", "at.seq", "sig"))
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = band_keys(_signature(batch.column("sig")))
