@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from rainledger.llm.frames import settled
+from rainledger.llm.frames import release, settled
 
 #: Tokens of a block, unless one document has more; a token that ends each document and is no word.
 TOKENS, END = 1 << 19, b"\n"
@@ -82,6 +82,8 @@ def blocks(docs: DataFrame, split: Callable[[str], list[bytes]], chosen: Column
                     yield pa.RecordBatch.from_arrays(arrays, ["block", "ids", "chosen", "keys", "sizes", "n_words", "n_tokens", "words", "data"])
                     turn += 1
                     first, held, sizes, keys = i + 1, [], [], []
+                    found = hashes = order = rank = arrays = None
+                    release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.lit(True) if chosen is None else F.coalesce(chosen, F.lit(False))).alias("chosen"))
     return settled(rows.mapInArrow(run, f"block long, ids array<{kind}>, chosen array<boolean>, keys array<binary>, sizes array<int>, n_words long, n_tokens long, words binary, data binary"))
@@ -100,7 +102,7 @@ class Block:
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def asked(made: DataFrame, ask: Callable[[dict], Iterator[tuple[int, bytes]]], columns: list[str]) -> DataFrame:

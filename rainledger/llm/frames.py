@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -36,6 +37,13 @@ def crc(column: Column) -> Column:
     return F.crc32(column.cast("string").cast("binary"))
 
 
+def release() -> None:
+    """Gives freed memory of a Python worker back to the system, so that reused workers don't add up within an executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most: int = 1024) -> DataFrame:
     """work on each Arrow batch of df, at most so many rows at a time."""
 
@@ -43,7 +51,7 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for batch in batches:
             for k in range(0, batch.num_rows, most):
                 yield work(batch.slice(k, most))
-            pa.default_memory_pool().release_unused()
+            release()
 
     return df.mapInArrow(run, schema)
 
