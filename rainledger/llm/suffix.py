@@ -22,12 +22,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.llm.frames import per_batch, settled
+from rainledger.llm.frames import per_batch, release, settled
 
 #: Bytes of a gram; windows in a segment at most; bytes that are hashed at a time; bytes of a suffix array at most.
-GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 20
+GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 19
 #: Contents of one key in a shard at most.
-CONTENTS = 2048
+CONTENTS = 1024
 
 _dice = np.random.default_rng(20)
 _bytes_on = np.array([1 << k for k in range(8, 64, 8)], np.uint64)
@@ -247,6 +247,7 @@ def shard_marks(shipped: DataFrame, length: int) -> DataFrame:
                 if size >= SHARD and row[:2] != last:
                     yield solve()
                     held, size = [], 0
+                    release()
                 if held and (held[-1][0], held[-1][3]) == (row[0], row[3]):
                     continue  # a repeated row's segment again
                 held.append(row)
