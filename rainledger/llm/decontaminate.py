@@ -25,6 +25,11 @@ WORD = r"(?:[\p{N}]+(?:[.,][\p{N}]+)*|[\p{L}][\p{L}\p{M}]*)"
 HEADED = r"(?:[.!?:\n\r][^\p{L}\p{N}]*)?" + WORD
 #: What a text needs to have a number or a name in it.
 SLOTTED = r"[\p{N}]|[\p{L},;][ \t]+\p{Lu}\p{Ll}"
+#: A capitalised word, at the start of a sentence too.
+CAPITAL = r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}"
+
+
+KIND = "array<struct<pos:int,h:bigint,slots:array<string>,wide:boolean>>"
 
 
 def _at(words: Column, i: Column) -> Column:
@@ -32,10 +37,10 @@ def _at(words: Column, i: Column) -> Column:
 
 
 def with_words(rows: DataFrame) -> DataFrame:
-    """Adds words (lower case) and template (words with placeholders; null where it's the same) from the column text."""
+    """Adds words (lower case), template (words with placeholders) and capitals (capitalised words at the start of the text or a sentence are placeholders too) from the column text; null where they're the same."""
     slotted = F.col("text").rlike(SLOTTED)
-    raw = F.when(slotted, F.regexp_extract_all("text", F.lit(HEADED), F.lit(0)))
-    rows = rows.withColumn("raw", raw).withColumn(
+    rows = rows.withColumn("parts", F.when(slotted | F.col("text").rlike(r"\p{Lu}\p{Ll}"), F.regexp_extract_all("text", F.lit(HEADED), F.lit(0))))
+    rows = rows.withColumn("raw", F.when(slotted, F.col("parts"))).withColumn(
         "words",
         F.when(F.col("raw").isNotNull(), F.transform("raw", lambda r: F.lower(F.regexp_extract(r, WORD + "$", 0)))).otherwise(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))),
     )
@@ -46,7 +51,9 @@ def with_words(rows: DataFrame) -> DataFrame:
         named = (i > 0) & _at(F.col("raw"), i).rlike(r"^\p{Lu}\p{Ll}")
         return F.when(number(w), "#num").when((i > 0) & number(before) & w.isin(UNITS), "#unit").when(named, "#name").otherwise(w)
 
-    return rows.withColumn("template", F.when(F.col("raw").isNotNull(), F.transform("words", placed))).drop("raw")
+    rows = rows.withColumn("template", F.when(F.col("raw").isNotNull(), F.transform("words", placed)))
+    named = F.transform(F.coalesce("template", "words"), lambda t, i: F.when(~t.startswith("#") & _at(F.col("parts"), i).rlike(CAPITAL), "#name").otherwise(t))
+    return rows.withColumn("capitals", F.when(F.size("parts") == F.size("words"), named)).drop("raw", "parts")
 
 
 def _hashes(rows: DataFrame, source: str, width: int) -> DataFrame:
@@ -61,62 +68,104 @@ def _hashes(rows: DataFrame, source: str, width: int) -> DataFrame:
     return out
 
 
+def _window(i: Column, h: Column, template: str | None, width: int, strict: int) -> Column:
+    """pos, h, slots and wide (more than strict slots) of the window of width words from word i (from 0)."""
+    slots = F.lit(None).cast("array<string>")
+    if template:
+        near = F.arrays_zip(F.slice(template, i + 1, F.lit(width)).alias("t"), F.slice("words", i + 1, F.lit(width)).alias("w"))
+        slots = F.transform(F.filter(near, lambda x: x["t"].startswith("#")), lambda x: x["w"])
+    return F.struct(i.alias("pos"), h.alias("h"), slots.alias("slots"), F.coalesce(F.size(slots) > strict, F.lit(False)).alias("wide"))
+
+
 def windows(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """keys, pos (from 0), h and slots (words in the placeholders; null where there's none) of each window of the words and of the template.
+    """keys, pos (from 0), h, slots (words in the placeholders; null where there's none) and wide of each window of the words and of the templates.
 
-    A template's windows with more than three slots in eight words say too
-    little and are left out; the plain windows at their place stay.
+    wide: a template's window with more than three slots in eight words, or
+    with a placeholder for a word at the start of a sentence.
     """
     if width & (width - 1):
         raise ValueError("a window's width is a power of two")
-    both = _hashes(_hashes(with_words(rows).withColumn("h1", F.col("words")).withColumn("h2", F.col("template")), "h1", width), "h2", width)
-    plain = F.transform("h1", lambda h, i: F.struct(i.alias("pos"), h.alias("h"), F.lit(None).cast("array<string>").alias("slots")))
+    both = with_words(rows).withColumn("h1", F.col("words")).withColumn("h2", F.col("template")).withColumn("h3", F.col("capitals"))
+    for source in ("h1", "h2", "h3"):
+        both = _hashes(both, source, width)
+    plain = F.transform("h1", lambda h, i: _window(i, h, None, width, 0))
 
-    def slots(i: Column) -> Column:
-        near = F.arrays_zip(F.slice("template", i + 1, F.lit(width)).alias("t"), F.slice("words", i + 1, F.lit(width)).alias("w"))
-        return F.transform(F.filter(near, lambda x: x["t"].startswith("#")), lambda x: x["w"])
+    def typed(source: str, template: str, than: Column, strict: int) -> Column:
+        other = F.filter(F.transform(source, lambda h, i: F.struct(i.alias("i"), h.alias("h"))), lambda x: x["h"] != _at(than, x["i"]))
+        return F.coalesce(F.transform(other, lambda x: _window(x["i"], x["h"], template, width, strict)), F.array().cast(KIND))
 
-    typed = F.transform("h2", lambda h, i: F.struct(i.alias("pos"), h.alias("h"), slots(i).alias("slots")))
-    typed = F.filter(typed, lambda x: F.size(x["slots"]).between(1, width * 3 // 8))
-    found = F.when(F.col("template").isNull(), plain).otherwise(F.concat(plain, typed))
+    found = F.concat(plain, typed("h2", "template", F.col("h1"), width * 3 // 8), typed("h3", "capitals", F.coalesce("h2", "h1"), -1))
     return both.select(*keys, F.explode(found).alias("w")).select(*keys, "w.*")
 
 
+def short_windows(rows: DataFrame, keys: list[str], sizes: list[int], whole: bool = False) -> DataFrame:
+    """The windows of these numbers of words, as in windows; with whole, those of texts of that many words only. Windows of nothing but slots say nothing and are left out."""
+    found = with_words(rows)
+
+    def of(n: int, source: str, template: str | None) -> Column:
+        starts = F.when((F.size(source) == n) if whole else (F.size(source) >= n), F.sequence(F.lit(0), F.size(source) - n))
+        made = F.transform(starts, lambda i: _window(i, F.xxhash64(F.lit(n), F.slice(source, i + 1, F.lit(n))), template, n, -1))
+        made = F.filter(made, lambda x: F.size(x["slots"]).between(1, n - 1)) if template else made
+        return F.coalesce(made, F.array().cast(KIND))
+
+    every = F.concat(*(of(n, *x) for n in sizes for x in (("words", None), ("template", "template"), ("capitals", "capitals"))))
+    return found.select(*keys, F.explode(every).alias("w")).select(*keys, "w.pos", "w.h", "w.slots", F.lit(True).alias("wide"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 6, most_broadcast: int = BROADCAST_WINDOWS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row a document and benchmark item that it holds: doc_id, text_key, item_id, n_windows, coverage, n_slots, exact.
 
     A document holds an item if `least` windows of `width` words (all of them,
     if the item has fewer) meet on one diagonal, and either stand there word
-    for word (exact) or all their slots map one to one. n_windows counts
-    the item's windows met on the best diagonal, coverage is their share,
-    n_slots the different slot fillings there. text_key is the xxhash64 of the
+    for word (exact) or all their slots map one to one. An item of under
+    `width` words has one window, the whole of it. n_windows counts the item's
+    windows met on the best diagonal, coverage is their share, n_slots the
+    different slot fillings there. Where windows that aren't wide hold the item
+    by themselves, as oracle() says it, these columns count them only; where
+    they don't, all windows are counted and judged. text_key is the xxhash64 of the
     text; repeated rows of documents or of items count once, null ids are kept
-    as ids, and null, empty or shorter texts have no windows and match nothing.
+    as ids, and null or empty texts have no windows and match nothing.
     Ties between diagonals fall to the smaller one. Other columns aren't read.
     The items are broadcast if their windows, counted first, are at most
     most_broadcast; else the join is shuffled.
     """
-    items = windows(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null").distinct(), ["item_id"], width).distinct()
+    asked = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null").distinct()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null").withColumn("text_key", F.xxhash64("text"))
+    sizes = sorted(r.n for r in with_words(asked).select(F.size("words").alias("n")).where(F.col("n").between(1, width - 1)).distinct().collect())
+    items, found = windows(asked, ["item_id"], width), windows(rows, ["doc_id", "text_key"], width)
+    if sizes:
+        items = items.unionByName(short_windows(asked, ["item_id"], sizes, whole=True))
+        found = found.unionByName(short_windows(rows, ["doc_id", "text_key"], sizes))
+    items = items.distinct()
     totals = items.groupBy(F.col("item_id").alias("of")).agg(F.countDistinct("pos").alias("total"))
-    items = items.join(totals, F.col("item_id").eqNullSafe(F.col("of"))).select("item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), "total")
+    items = items.join(totals, F.col("item_id").eqNullSafe(F.col("of"))).select("item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), F.col("wide").alias("item_wide"), "total")
     if items.count() <= most_broadcast:
         items = F.broadcast(items)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    met = windows(rows.withColumn("text_key", F.xxhash64("text")), ["doc_id", "text_key"], width).join(items, "h")
+    met = found.join(items, "h")
     met = met.where(F.coalesce(F.size("slots"), F.lit(-1)) == F.coalesce(F.size("item_slots"), F.lit(-1)))
-    same = F.col("slots").eqNullSafe(F.col("item_slots"))
-    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    same, narrow = F.col("slots").eqNullSafe(F.col("item_slots")), ~F.col("wide") & ~F.col("item_wide")
+    pairs = F.coalesce(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.array().cast("array<struct<a:string,b:string>>"))
+    distinct_pairs = lambda x: F.array_distinct(F.flatten(F.collect_set(x)))
     by = met.groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.max("total").alias("total"),
-        F.countDistinct("item_pos").alias("n"),
-        F.countDistinct(F.when(same, F.col("item_pos"))).alias("n_exact"),
-        F.array_distinct(F.flatten(F.collect_set(F.coalesce(pairs, F.array().cast("array<struct<a:string,b:string>>"))))).alias("pairs"),
+        F.size(F.collect_set("item_pos")).alias("n_all"),
+        F.size(F.collect_set(F.when(narrow, F.col("item_pos")))).alias("n_narrow"),
+        F.size(F.collect_set(F.when(same, F.col("item_pos")))).alias("n_exact"),
+        distinct_pairs(pairs).alias("pairs_all"),
+        distinct_pairs(F.when(narrow, pairs)).alias("pairs_narrow"),
     )
-    sized = lambda part: F.size(F.array_distinct(F.transform("pairs", lambda x: x[part])))
-    one_to_one = (F.size("pairs") == sized("a")) & (F.size("pairs") == sized("b"))
+
+    def one_to_one(pairs: str) -> Column:
+        sized = lambda part: F.size(F.array_distinct(F.transform(pairs, lambda x: x[part])))
+        return (F.size(pairs) == sized("a")) & (F.size(pairs) == sized("b"))
+
     needed = F.least(F.lit(least), F.col("total"))
-    held = by.withColumn("exact", F.col("n_exact") >= needed).where(F.col("exact") | (one_to_one & (F.col("n") >= needed)))
-    best = F.struct("n", (-F.col("diagonal")).alias("d"), (F.col("n") / F.col("total")).alias("coverage"), F.size("pairs").alias("n_slots"))
+    by = by.withColumn("exact", F.col("n_exact") >= needed)
+    by = by.withColumn("narrow", (F.col("n_narrow") >= needed) & (F.col("exact") | one_to_one("pairs_narrow")))
+    held = by.where(F.col("exact") | F.col("narrow") | (one_to_one("pairs_all") & (F.col("n_all") >= needed)))
+    n = F.when(F.col("narrow"), F.col("n_narrow")).otherwise(F.col("n_all"))
+    fills = F.when(F.col("narrow"), F.size("pairs_narrow")).otherwise(F.size("pairs_all"))
+    best = F.struct("narrow", n.alias("n"), (-F.col("diagonal")).alias("d"), (n / F.col("total")).alias("coverage"), fills.alias("n_slots"))
     return (
         held.groupBy("doc_id", "text_key", "item_id")
         .agg(F.max(best).alias("b"), F.max("exact").alias("exact"))

@@ -39,3 +39,21 @@ def test_empty_tables(frames):
     docs, items = frames
     assert leaks(docs.limit(0), items).collect() == [] == leaks(docs, items.limit(0)).collect()
     assert without_leaks(docs, items.limit(0)).count() == docs.count()
+
+
+PENS = "A shop sells 12 pens at 3 dollars and 7 books at 9 dollars to 4 children for 5 weeks"
+TALE = "Alice has many old coins in a box. Bob buys all of them for his sister. Carol finds the empty box at night."
+
+
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_dense_slots_names_at_sentence_starts_and_short_items(spark, most):
+    pens = PENS.replace("12", "31").replace("3 dollars", "6 dollars").replace("7", "8").replace("9", "2").replace("4 children", "15 children").replace("5 weeks", "11 weeks")
+    tale = TALE.replace("Alice", "Dora").replace("Bob", "Emil").replace("Carol", "Fritz")
+    mixed = TALE.replace("Alice", "Dora").replace("Bob", "Dora").replace("Carol", "Fritz")
+    docs = [(1, pens), (2, tale), (3, mixed), (4, "He asked: What is 95 plus 31? Nobody knew."), (5, "What is left of 12 plus 7"), (6, "sums: what is 12 plus 7"), (7, "44 45 46"), (8, "He said what is 5 plus 5")]
+    items = [(100, PENS), (101, TALE), (102, "What is 12 plus 7?"), (103, "12 13")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in leaks(*frames, most_broadcast=most).collect()}
+    assert set(rows) == {(1, 100), (2, 101), (4, 102), (6, 102)}
+    assert rows[6, 102].exact and not rows[4, 102].exact and rows[1, 100].coverage == 1.0
+    assert sorted(r.doc_id for r in without_leaks(*frames, most_broadcast=most).collect()) == [3, 5, 7, 8]
