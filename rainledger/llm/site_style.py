@@ -149,21 +149,22 @@ def styles(page: str) -> dict[str, tuple[int, int]]:
     return out
 
 
-def importance(pages: DataFrame, content_weight: float = 0.9) -> DataFrame:
-    """(host, path, m, importance) over pages (host, html): entropies to the base of the number m of pages that have the node."""
+def importance(pages: DataFrame, content_weight: float = 0.9, copies_once: bool = False) -> DataFrame:
+    """(host, path, m, importance) over pages (host, html): entropies to the base of the number m of pages that have the node; with copies_once, of different pages."""
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, paths, kinds, values = [], [], [], []
+        rows = []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            for path, both in styles(page or "").items():
-                for kind, value in enumerate(both):
-                    hosts.append(host)
-                    paths.append(path)
-                    kinds.append(kind)
-                    values.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())], ["host", "path", "kind", "value"])
-
-    seen = per_batch(pages, spread, "host string, path string, kind int, value long").groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+            copy = xxhash.xxh3_128_digest(page or "")
+            rows += [(host, path, copy, *both) for path, both in styles(page or "").items()]
+        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["host", "path", "copy", "content", "layout"])
+
+    nodes = per_batch(pages, spread, "host string, path string, copy binary, content long, layout long")
+    nodes = nodes.distinct() if copies_once else nodes
+    both = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in enumerate(("content", "layout")))))
+    seen = nodes.select("host", "path", both.alias("x")).groupBy("host", "path", "x.kind", "x.value").agg(F.count("*").alias("n"))
     n = F.col("n").cast("double")
     sums = seen.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(n * F.log(n)).alias("s"))
     m = F.col("m").cast("double")
@@ -173,9 +174,10 @@ def importance(pages: DataFrame, content_weight: float = 0.9) -> DataFrame:
 
 
 def unimportant(nodes: DataFrame, least_pages: int, threshold: float) -> DataFrame:
-    """(host, low): the paths of each host whose importance is under threshold times its best node's; nodes on under least_pages pages stay."""
+    """(host, low): the paths of each host whose importance is under threshold times its best node's; nodes on under least_pages pages stay, and so do article, main and all below them."""
     best = F.max(F.when(F.col("m") >= least_pages, F.col("importance"))).over(_by_host())
     low = nodes.where(F.col("m") >= least_pages).withColumn("best", best).where(F.col("importance") < threshold * F.col("best"))
+    low = low.where(~F.col("path").rlike(rf"(^|/)({'|'.join(sorted(CONTENT))})([./]|$)"))
     return low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
 
 
@@ -190,9 +192,8 @@ def main_text(pages: DataFrame, least_pages: int = 8, threshold: float = 0.3, sa
 
     Blocks are joined by an empty line; white space inside a block is one
     space. A null html or a page without an article gives an empty text; pages
-    with a null or odd url share the host ''. Copies of a page count as pages;
-    as a branch is compared with the host's best one, a host that only has
-    copies keeps its articles. Repeated rows stay, null ids too; other columns
+    with a null or odd url share the host ''. Copies of a page count as one page
+    of the style tree, and the tree takes nothing out of article or main. Repeated rows stay, null ids too; other columns
     aren't read; an empty table gives no rows. What grows with a host are
     counts only: its nodes are summed before they meet, and its pages are dealt
     over `salts` parts for the join with its tree.
@@ -200,7 +201,7 @@ def main_text(pages: DataFrame, least_pages: int = 8, threshold: float = 0.3, sa
     kind = pages.schema[id_col].dataType.simpleString()
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-    low = unimportant(importance(rows.select("host", "html")), least_pages, threshold)
+    low = unimportant(importance(rows.select("host", "html"), copies_once=True), least_pages, threshold)
     low = low.select("host", "low", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     salt = F.pmod(F.xxhash64("id", "url"), F.lit(salts)).cast("int")
     joined = rows.withColumn("salt", salt).join(low, ["host", "salt"], "left").select("id", "url", "html", "low")

@@ -41,3 +41,14 @@ def test_importance_is_entropy(spark):
     by = {r.path: r for r in nodes.collect()}
     assert abs(by["div.x"].importance - 0.9 * 0.5) < 1e-9 and by["div.y"].importance < 1e-9 and by["div.x"].m == 16
     assert [(r.host, r.low) for r in unimportant(nodes, 8, 0.3).collect()] == [("h", ["div.y"])]
+
+
+def test_copies_count_once_and_articles_stay_whole(spark):
+    rows = [(i, f"http://blog.example/{i}", f"<div class=post>Post {i}</div><div class=line>On every page</div>") for i in range(100)]
+    rows += [(200 + i, f"http://blog.example/{i}", "<div class=press>Release</div>") for i in range(10)]
+    meal = "<article><h2>Ingredients</h2><p>Meal {}</p>{}</article>"
+    rows += [(300 + i, f"http://meals.example/{i}", meal.format(i, "<blockquote>One quote</blockquote>" if i < 9 else "")) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    assert got[3] == "Post 3" and all(got[200 + i] == "Release" for i in range(10))
+    assert got[304] == "Ingredients\n\nMeal 4\n\nOne quote" and got[320] == "Ingredients\n\nMeal 20"
