@@ -200,7 +200,10 @@ def edge_ownership(spark, sf_dir):
 
 
 def incremental_overlap_merge(spark, sf_dir):
-    """Day sums, the last week's computed anew and put in the place of the stored ones."""
+    """Day sums, the last week's computed anew and put in the place of the stored ones.
+
+    The stored sums, those before 19 January, are of events with even ids only, as the SQL has them.
+    """
     day = lambda e: e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(r(F.sum("value"), 4).alias("total"))
     e = load(spark, sf_dir, "events")
     return replace_by_key(day(e.where("ts < TIMESTAMP '2024-01-26' AND event_id % 2 = 0")), day(e.where("ts >= TIMESTAMP '2024-01-19'")), ["day"])
