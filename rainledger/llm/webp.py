@@ -1,18 +1,21 @@
-"""Lossless WebP: a decoder of the whole VP8L bitstream, a plain writer, and media columns over texts.
+"""Lossless WebP: a decoder of the whole VP8L bitstream, a writer, and media columns over texts.
 
 The decoder takes prefix codes (simple, normal, meta), back-references, the
 colour cache, and inverts the predictor, cross-colour, subtract-green and
 palette transforms. Where an image has one group of codes, all literals of
 eight bits and no cache, its samples are unpacked at once with numpy; other
-streams are read symbol by symbol. The writer makes images of that first kind,
-so that storing and reading back a corpus costs some operations on whole arrays.
+streams are read symbol by symbol. The writer counts its prefix codes and makes
+back-references where pixels repeat; images that this makes no smaller (short or
+random ones) are of that first kind. It makes no transforms, cache or meta codes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import struct
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -69,6 +72,7 @@ class Code:
         if not len(symbols):
             self.only = 0
         if self.only is not None:
+            self.bits, self.table = 0, [self.only << 4]
             return
         if sum(1 << (self.bits - int(used[s])) for s in symbols) != 1 << self.bits:
             raise ValueError("not a complete prefix code")
@@ -78,8 +82,7 @@ class Code:
             code <<= length - last
             last = length
             backwards = int(f"{code:0{length}b}"[::-1], 2)
-            for k in range(backwards, 1 << self.bits, 1 << length):
-                self.table[k] = symbol << 4 | length
+            self.table[backwards :: 1 << length] = [symbol << 4 | length] * (1 << self.bits - length)
             code += 1
 
     def read(self, bits: Bits) -> int:
@@ -143,6 +146,39 @@ def distance(code: int, width: int) -> int:
     return max(dx + dy * width, 1)
 
 
+def read_steps(bits: Bits, codes: list[Code], total: int, width: int) -> list[int]:
+    """Pixels of one group of codes without a cache: literals, whose four symbols are read from one window of bits, and back-references."""
+    data, at, end = bits.data, bits.at, 8 * len(bits.data)
+    (green, gm), (red, rm), (blue, bm), (alpha, am) = ((c.table, (1 << c.bits) - 1) for c in codes[:4])
+    out: list[int] = []
+    put, window = out.append, int.from_bytes
+    while len(out) < total:
+        k = at >> 3
+        w = window(data[k : k + 9], "little") >> (at & 7)
+        g = green[w & gm]
+        if g < 4096:
+            w >>= g & 15
+            r = red[w & rm]
+            w >>= r & 15
+            b = blue[w & bm]
+            a = alpha[w >> (b & 15) & am]
+            at += (g & 15) + (r & 15) + (b & 15) + (a & 15)
+            put(a >> 4 << 24 | r >> 4 << 16 | g >> 4 << 8 | b >> 4)
+        else:
+            bits.at = at + (g & 15)
+            n = prefixed((g >> 4) - 256, bits)
+            back = distance(prefixed(codes[4].read(bits), bits), width)
+            at = bits.at
+            if back > len(out) or len(out) + n > total:
+                raise ValueError("a back-reference leaves the image")
+            piece = out[-back:] if n >= back else out[-back : n - back]
+            out += (piece * (n // back + 1))[:n] if n > back else piece
+        if at > end:
+            raise ValueError("the stream ends early")
+    bits.at = at
+    return out
+
+
 def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     """An entropy-coded image as (height, width) of ARGB in 32 bits."""
     cache_bits = bits.read(4) if bits.read(1) else 0
@@ -164,6 +200,8 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         bits.at += 32 * total
         g, r, b, a = REVERSED[samples].reshape(total, 4).astype(np.uint32).T
         return (a << 24 | r << 16 | g << 8 | b).reshape(height, width)
+    if groups == 1 and not cached:
+        return np.array(read_steps(bits, codes[0], total, width), np.uint32).reshape(height, width)
     out, cache = [0] * total, [0] * cached
     at = noted = 0
     group = codes[0]
@@ -352,8 +390,8 @@ def opening(width: int, height: int) -> tuple[bytes, int, int]:
     return value.to_bytes(n // 8 + 1, "little")[: n // 8], value >> (n // 8 * 8), n % 8
 
 
-def encode(samples: np.ndarray) -> bytes:
-    """A lossless WebP file of (height, width, 4) samples red, green, blue, alpha."""
+def flat(samples: np.ndarray) -> bytes:
+    """The VP8L stream of (height, width, 4) samples with all literals of eight bits."""
     height, width, _ = samples.shape
     head, rest, shift = opening(width, height)
     body = REVERSED[samples[..., [1, 0, 2, 3]].reshape(-1)]
@@ -364,7 +402,168 @@ def encode(samples: np.ndarray) -> bytes:
         out[1:] |= body >> (8 - shift)
         out[0] |= rest
         body = out
-    stream = head + body.tobytes()
+    return head + body.tobytes()
+
+
+def code_lengths(counts: dict[int, int], most: int) -> dict[int, int]:
+    """Lengths of a prefix code of at least two symbols, none over most bits."""
+    while True:
+        heap = [(n, s, (s,)) for s, n in counts.items()]
+        heapq.heapify(heap)
+        depth = dict.fromkeys(counts, 0)
+        while len(heap) > 1:
+            (a, k, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
+            for symbol in x + y:
+                depth[symbol] += 1
+            heapq.heappush(heap, (a + b, k, x + y))
+        if max(depth.values()) <= most:
+            return depth
+        counts = {s: n // 2 + 1 for s, n in counts.items()}
+
+
+def canonical(lengths: dict[int, int]) -> dict[int, int]:
+    """The codes of these lengths, first bit lowest."""
+    out, code, last = {}, 0, 0
+    for n, symbol in sorted((n, s) for s, n in lengths.items()):
+        code <<= n - last
+        last = n
+        out[symbol] = int(f"{code:0{n}b}"[::-1], 2)
+        code += 1
+    return out
+
+
+def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """A prefix code after how often each symbol stands: the bits that describe it, their number, and the code and length of each symbol."""
+    alphabet, value, at = len(counts), 0, 0
+
+    def put(x: int, n: int) -> None:
+        nonlocal value, at
+        value |= x << at
+        at += n
+
+    used = np.flatnonzero(counts).tolist()
+    codes, sizes = np.zeros(alphabet, np.int64), np.zeros(alphabet, np.int64)
+    if len(used) < 2:  # a simple code
+        put(1 | 1 << 2, 3)
+        put(used[0] if used else 0, 8)
+        return value, at, codes, sizes
+    lengths = code_lengths({k: int(counts[k]) for k in used}, 15)
+    codes[used], sizes[used] = list(map(canonical(lengths).__getitem__, used)), list(map(lengths.__getitem__, used))
+    said, row, k = [], sizes.tolist(), 0
+    while k < alphabet:
+        run = 1
+        while k + run < alphabet and row[k + run] == row[k] and run < 138:
+            run += 1
+        if not row[k] and run >= 3:
+            said.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
+        elif said and run >= 3 and k and row[k - 1] == row[k] and row[k]:
+            run = min(run, 6)
+            said.append((16, run - 3, 2))
+        else:
+            run = 1
+            said.append((row[k], 0, 0))
+        k += run
+    kinds = Counter(x for x, _, _ in said)
+    first = code_lengths(kinds if len(kinds) > 1 else {0: 0, 18: 0} | kinds, 7)
+    bits = canonical(first)
+    put(0, 1)
+    put(15, 4)
+    for x in LENGTH_ORDER:
+        put(first.get(x, 0), 3)
+    put(0, 1)
+    for x, extra, n in said:
+        put(bits[x] | extra << first[x], first[x] + n)
+    return value, at, codes, sizes
+
+
+def copies(pixels: np.ndarray, most: int = 4096) -> list[tuple[int, int, int]]:
+    """(start, length, distance) of stretches of at least 3 pixels that stand before too, in order and without overlap."""
+    n = len(pixels) - 2
+    if n < 2:
+        return []
+    x = pixels.astype(np.uint64)
+    key = x[:-2] * np.uint64(0x9E3779B97F4A7C15) + x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + x[2:] * np.uint64(0x165667B19E3779F9)
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    before = np.full(n, -1)
+    before[order[1:][same]] = order[:-1][same]
+    for k in range(3):
+        before[pixels[k : k + n] != pixels[np.maximum(before, 0) + k]] = -1
+    here = before >= 0
+    starts = np.flatnonzero(here & ~np.append(False, here[:-1] & (before[1:] == before[:-1] + 1)))
+    ends = np.flatnonzero(here & ~np.append(here[1:] & (before[1:] == before[:-1] + 1), False)) + 3
+    found, at = [], 0
+    for start, end, back in zip(starts.tolist(), ends.tolist(), (starts - before[starts]).tolist()):
+        start = max(start, at)
+        while end - start >= 3:
+            size = min(end - start, most)
+            found.append((start, size, back))
+            at = start = start + size
+    return found
+
+
+def spoken(value: int) -> tuple[int, int, int]:
+    """The prefix symbol of a length or distance code, its extra bits and their number."""
+    x = value - 1
+    if x < 4:
+        return x, 0, 0
+    extra = x.bit_length() - 2
+    return 2 * extra + (x >> extra), x & ((1 << extra) - 1), extra
+
+
+@lru_cache(maxsize=16)
+def neighbours(width: int) -> dict[int, int]:
+    """The short code of each distance that has one."""
+    return {dx + dy * width: k + 1 for k, (dx, dy) in reversed(list(enumerate(NEIGHBOURS))) if dx + dy * width >= 1}
+
+
+def counted(samples: np.ndarray) -> bytes:
+    """The VP8L stream of samples with counted prefix codes, one for red, blue and alpha, and back-references."""
+    height, width, _ = samples.shape
+    rows = np.ascontiguousarray(samples).reshape(-1, 4)
+    found, near = copies(rows.view("<u4")[:, 0]), neighbours(width)
+    kept, taken = np.ones(len(rows), bool), np.zeros(len(rows), bool)
+    for start, size, _ in found:
+        kept[start + 1 : start + size] = False
+        taken[start] = True
+    taken = taken[kept]
+    steps = rows[kept][:, [1, 0, 2, 3]].astype(np.int64)  # four parts a step: the samples of a pixel, or length, its extra bits, distance, its extra bits
+    extra = np.zeros((len(found), 2, 2), np.int64)
+    if found:
+        said = np.array([(*spoken(size), *spoken(near.get(back, back + len(NEIGHBOURS)))) for _, size, back in found])
+        steps[taken, 0], steps[taken, 2] = said[:, 0] + 256, said[:, 3]
+        extra = said[:, [1, 2, 4, 5]].reshape(-1, 2, 2)
+    plain = steps[~taken]
+    codes = [
+        counted_code(np.bincount(steps[:, 0], minlength=280)),
+        counted_code(np.bincount(plain[:, 1:].reshape(-1), minlength=256)),
+        counted_code(np.bincount(steps[taken, 2], minlength=40)),
+    ]
+    value = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36  # alpha; version, no transform, cache or meta codes in zeros
+    at = 43
+    for k in (0, 1, 1, 1, 2):
+        value |= codes[k][0] << at
+        at += codes[k][1]
+    bits, sizes = np.empty_like(steps), np.empty_like(steps)
+    bits[:, 0], sizes[:, 0] = codes[0][2][steps[:, 0]], codes[0][3][steps[:, 0]]
+    bits[~taken, 1:], sizes[~taken, 1:] = codes[1][2][plain[:, 1:]], codes[1][3][plain[:, 1:]]
+    bits[taken, 2], sizes[taken, 2] = codes[2][2][steps[taken, 2]], codes[2][3][steps[taken, 2]]
+    bits[taken, 1::2], sizes[taken, 1::2] = extra[..., 0], extra[..., 1]
+    bits, sizes = bits.reshape(-1), sizes.reshape(-1)
+    ends = np.cumsum(sizes) + at % 32
+    starts = ends - sizes
+    word, moved = starts >> 5, bits << (starts & 31)
+    most = int(ends[-1]) // 32 + 2
+    body = np.bincount(word, moved & 0xFFFFFFFF, most) + np.bincount(word + 1, moved >> 32, most)  # no bit stands twice, so sums are exact
+    body = body.astype("<u4")
+    whole = at // 32 * 4
+    body[0] |= value >> 8 * whole
+    return (value & ((1 << 8 * whole) - 1)).to_bytes(whole, "little") + body.tobytes()[: -(-int(ends[-1]) // 8)]
+
+
+def encode(samples: np.ndarray) -> bytes:
+    """A lossless WebP file of (height, width, 4) samples red, green, blue, alpha: the smaller one of the counted and the flat stream."""
+    stream = min(counted(samples), flat(samples), key=len)
     chunk = b"VP8L" + struct.pack("<I", len(stream)) + stream + bytes(len(stream) & 1)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
 

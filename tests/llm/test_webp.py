@@ -285,3 +285,16 @@ def test_columns(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
     assert rows[5][1:] == rows[6][1:] and rows[0][1:] == rows[1][1:]
     assert media_columns(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_writer_counts_codes_and_refers_back(seed):
+    dice = random.Random(seed)
+    words = ["".join(dice.choices("etaoinshrdlu", k=dice.randrange(1, 9))) for _ in range(60)]
+    text = " ".join(dice.choices(words, k=dice.choice([300, 2000]))).encode()
+    line = text[:192]
+    for payload in (text, line * 40 + text, b" " * 9000, text + b"\x00\xff" * 5000):
+        payload = payload.ljust(-(-len(payload) // 192) * 192)
+        media = store(payload)
+        assert b"".join(x.tobytes() for x in decode(media)) == payload and len(media) < 0.75 * len(payload)
+    assert len(store(line * 40)) < 400 and len(store(b" " * 9000 + b" " * 24)) < 100
