@@ -12,8 +12,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
     """(text, label) of at most `most` labelled rows whose crc32(id) mod folds isn't held_out.
 
     The rows with the lowest hashes of their ids are taken, so the sample is the
-    same in each run; rows without an id or a label are left out. `most` bounds
-    what is broadcast.
+    same in each run; rows without an id or a label are left out. Of an id with
+    several texts, the one with the smallest hash is taken, so `most` bounds
+    what is broadcast and the sample too.
     """
     fold = crc(F.col("id")) % folds
     chosen = (
@@ -23,4 +24,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
         .limit(most)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
+    one = F.min(F.struct(F.xxhash64("text").alias("k"), "text"))["text"]
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(one.alias("text")).select("id", "text", "label")
