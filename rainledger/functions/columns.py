@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 CYCLES = ("JAN", "PRE", "AUG", "NOV")
 CYCLE_MONTHS = {"JAN": (12, 1, 2), "PRE": (3, 4, 5, 6), "AUG": (7, 8, 9), "NOV": (10, 11)}
 CYCLE_ENDS = {"JAN": (1, 31), "PRE": (5, 31), "AUG": (8, 31), "NOV": (11, 30)}
+# Months of a telemetry campaign.
+TELEMETRY_MONTHS = (1, 4, 5, 8, 11)
+# The tiers that a quadrant is given for, and the fewest days of a season that it is judged on.
+JUDGED_TIERS, LEAST_SEASON_DAYS = ("full", "short", "provisional"), 15
 # Lowest rounded departure of each rainfall category, highest first.
 CATEGORY_FLOORS = ((60, "Large Excess"), (20, "Excess"), (-19, "Normal"), (-59, "Deficient"), (-99, "Large Deficient"))
 SHORT_CATEGORIES = ("Deficient", "Large Deficient", "No Rain")
@@ -107,6 +111,49 @@ def rain_reasons(cat: Column, spi: Column, dry_weeks: Column, spi_dry: float = -
     return F.when(cat.isNotNull() | spi.isNotNull() | dry_weeks.isNotNull(), found)
 
 
+def rain_verdict(cat: Column, season_days: Column, short: Column) -> Column:
+    """(short, why) of a district's rain: null without data or in a season too young to judge, else the combined rule, else the category alone."""
+    known = cat.isNotNull() | short.isNotNull()
+    young = F.coalesce(season_days < LEAST_SEASON_DAYS, F.lit(False))
+    why = F.when(~known, "no_rain_data").when(young, "season_just_started")
+    return F.struct(F.when(why.isNull(), F.coalesce(short, cat.isin(*SHORT_CATEGORIES))).alias("short"), why.alias("why"))
+
+
+def level_verdict(tier: Column, low: Column) -> Column:
+    """(low, why) of a district's water level: null outside the judged tiers."""
+    judged = F.coalesce(tier.isin(*JUDGED_TIERS), F.lit(False))
+    return F.struct(F.when(judged, low).alias("low"), F.when(~judged, F.concat(F.lit("gw_"), F.coalesce(tier, F.lit("missing")))).alias("why"))
+
+
+def headline(official: Column, official_category: Column, gridded: Column) -> Column:
+    """(dep, category, source): the official departure where there's one, else the gridded one, rounded first."""
+    whole = F.rint(gridded)
+    return (
+        F.when(official.isNotNull(), F.struct(official.alias("dep"), official_category.alias("category"), F.lit("official").alias("source")))
+        .when(gridded.isNotNull(), F.struct(whole.alias("dep"), category(whole).alias("category"), F.lit("gridded").alias("source")))
+        .otherwise(F.struct(F.lit(None).cast("double").alias("dep"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("source")))
+    )
+
+
+def current_cycle(today: Column) -> Column:
+    """(year, cycle): the last cycle that ended before a day."""
+    ends = [F.struct(F.make_date(F.year(today) - k, F.lit(m), F.lit(d)).alias("end"), (F.year(today) - k).cast("long").alias("year"), F.lit(c).alias("cycle")) for k in (0, 1) for c, (m, d) in CYCLE_ENDS.items()]
+    last = F.array_max(F.filter(F.array(*ends), lambda e: e["end"] < today))
+    return F.struct(last["year"].alias("year"), last["cycle"].alias("cycle"))
+
+
+def whole_months(start: Column, end: Column) -> Column:
+    return (F.dayofmonth(start) == 1) & (end == F.last_day(end))
+
+
+def window_weeks(start: Column, end: Column) -> Column:
+    """(year, week) of the meteorological weeks that lie wholly inside a window; week 52 ends with the year."""
+    first = F.transform(F.sequence(F.year(start), F.year(end)), lambda y: F.transform(F.sequence(F.lit(1), F.lit(52)), lambda w: F.struct(y.cast("long").alias("year"), w.cast("long").alias("week"), F.date_add(F.make_date(y, F.lit(1), F.lit(1)), 7 * (w - 1)).alias("a"))))
+    ends = lambda x: F.when(x["week"] == 52, F.make_date(x["year"].cast("int"), F.lit(12), F.lit(31))).otherwise(F.date_add(x["a"], 6))
+    inside = F.filter(F.flatten(first), lambda x: (x["a"] >= start) & (ends(x) <= end))
+    return F.transform(inside, lambda x: F.struct(x["year"].alias("year"), x["week"].alias("week")))
+
+
 def quadrant(rain_short: Column, level_low: Column) -> Column:
     return (
         F.when(~rain_short & ~level_low, "fine")
