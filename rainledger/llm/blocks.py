@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from rainledger.llm.frames import release, settled
+from rainledger.llm.frames import Scratch, release
 
 #: Tokens of a block, unless one document has more; a token that ends each document and is no word.
 TOKENS, END = 1 << 19, b"\n"
@@ -45,7 +45,7 @@ def unpacked(data: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
     return out
 
 
-def blocks(docs: DataFrame, split: Callable[[str], list[bytes]], chosen: Column | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: int = TOKENS) -> DataFrame:
+def blocks(docs: DataFrame, split: Callable[[str], list[bytes]], chosen: Column | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: int = TOKENS, scratch: Scratch | None = None) -> DataFrame:
     """Settled blocks of docs: block, ids, chosen, keys (128 bits of each text's words), sizes (tokens with END), n_words, words (hashes, sorted), data (numbers of the words)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -86,7 +86,8 @@ def blocks(docs: DataFrame, split: Callable[[str], list[bytes]], chosen: Column
                     release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.lit(True) if chosen is None else F.coalesce(chosen, F.lit(False))).alias("chosen"))
-    return settled(rows.mapInArrow(run, f"block long, ids array<{kind}>, chosen array<boolean>, keys array<binary>, sizes array<int>, n_words long, n_tokens long, words binary, data binary"))
+    scratch = scratch or Scratch(docs.sparkSession)
+    return scratch.settled(rows.mapInArrow(run, f"block long, ids array<{kind}>, chosen array<boolean>, keys array<binary>, sizes array<int>, n_words long, n_tokens long, words binary, data binary"))
 
 
 class Block:
@@ -118,7 +119,7 @@ def asked(made: DataFrame, ask: Callable[[dict], Iterator[tuple[int, bytes]]], c
     return made.select("block", *columns).mapInArrow(run, "shard long, block long, request binary")
 
 
-def answered(requests: DataFrame, answer: Callable[[list[bytes]], tuple[list[bytes], dict]], extra: dict[str, pa.DataType]) -> DataFrame:
+def answered(requests: DataFrame, answer: Callable[[list[bytes]], tuple[list[bytes], dict]], extra: dict[str, pa.DataType], scratch: Scratch | None = None) -> DataFrame:
     """(shard, block, reply, ...) settled; answer gets all requests of one shard in the order of their blocks. extra: more columns, in the shard's first row only."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -130,7 +131,8 @@ def answered(requests: DataFrame, answer: Callable[[list[bytes]], tuple[list[byt
 
     fields = [StructField(x, from_arrow_type(t)) for x, t in extra.items()]
     schema = StructType([StructField("shard", LongType()), StructField("block", LongType()), StructField("reply", BinaryType()), *fields])
-    return settled(requests.groupBy("shard").applyInArrow(run, schema))
+    scratch = scratch or Scratch(requests.sparkSession)
+    return scratch.settled(requests.groupBy("shard").applyInArrow(run, schema))
 
 
 def with_replies(made: DataFrame, replies: DataFrame) -> DataFrame:

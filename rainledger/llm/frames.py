@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,11 +27,43 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+class Scratch:
+    """Tables of one operator in the shared folder: lineage ends there and each is computed once. What no later step reads is dropped, so disk holds what is in use only."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.top = spark, f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
+        self.paths: list[tuple[DataFrame, str]] = []
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        """df, written and read back."""
+        path = f"{self.top}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((back, path))
+        return back
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes these settled tables; nothing may read them any more."""
+        self._delete([p for df, p in self.paths if any(df is x for x in frames)])
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Deletes all settled tables but these."""
+        self._delete([p for df, p in self.paths if not any(df is x for x in frames)])
+
+    def _delete(self, paths: list[str]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        self.paths = [x for x in self.paths if x[1] not in paths]
+        gc.collect()
+        jvm.System.gc()  # Spark removes shuffle files of frames that the driver has let go
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read back: its lineage ends there and it's computed once."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df, written to the shared folder and read back, for good."""
+    return Scratch(df.sparkSession).settled(df)
 
 
 def crc(column: Column) -> Column:
@@ -45,7 +78,7 @@ def release() -> None:
 
 
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most: int = 1024) -> DataFrame:
-    """work on each Arrow batch of df, at most so many rows at a time."""
+    """work on each Arrow batch of df, at most so many rows at a time; Spark bounds a batch's bytes (spark.sql.execution.arrow.maxBytesPerBatch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
