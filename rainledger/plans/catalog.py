@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rainledger.plans import groundwater, layers, rain
+from rainledger.plans import groundwater, layers, rain, status
 
 FLAGSHIP = "status_table"
-PARTS = (groundwater, rain, layers)
+PARTS = (groundwater, rain, layers, status)
 
 
 def queries():
