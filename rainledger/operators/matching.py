@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rainledger.functions.names import name_key, state_key
 from rainledger.operators.series import keep_first
 
 EARTH_M = 6_371_000.0
@@ -41,13 +42,77 @@ def greedy_pairs(scored: DataFrame, left: str, right: str, score: str) -> DataFr
     return keep_first(best, [right], [F.col(score), F.col(left)])
 
 
+def nearest(scored: DataFrame, left: str, right: str, score: str) -> DataFrame:
+    """The right of each left with the least score, ties to the smaller one; rights may be taken by several."""
+    return keep_first(scored, [left], [F.col(score), F.col(right)])
+
+
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two names."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+def ratio_bound(a: Column, b: Column) -> Column:
+    """What the similarity of two names can't exceed: twice the letters that they share, wherever they stand, over all their letters."""
+    times = lambda x, c: F.length(x) - F.length(F.replace(x, c))
+    letters = F.array_distinct(F.split(a, ""))
+    shared = F.aggregate(letters, F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(times(a, c), times(b, c))))
+    return 2.0 * shared / F.nullif(F.length(a) + F.length(b), F.lit(0))
+
+
 def fuzzy_match(names: DataFrame, master: DataFrame, least: float = 0.85) -> DataFrame:
-    """(group, name, match, ratio): names (group, name) matched within their group, if one master name reaches `least` and no other does. Groups are bounded lists of place names."""
+    """(group, name, match, ratio): names (group, name) matched within their group, if one master name reaches `least` and no other does.
+
+    Names are compared as they are, so give both as keys. Groups are bounded
+    lists of place names; only pairs whose lengths and letters allow `least`
+    are compared letter by letter.
+    """
+    a, b = F.col("name"), F.col("match")
+    short = F.least(F.length("name"), F.length("match"))
     pairs = names.select("group", "name").distinct().join(master.select("group", F.col("name").alias("match")).distinct(), "group")
+    pairs = pairs.where((2.0 * short >= least * (F.length("name") + F.length("match"))) & (ratio_bound(a, b) >= least - 1e-9))
     good = pairs.withColumn("ratio", F.pandas_udf(name_ratio, "double")("name", "match")).where(F.col("ratio") >= least)
     return good.groupBy("group", "name").agg(F.min("match").alias("match"), F.max("ratio").alias("ratio"), F.count("*").alias("n")).where("n = 1").drop("n")
+
+
+def crosswalk(names: DataFrame, master: DataFrame, aliases: DataFrame, relations: DataFrame, least: float = 0.85) -> DataFrame:
+    """(state, name, code, method, score, relation) of each source name (state, name) against the master list (state, district, code).
+
+    In this order: a relation `child_of` (state, name, relation, target) says
+    that the place isn't on the list, and takes the target's code, if it has
+    one (method not_on_map); `none` takes no code (method left_out); an alias
+    (state, name, target) takes its target's code; a state that the list lacks
+    gives unmatched_state; a name whose key is that of one district of the state
+    is exact; one that is alike to one district alone is fuzzy; the rest is
+    unmatched. A relation `part_of` only marks the row. Keys that several
+    districts of a state share match none. Null names are left out; repeated
+    ones count once.
+    """
+    keyed = lambda df, name, to: df.withColumn("group", state_key(F.col("state"))).withColumn(to, name_key(F.col(name)))
+    m = keyed(master, "district", "key").groupBy("group", "key").agg(F.min("code").alias("code"), F.countDistinct("code").alias("n"))
+    one = m.where("n = 1").select("group", "key", "code")
+    rows = keyed(names.where("state IS NOT NULL AND name IS NOT NULL").select("state", "name").distinct(), "name", "key")
+    to = keyed(aliases, "target", "a_key").select("state", "name", "a_key")
+    of = keyed(relations, "target", "r_key").select("state", "name", "relation", "r_key")
+    rows = rows.join(F.broadcast(to), ["state", "name"], "left").join(F.broadcast(of), ["state", "name"], "left")  # hand-made lists
+    lookup = lambda key, code: one.select("group", F.col("key").alias(key), F.col("code").alias(code))
+    rows = rows.join(lookup("a_key", "a_code"), ["group", "a_key"], "left").join(lookup("r_key", "r_code"), ["group", "r_key"], "left").join(lookup("key", "e_code"), ["group", "key"], "left")
+    rows = rows.join(m.select("group").distinct().withColumn("known", F.lit(True)), "group", "left")
+    open_ = rows.where("e_code IS NULL AND a_key IS NULL AND known").where(F.coalesce(F.col("relation"), F.lit("")).isin("", "one", "part_of"))
+    near = fuzzy_match(open_.select("group", F.col("key").alias("name")), m.select("group", F.col("key").alias("name")), least)
+    near = near.join(m.select("group", F.col("key").alias("match"), F.when(F.col("n") == 1, F.col("code")).alias("f_code")), ["group", "match"]).select("group", F.col("name").alias("key"), "f_code", "ratio")
+    rows = rows.join(near, ["group", "key"], "left")
+    method = (
+        F.when(F.col("relation") == "none", "left_out").when(F.col("relation") == "child_of", "not_on_map").when(F.col("a_key").isNotNull(), "alias")
+        .when(F.col("known").isNull(), "unmatched_state").when(F.col("e_code").isNotNull(), "exact").when(F.col("f_code").isNotNull(), "fuzzy").otherwise("unmatched")
+    )
+    rows = rows.withColumn("method", method)
+    code = F.when(F.col("method") == "not_on_map", F.col("r_code")).when(F.col("method") == "alias", F.col("a_code")).when(F.col("method") == "exact", F.col("e_code")).when(F.col("method") == "fuzzy", F.col("f_code"))
+    score = F.when(F.col("method") == "exact", 1.0).when(F.col("method") == "fuzzy", F.rint(F.col("ratio") * 1000) / 1000)
+    return rows.select("state", "name", code.alias("code"), "method", score.alias("score"), F.coalesce("relation", F.lit("one")).alias("relation"))
+
+
+def with_codes(rows: DataFrame, walked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (state, name, ...) with the codes that a crosswalk has for whole districts, and the distinct (state, name) that it has none for."""
+    one = walked.where("relation = 'one' AND code IS NOT NULL").select("state", "name", "code")
+    return rows.join(one, ["state", "name"]), rows.select("state", "name").distinct().join(one, ["state", "name"], "left_anti")

@@ -75,9 +75,9 @@ def weighted_mean(cells: DataFrame, weights: DataFrame, cell: str, keys: list[st
 
 
 def as_of(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: list[str], columns: list[str]) -> DataFrame:
-    """Adds the columns of the last right row of the same key at or before the left one, by one window over the union of both: no range join."""
+    """Adds the columns of the last right row of the same key at or before the left one, by one window over the union of both: no range join. Of right rows of one time the one with the greatest columns counts."""
     rows = left.select(*by, F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"), F.lit(None).cast(right.select(F.struct(right_on, *columns)).schema[0].dataType).alias("_right"))
     facts = right.select(*by, F.col(right_on).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(rows.schema["_left"].dataType).alias("_left"), F.struct(right_on, *columns).alias("_right"))
-    w = W.partitionBy(*by).orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, 0) if by else W.orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, 0)
+    w = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy("_t", "_side", "_right").rowsBetween(W.unboundedPreceding, 0)
     found = rows.unionByName(facts).withColumn("_right", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
     return found.select("_left.*", *[F.col(f"_right.{c}").alias(c if c != right_on else f"{c}_found") for c in [right_on, *columns]])

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rainledger.functions.columns import finite
+
 
 def base_stats(base: DataFrame, keys: list[str], value: str) -> DataFrame:
     """(keys, n, zero_share, mean, mean_log) of the base years: all the fit needs, as plain aggregates."""
@@ -54,17 +56,19 @@ def gamma_share(a: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def spi(values: DataFrame, base: DataFrame, keys: list[str], value: str, least_years: int = 30, least_wet: int = 15, clip_p: float = 1e-6, clip_z: float = 3.5) -> DataFrame:
-    """values with a column spi; null without enough base years or wet ones. The grouped statistics join the values; only the special functions run in a pandas function."""
+    """values with a column spi; null without a value, enough base years or wet ones. The grouped statistics join the values once; only the special functions run in a pandas function."""
 
     @F.pandas_udf("double")
     def z(v: pd.Series, q: pd.Series, mean: pd.Series, mean_log: pd.Series) -> pd.Series:
-        spread = np.maximum(np.log(mean.to_numpy()) - mean_log.to_numpy(), 1e-12)
-        a = gamma_shape(spread)
-        p = q.to_numpy() + (1 - q.to_numpy()) * gamma_share(a, v.to_numpy() * a / mean.to_numpy())
-        p = np.clip(np.where(v.to_numpy() <= 0, q.to_numpy(), p), clip_p, 1 - clip_p)
-        return pd.Series([min(max(NormalDist().inv_cdf(x), -clip_z), clip_z) for x in p])
+        out = np.full(len(v), np.nan)
+        known = (v.notna() & mean.notna()).to_numpy()
+        x, share, mu, log = (s.to_numpy(dtype=float)[known] for s in (v, q, mean, mean_log))
+        a = gamma_shape(np.maximum(np.log(mu) - log, 1e-12))
+        p = share + (1 - share) * gamma_share(a, x * a / mu)
+        p = np.clip(np.where(x <= 0, share, p), clip_p, 1 - clip_p)
+        out[known] = [min(max(NormalDist().inv_cdf(y), -clip_z), clip_z) for y in p]
+        return pd.Series(out)
 
     stats = base_stats(base, keys, value).where((F.col("n") >= least_years) & (F.col("n_wet") >= least_wet))
-    scored = values.where(F.col(value).isNotNull()).join(stats, keys).select(*values.columns, z(value, "zero_share", "mean", "mean_log").alias("spi"))
-    rest = values.join(scored.select(*keys).distinct(), keys, "left_anti").unionByName(values.where(F.col(value).isNull()).join(scored.select(*keys).distinct(), keys, "left_semi"))
-    return scored.unionByName(rest.withColumn("spi", F.lit(None).cast("double")))
+    scored = values.join(stats, keys, "left").select(*values.columns, z(value, "zero_share", "mean", "mean_log").alias("spi"))
+    return scored.withColumn("spi", finite(F.col("spi")))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rainledger.plans import groundwater, layers, rain, status
+from rainledger.plans import groundwater, layers, rain, status, tables
 
 FLAGSHIP = "status_table"
-PARTS = (groundwater, rain, layers, status)
+PARTS = (groundwater, rain, layers, status, tables)
 
 
 def queries():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rainledger.functions.columns import CYCLE_MONTHS, cycle_ordinal, rounded
@@ -42,8 +43,9 @@ def gw_sign_normalize(spark, sf_dir):
 def gw_envelope_rejects(spark, sf_dir):
     """Cycle levels outside 10 to 45, by unit: how many, and the five deepest."""
     bad = cycles(spark, sf_dir).where(~F.col("level").between(10, 45))
-    worst = F.slice(F.sort_array(F.collect_list("level"), asc=False), 1, 5)
-    return bad.groupBy("unit").agg(F.count("*").alias("n"), F.array_join(F.transform(worst, lambda x: r(x * 10).cast("long").cast("string")), ",").alias("deepest"))
+    five = bad.withColumn("turn", F.row_number().over(W.partitionBy("unit").orderBy(F.col("level").desc()))).where("turn <= 5")
+    text = F.transform(F.sort_array(F.collect_list("level"), asc=False), lambda x: r(x * 10).cast("long").cast("string"))
+    return bad.groupBy("unit").agg(F.count("*").alias("n")).join(five.groupBy("unit").agg(F.array_join(text, ",").alias("deepest")), "unit")
 
 
 def gw_midrank_percentile(spark, sf_dir):
@@ -90,8 +92,6 @@ def gw_district_tier(spark, sf_dir):
 
 def anomalies(spark, sf_dir) -> DataFrame:
     """Level less the unit's mean of the cycle, where at least four years have one."""
-    from pyspark.sql import Window as W
-
     w = W.partitionBy("unit", "cycle")
     c = cycles(spark, sf_dir).withColumn("clim", F.when(F.count("level").over(w) >= 4, F.avg("level").over(w)))
     return c.where("clim IS NOT NULL").withColumn("a", F.col("level") - F.col("clim"))

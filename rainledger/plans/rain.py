@@ -81,8 +81,8 @@ def rain_rolling_nmonth(spark, sf_dir):
 
 
 def dry_spells(spark, sf_dir) -> DataFrame:
-    """(district, dry_weeks): the longest run of dry weeks among weeks 5 to 29 of 2001. A week counts if its normal is half the mean normal at least, and is dry below half its normal."""
-    n = weekly_normals(spark, sf_dir).where(F.col("week").between(5, 29)).withColumn("mean_n", F.avg("normal").over(W.partitionBy("district")))
+    """(district, dry_weeks): the longest run of dry weeks among weeks 5 to 29 of 2001. A week counts if its normal is half the mean normal at least, and is dry below half its normal; districts without a positive mean normal are left out."""
+    n = weekly_normals(spark, sf_dir).where(F.col("week").between(5, 29)).withColumn("mean_n", F.avg("normal").over(W.partitionBy("district"))).where("mean_n > 0")
     a = weekly(spark, sf_dir).where("year = 2001").select("district", "week", "mm")
     j = n.join(a, ["district", "week"], "left")
     j = j.withColumn("dry", F.coalesce((F.col("normal") >= 0.5 * F.col("mean_n")) & (F.col("mm") < 0.5 * F.col("normal")), F.lit(False)))

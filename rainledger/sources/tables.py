@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +33,17 @@ def rasters(spark: SparkSession, path: str, cells: int, missing_below: float = -
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(decode, "file string, day int, cell int, value double")
 
 
-def readings(spark: SparkSession, path: str, prefix: str = "Groundwater Level") -> DataFrame:
-    """(station, lat, lon, t, value) of CSV files whose value column is found by the start of its name; rows that don't parse go."""
+def readings(spark: SparkSession, path: str, *more: str, prefix: str = "Groundwater Level") -> DataFrame:
+    """(station, lat, lon, t, value) of CSV files whose value column is found by the start of its name; rows that don't parse go.
+
+    Each path has files of one header; different paths may name the value differently.
+    """
+    if more:
+        return reduce(DataFrame.unionByName, [readings(spark, p, prefix=prefix) for p in (path, *more)])
     raw = spark.read.option("header", True).csv(path)
-    value = next(c for c in raw.columns if c.startswith(prefix))
+    value = next((c for c in raw.columns if c.startswith(prefix)), None)
+    if value is None:
+        raise ValueError(f"{path}: no column starts with {prefix}")
     number = lambda c: finite(F.expr(f"try_cast(`{c}` AS double)"))
     out = raw.select(F.col("Station").alias("station"), number("Latitude").alias("lat"), number("Longitude").alias("lon"), F.expr("try_to_timestamp(`Data Acquisition Time`, 'dd-MM-yyyy HH:mm')").alias("t"), number(value).alias("value"))
     return out.dropna(subset=["lat", "lon", "t", "value"])

@@ -15,13 +15,32 @@ def windowed(stream: DataFrame, unit: str, when: str, value: str, window: str =
     return grouped.agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high")).select(F.col("w.start").alias("start"), "unit", "n", "total", "low", "high")
 
 
-def upsert(stream: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Keeps the last row of each key under path/<batch>; each batch writes a new version, so a repeated batch overwrites only its own."""
+def upsert(stream: DataFrame, path: str, keys: list[str], checkpoint: str, by: str | None = None) -> StreamingQuery:
+    """Keeps the last row of each key.
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    With `by`, a column that follows from the keys, the table lies in path by
+    its values, and a batch rewrites only those that it touches: it's merged
+    into a staged table first, so a batch that is repeated after a failure finds
+    either the old or the new rows and gives the same. Without, each batch
+    writes the whole table anew under path/<batch>, for small tables.
+    """
+
+    def whole(batch: DataFrame, batch_id: int) -> None:
         if batch_id:
-            batch = replace_by_key(spark.read.parquet(f"{path}/{batch_id - 1}"), batch, keys)
+            batch = replace_by_key(batch.sparkSession.read.parquet(f"{path}/{batch_id - 1}"), batch, keys)
         batch.write.mode("overwrite").parquet(f"{path}/{batch_id}")
 
-    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
+    def touched(batch: DataFrame, batch_id: int) -> None:
+        spark, staged = batch.sparkSession, f"{path}_staged"
+        batch.write.mode("overwrite").parquet(f"{staged}/fresh")
+        fresh = spark.read.schema(batch.schema).parquet(f"{staged}/fresh")
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        merged = fresh
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            old = spark.read.parquet(path).withColumn(by, F.col(by).cast(fresh.schema[by].dataType)).join(fresh.select(by).distinct(), by, "left_semi")
+            merged = replace_by_key(old.select(*fresh.columns), fresh, keys)
+        merged.write.mode("overwrite").parquet(f"{staged}/merged")
+        spark.read.schema(fresh.schema).parquet(f"{staged}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(touched if by else whole).trigger(availableNow=True).start()

@@ -1,5 +1,6 @@
 import math
 from datetime import date, datetime
+from statistics import NormalDist
 
 import numpy as np
 import pytest
@@ -128,3 +129,59 @@ def test_stream_upserts(spark, tmp_path):
     last = max((int(p.name) for p in (tmp_path / "out").iterdir()))
     got = {(r.unit, r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out/{last}").collect()}
     assert got == {(1, 2, 6.0), (2, 1, 1.0)}
+
+
+def test_spi_between_its_ends(spark):
+    """Against a maximum-likelihood fit by bisection and a distribution function by summing the density."""
+    dice = np.random.default_rng(8)
+    years = [0.0, 0.0] + [float(v) for v in dice.gamma(3, 40, 38)]
+    wet = np.array([v for v in years if v > 0])
+    slope = lambda a: (math.lgamma(a + 1e-5) - math.lgamma(a - 1e-5)) / 2e-5
+    low, high, want = 0.01, 100.0, math.log(wet.mean()) - np.log(wet).mean()
+    for _ in range(100):
+        a = (low + high) / 2
+        low, high = (a, high) if math.log(a) - slope(a) > want else (low, a)
+    values = [20.0, 80.0, 120.0, 300.0]
+    out = {}
+    for v in values:
+        x = (np.arange(200_000) + 0.5) * v / 200_000
+        density = np.exp((a - 1) * np.log(x) - x * a / wet.mean() - math.lgamma(a) - a * math.log(wet.mean() / a))
+        out[v] = NormalDist().inv_cdf(0.05 + 0.95 * density.sum() * v / 200_000)
+    base = spark.createDataFrame([("a", v) for v in years], "k string, v double")
+    got = {r.v: r.spi for r in spi.spi(spark.createDataFrame([("a", v) for v in values] + [("z", 1.0)], "k string, v double"), base, ["k"], "v").collect()}
+    assert got.pop(1.0) is None and got == pytest.approx(out, abs=1e-4)
+
+
+def test_ties_of_as_of_and_sources(spark, tmp_path):
+    left = spark.createDataFrame([("a", 5)], "k string, t int")
+    right = spark.createDataFrame([("a", 2, "x"), ("a", 2, "y"), ("a", 2, "w")], "k string, u int, name string")
+    assert series.as_of(left, right, "t", "u", ["k"], ["name"]).first().name == "y"
+    head = "Station,Latitude,Longitude,Data Acquisition Time,"
+    (tmp_path / "m.csv").write_text(head + "Groundwater Level (m)\nA,1,2,05-11-2023 06:00,3.5\n")
+    (tmp_path / "t.csv").write_text(head + "Groundwater Level Telemetry\nB,1,2,05-11-2023 06:00,4.5\n")
+    assert {(r.station, r.value) for r in T.readings(spark, str(tmp_path / "m.csv"), str(tmp_path / "t.csv")).collect()} == {("A", 3.5), ("B", 4.5)}
+    (tmp_path / "n.csv").write_text(head + "Depth\nB,1,2,05-11-2023 06:00,4.5\n")
+    with pytest.raises(ValueError, match="no column"):
+        T.readings(spark, str(tmp_path / "n.csv"))
+    T.write_json(spark.createDataFrame([(1, 2.0), (2, math.nan)], "k int, v double"), f"{tmp_path}/by", ["k"])
+    assert next((tmp_path / "by/k=2").glob("*.json")).read_text() == '{"v":null}\n'
+
+
+def test_stream_upserts_touch_few_parts_and_leave_late_rows(spark, tmp_path):
+    kind = "u int, t timestamp, v double"
+
+    def land(k, *rows):
+        spark.createDataFrame(list(rows), kind).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+
+    def run():
+        stream = spark.readStream.schema(kind).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        days = windowed(stream, "u", "t", "v", "1 day", "2 days").withColumn("day", F.to_date("start"))
+        upsert(days, f"{tmp_path}/out", ["start", "unit"], f"{tmp_path}/check", by="day").awaitTermination(90)
+        return {(str(r.day), r.unit, r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+
+    land("a", (1, datetime(2024, 1, 1, 3), 2.0), (1, datetime(2024, 1, 9), 4.0))
+    assert run() == {("2024-01-01", 1, 1, 2.0), ("2024-01-09", 1, 1, 4.0)}
+    before = {p.name for p in (tmp_path / "out/day=2024-01-01").iterdir()}
+    land("b", (2, datetime(2024, 1, 9, 5), 1.0), (1, datetime(2024, 1, 9, 6), 1.0), (1, datetime(2024, 1, 1, 5), 50.0))  # the last is beyond the watermark
+    assert run() == {("2024-01-01", 1, 1, 2.0), ("2024-01-09", 1, 2, 5.0), ("2024-01-09", 2, 1, 1.0)}
+    assert {p.name for p in (tmp_path / "out/day=2024-01-01").iterdir()} == before

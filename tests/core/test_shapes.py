@@ -113,3 +113,32 @@ def test_years_are_made_once_and_steps_fail_alone(spark, tmp_path):
     log, ok = I.in_steps({"a": lambda: None, "b": broken, "c": lambda: None}, {"a", "c"})
     assert [(x["step"], x["ok"]) for x in log] == [("a", True), ("b", False), ("c", True)] and ok and log[1]["error"] == "OSError: source"
     assert I.in_steps({"a": broken}, {"a"})[1] is False and I.in_steps({}, {"a"})[1] is False
+
+
+def test_crosswalk_in_order(spark):
+    from rainledger.operators.matching import crosswalk, fuzzy_match, nearest, with_codes
+
+    master = spark.createDataFrame([("Goa", "North Goa", 1), ("Goa", "South Goa", 2), ("Bihar", "Purnia", 3), ("Bihar", "Saran", 4), ("Bihar", "Saran Dist.", 5)], "state string, district string, code long")
+    names = spark.createDataFrame([("GOA", "NORTH GOA"), ("GOA", "NORTH GOA"), ("Bihar", "Purnea"), ("Bihar", "Saran"), ("Bihar", "Patna"), ("Kutch", "Bhuj"), ("GOA", "Panaji"), ("GOA", "New Place"), ("GOA", "Elsewhere"), ("GOA", "South-Goa"), (None, "x"), ("Bihar", None)], "state string, name string")
+    aliases = spark.createDataFrame([("GOA", "Panaji", "north goa")], "state string, name string, target string")
+    relations = spark.createDataFrame([("GOA", "New Place", "child_of", "South Goa"), ("GOA", "Elsewhere", "none", None), ("GOA", "South-Goa", "part_of", None)], "state string, name string, relation string, target string")
+    walked = crosswalk(names, master, aliases, relations)
+    got = {(r.state, r.name): (r.code, r.method, r.score, r.relation) for r in walked.collect()}
+    assert got == {
+        ("GOA", "NORTH GOA"): (1, "exact", 1.0, "one"), ("Bihar", "Purnea"): (None, "unmatched", None, "one"), ("Bihar", "Saran"): (None, "unmatched", None, "one"), ("Bihar", "Patna"): (None, "unmatched", None, "one"),
+        ("Kutch", "Bhuj"): (None, "unmatched_state", None, "one"), ("GOA", "Panaji"): (1, "alias", None, "one"), ("GOA", "New Place"): (2, "not_on_map", None, "child_of"), ("GOA", "Elsewhere"): (None, "left_out", None, "none"), ("GOA", "South-Goa"): (2, "exact", 1.0, "part_of"),
+    }
+    assert {r.code: r.score for r in crosswalk(names.where("name = 'Purnea'"), master, aliases, relations, 0.8).collect()} == {3: 0.833}
+    placed, lost = with_codes(names.withColumn("v", F.lit(1.0)), walked)
+    assert {r.code for r in placed.collect()} == {1} and ("GOA", "South-Goa") in {tuple(r) for r in lost.collect()}
+    import difflib
+
+    dice = np.random.default_rng(3)
+    words = sorted({"".join(dice.choice(list("abcde"), int(n))) for n in dice.integers(4, 12, 60)})
+    others = sorted({w[:k] + w[k + 1 :] for w, k in zip(words, dice.integers(0, 4, len(words)))})
+    as_frame = lambda x: spark.createDataFrame([("g", w) for w in x], "group string, name string")
+    ratio = {o: [(w, difflib.SequenceMatcher(None, o, w).ratio()) for w in words] for o in others}
+    want = {o: good[0] for o in others if len(good := [x for x in ratio[o] if x[1] >= 0.85]) == 1}
+    assert {r.name: (r.match, r.ratio) for r in fuzzy_match(as_frame(others), as_frame(words)).collect()} == want and len(want) > 10
+    scored = spark.createDataFrame([(1, 7, 0.1), (1, 8, 0.1), (2, 7, 0.05)], "l int, r int, s double")
+    assert {tuple(x) for x in nearest(scored, "l", "r", "s").collect()} == {(1, 7, 0.1), (2, 7, 0.05)}
