@@ -4,12 +4,12 @@ Each window of `length` bytes is keyed by the smallest hash of the short grams
 in it, so equal windows have equal keys, wherever they stand. Runs of windows
 with one key are segments. Segments whose key occurs once are no one's copy,
 unless they hold their own key twice. Segments whose key comes again and again
-with one content are copies throughout. What is
-left, one of each content, is dealt by key into shards; each shard is sorted
+with one content (equal in key and in a hash of all their bytes, 128 bits
+together) are copies throughout. What is left, one of each content, is dealt by key into shards; each shard is sorted
 into a suffix array (Larsson-Sadakane refinement), Kasai's common prefixes tell
 which windows it holds twice, and where a key has too many contents for one
 shard, its shards' windows are merged by binary search over ranges of their
-fingerprints. Text is removed from the input's own bytes, by exact comparison.
+fingerprints (128 bits). Text is removed from the input's own bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.llm.frames import per_batch, release, settled
+from rainledger.llm.frames import Scratch, per_batch, release
 
 #: Bytes of a gram; windows in a segment at most; bytes that are hashed at a time; bytes of a suffix array at most.
 GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 19
@@ -328,12 +328,17 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
         whose = pa.array(owner)
         return pa.RecordBatch.from_arrays([_longs(key), _longs(content), batch.column("k1").take(whose), batch.column("k2").take(whose), _longs((start << 9) + windows - 1), pa.array(twice)], ["h", "s", "k1", "k2", "place", "twice"])
 
+    scratch = Scratch(docs.sparkSession)
+    settled = scratch.settled
     found = settled(per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long, twice boolean"))
-    several = found.groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("h")
+    several = settled(found.groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("h"))
     shared = settled(found.drop("twice").join(several, "h", "left_semi"))
+    scratch.drop(found, several)
     pick = F.xxhash64("k1", "k2", "place")
-    each = shared.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(pick).alias("pick"))
-    state = settled(each.join(each.groupBy("h").agg(F.count("*").alias("kinds")), "h"))
+    each = settled(shared.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(pick).alias("pick")))
+    kinds = settled(each.groupBy("h").agg(F.count("*").alias("kinds")))
+    state = settled(each.join(kinds, "h"))
+    scratch.drop(each, kinds)
 
     # One of each content of the keys that have several, or have one that occurs once, with its bytes.
     wanted = shared.join(state.where("kinds > 1 or n = 1"), ["h", "s"]).where(pick == F.col("pick"))
@@ -365,7 +370,8 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
         partly = partly.join(merged(shards), ["h", "s"], "left").withColumn("marks", F.when(F.col("places").isNull(), F.col("marks")).otherwise(bits("marks", "places"))).drop("places")
     empty = F.regexp_replace(F.hex("marks"), "0", "") == ""
     marks = state.where("kinds = 1 and n > 1").select("h", "s", F.lit(None).cast("binary").alias("marks")).unionByName(partly.where(~empty))
-    lists = shared.join(marks, ["h", "s"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "marks")).alias("marks"))
+    lists = settled(shared.join(marks, ["h", "s"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "marks")).alias("marks")))
+    scratch.keep(lists)
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         expand = zstandard.ZstdDecompressor().decompress
