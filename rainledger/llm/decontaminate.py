@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Windows of the benchmark that are broadcast at most (16 bytes and the slots each); beyond that the join is shuffled.
-BROADCAST_WINDOWS = 2_000_000
+from rainledger.llm.frames import settled
+
+#: Bytes of the benchmark's windows (with their slots) that are broadcast at most; beyond that the joins are shuffled.
+BROADCAST_BYTES = 64 << 20
 #: Words that are units where they follow a number.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound pounds ml l litre litres liter liters gallon gallons "
@@ -23,10 +25,11 @@ UNITS = (
 WORD = r"(?:[\p{N}]+(?:[.,][\p{N}]+)*|[\p{L}][\p{L}\p{M}]*)"
 #: A word with the end of a sentence before it, if there's one.
 HEADED = r"(?:[.!?:\n\r][^\p{L}\p{N}]*)?" + WORD
-#: What a text needs to have a number or a name in it.
+#: The same, with the sentence's end and what the word starts with as groups: a number's first character, or a capital and a small letter.
+MARKED = r"((?:[.!?:\n\r][^\p{L}\p{N}]*)?)(?=(\p{N}|\p{Lu}\p{Ll}|))" + WORD
+#: What a text needs to have a number or a name in it; to have a word with a capital.
 SLOTTED = r"[\p{N}]|[\p{L},;][ \t]+\p{Lu}\p{Ll}"
-#: A capitalised word, at the start of a sentence too.
-CAPITAL = r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}"
+CAPITAL = r"\p{Lu}\p{Ll}"
 
 
 KIND = "array<struct<pos:int,h:bigint,slots:array<string>,wide:boolean>>"
@@ -36,29 +39,40 @@ def _at(words: Column, i: Column) -> Column:
     return F.get(words, i)
 
 
-def with_words(rows: DataFrame) -> DataFrame:
-    """Adds words (lower case), template (words with placeholders) and capitals (capitalised words at the start of the text or a sentence are placeholders too) from the column text; null where they're the same."""
+def with_marks(rows: DataFrame) -> DataFrame:
+    """Adds words (lower case), slotted, and marks and heads: for each word its first number character, or capital and small letter, and the sentence's end before it. They are null for texts without numbers and capitals."""
     slotted = F.col("text").rlike(SLOTTED)
-    rows = rows.withColumn("parts", F.when(slotted | F.col("text").rlike(r"\p{Lu}\p{Ll}"), F.regexp_extract_all("text", F.lit(HEADED), F.lit(0))))
-    rows = rows.withColumn("raw", F.when(slotted, F.col("parts"))).withColumn(
-        "words",
-        F.when(F.col("raw").isNotNull(), F.transform("raw", lambda r: F.lower(F.regexp_extract(r, WORD + "$", 0)))).otherwise(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))),
-    )
-    number = lambda w: F.coalesce(w.rlike(r"^\p{N}"), F.lit(False))
+    rows = rows.withColumn("slotted", slotted).withColumn("marks", F.when(F.col("slotted") | F.col("text").rlike(CAPITAL), F.regexp_extract_all("text", F.lit(MARKED), F.lit(2))))
+    rows = rows.withColumn("heads", F.when(F.col("slotted") & F.col("marks").isNotNull(), F.regexp_extract_all("text", F.lit(MARKED), F.lit(1))))
+    rows = rows.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    # Where lower case has other words than the text (odd letters), each word is lowered by itself.
+    apart = F.transform(F.regexp_extract_all("text", F.lit(HEADED), F.lit(0)), lambda r: F.lower(F.regexp_extract(r, WORD + "$", 0)))
+    return rows.withColumn("words", F.when(F.size("marks") != F.size("words"), apart).otherwise(F.col("words")))
 
-    def placed(w: Column, i: Column) -> Column:
-        before = _at(F.col("words"), i - 1)
-        named = (i > 0) & _at(F.col("raw"), i).rlike(r"^\p{Lu}\p{Ll}")
-        return F.when(number(w), "#num").when((i > 0) & number(before) & w.isin(UNITS), "#unit").when(named, "#name").otherwise(w)
 
-    rows = rows.withColumn("template", F.when(F.col("raw").isNotNull(), F.transform("words", placed)))
-    named = F.transform(F.coalesce("template", "words"), lambda t, i: F.when(~t.startswith("#") & _at(F.col("parts"), i).rlike(CAPITAL), "#name").otherwise(t))
-    return rows.withColumn("capitals", F.when(F.size("parts") == F.size("words"), named)).drop("raw", "parts")
+def _placed(w: Column, i: Column) -> Column:
+    """The placeholder of a word, or the word."""
+    number = lambda k: F.length(_at(F.col("marks"), k)) == 1
+    named = (i > 0) & (F.length(_at(F.col("marks"), i)) == 2) & (_at(F.col("heads"), i) == "")
+    return F.when(number(i), "#num").when((i > 0) & number(i - 1) & w.isin(UNITS), "#unit").when(named, "#name").otherwise(w)
 
 
-def _hashes(rows: DataFrame, source: str, width: int) -> DataFrame:
-    """Turns the array of words in a column into one of the hashes of its windows of width words, a power of two, by doubling."""
-    out = rows.withColumn(source, F.transform(source, lambda w: F.xxhash64(w)))
+def _capital(t: Column, i: Column) -> Column:
+    """A placeholder for a word with a capital at the start of the text or a sentence, too."""
+    return F.when((F.length(_at(F.col("marks"), i)) == 2) & ~t.startswith("#"), "#name").otherwise(t)
+
+
+def with_words(rows: DataFrame) -> DataFrame:
+    """Adds words (lower case), template (words with placeholders) and capitals (capitalised words at the start of the text or a sentence are placeholders too) from the column text; null where they're the same."""
+    rows = with_marks(rows)
+    rows = rows.withColumn("template", F.when(F.col("slotted"), F.transform("words", _placed)))
+    named = F.when(F.col("slotted"), F.transform("template", _capital)).otherwise(F.transform("words", _capital))
+    return rows.withColumn("capitals", F.when(F.col("marks").isNotNull(), named)).drop("marks", "heads", "slotted")
+
+
+def _hashes(rows: DataFrame, source: str, width: int, hashed: bool = False) -> DataFrame:
+    """Turns the array of words (or of their hashes) in a column into one of the hashes of its windows of width words, a power of two, by doubling."""
+    out = rows if hashed else rows.withColumn(source, F.transform(source, lambda w: F.xxhash64(w)))
     step = 1
     while step < width:
         x = F.col(source)
@@ -98,6 +112,20 @@ def windows(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     return both.select(*keys, F.explode(found).alias("w")).select(*keys, "w.*")
 
 
+def window_hashes(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """keys, pos and h of each window as in windows, without slots: all that tells which texts may hold an item. A window may come more than once."""
+    rows = with_marks(rows)
+    hashed = lambda f: F.transform("words", lambda w, i: F.xxhash64(f(w, i)))
+    both = rows.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w))).withColumn("h2", F.when(F.col("slotted"), hashed(_placed)))
+    named = F.when(F.col("slotted"), hashed(lambda w, i: _capital(_placed(w, i), i))).otherwise(hashed(_capital))
+    both = both.withColumn("h3", F.when(F.col("marks").isNotNull(), named)).select(*keys, "h1", "h2", "h3")
+    for source in ("h1", "h2", "h3"):
+        both = _hashes(both, source, width, hashed=True)
+    none = F.array().cast("array<bigint>")
+    every = F.concat("h1", F.coalesce("h2", none), F.coalesce("h3", none))
+    return both.select(*keys, F.size("h1").alias("n"), F.posexplode(every).alias("p", "h")).select(*keys, (F.col("p") % F.col("n")).alias("pos"), "h")
+
+
 def short_windows(rows: DataFrame, keys: list[str], sizes: list[int], whole: bool = False) -> DataFrame:
     """The windows of these numbers of words, as in windows; with whole, those of texts of that many words only. Windows of nothing but slots say nothing and are left out."""
     found = with_words(rows)
@@ -112,7 +140,7 @@ def short_windows(rows: DataFrame, keys: list[str], sizes: list[int], whole: boo
     return found.select(*keys, F.explode(every).alias("w")).select(*keys, "w.pos", "w.h", "w.slots", F.lit(True).alias("wide"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 6, most_broadcast: int = BROADCAST_WINDOWS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 6, most_broadcast: int = BROADCAST_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row a document and benchmark item that it holds: doc_id, text_key, item_id, n_windows, coverage, n_slots, exact.
 
     A document holds an item if `least` windows of `width` words (all of them,
@@ -126,21 +154,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 6,
     text; repeated rows of documents or of items count once, null ids are kept
     as ids, and null or empty texts have no windows and match nothing.
     Ties between diagonals fall to the smaller one. Other columns aren't read.
-    The items are broadcast if their windows, counted first, are at most
-    most_broadcast; else the join is shuffled.
+    First all windows are met by their hashes alone; only texts of which enough
+    meet on a diagonal are read again, with their slots. The items are broadcast
+    if their windows, counted with their bytes first, take at most most_broadcast
+    bytes; else the joins are shuffled.
     """
     asked = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null").distinct()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null").withColumn("text_key", F.xxhash64("text"))
     sizes = sorted(r.n for r in with_words(asked).select(F.size("words").alias("n")).where(F.col("n").between(1, width - 1)).distinct().collect())
-    items, found = windows(asked, ["item_id"], width), windows(rows, ["doc_id", "text_key"], width)
+    items = windows(asked, ["item_id"], width)
     if sizes:
         items = items.unionByName(short_windows(asked, ["item_id"], sizes, whole=True))
-        found = found.unionByName(short_windows(rows, ["doc_id", "text_key"], sizes))
     items = items.distinct()
     totals = items.groupBy(F.col("item_id").alias("of")).agg(F.countDistinct("pos").alias("total"))
     items = items.join(totals, F.col("item_id").eqNullSafe(F.col("of"))).select("item_id", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), F.col("wide").alias("item_wide"), "total")
-    if items.count() <= most_broadcast:
-        items = F.broadcast(items)
+    each = F.lit(64) + F.coalesce(F.aggregate("item_slots", F.lit(0), lambda n, x: n + F.octet_length(x) + 16), F.lit(0)) + F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    near = F.broadcast if (items.agg(F.sum(each)).first()[0] or 0) <= most_broadcast else lambda df: df
+    items, keys = near(items), ["doc_id", "text_key"]
+    first = window_hashes(rows, keys, width)
+    if sizes:
+        first = first.unionByName(short_windows(rows, keys, sizes).select(*keys, "pos", "h"))
+    places = near(items.groupBy("item_id", "item_pos", "h").agg(F.max("total").alias("total")))
+    many = first.join(places, "h").groupBy(*keys, "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.countDistinct("item_pos").alias("n"), F.max("total").alias("total"))
+    may = many.where(F.col("n") >= F.least(F.lit(least), F.col("total"))).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    may = settled(may)
+    rows = rows.join(may, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi")
+    found = windows(rows, keys, width)
+    if sizes:
+        found = found.unionByName(short_windows(rows, keys, sizes))
     met = found.join(items, "h")
     met = met.where(F.coalesce(F.size("slots"), F.lit(-1)) == F.coalesce(F.size("item_slots"), F.lit(-1)))
     same, narrow = F.col("slots").eqNullSafe(F.col("item_slots")), ~F.col("wide") & ~F.col("item_wide")
