@@ -2,27 +2,30 @@
 
 The pages of a host are merged into one tree of style nodes (paths of block
 elements with their classes). A node's importance is the normalised entropy,
-over the host's pages, of what stands below it and of how its children are laid
-out: a branch that looks alike on page after page has low importance and is
-taken off every page. Elements that say what they are (navigation, forms,
-adverts, comments and the like) go by their names.
+over the host's different pages, of what stands below it and of how its
+children are laid out: a branch that looks alike on page after page has low
+importance and is taken off every page. Names of elements, roles and classes are
+a prior for what differs from page to page and yet is no article (comments,
+lists of related pages), and for hosts of which there is one page only.
+
+Pages are read by hand in one pass: time is in proportion to a page's length,
+whatever its nesting, unclosed tags or cut-off ends.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
+from collections import defaultdict
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.llm.frames import per_batch
+from rainledger.llm.frames import Scratch, per_batch
 
-_token = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*?)>|[^<]+|<", re.S)
-_attribute = re.compile(r"(?:^|[\s/\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_name = re.compile(r"[a-z]+")
 #: Elements that stand inside a line; they neither end a block nor are style nodes.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br del".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,179 +42,291 @@ APART_WORDS = frozenset(
     "footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations "
     "comment comments commentlist reply replies disqus respond login search form toolbar pager pagination".split()
 )
+#: Words that may stand beside those in a class without changing what it means; a class with any other word says something else.
+BESIDE = frozenset("box bar block list area section container wrapper wrap inner outer main site page top bottom left right posts post articles links link buttons button items item icons icon group row col column content header title text slot unit thread media global primary secondary mobile desktop bg dark light".split())
 HEADERS = frozenset("header masthead topbar".split())
 CONTENT = frozenset("article main".split())
+#: Elements of running text: their class never sets them apart.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table figure figcaption dl dt dd td th tr li".split())
+
+_tag_name = re.compile(r"[a-zA-Z][^\s/>]*")
+_next = re.compile(r"[>=]")
+_space = re.compile(r"\s*")
+_bare = re.compile(r"[^\s>]*")
+_last_word = re.compile(r"[^\s/\"']*$")
+_raw_end = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
+
 
+def said_apart(value: str, words: frozenset[str]) -> bool:
+    """Whether a class or id names a thing of these words: one of its parts by white space has such a word, and else only words that may stand beside it."""
+    for token in value.split():
+        parts = [p for p in re.split(r"[^a-z]+", token) if p]
+        if any(p in words for p in parts) and all(p in words or p in BESIDE for p in parts):
+            return True
+    return False
 
-def blocks(page: str) -> tuple[list[tuple[tuple[str, ...], str, bool]], dict[tuple[str, ...], list[str]]]:
-    """(path, text, apart) of each block of text in page order, and the children of each path.
 
-    apart: some element on the path says that it isn't the article.
+class Page:
+    """A page's style nodes and blocks of text.
+
+    nodes: parent, name, key (a hash of the path) and whether article or main is
+    on it, parents first; node 0 is the page. blocks: node, text, apart (by
+    names) in page order. layout: the children of each node.
     """
-    stack: list[tuple[str, str, bool]] = []  # tag, name, apart
-    path: tuple[str, ...] = ()
-    found: list[tuple[tuple[str, ...], str, bool]] = []
-    below: dict[tuple[str, ...], list[str]] = {}
-    words: list[str] = []
-    raw = None
-
-    def flush() -> None:
-        if words:
-            text = " ".join(entities.unescape("".join(words)).split())
-            words.clear()
+
+    def __init__(self, page: str):
+        self.parent, self.name, self.key, self.content = [-1], [""], [xxhash.xxh3_64_intdigest("")], [False]
+        self.blocks: list[tuple[int, str, bool]] = []
+        self.layout: dict[int, list[str]] = defaultdict(list)
+        self._at: dict[tuple[int, str], int] = {}
+        self._stack: list[tuple[str, int, bool]] = []  # tag, node, apart
+        self._open: dict[str, list[int]] = defaultdict(list)  # tag -> places in the stack
+        self._bounds: list[int] = []
+        self._words: list[str] = []
+        self._read(page)
+
+    def _top(self) -> tuple[str, int, bool]:
+        return self._stack[-1] if self._stack else ("", 0, False)
+
+    def _flush(self) -> None:
+        if self._words:
+            text = " ".join(entities.unescape("".join(self._words)).split())
+            self._words.clear()
             if text:
-                found.append((path, text, bool(stack) and stack[-1][2]))
-
-    def pop(n: int) -> None:
-        nonlocal path
-        del stack[n:]
-        path = path[:n]
-
-    at, size = 0, len(page)
-    match = _token.match
-    while at < size:
-        m = match(page, at)
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            piece = m.group()
-            if piece[0] != "<" or len(piece) == 1:
-                words.append(piece)
-            continue
-        tag = tag.lower()
-        if m.group(1):
+                _, node, apart = self._top()
+                self.blocks.append((node, text, apart))
+
+    def _pop(self, n: int) -> None:
+        while len(self._stack) > n:
+            self._open[self._stack.pop()[0]].pop()
+        while self._bounds and self._bounds[-1] >= n:
+            self._bounds.pop()
+
+    def _child(self, node: int, name: str, content: bool) -> int:
+        if (at := self._at.get((node, name))) is None:
+            at = self._at[node, name] = len(self.parent)
+            self.parent.append(node)
+            self.name.append(name)
+            self.key.append(xxhash.xxh3_64_intdigest(self.key[node].to_bytes(8, "little") + name.encode()))
+            self.content.append(content)
+        return at
+
+    def _starts(self, tag: str, named: dict[str, str]) -> None:
+        self._flush()
+        if tag in VOID:
+            return
+        ends = CLOSES.get(tag, ()) if tag in CLOSES else ("p",)
+        bound = self._bounds[-1] if self._bounds else -1
+        above = [places[k] for t in ends if (places := self._open[t]) and (k := bisect_right(places, bound)) < len(places)]
+        if above:
+            self._pop(min(above))
+        _, node, apart = self._top()
+        kind = sorted(re.findall(r"[a-z]+", named.get("class", "")))
+        inside = self.content[node]
+        if not apart and tag not in ("body", "html"):
+            whole = tag in CONTENT
+            by_class = not whole and tag not in TEXT and any(said_apart(named.get(a, ""), APART_WORDS) for a in ("class", "id"))
+            head = not inside and (tag in HEADERS or (not whole and tag not in TEXT and any(said_apart(named.get(a, ""), HEADERS) for a in ("class", "id"))))
+            apart = tag in APART or named.get("role", "").strip() in APART_ROLES or by_class or head
+        name = ".".join([tag, *kind])
+        self.layout[node].append(name)
+        self._open[tag].append(len(self._stack))
+        if tag in BOUNDS:
+            self._bounds.append(len(self._stack))
+        self._stack.append((tag, self._child(node, name, inside or tag in CONTENT), apart))
+
+    def _ends(self, tag: str) -> None:
+        if self._open[tag]:
+            self._flush()
+            self._pop(self._open[tag][-1])
+        else:
+            self._flush()
+
+    def _read(self, page: str) -> None:
+        at, size = 0, len(page)
+        while at < size:
+            lt = page.find("<", at)
+            if lt < 0:
+                lt = size
+            if lt > at:
+                self._words.append(page[at:lt])
+            if lt == size:
+                break
+            following = page[lt + 1 : lt + 2]
+            if following in ("!", "?"):
+                if page.startswith("<!--", lt):
+                    close = min((k for k in (page.find("-->", lt + 2), page.find("--!>", lt + 4)) if k >= 0), default=-1)
+                    at = size if close < 0 else page.find(">", close) + 1
+                else:
+                    close = page.find(">", lt)
+                    at = size if close < 0 else close + 1
+                continue
+            ending = following == "/"
+            m = _tag_name.match(page, lt + 1 + ending)
+            if not m:
+                self._words.append("<")
+                at = lt + 1
+                continue
+            tag, at = m.group().lower(), m.end()
+            named: dict[str, str] = {}
+            while at < size:  # attributes; a tag that the page's end cuts off is none
+                sign = _next.search(page, at)
+                if not sign:
+                    at, tag = size, ""
+                    break
+                if sign.group() == ">":
+                    at = sign.end()
+                    break
+                word = _last_word.search(page[max(at, sign.start() - 64) : sign.start()].rstrip()).group().lower()
+                at = _space.match(page, sign.end()).end()
+                quote = page[at : at + 1]
+                if quote in ('"', "'") and quote:
+                    close = page.find(quote, at + 1)
+                    if close < 0:
+                        at, tag = size, ""
+                        break
+                    value, at = page[at + 1 : close], close + 1
+                else:
+                    bare = _bare.match(page, at)
+                    value, at = bare.group(), bare.end()
+                if word in ("class", "id", "role"):
+                    named.setdefault(word, value.lower())
+            else:
+                tag = ""
+            if not tag:
+                break
             if tag in INLINE:
                 if tag == "br":
-                    words.append(" ")
-                continue
-            k = len(stack) - 1
-            while k >= 0 and stack[k][0] != tag:
-                k -= 1
-            flush()
-            if k >= 0:
-                pop(k)
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
-            continue
-        if tag in INLINE:
-            if tag == "br":
-                words.append(" ")
-            continue
-        flush()
-        if tag in VOID:
-            continue
-        ends = CLOSES.get(tag, ("p",) if stack and stack[-1][0] == "p" else ())
-        if tag not in CLOSES and any(t == "p" for t, _, _ in stack):
-            ends = ("p",)
-        k = len(stack) - 1
-        while ends and k >= 0 and stack[k][0] not in BOUNDS:
-            if stack[k][0] in ends:
-                pop(k)
-            k -= 1
-        kind, said = [tag], set()
-        if m.group(3):
-            for a in _attribute.finditer(m.group(3)):
-                value = (a.group(2) or a.group(3) or a.group(4) or "").lower()
-                if a.group(1).lower() == "role":
-                    if value.strip() in APART_ROLES:
-                        said.add("role")
-                    continue
-                names = _name.findall(value)
-                said.update(names)
-                if a.group(1).lower() == "class":
-                    kind += sorted(names)
-        inside = any(t in CONTENT for t, _, _ in stack)
-        apart = bool(stack and stack[-1][2]) or tag in APART or "role" in said or (tag not in CONTENT | {"body", "html"} and bool(said & APART_WORDS))
-        apart = apart or (not inside and (tag in HEADERS or (tag not in CONTENT | {"body", "html"} and bool(said & HEADERS))))
-        name = ".".join(kind)
-        below.setdefault(path, []).append(name)
-        stack.append((tag, name, apart))
-        path = (*path, name)
-    flush()
-    return found, below
-
-
-def styles(page: str) -> dict[str, tuple[int, int]]:
-    """path -> hashes of what stands below it and of how its children are laid out (runs of like children count once)."""
-    found, below = blocks(page)
-    content: dict[tuple[str, ...], list[str]] = {}
-    for path, text, _ in found:
-        for k in range(1, len(path) + 1):
-            content.setdefault(path[:k], []).append(text)
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    out = {}
-    for path, texts in content.items():
-        children = below.get(path, [])
-        layout = [x for x, y in zip(children, ["", *children]) if x != y]
-        out["/".join(path)] = (signed(xxhash.xxh3_64_intdigest("\n".join(texts))), signed(xxhash.xxh3_64_intdigest("\n".join(layout))))
-    return out
-
-
-def importance(pages: DataFrame, content_weight: float = 0.9, copies_once: bool = False) -> DataFrame:
-    """(host, path, m, importance) over pages (host, html): entropies to the base of the number m of pages that have the node; with copies_once, of different pages."""
+                    self._words.append(" ")
+            elif ending:
+                self._ends(tag)
+            elif tag in RAW:
+                end = _raw_end[tag].search(page, at)
+                close = page.find(">", end.end()) if end else -1
+                at = size if close < 0 else close + 1
+            else:
+                self._starts(tag, named)
+        self._flush()
+
+    def styles(self) -> list[tuple[int, int, int, bool]]:
+        """(key, content, layout, within an article) of each node with text below it: hashes of the texts (in any order) and of how its children are laid out (runs of like children count once)."""
+        total, many = [0] * len(self.parent), [0] * len(self.parent)
+        for node, text, _ in self.blocks:
+            total[node] += xxhash.xxh3_64_intdigest(text)
+            many[node] += 1
+        for node in range(len(self.parent) - 1, 0, -1):
+            total[self.parent[node]] += total[node]
+            many[self.parent[node]] += many[node]
+        out = []
+        for node in range(1, len(self.parent)):
+            if many[node]:
+                row = self.layout.get(node, [])
+                runs = "\n".join(x for x, y in zip(row, ["", *row]) if x != y)
+                out.append((_signed(self.key[node]), _signed((total[node] + many[node]) & _ALL), _signed(xxhash.xxh3_64_intdigest(runs)), self.content[node]))
+        return out
+
+    def kept(self, low: set[int], by_names: bool = True) -> list[str]:
+        """Texts of the blocks that are neither apart nor at or below a node whose key is low."""
+        gone = [False] * len(self.parent)
+        for node in range(1, len(self.parent)):
+            gone[node] = gone[self.parent[node]] or (not self.content[node] and _signed(self.key[node]) in low)
+        return [text for node, text, apart in self.blocks if not gone[node] and not (apart and by_names)]
+
+
+_ALL = (1 << 64) - 1
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+#: Weight of a node's content in its importance, beside its layout; on how many of a host's different pages the same content stands, on average, below a node that isn't important.
+CONTENT_WEIGHT, REPEATS = 0.9, 2.0
+
+
+def importance(pages: DataFrame, content_weight: float = CONTENT_WEIGHT) -> DataFrame:
+    """(host, path, m, importance) over pages (host, html): entropies to the base of the number m of different pages that have the node. path is a hash; nodes of one page alone, and those in article or main, are left out."""
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             copy = xxhash.xxh3_128_digest(page or "")
-            rows += [(host, path, copy, *both) for path, both in styles(page or "").items()]
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+            rows += [(host, path, copy, content, layout) for path, content, layout, within in Page(page or "").styles() if not within]
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["host", "path", "copy", "content", "layout"])
 
-    nodes = per_batch(pages, spread, "host string, path string, copy binary, content long, layout long")
-    nodes = nodes.distinct() if copies_once else nodes
+    nodes = per_batch(pages, spread, "host string, path long, copy binary, content long, layout long").distinct()
     both = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in enumerate(("content", "layout")))))
     seen = nodes.select("host", "path", both.alias("x")).groupBy("host", "path", "x.kind", "x.value").agg(F.count("*").alias("n"))
     n = F.col("n").cast("double")
     sums = seen.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(n * F.log(n)).alias("s"))
     m = F.col("m").cast("double")
-    entropy = F.when(F.col("m") > 1, (F.log(m) - F.col("s") / m) / F.log(m)).otherwise(1.0)
+    entropy = (F.log(m) - F.col("s") / m) / F.log(m)
     weight = F.when(F.col("kind") == 0, content_weight).otherwise(1 - content_weight)
-    return sums.groupBy("host", "path").agg(F.max("m").alias("m"), F.sum(weight * entropy).alias("importance"))
+    return sums.where("m > 1").groupBy("host", "path").agg(F.max("m").alias("m"), F.sum(weight * entropy).alias("importance"))
+
+
+def unimportant(nodes: DataFrame, repeats: float = REPEATS, content_weight: float = CONTENT_WEIGHT) -> DataFrame:
+    """(host, low): hashes of the paths of each host that aren't important.
+
+    The threshold depends on the number m of pages: it's the importance of a
+    node of one layout whose contents stand on `repeats` pages each,
+    content_weight * (1 - ln repeats / ln m). What stands on all of them has 0.
+    """
+    threshold = content_weight * (1 - F.log(F.lit(repeats)) / F.log(F.col("m").cast("double")))
+    return nodes.where(F.col("importance") <= threshold + 1e-9).groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
+
 
+def _with_host(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    return pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
 
-def unimportant(nodes: DataFrame, least_pages: int, threshold: float) -> DataFrame:
-    """(host, low): the paths of each host whose importance is under threshold times its best node's; nodes on under least_pages pages stay, and so do article, main and all below them."""
-    best = F.max(F.when(F.col("m") >= least_pages, F.col("importance"))).over(_by_host())
-    low = nodes.where(F.col("m") >= least_pages).withColumn("best", best).where(F.col("importance") < threshold * F.col("best"))
-    low = low.where(~F.col("path").rlike(rf"(^|/)({'|'.join(sorted(CONTENT))})([./]|$)"))
-    return low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
 
+#: Low paths (8 bytes each) and hosts that are broadcast at most; beyond, the pages are joined by host, and Spark splits large hosts.
+BROADCAST_PATHS = 1_000_000
 
-def _by_host():
-    from pyspark.sql import Window
 
-    return Window.partitionBy("host")
+def _low(rows: DataFrame, repeats: float) -> DataFrame:
+    low = Scratch(rows.sparkSession).settled(unimportant(importance(rows.select("host", "html")), repeats))
+    size = low.agg(F.sum(F.size("low") + 4)).first()[0] or 0
+    return F.broadcast(low) if size <= BROADCAST_PATHS else low
 
 
-def main_text(pages: DataFrame, least_pages: int = 8, threshold: float = 0.3, salts: int = 16, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_text(pages: DataFrame, repeats: float = REPEATS, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of each row of pages.
 
     Blocks are joined by an empty line; white space inside a block is one
     space. A null html or a page without an article gives an empty text; pages
     with a null or odd url share the host ''. Copies of a page count as one page
-    of the style tree, and the tree takes nothing out of article or main. Repeated rows stay, null ids too; other columns
-    aren't read; an empty table gives no rows. What grows with a host are
-    counts only: its nodes are summed before they meet, and its pages are dealt
-    over `salts` parts for the join with its tree.
+    of the style tree, which judges a node from two different pages on and takes
+    nothing out of article or main. Repeated rows stay, null ids too; other
+    columns aren't read; an empty table gives no rows. A tag that the page's end
+    cuts off, and what an unclosed quote swallows, is no text.
     """
     kind = pages.schema[id_col].dataType.simpleString()
-    host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-    low = unimportant(importance(rows.select("host", "html"), copies_once=True), least_pages, threshold)
-    low = low.select("host", "low", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    salt = F.pmod(F.xxhash64("id", "url"), F.lit(salts)).cast("int")
-    joined = rows.withColumn("salt", salt).join(low, ["host", "salt"], "left").select("id", "url", "html", "low")
+    rows = _with_host(pages, id_col, url_col, html_col)
+    joined = rows.join(_low(rows, repeats), "host", "left").select("id", "url", "html", "low")
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = []
-        for page, gone in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist()):
-            cut = {tuple(x.split("/")) for x in gone or ()}
-            kept = [text for path, text, apart in blocks(page or "")[0] if not apart and not (cut and any(path[:k] in cut for k in range(1, len(path) + 1)))]
-            texts.append("\n\n".join(kept))
+        texts = ["\n\n".join(Page(page or "").kept(set(gone or ()))) for page, gone in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist())]
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return per_batch(joined, extract, f"page_id {kind}, url string, text string, n_chars long")
+
+
+def removals(pages: DataFrame, repeats: float = REPEATS, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(by_tree, by_names, by_both, kept): how many blocks of all pages the style tree alone takes out, the names alone, both, and how many stay."""
+    rows = _with_host(pages, id_col, url_col, html_col)
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for page, gone in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist()):
+            x, low = Page(page or ""), set(gone or ())
+            tree, names, either = len(x.kept(low, False)), len(x.kept(set())), len(x.kept(low))
+            found.append((names - either, tree - either, len(x.blocks) - tree - names + either, either))
+        columns = zip(*found) if found else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["by_tree", "by_names", "by_both", "kept"])
+
+    counted = per_batch(rows.join(_low(rows, repeats), "host", "left").select("html", "low"), count, "by_tree long, by_names long, by_both long, kept long")
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted.columns])

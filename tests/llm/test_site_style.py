@@ -1,4 +1,8 @@
-from rainledger.llm.site_style import blocks, importance, main_text, unimportant
+import math
+import time
+from collections import Counter, defaultdict
+
+from rainledger.llm.site_style import Page, importance, main_text, removals, said_apart, unimportant, APART_WORDS
 
 PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style></head><body class="menu-open"><nav><ul><li><a href="/">Home</a></ul></nav>
 <header><h2>Site</h2></header><div class="ad">Buy</div><div class=cookie-notice>Cookies</div><script>var a="<p>x</p>";</script>
@@ -8,7 +12,7 @@ PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style></head><
 
 
 def kept(page):
-    return [t for _, t, apart in blocks(page)[0] if not apart]
+    return Page(page).kept(set())
 
 
 def test_blocks():
@@ -29,18 +33,81 @@ def test_style_tree_drops_what_each_page_has(spark):
     assert len(main_text(df).collect()) == len(rows)
     assert got[(3, "https://H.example/3")].text == "A & B 3\n\nOne two bold3\n\nThree <4 a < b\n\nx3\n\ny"
     assert got[(150, "https://h.example/copy")].text.startswith("A & B same")
-    assert got[(500, "http://few.example/")].text.startswith("Same old teaser")
+    assert got[(500, "http://few.example/")].text.startswith("Same old teaser")  # of one page alone, nothing is known but names
     assert got[(None, None)].text == "" and got[(7, "odd url")].text == "kept"
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert main_text(df.limit(0)).collect() == []
 
 
 def test_importance_is_entropy(spark):
-    pages = [("h", f"<div class=x>{i % 4}</div><div class=y>same</div>") for i in range(16)]
+    pages = [("h", f"<div class=x>{i % 4}</div><div class=y>same</div><div class=z>{i}</div>") for i in range(16)]
     nodes = importance(spark.createDataFrame(pages, "host string, html string"))
+    key = {x.name[i]: x.key[i] - (1 << 64) * (x.key[i] >> 63) for x in [Page(pages[0][1])] for i in range(len(x.name))}
     by = {r.path: r for r in nodes.collect()}
-    assert abs(by["div.x"].importance - 0.9 * 0.5) < 1e-9 and by["div.y"].importance < 1e-9 and by["div.x"].m == 16
-    assert [(r.host, r.low) for r in unimportant(nodes, 8, 0.3).collect()] == [("h", ["div.y"])]
+    assert abs(by[key["div.x"]].importance - 0.9 * 0.5) < 1e-9 and by[key["div.y"]].importance < 1e-9 and by[key["div.z"]].m == 16
+    assert [(r.host, set(r.low)) for r in unimportant(nodes).collect()] == [("h", {key["div.x"], key["div.y"]})]
+    assert [set(r.low) for r in unimportant(nodes, repeats=5).collect()] == [{key["div.y"]}]
+
+
+def brute(pages, repeats=2.0):
+    """Texts after a style tree kept as nested lists of whole paths, contents and layouts as strings, and names."""
+    trees = defaultdict(set)
+    for host, html in pages:
+        x = Page(html)
+        path = lambda i: () if i < 1 else (*path(x.parent[i]), x.name[i])  # noqa: B023, E731
+        held = defaultdict(list)
+        for node, text, _ in x.blocks:
+            for k in range(1, len(path(node)) + 1):
+                held[path(node)[:k]].append(text)
+        row = {path(i): x.layout.get(i, []) for i in range(len(x.parent))}
+        for p, texts in held.items():
+            if not {n.split(".")[0] for n in p} & {"article", "main"}:
+                trees[host, p].add((html, tuple(sorted(texts)), tuple(a for a, b in zip(row[p], ["", *row[p]]) if a != b)))
+    low = set()
+    for at, seen in trees.items():
+        m = len(seen)
+        if m > 1:
+            entropy = lambda k: -sum(n / m * math.log(n / m, m) for n in Counter(s[k] for s in seen).values())  # noqa: B023, E731
+            if 0.9 * entropy(1) + 0.1 * entropy(2) <= 0.9 * (1 - math.log(repeats, m)) + 1e-9:
+                low.add(at)
+    out = []
+    for host, html in pages:
+        x = Page(html)
+        path = lambda i: () if i < 1 else (*path(x.parent[i]), x.name[i])  # noqa: B023, E731
+        out.append("\n\n".join(t for n, t, apart in x.blocks if not apart and not any((host, path(n)[:k]) in low for k in range(1, len(path(n)) + 1))))
+    return out
+
+
+def test_against_a_brute_force_tree(spark):
+    pages = []
+    for i in range(60):
+        side = "".join(f"<p>link {(i * 7 + k) % 9}</p>" for k in range(i % 3 + 1))
+        body = f"<div class=head><span>Site {i % 2}</span></div><div class=post><h1>T{i}</h1><p>Body {i}</p>{'<div class=quote>Said</div>' if i % 5 else ''}</div><div class=side-links>{side}</div>"
+        pages.append((f"h{i % 4}.example", body if i % 6 else f"<main><div class=head>Kept {i % 2}</div>{body}</main>"))
+    pages += [("two.example", f"<div class=a>{k}</div><div class=b>both</div>") for k in "xy"] + [("one.example", "<div class=b>alone</div>")]
+    df = spark.createDataFrame([(i, f"http://{h}/", x) for i, (h, x) in enumerate(pages)], "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    assert [got[i] for i in range(len(pages))] == brute(pages)
+    assert got[len(pages) - 1] == "alone" and got[len(pages) - 3] == "x"
+    shares = removals(df).first()
+    assert shares.by_tree > 80 and shares.kept == sum(len(x.split("\n\n")) for x in brute(pages) if x)
+
+
+def test_time_is_in_proportion_to_length():
+    for page in ("<a " + "b=c " * 30_000, "<div " + "x='" * 40_001, "<div>" * 10_000 + "deep" + "</div>" * 10_000, "<p " * 40_000, "<div>" * 10_000 + "</x>" * 10_000, "<" * 100_000 + "p>x", "<script>" + "</script " * 20_000, "<center>" * 10_000 + "<p>a" * 10_000, '<p a="' * 20_001, "<!--" * 50_000, "<p " + "=" * 100_000 + ">x", "<div class='" + "a " * 50_000 + "'>x", "<ul>" + "<li>x" * 20_000, "&" * 100_000):
+        began = time.time()
+        x = Page(page)
+        x.styles(), x.kept({1})
+        assert time.time() - began < 2, page[:20]
+
+
+def test_cut_off_and_odd_markup(spark):
+    assert kept("<p>a</p><p>b</p><div class=") == ["a", "b"] and kept('<p>a<div title="never ends>b</div>') == ["a"]
+    assert kept("<p>a<!-->b</p><p>c<!-- x --!>d</p>") == ["ab", "cd"] and kept("<!doctype html><?xml?><p>a</p></nothing>b") == ["a", "b"]
+    assert kept("<div class=form-of-government>Kings</div><div class='related-posts'>More</div><p class=notice>Stays</p><div id=search-results-discussion>Talk</div><div class='x cookie-banner'>No</div>") == ["Kings", "Stays", "Talk"]
+    assert said_apart("social-share", APART_WORDS) and not said_apart("antisocial widgetry", APART_WORDS)
+    hosts = [(i, "http://deep.example/", "<div>" * 3000 + f"page {i}") for i in range(3)]
+    assert {r.text for r in main_text(spark.createDataFrame(hosts, "page_id int, url string, html string")).collect()} == {"page 0", "page 1", "page 2"}
 
 
 def test_copies_count_once_and_articles_stay_whole(spark):
