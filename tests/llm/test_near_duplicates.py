@@ -104,3 +104,45 @@ def test_buckets_hold_similar_pairs():
         missed += not set(k[0]) & set(k[1])
         keys[t] = set(k[0])
     assert missed <= 1
+
+
+def test_recall_of_links_by_plain_weights(spark):
+    """Links at 0.8 by (1 + ln times) * (1 + ln(n / df)), undamped, of documents whose id is divisible by 100 with all documents; how many end in one class."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, shingled(r.text)) for r in docs.collect()]
+    df, holders = Counter(s for _, f in rows for s in f), defaultdict(list)
+    weight = [{s: (1 + math.log(n)) * (1 + math.log(len(rows) / df[s])) for s, n in f.items()} for _, f in rows]
+    total = [sum(w.values()) for w in weight]
+    for i, w in enumerate(weight):
+        for s in w:
+            holders[s].append(i)
+    class_of = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    found = together = 0
+    for i, (a, _) in enumerate(rows):
+        if a % 100 == 0:
+            both = Counter()
+            for s, v in weight[i].items():
+                for j in holders[s]:
+                    both[j] += min(v, weight[j][s])
+            for j, x in both.items():
+                if j != i and x / (total[i] + total[j] - x) >= 0.8:
+                    found += 1
+                    together += class_of[a] == class_of[rows[j][0]]
+    print(f"links by plain weights: {found}, in one class: {together}")
+    assert found > 20 and together >= 0.9 * found
+
+
+def test_a_half_similar_group_links_within_tasks(spark):
+    """A group whose texts are alike at 0.6 to 0.95: the same classes as brute force, whatever the chunks."""
+    dice = random.Random(11)
+    base = ["".join(dice.choices("abcdefghij", k=4)) for _ in range(120)]
+    texts = []
+    for _ in range(150):
+        copy = [w for w in base if dice.random() > dice.choice([0.005, 0.03, 0.06])]
+        texts.append(" ".join(copy))
+    want, margin = brute(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for chunk in (512, 16):
+        got = {r.doc_id: r.class_id for r in near_duplicates(df, chunk=chunk).collect()}
+        assert margin > 1e-6 and [got[i] for i in range(len(texts))] == want
+    assert 3 < len(set(want)) < 140
