@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before
 kept; docs has the columns of documents, and all stages but the last return
-them. Null texts count as empty and stay; repeated rows and null ids are rows
-of their own; an empty table stays empty.
+them. Null texts count as empty. Of texts without words, as of any class of near
+duplicates, near_dedup keeps one row, and of repeated rows one; else null ids
+are rows of their own. An empty table stays empty.
 """
 
 from __future__ import annotations
