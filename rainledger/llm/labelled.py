@@ -14,7 +14,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
     The rows with the lowest hashes of their ids are taken, so the sample is the
     same in each run; rows without an id or a label are left out. Of an id with
     several texts, the one with the smallest hash is taken, so `most` bounds
-    what is broadcast and the sample too.
+    what is broadcast and the sample too. A label row that stands twice counts
+    once; an id with both labels is in the sample with either.
     """
     fold = crc(F.col("id")) % folds
     chosen = (

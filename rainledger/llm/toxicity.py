@@ -1,15 +1,17 @@
 """Toxicity by a classifier that counterfactual pairs regularise.
 
-Identity terms in labelled texts are swapped for other identity terms and for a
-neutral word; the change of the score that a swap makes is penalised next to
-the logistic loss. What tells groups apart, or from no group, then can't carry
-the score, so neutral mentions of a group aren't flagged.
+In sentences of labelled texts each identity term is swapped for its counterpart
+and for a neutral word of its language; a text without any gets a mention of a
+group. The change of the score that such a swap makes is penalised next to the
+logistic loss. What tells groups apart, or from no group, then can't carry the
+score, nor can the starts of words that group names share with insults, so
+neutral mentions of a group aren't flagged.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import chain
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +21,21 @@ from pyspark.sql import functions as F
 from rainledger.llm.frames import crc, per_batch, settled
 from rainledger.llm.labelled import sample
 
-#: Labelled rows that the weights are fitted on at most, terms in the model at most, lengths of the starts of words.
-FIT_ROWS, TERMS, STARTS = 16_000, 2500, (3, 4, 5)
-#: Words for groups that are swapped for each other and for NEUTRAL.
-IDENTITY = (
-    "women men woman man girls boys muslim muslims christian christians jewish jews hindu hindus buddhist atheist "
-    "black white asian african european american latino indian arab gay lesbian straight transgender queer "
-    "immigrant immigrants refugee refugees elderly young old disabled blind deaf poor rich"
-).split()
-NEUTRAL = "people"
+#: Labelled rows that the weights are fitted on at most, terms in the model at most, sentences of one text that are swapped in the fit at most, lengths of the starts of words.
+FIT_ROWS, TERMS, SENTENCES, STARTS = 16_000, 2500, 4, (3, 4, 5)
+#: Counterparts, by language: each term of a pair is swapped for the other, or for the neutral word of its language.
+PAIRS = {
+    "people": (
+        "women/men woman/man girls/boys girl/boy muslim/christian muslims/christians jewish/hindu jews/hindus buddhist/atheist buddhists/atheists black/white asian/european african/american "
+        "latino/indian arab/western gay/straight lesbian/heterosexual transgender/cisgender immigrant/citizen immigrants/citizens refugee/resident refugees/residents elderly/young disabled/healthy blind/sighted deaf/hearing poor/rich"
+    ),
+    "personnes": "femmes/hommes femme/homme filles/garçons musulmans/chrétiens musulman/chrétien juifs/hindous noirs/blancs africains/européens asiatiques/américains homosexuels/hétérosexuels immigrés/citoyens réfugiés/habitants pauvres/riches handicapés/valides vieux/jeunes",
+    "menschen": "frauen/männer frau/mann mädchen/jungen muslime/christen juden/hindus schwarze/weiße afrikaner/europäer asiaten/amerikaner schwule/lesben einwanderer/bürger flüchtlinge/einwohner arme/reiche alte/junge behinderte/gesunde",
+    "personas": "mujeres/hombres mujer/hombre niñas/niños musulmanes/cristianos judíos/hindúes negros/blancos africanos/europeos asiáticos/americanos homosexuales/heterosexuales inmigrantes/ciudadanos refugiados/vecinos pobres/ricos ancianos/jóvenes discapacitados/sanos",
+}
 
 _words = re.compile(r"\w+").findall
+_sentences = re.compile(r"[^.!?\n]+").findall
 
 
 def terms(text: str) -> set[str]:
@@ -38,15 +44,28 @@ def terms(text: str) -> set[str]:
     return words.union(*({f"{w[:n]}-" for w in words if len(w) > n} for n in STARTS))
 
 
-def swapped(found: set[str], identity: frozenset[str], neutral: str) -> list[set[str]]:
-    """Terms after each identity term of a text gave way to the next one of the list, and to the neutral word."""
-    inside = sorted(found & identity)
-    if not inside:
-        return []
-    ring = sorted(identity)
-    gone = found - set(chain.from_iterable(terms(w) for w in inside))
-    following = {ring[(ring.index(w) + 1) % len(ring)] for w in inside}
-    return [gone | set(chain.from_iterable(terms(w) for w in following)), gone | terms(neutral)]
+def swaps_of(pairs: dict[str, str] = PAIRS) -> dict[str, tuple[str, str]]:
+    """term -> its counterpart and its language's neutral word."""
+    out = {}
+    for neutral, said in pairs.items():
+        for a, b in (x.split("/") for x in said.split()):
+            out.setdefault(a, (b, neutral))
+            out.setdefault(b, (a, neutral))
+    return out
+
+
+def swapped(text: str, swaps: dict[str, tuple[str, str]], ring: list[str], most: int = SENTENCES) -> list[set[str]]:
+    """The terms of a text after a swap: of each of its first sentences with an identity term, all terms for their counterparts, and all for the neutral words; of a text without any, with a mention of one term of the ring, chosen by the text's hash."""
+    text = text.lower()
+    found = [x for x in _sentences(text) if not swaps.keys().isdisjoint(_words(x))][:most] if not swaps.keys().isdisjoint(_words(text)) else []
+    if not found:
+        return [terms(text) | terms(ring[zlib.crc32(text.encode()) % len(ring)])] if ring else []
+    out = []
+    for sentence in found:
+        for k in (0, 1):
+            other = re.sub(r"\w+", lambda m: swaps[m.group()][k] if m.group() in swaps else m.group(), sentence)  # noqa: B023
+            out.append(terms(text.replace(sentence, other, 1)))
+    return out
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray]], n_terms: int, ridge: float = 0.02, fairness: float = 5.0, turns: int = 300) -> tuple[np.ndarray, float]:
@@ -76,9 +95,9 @@ def fit(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray
     return weights, bias
 
 
-def model(labelled: DataFrame, identity: tuple[str, ...] = tuple(IDENTITY), neutral: str = NEUTRAL, most_terms: int = TERMS, fairness: float = 5.0) -> tuple[dict[str, float], float]:
+def model(labelled: DataFrame, pairs: dict[str, str] = PAIRS, most_terms: int = TERMS, fairness: float = 5.0) -> tuple[dict[str, float], float]:
     """Weights of terms, and the bias, from (text, label) rows of a bounded number."""
-    groups = frozenset(identity)
+    groups = swaps_of(pairs)
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(t, y) for x, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()) for t in terms(x)]
@@ -91,7 +110,9 @@ def model(labelled: DataFrame, identity: tuple[str, ...] = tuple(IDENTITY), neut
     counts = per_batch(labelled.select("text", "label"), spread, "term string, label int").groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
     high, low = (F.col("bad") + share) / (F.col("n") + 1), (F.col("n") - F.col("bad") + 1 - share) / (F.col("n") + 1)
     gain = F.abs(F.col("bad") * F.log(high / share) + (F.col("n") - F.col("bad")) * F.log(low / (1 - share)))
-    known = sorted({r.term for r in counts.where("n >= 3").orderBy(gain.desc(), "term").limit(most_terms).collect()} | {t for w in (*identity, neutral) for t in terms(w)})
+    seen = {r.term for r in counts.where(F.col("term").isin(*groups)).select("term").collect()} if groups else set()
+    ring = sorted({x for t in seen or groups for x in (t, *groups[t])})  # of groups that the sample mentions, if it mentions any
+    known = sorted({r.term for r in counts.where("n >= 3").orderBy(gain.desc(), "term").limit(most_terms).collect()} | {t for w in (*groups, *pairs) for t in terms(w)})
     number = {t: i for i, t in enumerate(known)}
 
     def numbered(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -99,7 +120,7 @@ def model(labelled: DataFrame, identity: tuple[str, ...] = tuple(IDENTITY), neut
         for x in batch.column("text").to_pylist():
             found = terms(x)
             rows.append(sorted(number[t] for t in found if t in number))
-            swaps.append([sorted(number[t] for t in s if t in number) for s in swapped(found, groups, neutral)])
+            swaps.append([sorted(number[t] for t in s if t in number) for s in swapped(x, groups, ring)])
         inner = pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, inner), pa.array(swaps, pa.list_(inner))], ["label", "x", "swaps"])
 

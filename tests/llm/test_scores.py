@@ -77,7 +77,30 @@ def test_swaps_lower_the_weight_of_group_words(spark):
 
 
 def test_swapped():
-    found = terms("a gay poet")
-    one, none = swapped(found, frozenset(["gay", "black"]), "people")
-    assert "gay" not in one and "black" in one and "people" in none and "poet" in one
-    assert swapped(terms("a poet"), frozenset(["gay"]), "people") == []
+    swaps = toxicity.swaps_of()
+    one, none = swapped("A gay poet. The straight road, a gay day", swaps, [])[:2]
+    assert "gay" in one and "straight" in one and "people" in none and "poet" in one  # only the first sentence is swapped
+    assert len(swapped("A gay poet. The straight road", swaps, [])) == 4
+    (added,) = swapped("A poet at the river", swaps, ["gay", "people"])
+    assert terms("A poet at the river") < added and added & {"gay", "people"}
+    assert swaps["frauen"] == ("männer", "menschen") and all(swaps[b][0] == a or a in ("", b) or b in swaps for a, (b, _) in swaps.items())
+    assert swapped("x", {}, []) == []
+
+
+def test_neutral_mentions_are_flagged_less_often(spark):
+    """Held-out clean texts with a mention of a group: how many are flagged without and with the counterfactual pairs."""
+    dice = random.Random(3)
+    rows = []
+    for i in range(1200):
+        bad = dice.random() < 0.3
+        words = dice.choices(PLAIN, k=30) + ([dice.choice(["vilest", "awful"]) if dice.random() < 0.5 else f"q{i}"] if bad else [])
+        words += ["muslim"] * (dice.random() < (0.8 if bad else 0.05))
+        dice.shuffle(words)
+        rows.append((" ".join(words), int(bad)))
+    fit, held = rows[:800], [t for t, y in rows[800:] if not y and "muslim" not in t]
+    df = spark.createDataFrame(fit, "text string, label int")
+    flagged = {}
+    for fairness in (0.0, 5.0):
+        weights, bias = toxicity.model(df, fairness=fairness)
+        flagged[fairness] = np.mean([sum(weights.get(t, 0) for t in terms(x + " muslim")) + bias > 0 for x in held])
+    assert flagged[0.0] > 0.5 and flagged[5.0] < 0.1, flagged
