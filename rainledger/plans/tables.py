@@ -11,9 +11,10 @@ from rainledger.functions.columns import TELEMETRY_MONTHS, cycle_of, current_cyc
 from rainledger.operators import geometry, incremental, shape
 from rainledger.operators.matching import crosswalk, nearest
 from rainledger.operators.series import keep_first, trailing_mean
+from rainledger.operators.stress import missing, publish_gate, stress_status
 from rainledger.plans import groundwater as G
 from rainledger.plans import rain as R
-from rainledger.plans.layers import EDITIONS, _history, history, stress_units
+from rainledger.plans.layers import EDITIONS, _history, history, snapshots, stress_units
 from rainledger.sources.sinks import index_of
 from rainledger.sources.tables import load
 
@@ -161,6 +162,45 @@ def crosswalk_composed(spark, sf_dir):
     return crosswalk(names.distinct(), master, aliases, relations)
 
 
+def stress_state(spark, sf_dir):
+    """Nations by their suppliers: heads and extras from customers, units from suppliers."""
+    n = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("district"))
+    k = F.col("c_custkey")
+    rel = F.when(k % 9 == 0, "one").when(k % 9 == 1, "part_of").when(k % 9 == 2, "child_of").otherwise("none")
+    cat = lambda v: F.when(v > 7000, "Over-exploited").when(v > 5000, "Critical").when(v > 2000, "Semi-critical").when(v > 0, "Safe")
+    rows = load(spark, sf_dir, "customer").where("c_nationkey % 4 <> 3").where((k % 9 != 0) | (F.col("c_nationkey") % 4 != 2)).select(F.col("c_nationkey").alias("district"), rel.alias("relation"), cat(F.col("c_acctbal")).alias("category"), F.col("c_acctbal").alias("stage_pct"))
+    units = load(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("district"), F.col("s_suppkey").alias("name"), cat(F.col("s_acctbal")).alias("category"), F.col("s_acctbal").alias("stage_pct"))
+    s = stress_status(n, rows.where("relation <> 'none'"), units)
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("by_category")), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",")
+    return s.withColumn("by_category", text)
+
+
+def publish_layers(spark, sf_dir):
+    """The gate over the last snapshot's layers: floors by layer, and as of when."""
+    h = history(spark, sf_dir).where("snapshot = '1998-05-31'")
+    long = h.select("snapshot", F.explode(F.array(*[F.struct(F.lit(k).alias("layer"), F.col(c).cast("string").alias("value")) for k, c in (("rain", "category"), ("level", "pct"), ("quadrant", "quadrant"))])).alias("x")).select("x.*", F.when(F.col("x.value").isNotNull(), F.col("snapshot")).alias("as_of"))
+    return publish_gate(long, {"rain": 20, "level": 3, "quadrant": 26, "index": 1})
+
+
+def rain_missing(spark, sf_dir):
+    """Nations without an urgent order in January 1995."""
+    o = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).where("o_orderpriority = '1-URGENT' AND o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1995-01-04'")
+    return missing(load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("district")), o.select(F.col("c_nationkey").alias("district")), "district")
+
+
+def gw_sign_telemetry(spark, sf_dir):
+    """Signs of wells, turned for telemetry ones (odd keys) alone."""
+    raw = G.cycles(spark, sf_dir).withColumn("raw", F.col("level") - 30)
+    tele = F.first(F.col("unit") % 2 == 1)
+    return raw.groupBy("unit").agg(F.when(tele & (F.median("raw") < 0), -1).otherwise(1).alias("sign"))
+
+
+def snapshot_dates(spark, sf_dir):
+    """Cycle ends before the day of the last order."""
+    last = load(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate")).alias("today"))
+    return snapshots(spark, (1995, 2002)).join(F.broadcast(last), F.to_date("snapshot") < F.col("today")).select("snapshot", "year", "cycle")  # one row
+
+
 def _areas(spark, sf_dir) -> DataFrame:
     k = F.col("n_nationkey")
     ring = F.array(*[F.struct((F.lit(x) + (k % 5) * 2.5).alias("x"), (F.lit(y) + F.floor(k / 5) * 2.5).alias("y")) for x, y in STAR])
@@ -284,6 +324,18 @@ SQL = {
     "stress_by_state": f"WITH {_units} SELECT p_type, count(*) FILTER (WHERE category IN ('Critical', 'Over-Exploited')) AS n_critical, count(*) AS n, round_even(avg((category IN ('Critical', 'Over-Exploited'))::INT::DOUBLE) * 1e6, 0) / 1e6 AS share FROM u GROUP BY ALL",
     "stress_one_row": f"WITH x AS (SELECT e AS edition, s_nationkey AS district, s_suppkey, CASE (s_suppkey + e) % 5 WHEN 0 THEN 'exact' WHEN 1 THEN 'alias' WHEN 2 THEN 'fuzzy' ELSE 'other' END AS method, CASE WHEN s_acctbal > 5000 THEN 'Critical' WHEN s_acctbal > 0 THEN 'Safe' END AS category FROM supplier, unnest([{', '.join(map(str, EDITIONS))}]) t(e)) SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY edition, district ORDER BY CASE method WHEN 'exact' THEN 0 WHEN 'alias' THEN 1 WHEN 'fuzzy' THEN 2 ELSE 3 END, category IS NULL, s_suppkey) = 1",
     "stress_categories": f"WITH {_units} SELECT p_brand, CASE WHEN stage > 905 THEN category ELSE 'Not given' END AS category, count(*) AS n FROM u GROUP BY ALL",
+    "stress_state": """WITH c AS (SELECT c_nationkey AS district, c_acctbal AS v, c_custkey % 9 AS k FROM customer WHERE c_nationkey % 4 <> 3 AND (c_custkey % 9 <> 0 OR c_nationkey % 4 <> 2)),
+cat AS (SELECT *, CASE WHEN v > 7000 THEN 'Over-exploited' WHEN v > 5000 THEN 'Critical' WHEN v > 2000 THEN 'Semi-critical' WHEN v > 0 THEN 'Safe' END AS category FROM c),
+h AS (SELECT district, category, v FROM cat WHERE k = 0 QUALIFY row_number() OVER (PARTITION BY district ORDER BY category NULLS FIRST, v) = 1), x AS (SELECT district, count(*) AS n_extra FROM c WHERE k IN (1, 2) GROUP BY ALL),
+u AS (SELECT s_nationkey AS district, s_suppkey AS name, s_acctbal AS v, CASE WHEN s_acctbal > 7000 THEN 'Over-exploited' WHEN s_acctbal > 5000 THEN 'Critical' WHEN s_acctbal > 2000 THEN 'Semi-critical' WHEN s_acctbal > 0 THEN 'Safe' END AS category FROM supplier),
+b AS (SELECT district, string_agg(kind || ':' || n, ',' ORDER BY kind) AS by_category FROM (SELECT district, coalesce(category, 'Not given') AS kind, count(*) AS n FROM u GROUP BY ALL) GROUP BY ALL),
+m AS (SELECT district, count(*) AS n_units, arg_max(name, (list_position(['Safe', 'Semi-critical', 'Critical', 'Over-exploited'], category), v, name)) FILTER (WHERE category IS NOT NULL) AS worst, bool_or(coalesce(category IN ('Critical', 'Over-exploited'), false)) AS critical FROM u GROUP BY ALL),
+j AS (SELECT n_nationkey AS district, CASE WHEN h.district IS NOT NULL THEN 'assessed' WHEN n_extra IS NOT NULL THEN 'only_sub_units' ELSE 'not_in_source' END AS status, h.category, h.v, n_units, by_category, worst, critical, coalesce(n_extra, 0) AS n_extra FROM nation LEFT JOIN h ON h.district = n_nationkey LEFT JOIN x ON x.district = n_nationkey LEFT JOIN m ON m.district = n_nationkey LEFT JOIN b ON b.district = n_nationkey)
+SELECT district, status, category, v AS stage_pct, CASE WHEN status <> 'not_in_source' THEN n_units END AS n_units, CASE WHEN status <> 'not_in_source' THEN by_category END AS by_category, CASE WHEN status <> 'not_in_source' THEN worst END AS worst, CASE WHEN status <> 'not_in_source' THEN critical END AS critical, CASE WHEN status <> 'not_in_source' THEN critical AND NOT coalesce(category IN ('Critical', 'Over-exploited'), false) END AS hidden, n_extra FROM j""",
+    "publish_layers": _history + ", s AS (SELECT * FROM h WHERE snapshot = '1998-05-31'), f(layer, floor) AS (VALUES ('rain', 20), ('level', 3), ('quadrant', 26), ('index', 1)), v AS (SELECT 'rain' AS layer, count(category) AS n FROM s UNION ALL SELECT 'level', count(pct) FROM s UNION ALL SELECT 'quadrant', count(quadrant) FROM s) SELECT f.layer, floor::BIGINT AS floor, coalesce(n, 0) AS n, CASE WHEN n > 0 THEN '1998-05-31' END AS as_of, coalesce(n, 0) >= floor AND coalesce(n, 0) > 0 AS ok FROM f LEFT JOIN v USING (layer)",
+    "rain_missing": "SELECT n_nationkey AS district FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1995-01-04')",
+    "gw_sign_telemetry": f"WITH {G.CYCLES_SQL} SELECT unit, CASE WHEN unit % 2 = 1 AND median(level - 30) < 0 THEN -1 ELSE 1 END AS sign FROM cycles GROUP BY unit",
+    "snapshot_dates": "WITH e(y, m, d, cycle) AS (SELECT y, m, d, c FROM range(1995, 2003) t(y), (VALUES " + _ends + ") v(m, d, c)) SELECT strftime(make_date(y, m::INT, d::INT), '%Y-%m-%d') AS snapshot, y AS year, cycle FROM e WHERE make_date(y, m::INT, d::INT) < (SELECT max(o_orderdate)::DATE FROM orders)",
     "crosswalk_states": "WITH n AS (SELECT n_nationkey, n_name, r_name, CASE WHEN n_nationkey = 3 THEN 'Dadra and Nagar Haveli' ELSE 'Día & ' || n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' ISLANDS' ELSE ' Dist.' END END AS s FROM nation JOIN region ON n_regionkey = r_regionkey), k AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(s)), '&', ' and ', 'g'), '\\b(district|dist)\\b', ' ', 'g'), '[^a-z0-9]', '', 'g'), 'islands$', '') AS key FROM n) SELECT n_nationkey, CASE WHEN key LIKE 'dadra%' OR key LIKE 'daman%' THEN 'dnhdd' ELSE key END AS key, trim(regexp_replace(r_name || ' - ' || n_name || '!', '[^A-Za-z0-9]+', '_', 'g'), '_') AS slug, array_to_string(list_transform(regexp_extract_all(lower(r_name || ' AND ' || n_name), '\\p{L}+|[^\\p{L}]+'), lambda p: upper(p[1]) || p[2:]), '').replace(' And ', ' and ') AS title FROM k",
     "point_in_polygon": f"WITH c AS (SELECT c_custkey, c_acctbal / 700 AS x, c_custkey * 37 % 1501 / 100.0::DOUBLE AS y FROM customer), s(i, a, b) AS (VALUES {_star}), p AS (SELECT n_nationkey AS area, i, a + (n_nationkey % 5) * 2.5 AS x, b + floor(n_nationkey / 5) * 2.5 AS y FROM nation, s), e AS (SELECT p.area, p.x::DOUBLE AS x1, p.y::DOUBLE AS y1, q.x::DOUBLE AS x2, q.y::DOUBLE AS y2 FROM p JOIN p q ON q.area = p.area AND q.i = (p.i + 1) % {len(STAR)}), h AS (SELECT c_custkey, area FROM c JOIN e ON (y1 > c.y) <> (y2 > c.y) AND c.x < (x2 - x1) * (c.y - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1) SELECT c_custkey, min(area) AS area FROM customer LEFT JOIN h USING (c_custkey) GROUP BY ALL",
     "trace_compare": f"WITH {R._monthly}, a AS (SELECT district, year, month, round_even(mm * 1e5, 0) / 1e5 AS mm FROM monthly), b AS (SELECT c_nationkey AS district, year(o_orderdate) AS year, month(o_orderdate) AS month, round_even(round(avg(o_totalprice), -1) * count(*) / 1000 * 1e5, 0) / 1e5 AS mm FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL HAVING count(*) > 1) SELECT a.district, count(*) FILTER (WHERE abs(a.mm - b.mm) <= 0.01) AS n_same, count(*) AS n FROM a LEFT JOIN b USING (district, year, month) GROUP BY ALL",
