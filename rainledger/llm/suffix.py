@@ -260,7 +260,7 @@ def shard_marks(shipped: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "h long, s long, marks binary, salts long, f1 array<long>, f2 array<long>")
 
 
-def merged(shards: DataFrame, most: int = 200_000) -> DataFrame:
+def merged(shards: DataFrame, most: int = 1_000_000) -> DataFrame:
     """(h, s, places): windows that another shard of the same key holds too. Each range of fingerprints is sorted, and binary search counts a fingerprint in it."""
     wide = shards.where("salts > 1").select("h", "s", "f1", "f2")
     ranges = (wide.select(F.sum(F.size("f1"))).first()[0] or 0) // most + 1
@@ -366,8 +366,7 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
     shards = settled(shard_marks(shipped, length))
     partly = shards.select("h", "s", "marks")
     if shards.where("salts > 1").limit(1).count():
-        bits = F.udf(_with_places, "binary")
-        partly = partly.join(merged(shards), ["h", "s"], "left").withColumn("marks", F.when(F.col("places").isNull(), F.col("marks")).otherwise(bits("marks", "places"))).drop("places")
+        partly = per_batch(partly.join(merged(shards), ["h", "s"], "left").select("h", "s", "marks", "places"), _with_places, "h long, s long, marks binary")
     empty = F.regexp_replace(F.hex("marks"), "0", "") == ""
     marks = state.where("kinds = 1 and n > 1").select("h", "s", F.lit(None).cast("binary").alias("marks")).unionByName(partly.where(~empty))
     lists = settled(shared.join(marks, ["h", "s"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "marks")).alias("marks")))
@@ -396,8 +395,12 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
     return per_batch(small.join(lists.hint("shuffle_hash"), ["k1", "k2"], "left"), finish, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, " + ("text string" if as_text else "kept binary"))
 
 
-def _with_places(marks, places):
-    """Bits of marks with those of some more places; for the segments of very common keys only."""
-    bits = np.unpackbits(np.frombuffer(bytes(marks), np.uint8))
-    bits[places] = 1
-    return np.packbits(bits).tobytes()
+def _with_places(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Bits of marks with those of the places that other shards hold too."""
+    marks = batch.column("marks").to_pylist()
+    for i, places in enumerate(batch.column("places").to_pylist()):
+        if places:
+            bits = np.unpackbits(np.frombuffer(marks[i], np.uint8))
+            bits[places] = 1
+            marks[i] = np.packbits(bits).tobytes()
+    return pa.RecordBatch.from_arrays([batch.column("h"), batch.column("s"), pa.array(marks, pa.binary())], ["h", "s", "marks"])
