@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from rainledger.plans import groundwater, layers, rain, status, tables
 
-FLAGSHIP = "status_table"
+FLAGSHIP = "status_full"
 PARTS = (groundwater, rain, layers, status, tables)
 
 
