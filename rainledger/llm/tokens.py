@@ -1,9 +1,11 @@
 """Token counts by a two-tier lookup of pre-token lengths.
 
-The first tier is a compact table of pre-token lengths that goes out with the
-task: the whole-token entries of the vocabulary, whose number is fixed by the
-vocabulary file. The second tier is a bounded cache in each Python worker,
-filled by encoding what the first tier misses. No pre-token is shuffled.
+The first tier is a compact table of pre-token lengths that is broadcast: the
+most frequent pre-tokens of a bounded sample of the documents, counted within
+one task, and the vocabulary's entries that are pre-tokens of their own. The
+second tier is a bounded cache in each Python worker, filled by encoding what
+the first tier misses. No pre-token is shuffled, and the counts don't depend on
+what the table holds.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +28,8 @@ from rainledger.llm.frames import per_batch
 SETTLED = ((0x00, 0x1B), (0x20, 0x52F), (0x2010, 0x205E), (0x20A0, 0x20BF), (0x2190, 0x21FF), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
 #: A worker's cache holds this many pre-tokens beyond the first tier at most, none longer than LONGEST characters.
 CACHED, LONGEST = 300_000, 48
+#: Documents of the sample whose pre-tokens are counted, and how many of these the broadcast table holds at most.
+SAMPLE, FREQUENT = 2_000, 50_000
 
 
 def _class(letter: str) -> str:
@@ -55,7 +61,7 @@ def _merger(path: str):
     if model.get("type") != "BPE" or not all(c in vocab for c in byte) or made != sorted(made) or len(vocab) != 256 + len(merges) or -1 in made or made[0] < 256:
         return None
     ranks = {bytes(byte[c] for c in word): i for word, i in vocab.items()}
-    return tiktoken.Encoding("pieces", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    return tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 class Splitter:
@@ -84,7 +90,7 @@ class Splitter:
     def ids(self, piece: str) -> list[int]:
         """The ids of one pre-token."""
         if self.merge is not None:
-            return self.merge(piece.encode())
+            return self.merge(piece)
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
 
@@ -110,14 +116,36 @@ class Cache(dict):
         return value
 
 
-def frequent_lengths(path: str) -> bytes:
-    """First tier: vocabulary entries that are pre-tokens of their own, and their lengths, compressed. Bounded by the vocabulary."""
+def frequent(docs: DataFrame, path: str, text_col: str, sample: int = SAMPLE, most: int = FREQUENT) -> list[str]:
+    """The most frequent pre-tokens of the first documents of the first partition that has any, counted in its task; no other is read."""
+
+    def count_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, seen, left = splitter(path), Counter(), sample
+        for batch in batches:
+            for x in batch.column("text").to_pylist()[:left]:
+                for part in of.plain(x or "")[0]:
+                    seen.update(p for p in of.pieces(part) if len(p) <= LONGEST and "\x00" not in p)
+                if len(seen) > 16 * most:  # rare ones go, so a sample of long texts stays bounded
+                    seen = Counter(dict(seen.most_common(4 * most)))
+            left -= batch.num_rows
+            if left <= 0:
+                break
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([[p for p, _ in seen.most_common(most)]], pa.list_(pa.string()))], ["pieces"])
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(count_all, "pieces array<string>").take(1)
+    return sorted(found[0].pieces) if found else []
+
+
+def frequent_lengths(path: str, pieces: list[str] = ()) -> bytes:
+    """First tier: these pre-tokens and vocabulary entries that are pre-tokens of their own, and their lengths, compressed. Bounded by FREQUENT and the vocabulary."""
     import zstandard
 
     of = splitter(path)
     decoded = (of.tokenizer.decode([i]) for i in range(of.tokenizer.get_vocab_size()))
     words = [w for w in dict.fromkeys(decoded) if w and "�" not in w and "\x00" not in w and w not in of.special and of.pieces(w) == [w]]
-    lengths = np.array([min(len(x.ids), 255) for x in of.tokenizer.encode_batch(words, add_special_tokens=False)], np.uint8)
+    words = list(dict.fromkeys([*words, *(p for p in pieces if p)]))
+    lengths = np.array([len(of.ids(w)) for w in words], np.uint8)  # no more than bytes of LONGEST characters
     return zstandard.compress("\x00".join(words).encode() + b"\x00\x00" + lengths.tobytes())
 
 
@@ -149,10 +177,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     strings inside a text count as one token each. Other columns of docs are
     not read, whatever their names. An empty table gives an empty result.
     """
-    packed = frequent_lengths(path)
+    packed = docs.sparkSession.sparkContext.broadcast(frequent_lengths(path, frequent(docs, path, text_col)))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = lengths(path, packed)
+        table = lengths(path, packed.value)
         texts = [x or "" for x in batch.column("text").to_pylist()]
         n = np.array([count(x, path, table) for x in texts], np.int64)
         size = np.array([len(x.encode()) for x in texts], np.int64)
