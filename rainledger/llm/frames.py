@@ -42,23 +42,24 @@ class Scratch:
         self.paths.append((back, path))
         return back
 
-    def drop(self, *frames: DataFrame) -> None:
-        """Deletes these settled tables; nothing may read them any more."""
-        self._delete([p for df, p in self.paths if any(df is x for x in frames)])
+    def drop(self, *frames: DataFrame, shuffles: bool = False) -> None:
+        """Deletes these settled tables; nothing may read them any more. shuffles: asks Spark to remove shuffle files that no frame needs, too."""
+        self._delete([p for df, p in self.paths if any(df is x for x in frames)], shuffles)
 
     def keep(self, *frames: DataFrame) -> None:
-        """Deletes all settled tables but these."""
-        self._delete([p for df, p in self.paths if not any(df is x for x in frames)])
+        """Deletes all settled tables but these, and shuffle files that no frame needs."""
+        self._delete([p for df, p in self.paths if not any(df is x for x in frames)], True)
 
-    def _delete(self, paths: list[str]) -> None:
+    def _delete(self, paths: list[str], shuffles: bool) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(conf).delete(at, True)
         self.paths = [x for x in self.paths if x[1] not in paths]
-        gc.collect()
-        jvm.System.gc()  # Spark removes shuffle files of frames that the driver has let go
+        if shuffles:  # Spark removes them when the driver has let their frames go
+            gc.collect()
+            jvm.System.gc()
 
 
 def settled(df: DataFrame) -> DataFrame:

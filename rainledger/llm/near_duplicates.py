@@ -370,7 +370,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, agree: int = AGREE, chu
                     yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "block", "seq", "sig", "centre", "shingles"])
 
     wide = settled(joined.mapInArrow(sample, f"id {kind}, node binary, block long, seq int, sig binary, centre double, shingles binary"))
-    scratch.drop(made, replies)
+    scratch.drop(made, replies, shuffles=True)
     rows = settled(wide.select("id", "node", "block", "seq"))
     one = F.min_by(F.struct("sig", "centre", "shingles"), F.struct("block", "seq"))
     nodes = settled(wide.where("sig IS NOT NULL").groupBy("node").agg(one.alias("x")).select("node", "x.*"))

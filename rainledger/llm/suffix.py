@@ -333,7 +333,7 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
     found = settled(per_batch(rows.select("k1", "k2", "text"), cut, "h long, s long, k1 long, k2 long, place long, twice boolean"))
     several = settled(found.groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("h"))
     shared = settled(found.drop("twice").join(several, "h", "left_semi"))
-    scratch.drop(found, several)
+    scratch.drop(found, several, shuffles=True)
     pick = F.xxhash64("k1", "k2", "place")
     each = settled(shared.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(pick).alias("pick")))
     kinds = settled(each.groupBy("h").agg(F.count("*").alias("kinds")))
