@@ -3,16 +3,18 @@
 The decoder takes prefix codes (simple, normal, meta), back-references, the
 colour cache, and inverts the predictor, cross-colour, subtract-green and
 palette transforms. Where an image has one group of codes, all literals of
-eight bits and no cache, its samples are unpacked at once with numpy; other
-streams are read symbol by symbol. The writer counts its prefix codes and makes
-back-references where pixels repeat; images that this makes no smaller (short or
-random ones) are of that first kind. It makes no transforms, cache or meta codes.
+eight bits and no cache, its samples are unpacked at once with numpy; streams of
+one group are looked up at all their bits at once and then followed; other
+streams are read symbol by symbol. The writer counts its prefix codes, makes
+back-references or a colour cache where pixels repeat, and a palette where there
+are few colours; images that this makes no smaller (short or random ones) are
+flat streams of eight bits. It makes no other transforms or meta codes: they
+don't make texts smaller, so only tests put those parts of the decoder to use.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import struct
 import zlib
 from collections import Counter
@@ -52,6 +54,11 @@ class Bits:
         k = self.at >> 3
         return int.from_bytes(self.data[k : k + 6], "little") >> (self.at & 7) & ((1 << n) - 1)
 
+    def slice(self, at: int, n: int) -> int:
+        """n bits from a place, any number."""
+        k = at >> 3
+        return int.from_bytes(self.data[k : (at + n >> 3) + 1], "little") >> (at & 7) & ((1 << n) - 1)
+
     def read(self, n: int) -> int:
         value = self.peek(n)
         self.at += n
@@ -73,17 +80,16 @@ class Code:
             self.only = 0
         if self.only is not None:
             self.bits, self.table = 0, [self.only << 4]
+            self.entries = np.array(self.table, np.int32)
             return
-        if sum(1 << (self.bits - int(used[s])) for s in symbols) != 1 << self.bits:
+        sizes = used[symbols].astype(np.int64)
+        if (1 << (self.bits - sizes)).sum() != 1 << self.bits:
             raise ValueError("not a complete prefix code")
-        self.table = [0] * (1 << self.bits)
-        code, last = 0, 0
-        for length, symbol in sorted((int(used[s]), int(s)) for s in symbols):
-            code <<= length - last
-            last = length
-            backwards = int(f"{code:0{length}b}"[::-1], 2)
-            self.table[backwards :: 1 << length] = [symbol << 4 | length] * (1 << self.bits - length)
-            code += 1
+        # In the order of the codes each symbol takes a stretch of the table; bits come lowest first, so places are then turned round.
+        order = np.argsort(sizes, kind="stable")
+        straight = np.repeat((symbols[order] << 4 | sizes[order]).astype(np.int32), 1 << (self.bits - sizes[order]))
+        self.entries = straight[backwards(self.bits)]
+        self.table = self.entries.tolist()
 
     def read(self, bits: Bits) -> int:
         if self.only is not None:
@@ -93,6 +99,15 @@ class Code:
         return entry >> 4
 
 
+@lru_cache(maxsize=16)
+def backwards(n: int) -> np.ndarray:
+    """Numbers of n bits with their bits turned round."""
+    out = np.zeros(1, np.int64)
+    for _ in range(n):
+        out = np.concatenate([out * 2, out * 2 + 1])
+    return out
+
+
 code_of = lru_cache(maxsize=256)(Code)
 
 
@@ -104,9 +119,11 @@ def read_code(bits: Bits, alphabet: int) -> Code:
         if two:
             lengths[bits.read(8)] = 1
         return code_of(bytes(lengths))
-    first = bytearray(19)
-    for k in range(bits.read(4) + 4):
-        first[LENGTH_ORDER[k]] = bits.read(3)
+    many = bits.read(4) + 4
+    said, first = bits.slice(bits.at, 3 * many), bytearray(19)
+    bits.at += 3 * many
+    for k in range(many):
+        first[LENGTH_ORDER[k]] = said >> 3 * k & 7
     code = code_of(bytes(first))
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
     if left > alphabet:
@@ -114,20 +131,31 @@ def read_code(bits: Bits, alphabet: int) -> Code:
     if code.only is not None and code.only < 16:
         lengths[:left] = bytes([code.only]) * left
         return code_of(bytes(lengths))
-    at, before = 0, 8
+    table, mask = code.table, (1 << code.bits) - 1
+    window, pos, at, before = bits.slice(bits.at, 1024), 0, 0, 8
     while at < alphabet and left:
+        if pos > 1000:
+            bits.at += pos
+            window, pos = bits.slice(bits.at, 1024), 0
         left -= 1
-        symbol = code.read(bits)
+        entry = table[window >> pos & mask]
+        symbol = entry >> 4
+        pos += entry & 15 if mask else 0
         if symbol < 16:
             lengths[at] = symbol
             at += 1
             before = symbol or before
             continue
-        n, value = (3 + bits.read(2), before) if symbol == 16 else (3 + bits.read(3), 0) if symbol == 17 else (11 + bits.read(7), 0)
+        base, more, value = ((3, 2, before), (3, 3, 0), (11, 7, 0))[symbol - 16]
+        n = base + (window >> pos & ((1 << more) - 1))
+        pos += more
         if at + n > alphabet:
             raise ValueError("a run of code lengths is too long")
         lengths[at : at + n] = bytes([value]) * n
         at += n
+    bits.at += pos
+    if bits.at > 8 * len(bits.data):
+        raise ValueError("the stream ends early")
     return code_of(bytes(lengths))
 
 
@@ -146,39 +174,123 @@ def distance(code: int, width: int) -> int:
     return max(dx + dy * width, 1)
 
 
-def read_steps(bits: Bits, codes: list[Code], total: int, width: int) -> list[int]:
-    """Pixels of one group of codes without a cache: literals, whose four symbols are read from one window of bits, and back-references."""
-    data, at, end = bits.data, bits.at, 8 * len(bits.data)
-    (green, gm), (red, rm), (blue, bm), (alpha, am) = ((c.table, (1 << c.bits) - 1) for c in codes[:4])
-    out: list[int] = []
-    put, window = out.append, int.from_bytes
-    while len(out) < total:
-        k = at >> 3
-        w = window(data[k : k + 9], "little") >> (at & 7)
-        g = green[w & gm]
-        if g < 4096:
-            w >>= g & 15
-            r = red[w & rm]
-            w >>= r & 15
-            b = blue[w & bm]
-            a = alpha[w >> (b & 15) & am]
-            at += (g & 15) + (r & 15) + (b & 15) + (a & 15)
-            put(a >> 4 << 24 | r >> 4 << 16 | g >> 4 << 8 | b >> 4)
-        else:
-            bits.at = at + (g & 15)
-            n = prefixed((g >> 4) - 256, bits)
+#: Bits of a stream that are looked up at a time.
+STRETCH = 1 << 15
+
+
+def cache_place(pixels: np.ndarray, cache_bits: int) -> np.ndarray:
+    """Where a colour cache of so many bits keeps pixels (ARGB in 32 bits)."""
+    return (pixels.astype(np.uint32) * np.uint32(CACHE_MULTIPLIER)) >> np.uint32(32 - cache_bits)
+
+
+def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits: int = 0) -> np.ndarray | None:
+    """Pixels of one group of codes; None if it has a cache and back-references both, which only reading in turn settles.
+
+    For each bit of a stretch the table entries are looked up at once, and where
+    a literal or a place of the cache that starts there ends; what is left to do
+    in turn is to follow these ends, and back-references. Without
+    back-references a place of the cache means the last literal that went there.
+    """
+    data = np.frombuffer(bits.data + bytes(24), np.uint8).astype(np.uint32)
+    end = 8 * len(bits.data)
+    literals: list[np.ndarray] = []
+    turned: list[np.ndarray] = []  # places of the cache; -1 for literals
+    copies_: list[tuple[int, int, int]] = []  # literals before it, length, distance
+    done = made = 0
+    shifts = np.arange(8, dtype=np.uint32)
+    while made < total:
+        first = bits.at >> 3
+        raw = data[first : first + STRETCH // 8 + 18]
+        three = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)
+        window = (three[:, None] >> shifts).reshape(-1)
+        entries: dict[int, np.ndarray] = {}
+        for code in codes[:4]:
+            if id(code) not in entries:
+                entries[id(code)] = code.entries[window & np.uint32((1 << code.bits) - 1)]
+        green, *others = (entries[id(code)] for code in codes[:4])
+        n = len(window) - 4 * 15
+        ends = np.arange(n, dtype=np.int32) + (green[:n] & 15)
+        after = ends.copy()
+        for entry in others:
+            ends += (entry & 15)[ends]
+        if cache_bits:
+            ends = np.where(green[:n] < 280 << 4, ends, after)
+        ends[(green[:n] >= 4096) & (green[:n] < 280 << 4)] = -1
+        follow, places = memoryview(ends), []
+        put, at, room = places.append, bits.at - 8 * first, total - made
+        while at < n and len(places) < room:
+            to = follow[at]
+            if to >= 0:
+                put(at)
+                at = to
+                continue
+            if cache_bits:
+                return None
+            entry = int(green[at])
+            bits.at = 8 * first + at + (entry & 15)
+            size = prefixed((entry >> 4) - 256, bits)
             back = distance(prefixed(codes[4].read(bits), bits), width)
-            at = bits.at
-            if back > len(out) or len(out) + n > total:
+            before = total - room + len(places)
+            if back > before or before + size > total:
                 raise ValueError("a back-reference leaves the image")
-            piece = out[-back:] if n >= back else out[-back : n - back]
-            out += (piece * (n // back + 1))[:n] if n > back else piece
-        if at > end:
+            copies_.append((done + len(places), size, back))
+            room -= size
+            at = bits.at - 8 * first
+        bits.at = 8 * first + at
+        if bits.at > end:
             raise ValueError("the stream ends early")
-    bits.at = at
+        p = np.array(places, np.int64)
+        if cache_bits:
+            turned.append(np.where(green[p] >= 280 << 4, (green[p] >> 4) - 280, -1))
+        value = (green[p] >> 4).astype(np.uint32) << np.uint32(8)
+        p += green[p] & 15
+        for entry, up in zip(others, (16, 0, 24)):
+            value |= (entry[p] >> 4).astype(np.uint32) << np.uint32(up)
+            p += entry[p] & 15
+        literals.append(value)
+        done += len(places)
+        made = total - room + len(places)
+    plain = literals[0] if len(literals) == 1 else np.concatenate(literals)
+    if cache_bits:
+        place = np.concatenate(turned)
+        known, asked = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        keys = np.sort(cache_place(plain[known], cache_bits).astype(np.int64) << 32 | known)
+        at_ = np.searchsorted(keys, place[asked].astype(np.int64) << 32 | asked) - 1
+        held = keys[np.maximum(at_, 0)] if len(keys) else np.zeros(len(asked), np.int64)
+        there = (at_ >= 0) & (held >> 32 == place[asked])
+        plain[asked] = np.where(there, plain[held & 0xFFFFFFFF], 0)
+    if not copies_:
+        return plain
+    out = np.empty(total, np.uint32)
+    taken = at = 0
+    for before, size, back in copies_:
+        out[at : at + before - taken] = plain[taken:before]
+        at += before - taken
+        taken = before
+        if size <= back:
+            out[at : at + size] = out[at - back : at - back + size]
+        else:
+            out[at : at + size] = np.resize(out[at - back : at], size)
+        at += size
+    out[at:] = plain[taken:]
     return out
 
 
+def read_group(bits: Bits, alphabet: int) -> list[Code]:
+    """The five codes of a group; of red, blue and alpha one that is written like the one before isn't read again."""
+    codes, start = [read_code(bits, alphabet)], 0
+    for k in range(3):
+        if k and bits.slice(bits.at, size) == said:
+            bits.at += size
+            codes.append(codes[-1])
+            continue
+        start = bits.at
+        codes.append(read_code(bits, 256))
+        size = bits.at - start
+        said = bits.slice(start, size)
+    return [*codes, read_code(bits, 40)]
+
+
 def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     """An entropy-coded image as (height, width) of ARGB in 32 bits."""
     cache_bits = bits.read(4) if bits.read(1) else 0
@@ -191,7 +303,7 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         which = (entropy >> 8 & 0xFFFF).tolist()
         groups = int((entropy >> 8 & 0xFFFF).max()) + 1
     cached = 1 << cache_bits if cache_bits else 0
-    codes = [[read_code(bits, n) for n in (256 + 24 + cached, 256, 256, 256, 40)] for _ in range(groups)]
+    codes = [read_group(bits, 256 + 24 + cached) for _ in range(groups)]
     total = width * height
     if groups == 1 and not cached and all(c.flat8 for c in codes[0][:4]):
         raw = np.frombuffer(bits.data, np.uint8, 4 * total + 1, bits.at >> 3)
@@ -200,8 +312,10 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         bits.at += 32 * total
         g, r, b, a = REVERSED[samples].reshape(total, 4).astype(np.uint32).T
         return (a << 24 | r << 16 | g << 8 | b).reshape(height, width)
-    if groups == 1 and not cached:
-        return np.array(read_steps(bits, codes[0], total, width), np.uint32).reshape(height, width)
+    start = bits.at
+    if groups == 1 and (made := read_steps(bits, codes[0], total, width, cache_bits)) is not None:
+        return made.reshape(height, width)
+    bits.at = start
     out, cache = [0] * total, [0] * cached
     at = noted = 0
     group = codes[0]
@@ -406,30 +520,34 @@ def flat(samples: np.ndarray) -> bytes:
 
 
 def code_lengths(counts: dict[int, int], most: int) -> dict[int, int]:
-    """Lengths of a prefix code of at least two symbols, none over most bits."""
+    """Lengths of a prefix code of at least two symbols, none over most bits: the two lightest nodes are joined again and again, leaves and joined nodes each in their order."""
     while True:
-        heap = [(n, s, (s,)) for s, n in counts.items()]
-        heapq.heapify(heap)
-        depth = dict.fromkeys(counts, 0)
-        while len(heap) > 1:
-            (a, k, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
-            for symbol in x + y:
-                depth[symbol] += 1
-            heapq.heappush(heap, (a + b, k, x + y))
-        if max(depth.values()) <= most:
-            return depth
+        symbols = sorted(counts, key=lambda s: (counts[s], s))
+        weight, m = [counts[s] for s in symbols], len(symbols)
+        parent, leaf, node = [0] * (2 * m - 1), 0, m
+        for new in range(m, 2 * m - 1):
+            total = 0
+            for _ in (0, 1):
+                if leaf < m and (node >= new or weight[leaf] <= weight[node]):
+                    pick, leaf = leaf, leaf + 1
+                else:
+                    pick, node = node, node + 1
+                parent[pick] = new
+                total += weight[pick]
+            weight.append(total)
+        depth = [0] * (2 * m - 1)
+        for k in range(2 * m - 3, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth[:m]) <= most:
+            return dict(zip(symbols, depth))
         counts = {s: n // 2 + 1 for s, n in counts.items()}
 
 
 def canonical(lengths: dict[int, int]) -> dict[int, int]:
     """The codes of these lengths, first bit lowest."""
-    out, code, last = {}, 0, 0
-    for n, symbol in sorted((n, s) for s, n in lengths.items()):
-        code <<= n - last
-        last = n
-        out[symbol] = int(f"{code:0{n}b}"[::-1], 2)
-        code += 1
-    return out
+    pairs = sorted((n, s) for s, n in lengths.items())
+    sizes = 1 << (15 - np.array([n for n, _ in pairs]))
+    return dict(zip([s for _, s in pairs], backwards(15)[np.cumsum(sizes) - sizes].tolist()))
 
 
 def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
@@ -447,22 +565,21 @@ def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
         put(1 | 1 << 2, 3)
         put(used[0] if used else 0, 8)
         return value, at, codes, sizes
-    lengths = code_lengths({k: int(counts[k]) for k in used}, 15)
-    codes[used], sizes[used] = list(map(canonical(lengths).__getitem__, used)), list(map(lengths.__getitem__, used))
-    said, row, k = [], sizes.tolist(), 0
-    while k < alphabet:
-        run = 1
-        while k + run < alphabet and row[k + run] == row[k] and run < 138:
-            run += 1
-        if not row[k] and run >= 3:
-            said.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
-        elif said and run >= 3 and k and row[k - 1] == row[k] and row[k]:
-            run = min(run, 6)
-            said.append((16, run - 3, 2))
-        else:
-            run = 1
-            said.append((row[k], 0, 0))
-        k += run
+    lengths = code_lengths(dict(zip(used, counts[used].tolist())), 15)
+    sizes[used] = [lengths[k] for k in used]
+    order = np.array(used)[np.argsort(sizes[used], kind="stable")]
+    room = 1 << (15 - sizes[order])
+    codes[order] = backwards(15)[np.cumsum(room) - room]
+    said, turns = [], np.flatnonzero(np.diff(sizes, prepend=-1))
+    for value_, run in zip(sizes[turns].tolist(), np.diff(np.append(turns, alphabet)).tolist()):
+        if value_:
+            said.append((value_, 0, 0))
+            run -= 1
+        while run >= 3:
+            n = min(run, 6 if value_ else 138)
+            said.append((16, n - 3, 2) if value_ else (18, n - 11, 7) if n >= 11 else (17, n - 3, 3))
+            run -= n
+        said += [(value_, 0, 0)] * run
     kinds = Counter(x for x, _, _ in said)
     first = code_lengths(kinds if len(kinds) > 1 else {0: 0, 18: 0} | kinds, 7)
     bits = canonical(first)
@@ -517,36 +634,55 @@ def neighbours(width: int) -> dict[int, int]:
     return {dx + dy * width: k + 1 for k, (dx, dy) in reversed(list(enumerate(NEIGHBOURS))) if dx + dy * width >= 1}
 
 
-def counted(samples: np.ndarray) -> bytes:
-    """The VP8L stream of samples with counted prefix codes, one for red, blue and alpha, and back-references."""
-    height, width, _ = samples.shape
-    rows = np.ascontiguousarray(samples).reshape(-1, 4)
+def coded(rows: np.ndarray, width: int, main: bool, value: int, at: int) -> tuple[bytes, int]:
+    """An entropy-coded image of (pixels, 4) samples behind the bits that value holds, and the number of all bits.
+
+    With counted prefix codes (one for red, blue and alpha), and either
+    back-references or a colour cache, whichever leaves fewer bits by an
+    estimate: a literal counts for 18 bits, a back-reference for 26, a place of
+    the cache for 9 and, once, 5 for its code. The cache, whose code is long to
+    describe, has to save an eighth of the literals' bits more.
+    """
+    n = len(rows)
     found, near = copies(rows.view("<u4")[:, 0]), neighbours(width)
-    kept, taken = np.ones(len(rows), bool), np.zeros(len(rows), bool)
+    argb = rows[:, [2, 1, 0, 3]].copy().view("<u4")[:, 0]
+    cache_bits = min(max(n.bit_length() - 2, 1), 10)
+    places = cache_place(argb, cache_bits)
+    order = np.argsort(places, kind="stable")
+    hit = np.zeros(n, bool)
+    hit[order[1:]] = (places[order[1:]] == places[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
+    hits, kinds = int(hit.sum()), len(np.unique(places[hit]))
+    if 9 * hits - 5 * kinds <= 18 * sum(size for _, size, _ in found) - 26 * len(found) + 18 * n // 8:
+        cache_bits, hit[:] = 0, False
+    else:
+        found = []
+    value |= (1 | cache_bits << 1 if cache_bits else 0) << at
+    at += (5 if cache_bits else 1) + main  # no meta codes
+    kept, taken = np.ones(n, bool), np.zeros(n, bool)
     for start, size, _ in found:
         kept[start + 1 : start + size] = False
         taken[start] = True
-    taken = taken[kept]
+    taken, hit, places = taken[kept], hit[kept], places[kept]
     steps = rows[kept][:, [1, 0, 2, 3]].astype(np.int64)  # four parts a step: the samples of a pixel, or length, its extra bits, distance, its extra bits
+    steps[hit, 0] = places[hit].astype(np.int64) + 280
     extra = np.zeros((len(found), 2, 2), np.int64)
     if found:
         said = np.array([(*spoken(size), *spoken(near.get(back, back + len(NEIGHBOURS)))) for _, size, back in found])
         steps[taken, 0], steps[taken, 2] = said[:, 0] + 256, said[:, 3]
         extra = said[:, [1, 2, 4, 5]].reshape(-1, 2, 2)
-    plain = steps[~taken]
+    whole = ~(taken | hit)
+    plain = steps[whole]
     codes = [
-        counted_code(np.bincount(steps[:, 0], minlength=280)),
+        counted_code(np.bincount(steps[:, 0], minlength=280 + (1 << cache_bits if cache_bits else 0))),
         counted_code(np.bincount(plain[:, 1:].reshape(-1), minlength=256)),
         counted_code(np.bincount(steps[taken, 2], minlength=40)),
     ]
-    value = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36  # alpha; version, no transform, cache or meta codes in zeros
-    at = 43
     for k in (0, 1, 1, 1, 2):
         value |= codes[k][0] << at
         at += codes[k][1]
-    bits, sizes = np.empty_like(steps), np.empty_like(steps)
+    bits, sizes = np.zeros_like(steps), np.zeros_like(steps)
     bits[:, 0], sizes[:, 0] = codes[0][2][steps[:, 0]], codes[0][3][steps[:, 0]]
-    bits[~taken, 1:], sizes[~taken, 1:] = codes[1][2][plain[:, 1:]], codes[1][3][plain[:, 1:]]
+    bits[whole, 1:], sizes[whole, 1:] = codes[1][2][plain[:, 1:]], codes[1][3][plain[:, 1:]]
     bits[taken, 2], sizes[taken, 2] = codes[2][2][steps[taken, 2]], codes[2][3][steps[taken, 2]]
     bits[taken, 1::2], sizes[taken, 1::2] = extra[..., 0], extra[..., 1]
     bits, sizes = bits.reshape(-1), sizes.reshape(-1)
@@ -556,9 +692,36 @@ def counted(samples: np.ndarray) -> bytes:
     most = int(ends[-1]) // 32 + 2
     body = np.bincount(word, moved & 0xFFFFFFFF, most) + np.bincount(word + 1, moved >> 32, most)  # no bit stands twice, so sums are exact
     body = body.astype("<u4")
-    whole = at // 32 * 4
-    body[0] |= value >> 8 * whole
-    return (value & ((1 << 8 * whole) - 1)).to_bytes(whole, "little") + body.tobytes()[: -(-int(ends[-1]) // 8)]
+    before = at // 32 * 4
+    body[0] |= value >> 8 * before
+    total = at - at % 32 + int(ends[-1])
+    return ((value & ((1 << 8 * before) - 1)).to_bytes(before, "little") + body.tobytes())[: -(-total // 8)], total
+
+
+def counted(samples: np.ndarray) -> bytes:
+    """The VP8L stream of samples with counted prefix codes; of few colours, with a palette where that's smaller."""
+    height, width, _ = samples.shape
+    rows = np.ascontiguousarray(samples).reshape(-1, 4)
+    head, at = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36, 40  # alpha; version 0
+    stream, _ = coded(rows, width, True, head, at + 1)
+    colours, index = np.unique(rows.view("<u4")[:, 0], return_inverse=True) if len(rows) <= 1 << 14 else ((), ())
+    if not 0 < len(colours) <= min(256, max(len(rows) // 4, 1)):
+        return stream
+    n = len(colours)
+    table = colours.view(np.uint8).reshape(-1, 4)
+    value, size = coded(np.diff(table, axis=0, prepend=np.zeros((1, 4), np.uint8)).astype(np.uint8), n, False, 0, 0)
+    head |= (1 | PALETTE << 1 | n - 1 << 3) << at
+    at += 11
+    head |= (int.from_bytes(value, "little") & ((1 << size) - 1)) << at
+    packed = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
+    each, now = 8 >> packed, -(-width >> packed)
+    grid = np.zeros((height, now << packed), np.uint8)
+    grid[:, :width] = index.reshape(height, width)
+    small = np.zeros((height * now, 4), np.uint8)
+    for k in range(1 << packed):
+        small[:, 1] |= grid[:, k :: 1 << packed].reshape(-1) << np.uint8(each * k)
+    small[:, 3] = 255
+    return min(stream, coded(small, now, True, head, at + size + 1)[0], key=len)
 
 
 def encode(samples: np.ndarray) -> bytes:

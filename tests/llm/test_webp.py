@@ -298,3 +298,46 @@ def test_writer_counts_codes_and_refers_back(seed):
         media = store(payload)
         assert b"".join(x.tobytes() for x in decode(media)) == payload and len(media) < 0.75 * len(payload)
     assert len(store(line * 40)) < 400 and len(store(b" " * 9000 + b" " * 24)) < 100
+
+
+def test_what_the_media_of_texts_put_to_use(monkeypatch):
+    """Which parts of the decoder the stored forms of texts reach, and that they're smaller than the texts."""
+    reached = set()
+    steps, whole, colour = webp.read_steps, webp.read_pixels, webp.colour_in
+
+    def watched(bits, codes, total, width, cache_bits=0):
+        made = steps(bits, codes, total, width, cache_bits)
+        reached.add("cache" if cache_bits else "counted codes")
+        return made
+
+    def counting(*x):
+        reached.add("palette")
+        return colour(*x)
+
+    referred = lambda *x: (reached.add("back-references"), prefixed(*x))[1]
+    prefixed = webp.prefixed
+    monkeypatch.setattr(webp, "read_steps", watched)
+    monkeypatch.setattr(webp, "colour_in", counting)
+    monkeypatch.setattr(webp, "prefixed", referred)
+    dice = random.Random(4)
+    words = ["".join(dice.choices("etaoinshrdlu", k=dice.randrange(2, 9))) for _ in range(300)]
+    prose = " ".join(dice.choices(words, k=2000)).encode()
+    lines = b"".join(b"%-180s row number\n" % dice.choice(words).encode() for _ in range(40))
+    few = b"".join(dice.choice([b"ab  ", b"cd  ", b"ef  "]) for _ in range(960))
+    for text in (prose, lines, few, b"", b"x" * 500):
+        payload = text.ljust(max(-(-len(text) // 192), 1) * 192)
+        media = store(payload)
+        assert b"".join(x.tobytes() for x in decode(media)) == payload
+        assert len(media) < len(payload) or len(payload) == 192
+    assert reached == {"counted codes", "cache", "palette", "back-references"}
+    assert whole is webp.read_pixels and len(store(prose.ljust(-(-len(prose) // 192) * 192))) < 0.7 * len(prose)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_caches_and_palettes_are_read_back(seed):
+    dice = np.random.default_rng(seed)
+    for kinds, n in ((2, 48), (3, 480), (4, 960), (16, 960), (17, 4800), (200, 4800), (256, 48 * 300), (900, 48 * 300)):
+        table = dice.integers(0, 256, (kinds, 4), dtype=np.uint8)
+        pixels = table[dice.integers(0, kinds, n) if seed % 2 else np.minimum(dice.geometric(0.05, n), kinds) - 1]
+        pixels = np.where(dice.random(n)[:, None] < 0.1 * (seed % 3), dice.integers(0, 256, (n, 4), dtype=np.uint8), pixels).astype(np.uint8).reshape(-1, 48, 4)
+        assert (decode(encode(pixels))[0] == pixels).all()
