@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -27,8 +26,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Spark's setting that a query's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
-    """Tables of one operator in the shared folder: lineage ends there and each is computed once. What no later step reads is dropped, so disk holds what is in use only."""
+    """Tables of one operator in the shared folder: lineage ends there and each is computed once.
+
+    A table's shuffle files go when it's written, and tables that no later step
+    reads are dropped, so disk holds what is in use only.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.top = spark, f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
@@ -37,29 +44,31 @@ class Scratch:
     def settled(self, df: DataFrame) -> DataFrame:
         """df, written and read back."""
         path = f"{self.top}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths.append((back, path))
         return back
 
-    def drop(self, *frames: DataFrame, shuffles: bool = False) -> None:
-        """Deletes these settled tables; nothing may read them any more. shuffles: asks Spark to remove shuffle files that no frame needs, too."""
-        self._delete([p for df, p in self.paths if any(df is x for x in frames)], shuffles)
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes these settled tables; nothing may read them any more."""
+        self._delete([p for df, p in self.paths if any(df is x for x in frames)])
 
     def keep(self, *frames: DataFrame) -> None:
-        """Deletes all settled tables but these, and shuffle files that no frame needs."""
-        self._delete([p for df, p in self.paths if not any(df is x for x in frames)], True)
+        """Deletes all settled tables but these."""
+        self._delete([p for df, p in self.paths if not any(df is x for x in frames)])
 
-    def _delete(self, paths: list[str], shuffles: bool) -> None:
+    def _delete(self, paths: list[str]) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(conf).delete(at, True)
         self.paths = [x for x in self.paths if x[1] not in paths]
-        if shuffles:  # Spark removes them when the driver has let their frames go
-            gc.collect()
-            jvm.System.gc()
 
 
 def settled(df: DataFrame) -> DataFrame:
