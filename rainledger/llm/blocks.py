@@ -113,6 +113,8 @@ def asked(made: DataFrame, ask: Callable[[dict], Iterator[tuple[int, bytes]]], c
         for batch in batches:
             for row in rows_of(batch):
                 found = list(ask(row))
+                if not found:
+                    continue
                 shards, requests = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array([row["block"]] * len(found), pa.int64()), pa.array(requests, pa.binary())], ["shard", "block", "request"])
 

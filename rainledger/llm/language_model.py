@@ -1,16 +1,22 @@
-"""Language-model scores from Elias-Fano bigram tries over shards of the corpus.
+"""Language-model scores from Elias-Fano trigram tries over shards of the corpus.
 
-The model interpolates discounted bigram counts with the add-half unigram:
+The model interpolates discounted trigram counts with discounted bigram counts
+with the add-half unigram:
 p(w|v) = max(c(vw) - D, 0) / c(v) + D n(v) / c(v) p1(w), n(v) being the
-different followers of v; after an unseen v it's p1(w). Each document is led by
-the end token. A shard holds contexts by hash; the followers of words that are
-a noticeable share of the corpus are dealt over all shards. Bigram
-probabilities and back-off weights are stored as 16-bit logarithms.
+different followers of v; after an unseen v it's p1(w).
+p(w|uv) = max(c(uvw) - D, 0) / c(uv) + D n(uv) / c(uv) p(w|v); after an unseen uv
+it's p(w|v). Each document is led by the end token; its first token has no
+trigram. A shard holds contexts by hash, and below a context its followers and
+theirs; the followers of words that are a noticeable share of the corpus are
+dealt over all shards. Probabilities and back-off weights are stored as 16-bit
+logarithms. Followers are told apart by 32 bits of their hash, followers of
+followers by 24, which are looked up within their own context only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainledger.llm.blocks import END, Block, answered, asked, blocks, packed, rows_of, shards, unpacked, with_replies
-from rainledger.llm.frames import crc
+from rainledger.llm.frames import Scratch, crc
 from rainledger.llm.trie import Trie
 
 DISCOUNT = 0.75
 #: A word with more than this share of a block's tokens is looked at; one with a quarter of it of the corpus is hot. So there are 4 / OFTEN hot words at most.
 OFTEN = 1 / 1024
+#: Tokens of a shard; turns that the exchange and the scoring are done in, so that the shuffle files of one are gone before the next.
+EACH, TURNS = 3 << 18, 2
 #: Steps of a stored logarithm to a factor of ten; stored ones reach down to 10 ** -21.
 STEPS = 3000
 _end = np.uint64(xxhash.xxh3_64_intdigest(END))
@@ -40,7 +48,7 @@ def decoded(code: np.ndarray) -> np.ndarray:
 
 
 class Pairs:
-    """The different pairs of neighbouring words of a block, dealt to shards; the same order each time."""
+    """The different pairs of neighbouring words of a block, dealt to shards, and the trigrams below them; the same order each time."""
 
     def __init__(self, row: dict, n_shards: int, hot: np.ndarray):
         b = Block(row)
@@ -56,6 +64,17 @@ class Pairs:
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         self.parts = [(int(shard[x[0]]), x) for x in np.split(order, cuts[1:])]
+        self.on = np.flatnonzero(np.append(False, b.owner[1:] == b.owner[:-1]))  # places with a trigram: all but the first of each document
+        self.context = self.of[self.on - 1]
+        self.keys3, self.of3 = np.unique(self.context * n + b.tokens[self.on], return_inverse=True)
+        self.third = self.keys3 % n
+        self.many3 = np.bincount(self.keys3 // n, minlength=len(self.keys))
+        self.start3 = np.cumsum(self.many3) - self.many3
+
+    def below(self, part: np.ndarray) -> np.ndarray:
+        """Numbers of the trigrams below the pairs of a part, in their order."""
+        many = self.many3[part]
+        return np.arange(many.sum()) + np.repeat(self.start3[part] - (np.cumsum(many) - many), many)
 
     def contexts(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different first words of a part, and how many pairs each has."""
@@ -63,27 +82,42 @@ class Pairs:
         return self.first[part][turn], np.diff(np.append(turn, len(part)))
 
 
-def ask(row: dict, n_shards: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """What a block tells each shard: contexts, their counts in training texts, numbers of followers, followers (40 bits), counts."""
+def ask(row: dict, n_shards: int, hot: np.ndarray, turn: int) -> Iterator[tuple[int, bytes]]:
+    """What a block tells each shard: contexts, their counts in training texts, numbers of followers, followers (32 bits), counts, and the same of followers' followers (24 bits)."""
     p = Pairs(row, n_shards, hot)
     chosen = np.array(row["chosen"])[p.block.owner]
     counts = np.bincount(p.block.tokens[chosen], minlength=len(p.block.words))
     together = np.bincount(p.of[chosen], minlength=len(p.keys))
-    for shard, part in p.parts:
+    triples = np.bincount(p.of3[chosen[p.on]], minlength=len(p.keys3))
+    for shard, part in (x for x in p.parts if x[0] % TURNS == turn):
         words, n = p.contexts(part)
-        body = packed(p.block.words[words], counts[words].astype(np.uint32), n.astype(np.uint32), (p.block.words[p.second[part]] >> np.uint64(24)), together[part].astype(np.uint32))
-        yield shard, len(words).to_bytes(4, "little") + len(part).to_bytes(4, "little") + body
+        low = p.below(part)
+        body = packed(p.block.words[words], counts[words].astype(np.uint32), n.astype(np.uint32), (p.block.words[p.second[part]] >> np.uint64(32)).astype(np.uint32), together[part].astype(np.uint32), p.many3[part].astype(np.uint32), (p.block.words[p.third[low]] >> np.uint64(40)).astype(np.uint32), triples[low].astype(np.uint32))
+        yield shard, b"".join(len(x).to_bytes(4, "little") for x in (words, part, low)) + body
+
+
+def _third_level(pair: np.ndarray, each: np.ndarray, third: np.ndarray, seen: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of trigrams, looked up in the trie's last level, and back-off codes of pairs. pair: the number of each pair told, each: its trigrams told."""
+    n_pairs = int(pair.max(initial=-1)) + 1
+    owner = np.repeat(pair, each)
+    kinds, of = np.unique((owner.astype(np.uint64) << np.uint64(24)) | third, return_inverse=True)
+    n = np.bincount(of, weights=seen, minlength=len(kinds))
+    kinds, n = kinds[n > 0], n[n > 0]
+    whose = (kinds >> np.uint64(24)).astype(np.int64)
+    total, after = np.bincount(whose, weights=n, minlength=n_pairs), np.bincount(whose, minlength=n_pairs)
+    level = Trie(np.arange(n_pairs, dtype=np.uint64), whose, kinds & np.uint64((1 << 24) - 1), coded(np.maximum(n - discount, 0) / total[whose]))
+    return level.find(owner, third.astype(np.uint64)), coded(np.where(total > 0, discount * after / np.maximum(total, 1), 0))
 
 
 def answer(requests: list[bytes], hot: dict[int, int], discount: float) -> tuple[list[bytes], dict]:
-    """Builds the shard's trie from all it was told and answers each block: counts and back-off codes of its contexts, codes of its pairs."""
-    words, counts, each, second, together, sizes = [], [], [], [], [], []
+    """Builds the shard's trie from all it was told and answers each block: counts and back-off codes of its contexts, codes and back-off codes of its pairs, codes of its trigrams."""
+    words, counts, each, second, together, each3, third, triples, sizes = [], [], [], [], [], [], [], [], []
     for r in requests:
-        m, n = int.from_bytes(r[:4], "little"), int.from_bytes(r[4:8], "little")
-        got = unpacked(r[8:], (np.uint64, m), (np.uint32, m), (np.uint32, m), (np.uint64, n), (np.uint32, n))
-        for x, y in zip((words, counts, each, second, together), got):
+        m, n, k = (int.from_bytes(r[4 * i : 4 * i + 4], "little") for i in range(3))
+        got = unpacked(r[12:], (np.uint64, m), (np.uint32, m), (np.uint32, m), (np.uint32, n), (np.uint32, n), (np.uint32, n), (np.uint32, k), (np.uint32, k))
+        for x, y in zip((words, counts, each, second, together, each3, third, triples), got):
             x.append(y)
-        sizes.append((m, n))
+        sizes.append((m, n, k))
     contexts, place = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(place, weights=np.concatenate(counts), minlength=len(contexts))
     common = np.array([hot.get(int(w), -1) for w in contexts]) if hot else np.full(len(contexts), -1)
@@ -99,11 +133,13 @@ def answer(requests: list[bytes], hot: dict[int, int], discount: float) -> tuple
     after = np.bincount(whose, minlength=len(contexts))
     back = coded(np.where(total > 0, discount * after / np.maximum(total, 1), 0))
     codes = trie.find(owner, follower)
-    replies, i, j = [], 0, 0
-    for m, k in sizes:
-        own = place[i : i + m]
-        replies.append(packed(total[own].astype(np.uint64), back[own], codes[j : j + k]))
-        i, j = i + m, j + k
+    owner = follower = key = None
+    codes3, back3 = _third_level(of, np.concatenate(each3), np.concatenate(third), np.concatenate(triples), discount)
+    replies, i, j, low = [], 0, 0, 0
+    for m, n, k in sizes:
+        own, pairs = place[i : i + m], of[j : j + n]
+        replies.append(packed(total[own].astype(np.uint64), back[own], codes[j : j + n], back3[pairs], codes3[low : low + k]))
+        i, j, low = i + m, j + n, low + k
     warm = np.flatnonzero(common >= 0)
     return replies, {"distinct": int(((total > 0) & (common < 0)).sum()), "warm": contexts[warm].view(np.int64).tolist(), "after": after[warm].tolist()}
 
@@ -141,8 +177,9 @@ def model_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, discount: f
     """
     kind = docs.schema[id_col].dataType.simpleString()
     out = F.coalesce(crc(F.col(id_col)) % folds == held_out, F.lit(False))
-    made = blocks(docs, lambda x: x.encode().lower().split(), ~out, id_col, text_col)
-    n_shards, _ = shards(made)
+    scratch = Scratch(docs.sparkSession)
+    made = blocks(docs, lambda x: x.encode().lower().split(), ~out, id_col, text_col, scratch=scratch)
+    n_shards, _ = shards(made, EACH)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,8 +188,10 @@ def model_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, discount: f
     total = made.select("sizes", "chosen").mapInArrow(size, "n long").agg(F.sum("n")).first()[0] or 0
     hot = _hot(made, total)
     keys = np.array(list(hot), np.uint64)
-    requests = asked(made, lambda row: ask(row, n_shards, keys), ["sizes", "chosen", "words", "data"])
-    replies = answered(requests, lambda r: answer(r, hot, discount), {"distinct": pa.int64(), "warm": pa.list_(pa.int64()), "after": pa.list_(pa.int64())})
+    extra, replies = {"distinct": pa.int64(), "warm": pa.list_(pa.int64()), "after": pa.list_(pa.int64())}, None
+    for turn in range(TURNS):
+        part = answered(asked(made, lambda row, turn=turn: ask(row, n_shards, keys, turn), ["sizes", "chosen", "words", "data"]), lambda r: answer(r, hot, discount), extra, scratch)
+        replies = part if replies is None else replies.union(part)
     distinct = (replies.agg(F.sum("distinct")).first()[0] or 0) + len(hot)
     after = {r.h & (1 << 64) - 1: r.n for r in replies.where("warm is not null").select(F.explode(F.arrays_zip("warm", "after")).alias("x")).groupBy(F.col("x.warm").alias("h")).agg(F.sum("x.after").alias("n")).collect()}
     one = lambda c: (c + 0.5) / (total + 0.5 * (distinct + 1))
@@ -163,10 +202,11 @@ def model_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, discount: f
                 p = Pairs(row, n_shards, keys)
                 b, got = p.block, {r["shard"]: r["reply"] for r in row["replies"]}
                 count, back, codes = np.zeros(len(b.words)), np.zeros(len(b.words)), np.zeros(len(p.keys), np.uint16)
+                back3, codes3 = np.zeros(len(p.keys), np.uint16), np.zeros(len(p.keys3), np.uint16)
                 for shard, part in p.parts:
                     words, _ = p.contexts(part)
-                    m = len(words)
-                    count[words], back_codes, codes[part] = unpacked(got[shard], (np.uint64, m), (np.uint16, m), (np.uint16, len(part)))
+                    m, n, low = len(words), len(part), p.below(part)
+                    count[words], back_codes, codes[part], back3[part], codes3[low] = unpacked(got[shard], (np.uint64, m), (np.uint16, m), (np.uint16, n), (np.uint16, n), (np.uint16, len(low)))
                     back[words] = decoded(back_codes)
                 for i in np.flatnonzero(p.hot):
                     w = int(b.words[i])
@@ -174,6 +214,7 @@ def model_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, discount: f
                 back[count == 0] = 1.0
                 unigram = one(count)
                 value = decoded(codes)[p.of] + back[p.before] * unigram[b.tokens]
+                value[p.on] = decoded(codes3)[p.of3] + np.where(back3 > 0, decoded(back3), 1.0)[p.context] * value[p.on]
                 n = len(b.sizes)
                 sums = lambda x: pa.array(np.bincount(b.owner, weights=x, minlength=n))
                 arrays = [
@@ -188,4 +229,9 @@ def model_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, discount: f
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return with_replies(made.select("block", "ids", "sizes", "chosen", "words", "data"), replies.select("shard", "block", "reply")).mapInArrow(score, schema)
+    scores = []
+    for turn in range(TURNS):
+        mine = F.pmod(F.xxhash64("block"), F.lit(TURNS)) == turn
+        scores.append(scratch.settled(with_replies(made.where(mine).select("block", "ids", "sizes", "chosen", "words", "data"), replies.where(mine).select("shard", "block", "reply")).mapInArrow(score, schema)))
+    scratch.keep(*scores)
+    return reduce(DataFrame.union, scores)

@@ -1,8 +1,8 @@
-"""A two-level n-gram trie with Elias-Fano sequences over memory-mapped arrays."""
+"""A level of an n-gram trie with Elias-Fano sequences over memory-mapped arrays."""
 
 from __future__ import annotations
 
-import tempfile
+import mmap
 
 import numpy as np
 
@@ -14,13 +14,14 @@ for _byte in range(256):
 
 
 def mapped(x: np.ndarray) -> np.ndarray:
-    """x in a file that is mapped, and is gone with the last use of it."""
+    """x in mapped memory of its own, outside the heap, which goes back to the system with the last use of it."""
     if not x.size:
         return x
-    with tempfile.TemporaryFile() as f:
-        x.tofile(f)
-        f.flush()
-        return np.memmap(f, x.dtype, "r", shape=x.shape)
+    memory = mmap.mmap(-1, x.nbytes)
+    out = np.frombuffer(memory, x.dtype)
+    out[:] = x
+    out.flags.writeable = False
+    return out
 
 
 class EliasFano:

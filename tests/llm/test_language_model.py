@@ -37,7 +37,7 @@ def test_trie():
 @pytest.mark.parametrize("often,each", [(1 / 1024, 4 << 20), (0.02, 500), (2.0, 300)])
 def test_against_brute_force(spark, monkeypatch, often, each):
     monkeypatch.setattr(language_model, "OFTEN", often)
-    monkeypatch.setattr(language_model, "shards", lambda made: (sum(r[0] for r in made.select("n_tokens").collect()) // each + 1, 0))
+    monkeypatch.setattr(language_model, "shards", lambda made, _: (sum(r[0] for r in made.select("n_tokens").collect()) // each + 1, 0))
     dice = random.Random(1)
     texts = [" ".join(dice.choices(["The", "the", "a", "é", "É", "rain x", "\x85", *map(str, range(60))], weights=[40, 20, 10, *[1] * 64], k=dice.randrange(90))) for _ in range(150)]
     texts += ["", None, "  \t\n", "x " * 30_000, texts[0]]
@@ -45,15 +45,21 @@ def test_against_brute_force(spark, monkeypatch, often, each):
     df = spark.createDataFrame(rows, "doc_id long, text string, score double").repartition(3)
     tokens = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), b"\n"] for _, t, _ in rows]
     held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _, _ in rows]
-    c, pairs = Counter(), Counter()
+    c, pairs, triples = Counter(), Counter(), Counter()
     for t, h in zip(tokens, held):
         if not h:
             c.update(t)
             pairs.update(zip([b"\n", *t], t))
+            triples.update(zip([b"\n", *t], t, t[1:]))
     total, distinct, after = sum(c.values()), len(c), Counter(v for v, _ in pairs)
     p1 = lambda w: (c[w] + 0.5) / (total + 0.5 * (distinct + 1))
     p2 = lambda v, w: max(pairs[v, w] - 0.75, 0) / c[v] + 0.75 * after[v] / c[v] * p1(w) if c[v] else p1(w)
-    want = sorted((i or -1, h, len(t), sum(c[w] > 0 for w in t), total, sum(math.log10(p1(w)) for w in t), sum(math.log10(p2(v, w)) for v, w in zip([b"\n", *t], t))) for (i, _, _), h, t in zip(rows, held, tokens))
+    before, kinds = Counter(), Counter(x[:2] for x in triples)
+    for x, n in triples.items():
+        before[x[:2]] += n
+    p3 = lambda u, v, w: max(triples[u, v, w] - 0.75, 0) / before[u, v] + 0.75 * kinds[u, v] / before[u, v] * p2(v, w) if before[u, v] else p2(v, w)
+    score = lambda t: math.log10(p2(b"\n", t[0])) + sum(math.log10(p3(*x)) for x in zip([b"\n", *t], t, t[1:]))
+    want = sorted((i or -1, h, len(t), sum(c[w] > 0 for w in t), total, sum(math.log10(p1(w)) for w in t), score(t)) for (i, _, _), h, t in zip(rows, held, tokens))
     got = sorted((r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in model_scores(df).collect())
     assert [x[:5] for x in got] == [x[:5] for x in want]
     for x, y in zip(got, want):
