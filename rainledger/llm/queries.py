@@ -76,6 +76,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op13_grace_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.exact import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +93,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from rainledger.llm import decontaminate
+    from rainledger.llm import decontaminate, exact
 
-    return {"op2_template_decontamination": decontaminate.oracle()}
+    return {"op2_template_decontamination": decontaminate.oracle(), "op13_grace_hash_dedup": exact.oracle()}
