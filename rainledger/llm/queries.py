@@ -76,6 +76,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_tsqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_grace_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.exact import exact_groups
 
