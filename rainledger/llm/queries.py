@@ -82,6 +82,12 @@ def op11_tsqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rainledger.llm.lexical import ranked
+
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_grace_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rainledger.llm.exact import exact_groups
 
@@ -99,6 +105,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from rainledger.llm import decontaminate, exact
+    from rainledger.llm import decontaminate, exact, lexical
 
-    return {"op2_template_decontamination": decontaminate.oracle(), "op13_grace_hash_dedup": exact.oracle()}
+    return {"op2_template_decontamination": decontaminate.oracle(), "op12_bit_sliced_search": lexical.oracle(), "op13_grace_hash_dedup": exact.oracle()}
