@@ -56,12 +56,14 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, cell: float = 0.5)
     """points (x, y and other columns) with area: the smallest area whose polygon holds them, null where none does.
 
     A point on an edge to the right or above counts as outside, as ray casting
-    has it. Points without a place have no area; rows of points stay as many.
+    has it. Points without a place have no area. Each point meets one row, what
+    all polygons have in its cell, so rows of points stay as they are, repeated
+    ones too, and nothing depends on an id that a lost task would make anew.
     """
-    rows = points.withColumn("_row", F.monotonically_increasing_id())
-    inside = rows.select("_row", "x", "y", _cell(F.col("x"), cell).alias("i"), _cell(F.col("y"), cell).alias("j")).join(in_cells(polygons, cell), ["i", "j"])
-    hits = inside.where(crossings(F.col("edges"), F.col("x"), F.col("y")) % 2 == 1).groupBy("_row").agg(F.min("area").alias("area"))
-    return rows.join(hits, "_row", "left").drop("_row")
+    held = in_cells(polygons, cell).groupBy(F.col("i").alias("_i"), F.col("j").alias("_j")).agg(F.collect_list(F.struct("area", "edges")).alias("_held"))
+    at = points.withColumn("_i", _cell(F.col("x"), cell)).withColumn("_j", _cell(F.col("y"), cell))
+    around = F.filter("_held", lambda p: crossings(p["edges"], F.col("x"), F.col("y")) % 2 == 1)
+    return at.join(held, ["_i", "_j"], "left").withColumn("area", F.array_min(F.transform(around, lambda p: p["area"]))).drop("_i", "_j", "_held")
 
 
 def equal_area(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

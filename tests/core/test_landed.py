@@ -82,6 +82,18 @@ def test_line_grammar(spark, tmp_path):
     assert tuple(got[2].day) == (None, None, None, "ND")
     table = "head\n1 NORTH\nEAST (X) -5 3 ND\n2 SOUTH 1 2 -44\nfoot 3\n"
     assert [tuple(r) for r in one(spark, table, "string", L.cumulative_last(F.col("x")))] == [(1, "NORTH EAST (X)", None, 3), (2, "SOUTH", -44, 3)]
+    table = "1 A B\nfoot note\n5 6\n2 NORTH 24 PARGANAS 1 ND -3\n3 WEST\n(OLD)\n4 -5\n4 ONE 7\nTWO 8 9"
+    assert [tuple(r) for r in one(spark, table, "string", L.cumulative_last(F.col("x")))] == [(2, "NORTH 24 PARGANAS", -3, 3), (3, "WEST (OLD)", -5, 2), (4, "ONE 7 TWO", 9, 2)]
+
+
+def test_table_rows():
+    of = lambda body: L.table_rows(f'<p><table id="t">{body}</table><table id=u><tr><td>no', "t", "tip")
+    assert of("<tr><td>a&amp;b<br>c</td><th> d \n e</th></tr>") == [["a&bc", "d e"]]
+    assert of("<tr><td>a<td>b<tr><td>c") == [["a", "b"], ["c"]]  # ends that are left out
+    assert of('<tr><td>a<table><tr><td>in<td>ner</table>z<td>b') == [["ainnerz", "b"]]
+    assert of('<tr><td>a<i class="x tip">h<b>i</b><img src="a>b">d</i>e<!-- <td>no --></td></tr>') == [["ae"]]
+    assert of("<thead><tr><th>h</thead><tr><td/><td>5 < 6</td>") == [["h"], ["", "5 < 6"]]
+    assert L.table_rows("", "t", "tip") == [] and L.table_rows("<table id=t>", "t", "tip") == []
 
 
 def test_tables_boundaries_and_archives(spark, tmp_path):

@@ -39,6 +39,10 @@ def test_points_in_polygons_against_brute_force(spark):
     areas = spark.createDataFrame(polygons, RINGS)
     got = {r.id: r.area for r in G.point_in_polygon(points, areas, 0.7).collect()}
     assert got == {i: None if x is None else brute(polygons, x, y) for i, x, y in spots}
+    again = points.union(points).withColumn("_i", F.lit(3)).drop("_i")
+    for way in (again.repartition(7), again.groupBy("id", "x", "y").count().drop("count").union(points), again.orderBy("y")):  # after shuffles, and repeated rows
+        rows = G.point_in_polygon(way, areas, 0.7).collect()
+        assert len(rows) == way.count() and all(r.area == got[r.id] for r in rows)
     assert G.point_in_polygon(points.limit(0), areas).count() == 0 and G.point_in_polygon(points, areas.limit(0)).where("area IS NOT NULL").count() == 0
 
 
