@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rainledger.plans import groundwater, layers, rain, status, tables
+from rainledger.plans import groundwater, landing, layers, rain, status, tables
 
 FLAGSHIP = "status_full"
-PARTS = (groundwater, rain, layers, status, tables)
+PARTS = (groundwater, rain, layers, status, tables, landing)
 
 
 def queries():

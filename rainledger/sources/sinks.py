@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
@@ -82,3 +83,26 @@ def archive(df: DataFrame, path: str, keys: list[str]) -> int:
     if n:
         fresh.write.mode("append").parquet(path)
     return n
+
+
+def write_sorted(df: DataFrame, path: str, by: list[str], files: int) -> None:
+    """Parquet in order, within files and from file to file by name: a range of keys lies in few files, which statistics tell from the others. No task holds more than its range."""
+    df.repartitionByRange(files, *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
+def out_of_order(spark: SparkSession, path: str, by: list[str]) -> int:
+    """How many rows, in the order in which they are stored, come before the row in front of them; files are in the order of their names, and null is lowest."""
+    key = F.struct(*by)
+    rows = spark.read.parquet(path).select(key.alias("k"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    inside = rows.withColumn("before", F.lag("k").over(W.partitionBy("file").orderBy("at"))).where("before > k").count()
+    ends = rows.groupBy("file").agg(F.min("k").alias("low"), F.max("k").alias("high")).where("high IS NOT NULL")
+    across = ends.withColumn("before", F.lag("high").over(W.orderBy("file"))).where("before > low").count()  # a row a file
+    return inside + across
+
+
+def write_bucketed(df: DataFrame, path: str, by: list[str], buckets: int) -> DataFrame:
+    """df in buckets by some columns, sorted by them within; joins and groups by them need no exchange. The table is named by the last part of its path."""
+    name = "t_" + "".join(c if c.isalnum() else "_" for c in path.rstrip("/").rpartition("/")[2])
+    spread = df.repartition(buckets, *by)  # rows go where their bucket is, so each has one file
+    spread.write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+    return df.sparkSession.table(name)
