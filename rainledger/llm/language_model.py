@@ -48,24 +48,27 @@ def decoded(code: np.ndarray) -> np.ndarray:
 
 
 class Pairs:
-    """The different pairs of neighbouring words of a block, dealt to shards, and the trigrams below them; the same order each time."""
+    """The different pairs of neighbouring words of a block, dealt to shards, and the trigrams below them; the same order each time. With a turn, those of its shards only."""
 
-    def __init__(self, row: dict, n_shards: int, hot: np.ndarray):
+    def __init__(self, row: dict, n_shards: int, hot: np.ndarray, turn: int | None = None):
         b = Block(row)
         end = int(np.searchsorted(b.words, _end))
         self.block, n = b, len(b.words)
         self.before = np.concatenate([[end], b.tokens[:-1]])
-        self.keys, self.of = np.unique(self.before * n + b.tokens, return_inverse=True)
-        self.first, self.second = self.keys // n, self.keys % n
         self.hot = np.isin(b.words, hot)
-        shard = ((b.words >> np.uint64(20)) % np.uint64(n_shards)).astype(np.int64)[self.first]
-        spread = (b.words[self.second] >> np.uint64(8)) % np.uint64(n_shards)
-        shard = np.where(self.hot[self.first], (shard + spread.astype(np.int64)) % n_shards, shard)
+        home = ((b.words >> np.uint64(20)) % np.uint64(n_shards)).astype(np.int64)
+        spread = ((b.words >> np.uint64(8)) % np.uint64(n_shards)).astype(np.int64)
+        shard_of = lambda v, w: np.where(self.hot[v], (home[v] + spread[w]) % n_shards, home[v])
+        mine = np.ones(len(b.tokens), bool) if turn is None else shard_of(self.before, b.tokens) % TURNS == turn
+        self.at = np.flatnonzero(mine)  # places of the pairs
+        self.keys, self.of = np.unique(self.before[self.at] * n + b.tokens[self.at], return_inverse=True)
+        self.first, self.second = self.keys // n, self.keys % n
+        shard = shard_of(self.first, self.second)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        self.parts = [(int(shard[x[0]]), x) for x in np.split(order, cuts[1:])]
-        self.on = np.flatnonzero(np.append(False, b.owner[1:] == b.owner[:-1]))  # places with a trigram: all but the first of each document
-        self.context = self.of[self.on - 1]
+        self.parts = [(int(shard[x[0]]), x) for x in np.split(order, cuts[1:]) if len(x)]
+        self.on = np.flatnonzero(np.append(False, (b.owner[1:] == b.owner[:-1]) & mine[:-1]))  # places with a trigram: all but the first of each document
+        self.context = self.of[(np.cumsum(mine) - 1)[self.on - 1]]
         self.keys3, self.of3 = np.unique(self.context * n + b.tokens[self.on], return_inverse=True)
         self.third = self.keys3 % n
         self.many3 = np.bincount(self.keys3 // n, minlength=len(self.keys))
@@ -84,12 +87,12 @@ class Pairs:
 
 def ask(row: dict, n_shards: int, hot: np.ndarray, turn: int) -> Iterator[tuple[int, bytes]]:
     """What a block tells each shard: contexts, their counts in training texts, numbers of followers, followers (32 bits), counts, and the same of followers' followers (24 bits)."""
-    p = Pairs(row, n_shards, hot)
+    p = Pairs(row, n_shards, hot, turn)
     chosen = np.array(row["chosen"])[p.block.owner]
     counts = np.bincount(p.block.tokens[chosen], minlength=len(p.block.words))
-    together = np.bincount(p.of[chosen], minlength=len(p.keys))
+    together = np.bincount(p.of[chosen[p.at]], minlength=len(p.keys))
     triples = np.bincount(p.of3[chosen[p.on]], minlength=len(p.keys3))
-    for shard, part in (x for x in p.parts if x[0] % TURNS == turn):
+    for shard, part in p.parts:
         words, n = p.contexts(part)
         low = p.below(part)
         body = packed(p.block.words[words], counts[words].astype(np.uint32), n.astype(np.uint32), (p.block.words[p.second[part]] >> np.uint64(32)).astype(np.uint32), together[part].astype(np.uint32), p.many3[part].astype(np.uint32), (p.block.words[p.third[low]] >> np.uint64(40)).astype(np.uint32), triples[low].astype(np.uint32))
@@ -100,13 +103,15 @@ def _third_level(pair: np.ndarray, each: np.ndarray, third: np.ndarray, seen: np
     """Codes of trigrams, looked up in the trie's last level, and back-off codes of pairs. pair: the number of each pair told, each: its trigrams told."""
     n_pairs = int(pair.max(initial=-1)) + 1
     owner = np.repeat(pair, each)
-    kinds, of = np.unique((owner.astype(np.uint64) << np.uint64(24)) | third, return_inverse=True)
-    n = np.bincount(of, weights=seen, minlength=len(kinds))
-    kinds, n = kinds[n > 0], n[n > 0]
+    asked, of = np.unique((owner.astype(np.uint64) << np.uint64(24)) | third, return_inverse=True)
+    owner = None
+    n = np.bincount(of, weights=seen, minlength=len(asked))
+    kinds, n = asked[n > 0], n[n > 0]
     whose = (kinds >> np.uint64(24)).astype(np.int64)
     total, after = np.bincount(whose, weights=n, minlength=n_pairs), np.bincount(whose, minlength=n_pairs)
-    level = Trie(np.arange(n_pairs, dtype=np.uint64), whose, kinds & np.uint64((1 << 24) - 1), coded(np.maximum(n - discount, 0) / total[whose]))
-    return level.find(owner, third.astype(np.uint64)), coded(np.where(total > 0, discount * after / np.maximum(total, 1), 0))
+    low = np.uint64((1 << 24) - 1)
+    level = Trie(np.arange(n_pairs, dtype=np.uint64), whose, kinds & low, coded(np.maximum(n - discount, 0) / total[whose]))
+    return level.find((asked >> np.uint64(24)).astype(np.int64), asked & low)[of], coded(np.where(total > 0, discount * after / np.maximum(total, 1), 0))
 
 
 def answer(requests: list[bytes], hot: dict[int, int], discount: float) -> tuple[list[bytes], dict]:
@@ -125,14 +130,14 @@ def answer(requests: list[bytes], hot: dict[int, int], discount: float) -> tuple
     owner, follower = np.repeat(place, np.concatenate(each)), np.concatenate(second)
     seen = np.concatenate(together)
     key = (owner.astype(np.uint64) << np.uint64(40)) | follower
-    kinds, of = np.unique(key, return_inverse=True)
-    n = np.bincount(of, weights=seen, minlength=len(kinds))
-    kinds, n = kinds[n > 0], n[n > 0]
-    whose = (kinds >> np.uint64(40)).astype(np.int64)
-    trie = Trie(contexts, whose, kinds & np.uint64((1 << 40) - 1), coded(np.maximum(n - discount, 0) / np.maximum(total[whose], 1)))
+    asked, of = np.unique(key, return_inverse=True)
+    n = np.bincount(of, weights=seen, minlength=len(asked))
+    kinds, n = asked[n > 0], n[n > 0]
+    whose, low = (kinds >> np.uint64(40)).astype(np.int64), np.uint64((1 << 40) - 1)
+    trie = Trie(contexts, whose, kinds & low, coded(np.maximum(n - discount, 0) / np.maximum(total[whose], 1)))
     after = np.bincount(whose, minlength=len(contexts))
     back = coded(np.where(total > 0, discount * after / np.maximum(total, 1), 0))
-    codes = trie.find(owner, follower)
+    codes = trie.find((asked >> np.uint64(40)).astype(np.int64), asked & low)[of]
     owner = follower = key = None
     codes3, back3 = _third_level(of, np.concatenate(each3), np.concatenate(third), np.concatenate(triples), discount)
     replies, i, j, low = [], 0, 0, 0

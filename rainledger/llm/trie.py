@@ -53,8 +53,8 @@ class EliasFano:
         left = turn - ranks[word]
         data = np.asarray(self.high).reshape(-1, 8)[word]
         data = ~data if zeros else data
-        sums = np.cumsum(_ones[data], axis=1, dtype=np.int64)
-        byte = (sums <= left[:, None]).sum(1)
+        sums = np.cumsum(_ones[data], axis=1, dtype=np.uint8)
+        byte = (sums <= left.astype(np.uint8)[:, None]).sum(1, dtype=np.int64)
         rows = np.arange(len(turn))
         left = left - np.where(byte > 0, sums[rows, byte - 1], 0)
         return word * 64 + byte * 8 + _select[data[rows, byte], left]
@@ -69,19 +69,29 @@ class EliasFano:
     def access(self, at: np.ndarray) -> np.ndarray:
         return ((self._pick(at, False) - at).astype(np.uint64) << np.uint64(self.bits)) | self._lows(at)
 
-    def successor(self, x: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The first place in [first, end) with a value of x or more; end if there's none."""
-        high = (x >> np.uint64(self.bits)).astype(np.int64)
-        zeros = len(self.high) * 8 - self.n
-        high = np.minimum(high, zeros - 1)
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first place with a value of x or more among those with x's high bits, that run's end, and the high bits searched for (the last ones, for larger x)."""
+        high = np.minimum((x >> np.uint64(self.bits)).astype(np.int64), len(self.high) * 8 - self.n - 1)
         low = np.where(high > 0, self._pick(np.maximum(high - 1, 0), True) - (high - 1), 0)
-        up = self._pick(high, True) - high
+        up = end = self._pick(high, True) - high
         want = x & np.uint64((1 << self.bits) - 1)
         while (open_ := low < up).any():
             middle = (low + up) >> 1
             less = self._lows(np.minimum(middle, self.n - 1)) < want
             low, up = np.where(open_ & less, middle + 1, low), np.where(open_ & ~less, middle, up)
-        return np.minimum(np.maximum(low, first), end)
+        return low, end, high
+
+    def successor(self, x: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first place in [first, end) with a value of x or more; end if there's none."""
+        return np.minimum(np.maximum(self._search(x)[0], first), end)
+
+    def place(self, x: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first place in [first, end) with the value x; -1 if there's none. The successor's bits tell, so its value isn't read once more."""
+        low, run, high = self._search(x)
+        own = (x >> np.uint64(self.bits)).astype(np.int64) == high
+        there = own & (low >= first) & (low < np.minimum(run, end))
+        there &= self._lows(np.minimum(low, self.n - 1)) == x & np.uint64((1 << self.bits) - 1)
+        return np.where(there, low, -1)
 
 
 class Trie:
@@ -111,12 +121,12 @@ class Trie:
             return out
         number = np.searchsorted(self.names, follower)
         known = np.flatnonzero(self.names[np.minimum(number, len(self.names) - 1)] == follower)
+        ends = self.pointers.access(np.arange(self.pointers.n)).astype(np.int64)  # each context's run once, not for each question
+        base = np.where(ends > 0, self.followers.access(np.maximum(ends - 1, 0)), np.uint64(0))
         for k in range(0, len(known), 1 << 18):
             at = known[k : k + (1 << 18)]
-            first, end = (self.pointers.access(context[at] + d).astype(np.int64) for d in (0, 1))
-            base = np.where(first > 0, self.followers.access(np.maximum(first - 1, 0)), 0)
-            want = base.astype(np.uint64) + (number[at] + 1).astype(np.uint64)
-            place = self.followers.successor(want, first, end)
-            hit = (place < end) & (self.followers.access(np.minimum(place, self.followers.n - 1)) == want)
+            of = context[at]
+            place = self.followers.place(base[of] + (number[at] + 1).astype(np.uint64), ends[of], ends[of + 1])
+            hit = place >= 0
             out[at[hit]] = self.codes[place[hit]]
         return out
