@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainledger.functions.columns import rounded
-from rainledger.operators import coverage
+from rainledger.operators import borders, coverage
 from rainledger.operators import table_view as T
 from rainledger.operators.geometry import edges_of
 from rainledger.operators.nulls import null_rates
@@ -150,6 +150,32 @@ def inner_points(spark, sf_dir):
     return p.select("c_custkey", rounded(F.col("p.x"), 6).alias("x"), rounded(F.col("p.y"), 6).alias("y"))
 
 
+#: Shapes that need repair: a bow tie, a square with a spike and corners said twice, two parts that overlap.
+BROKEN = (
+    [[(0, 0), (2, 2), (2, 0), (0, 2)]],
+    [[(0, 0), (4, 0), (4, 0), (4, 4), (2, 4), (2, 6), (2, 4), (0, 4), (0, 0)]],
+    [[(0, 0), (4, 0), (4, 2), (0, 2)], [(2, 0), (6, 0), (6, 2), (2, 2)]],
+)
+
+
+def repaired_areas(spark, sf_dir):
+    """Rings and area of a broken shape of each customer, of its own place and size, once it's repaired."""
+    k, s = F.col("c_custkey"), 1 + F.col("c_custkey") % 5
+    corner = lambda x, y: F.struct((x * s + k % 50).cast("double").alias("x"), (y * s + k % 40).cast("double").alias("y"))
+    shapes = [F.array(*[F.array(*[corner(x, y) for x, y in ring]) for ring in shape]) for shape in BROKEN]
+    p = load(spark, sf_dir, "customer").select(k.alias("area"), F.when(k % 3 == 0, shapes[0]).when(k % 3 == 1, shapes[1]).otherwise(shapes[2]).alias("rings"))
+    fixed = borders.repaired(p, 4.0)
+    return fixed.select(F.col("area").alias("c_custkey"), F.size("rings").cast("long").alias("n_rings"), F.aggregate(F.transform("rings", coverage.signed_area), F.lit(0.0), lambda a, v: a + v).cast("long").alias("size"))
+
+
+def simplified_borders(spark, sf_dir):
+    """The nations' unions of their customers' cells with half of their corners' text: corners that are left of each ring."""
+    u = coverage.dissolved(_cells(spark, sf_dir), "nation")
+    corners = u.agg(F.sum(F.size(F.flatten("rings"))).alias("n")).first()["n"] or 0
+    kept = borders.simplified(u, corners * 5, 0)
+    return kept.select(F.col("area").cast("long").alias("nation"), F.posexplode("rings").alias("ring", "line")).select("nation", "ring", F.size("line").alias("corners"))
+
+
 def _rules_sql(layer: str, missing: str, facts: dict[str, str]) -> str:
     whens = " ".join(f"WHEN {facts[f]} THEN '{r}'" for name, f, r in RULES if name == layer)
     return f"SELECT district, strftime(snapshot, '%Y-%m-%d') AS snapshot, '{layer}' AS layer, {missing} AS missing, CASE WHEN {missing} THEN CASE {whens} ELSE 'no_data' END END AS reason FROM x8"
@@ -179,6 +205,7 @@ SQL = {
     "backtest_differences": f"WITH past AS ({_replay(S._FULL)} {_of_day}), present AS ({S._FULL} {_of_day}) SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS layer, count(*) FILTER (WHERE {_same(cs)}) AS n_same, count(*) AS n FROM past t JOIN present n USING (district)" for k, cs in LAYERS.items()) + ")",
     "dissolved_borders": f"WITH {_edges} SELECT nation, x1, y1, x2, y2 FROM u",
     "dissolved_areas": f"WITH {_edges} SELECT nation, cells, length FROM (SELECT nation, count(*) AS cells FROM c GROUP BY ALL) JOIN (SELECT nation, count(*) AS length FROM u GROUP BY ALL) USING (nation)",
+    "repaired_areas": "SELECT c_custkey, CASE c_custkey % 3 WHEN 1 THEN 1 ELSE 2 END::BIGINT AS n_rings, (1 + c_custkey % 5) * (1 + c_custkey % 5) * CASE c_custkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 16 ELSE 8 END AS size FROM customer",
     "inner_points": f"WITH p AS (SELECT c_custkey, i, a::DOUBLE * (1 + c_custkey % 7 / 8.0::DOUBLE) + c_custkey % 97 AS x, b::DOUBLE * (1 + c_custkey % 7 / 8.0::DOUBLE) + c_custkey % 89 AS y FROM customer, (VALUES {_star}) v(i, a, b)), m AS (SELECT c_custkey, (min(y) + max(y)) / 2 AS mid FROM p GROUP BY ALL), h AS (SELECT c_custkey, (max(y) FILTER (WHERE y <= mid) + min(y) FILTER (WHERE y > mid)) / 2 AS h FROM p JOIN m USING (c_custkey) GROUP BY ALL), x AS (SELECT p.c_custkey, h, p.x + (h - p.y) / (q.y - p.y) * (q.x - p.x) AS x FROM p JOIN p q ON q.c_custkey = p.c_custkey AND q.i = (p.i + 1) % {len(STAR)} JOIN h ON h.c_custkey = p.c_custkey WHERE (p.y > h) <> (q.y > h)), n AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY x) AS n, lead(x) OVER (PARTITION BY c_custkey ORDER BY x) AS e FROM x), b AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY e - x DESC, x) AS k FROM n WHERE n % 2 = 1) SELECT c_custkey, round_even((x + e) / 2 * 1e6, 0) / 1e6 AS x, round_even(h * 1e6, 0) / 1e6 AS y FROM b WHERE k = 1",
 }
-QUERIES = {k: globals()[k] for k in SQL}
+QUERIES = {k: globals()[k] for k in [*SQL, "simplified_borders"]}
