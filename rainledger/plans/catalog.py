@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rainledger.plans import groundwater, landing, layers, rain, review, status, tables
+from rainledger.plans import archives, groundwater, landing, layers, rain, review, status, tables
 
 FLAGSHIP = "status_full"
-PARTS = (groundwater, rain, layers, status, tables, landing, review)
+PARTS = (groundwater, rain, layers, status, tables, landing, archives, review)
 
 
 def queries():
