@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from rainledger.llm.frames import Scratch, per_batch
 
 #: Elements that stand inside a line; they neither end a block nor are style nodes.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br del".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br del "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mtable mtr mtd mstyle mpadded mphantom merror menclose mmultiscripts semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template textarea title iframe svg math object select canvas audio video xmp noframes".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select canvas audio video xmp noframes annotation annotation-xml".split())
 #: Elements that the start of a like one ends, up to the container that bounds this.
 CLOSES = {"li": ("li",), "p": ("p",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table article section main div body aside nav footer header form blockquote".split())
@@ -40,10 +41,12 @@ APART_ROLES = frozenset("navigation banner contentinfo complementary search dial
 APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside widget "
     "footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations "
-    "comment comments commentlist reply replies disqus respond login search form toolbar pager pagination".split()
+    "adsbygoogle comment comments commentlist reply replies disqus respond login search form toolbar pager pagination".split()
 )
 #: Words that may stand beside those in a class without changing what it means; a class with any other word says something else.
-BESIDE = frozenset("box bar block list area section container wrapper wrap inner outer main site page top bottom left right posts post articles links link buttons button items item icons icon group row col column content header title text slot unit thread media global primary secondary mobile desktop bg dark light".split())
+BESIDE = frozenset("box bar block list area section container wrapper wrap inner outer main site page top bottom left right posts post articles links link buttons button items item icons icon group row col column content header title text slot unit thread media global primary secondary mobile desktop bg dark light user users reader readers visitor visitors wp l c js law info panel layout region plugin fb facebook view views thread threads".split())
+#: Words of those that an article may also be about: inside one, a part named by them alone goes only if it holds links.
+LINKED = frozenset("social share sharing related recommended recommendations reply replies promo promotion notice notices search respond".split())
 HEADERS = frozenset("header masthead topbar".split())
 CONTENT = frozenset("article main".split())
 #: Elements of running text: their class never sets them apart.
@@ -72,6 +75,10 @@ class Page:
     nodes: parent, name, key (a hash of the path) and whether article or main is
     on it, parents first; node 0 is the page. blocks: node, text, apart (by
     names) in page order. layout: the children of each node.
+
+    A form stands apart, unless the page is in it: an article or main in it
+    doesn't, and where there's none outside, neither does a form that holds
+    paragraphs and most of the text.
     """
 
     def __init__(self, page: str):
@@ -79,22 +86,39 @@ class Page:
         self.blocks: list[tuple[int, str, bool]] = []
         self.layout: dict[int, list[str]] = defaultdict(list)
         self._at: dict[tuple[int, str], int] = {}
-        self._stack: list[tuple[str, int, bool]] = []  # tag, node, apart
+        self._stack: list[tuple[str, int, bool, int]] = []  # tag, node, apart for sure, mark
+        self._marks: list[list] = []  # what is judged at the end: kind, links, characters, whether it has paragraphs
+        self._held: list[tuple[int, str, bool, int]] = []
         self._open: dict[str, list[int]] = defaultdict(list)  # tag -> places in the stack
         self._bounds: list[int] = []
         self._words: list[str] = []
         self._read(page)
 
-    def _top(self) -> tuple[str, int, bool]:
-        return self._stack[-1] if self._stack else ("", 0, False)
+    def _top(self) -> tuple[str, int, bool, int]:
+        return self._stack[-1] if self._stack else ("", 0, False, -1)
+
+    def _mark(self, kind: str) -> int:
+        self._marks.append([kind, 0, 0, False])
+        return len(self._marks) - 1
+
+    def _judge(self) -> None:
+        """Which of the marked parts stand apart after all."""
+        open_ = [(node, text) for node, text, sure, mark in self._held if not sure and mark < 0]
+        article, free = any(self.content[node] for node, _ in open_), sum(len(text) for _, text in open_)
+        forms = sum(m[2] for m in self._marks if m[0] == "form")
+        apart = [links > 0 if kind == "linked" else article or not running or 2 * size <= free + forms for kind, links, size, running in self._marks]
+        self.blocks = [(node, text, sure or (mark >= 0 and apart[mark])) for node, text, sure, mark in self._held]
 
     def _flush(self) -> None:
         if self._words:
             text = " ".join(entities.unescape("".join(self._words)).split())
             self._words.clear()
             if text:
-                _, node, apart = self._top()
-                self.blocks.append((node, text, apart))
+                tag, node, sure, mark = self._top()
+                self._held.append((node, text, sure, mark))
+                if mark >= 0 and not sure:
+                    self._marks[mark][2] += len(text)
+                    self._marks[mark][3] |= tag in TEXT
 
     def _pop(self, n: int) -> None:
         while len(self._stack) > n:
@@ -120,20 +144,31 @@ class Page:
         above = [places[k] for t in ends if (places := self._open[t]) and (k := bisect_right(places, bound)) < len(places)]
         if above:
             self._pop(min(above))
-        _, node, apart = self._top()
+        _, node, sure, mark = self._top()
         kind = sorted(re.findall(r"[a-z]+", named.get("class", "")))
-        inside = self.content[node]
-        if not apart and tag not in ("body", "html"):
-            whole = tag in CONTENT
-            by_class = not whole and tag not in TEXT and any(said_apart(named.get(a, ""), APART_WORDS) for a in ("class", "id"))
-            head = not inside and (tag in HEADERS or (not whole and tag not in TEXT and any(said_apart(named.get(a, ""), HEADERS) for a in ("class", "id"))))
-            apart = tag in APART or named.get("role", "").strip() in APART_ROLES or by_class or head
+        inside, whole = self.content[node], tag in CONTENT
+        if whole and mark >= 0 and self._marks[mark][0] == "form":
+            mark = -1
+        if not sure and tag not in ("body", "html"):
+            told = [named.get(a, "") for a in ("class", "id")]
+            classed = not whole and tag not in TEXT
+            by_class = classed and any(said_apart(x, APART_WORDS) for x in told)
+            head = not inside and (tag in HEADERS or (classed and any(said_apart(x, HEADERS) for x in told)))
+            if tag == "form" and not inside:
+                mark = mark if mark >= 0 else self._mark("form")
+            elif tag in APART or named.get("role", "").strip() in APART_ROLES or head:
+                sure = True
+            elif by_class:
+                if inside and not any(said_apart(x, APART_WORDS - LINKED) for x in told):
+                    mark = mark if mark >= 0 else self._mark("linked")
+                else:
+                    sure = True
         name = ".".join([tag, *kind])
         self.layout[node].append(name)
         self._open[tag].append(len(self._stack))
         if tag in BOUNDS:
             self._bounds.append(len(self._stack))
-        self._stack.append((tag, self._child(node, name, inside or tag in CONTENT), apart))
+        self._stack.append((tag, self._child(node, name, inside or whole), sure, mark))
 
     def _ends(self, tag: str) -> None:
         if self._open[tag]:
@@ -198,15 +233,22 @@ class Page:
             if tag in INLINE:
                 if tag == "br":
                     self._words.append(" ")
+                elif tag == "a" and not ending and (mark := self._top()[3]) >= 0:
+                    self._marks[mark][1] += 1
             elif ending:
                 self._ends(tag)
             elif tag in RAW:
                 end = _raw_end[tag].search(page, at)
                 close = page.find(">", end.end()) if end else -1
+                if tag == "xmp":  # is shown as it stands
+                    self._flush()
+                    self._words.append(page[at : end.start() if end else size].replace("&", "&amp;"))
+                    self._flush()
                 at = size if close < 0 else close + 1
             else:
                 self._starts(tag, named)
         self._flush()
+        self._judge()
 
     def styles(self) -> list[tuple[int, int, int, bool]]:
         """(key, content, layout, within an article) of each node with text below it: hashes of the texts (in any order) and of how its children are laid out (runs of like children count once)."""

@@ -119,3 +119,29 @@ def test_copies_count_once_and_articles_stay_whole(spark):
     got = {r.page_id: r.text for r in main_text(df).collect()}
     assert got[3] == "Post 3" and all(got[200 + i] == "Release" for i in range(10))
     assert got[304] == "Ingredients\n\nMeal 4\n\nOne quote" and got[320] == "Ingredients\n\nMeal 20"
+
+
+def test_forms_around_pages_are_no_forms():
+    nav, form = "<nav>Menu</nav>", "<form><label>Name</label><p>We never share it</p></form>"
+    assert kept(f"<body><form id=aspnetForm>{nav}<div>Loose</div><article><h1>T</h1><p>Text</p>{form}</article></form></body>") == ["T", "Text"]
+    assert kept(f"<form method=post>{nav}<div class=sidebar>x</div><div><h1>Title</h1><p>A long text of the page itself</p></div><input></form><p>Foot</p>") == ["Title", "A long text of the page itself", "Foot"]
+    assert kept(f"<main><p>Text</p></main><form><p>{'Sign up for more of this. ' * 9}</p></form>") == ["Text"]
+    assert kept(f"<p>The text of a page, longer than its form</p>{form}") == ["The text of a page, longer than its form"]
+    assert kept("<p>Hi</p><form><label>A label that is much longer than the text</label></form>") == ["Hi"]
+    assert kept("<aside><article><p>Teaser</p></article></aside><nav><main>no</main></nav><p>x</p>") == ["x"]
+
+
+def test_articles_keep_formulas_examples_and_their_subjects():
+    assert kept("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>") == ["Let x=2 be"]
+    assert kept("<article><p>a</p><xmp><b>&amp; so</xmp><p>b</p></article>") == ["a", "<b>&amp; so", "b"]
+    assert kept("<article><math><semantics><mi>y</mi><annotation>y^2</annotation></semantics></math></article>") == ["y"]
+    assert kept('<article><p>a</p><div class="social">Social policy</div><div class="related">Related work</div></article>') == ["a", "Social policy", "Related work"]
+    assert kept('<article><p>a</p><div class="social"><a href=x>Share</a></div><div class=related-posts><ul><li><a href=y>More</a></ul></div><div class="ad">Buy</div></article>') == ["a"]
+    assert kept('<p>a</p><div class="social">Follow us</div>') == ["a"]
+
+
+def test_names_of_comments_and_adverts():
+    for name in ("user-comments", "wp-block-comments", "l-sidebar", "adsbygoogle", "cookie-law-info", "comments-area", "fb-comments"):
+        assert kept(f"<p>a</p><div class='{name}'><p>b</p></div>") == ["a"], name
+    for name in ("comment-is-free", "advice", "user-guide", "wp-block-group", "sidebar-story"):
+        assert kept(f"<p>a</p><div class='{name}'><p>b</p></div>") == ["a", "b"], name
