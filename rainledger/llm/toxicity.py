@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from rainledger.llm.frames import crc, per_batch, settled
 from rainledger.llm.labelled import sample
 
-#: Labelled rows that the weights are fitted on at most, terms in the model at most, sentences of one text that are swapped in the fit at most, lengths of the starts of words.
-FIT_ROWS, TERMS, SENTENCES, STARTS = 16_000, 2500, 4, (3, 4, 5)
+#: Labelled rows that the weights are fitted on at most, terms in the model at most, lengths of the starts of words.
+FIT_ROWS, TERMS, STARTS = 16_000, 2500, (3, 4, 5)
 #: Counterparts, by language: each term of a pair is swapped for the other, or for the neutral word of its language.
 PAIRS = {
     "people": (
@@ -54,28 +55,41 @@ def swaps_of(pairs: dict[str, str] = PAIRS) -> dict[str, tuple[str, str]]:
     return out
 
 
-def swapped(text: str, swaps: dict[str, tuple[str, str]], ring: list[str], most: int = SENTENCES) -> list[set[str]]:
-    """The terms of a text after a swap: of each of its first sentences with an identity term, all terms for their counterparts, and all for the neutral words; of a text without any, with a mention of one term of the ring, chosen by the text's hash."""
+def _term_counts(words: list[str]) -> Counter[str]:
+    found = Counter(words)
+    out = Counter(found)
+    for w, k in found.items():
+        for n in STARTS:
+            if len(w) > n:
+                out[f"{w[:n]}-"] += k
+    return out
+
+
+def swapped(text: str, swaps: dict[str, tuple[str, str]], ring: list[str]) -> list[tuple[set[str], set[str]]]:
+    """What each swap brings to a text's terms, and takes from them: in each of its sentences with an identity term, all such terms for their counterparts, and all for the neutral words; in a text without any, a mention of one term of the ring, chosen by the text's hash."""
     text = text.lower()
-    found = [x for x in _sentences(text) if not swaps.keys().isdisjoint(_words(x))][:most] if not swaps.keys().isdisjoint(_words(text)) else []
-    if not found:
-        return [terms(text) | terms(ring[zlib.crc32(text.encode()) % len(ring)])] if ring else []
-    out = []
-    for sentence in found:
+    words = _words(text)
+    if swaps.keys().isdisjoint(words):
+        return [(terms(ring[zlib.crc32(text.encode()) % len(ring)]) - _term_counts(words).keys(), set())] if ring else []
+    all_, out = _term_counts(words), []
+    for sentence in map(_words, _sentences(text)):
+        if swaps.keys().isdisjoint(sentence):
+            continue
+        own = _term_counts(sentence)
         for k in (0, 1):
-            other = re.sub(r"\w+", lambda m: swaps[m.group()][k] if m.group() in swaps else m.group(), sentence)  # noqa: B023
-            out.append(terms(text.replace(sentence, other, 1)))
+            new = _term_counts([swaps[w][k] if w in swaps else w for w in sentence]).keys()
+            out.append((new - all_.keys(), {t for t, n in own.items() if all_[t] == n and t not in new}))
     return out
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray]], n_terms: int, ridge: float = 0.02, fairness: float = 5.0, turns: int = 300) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray, np.ndarray]], n_terms: int, ridge: float = 0.02, fairness: float = 5.0, turns: int = 300) -> tuple[np.ndarray, float]:
     """Weights and bias of the logistic loss, a ridge and the squared score changes of the swaps; gradient steps with momentum.
 
-    rows: term numbers of each text; swaps: (row, term numbers after the swap).
+    rows: term numbers of each text; swaps: (row, term numbers that come, those that go). What a swap leaves as it is doesn't slow its terms down.
     """
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     index = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
-    changed = [(np.setdiff1d(t, rows[i]), np.setdiff1d(rows[i], t)) for i, t in swaps]  # what a swap leaves as it is doesn't slow its terms down
+    changed = [(a, b) for _, a, b in swaps]
     pair_owner = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in changed]) if swaps else np.zeros(0, np.int64)
     pair_index = np.concatenate([x for both in changed for x in both]) if swaps else np.zeros(0, np.int64)
     pair_sign = np.concatenate([np.r_[np.ones(len(a)), -np.ones(len(b))] for a, b in changed]) if swaps else np.zeros(0)
@@ -121,13 +135,13 @@ def model(labelled: DataFrame, pairs: dict[str, str] = PAIRS, most_terms: int =
         for x in batch.column("text").to_pylist():
             found = terms(x)
             rows.append(sorted(number[t] for t in found if t in number))
-            swaps.append([sorted(number[t] for t in s if t in number) for s in swapped(x, groups, ring)])
+            swaps.append([{k: sorted(number[t] for t in s if t in number) for k, s in zip("ab", both)} for both in swapped(x, groups, ring)])
         inner = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, inner), pa.array(swaps, pa.list_(inner))], ["label", "x", "swaps"])
+        return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, inner), pa.array(swaps, pa.list_(pa.struct([("a", inner), ("b", inner)])))], ["label", "x", "swaps"])
 
-    read = per_batch(labelled.select("label", "text"), numbered, "label int, x array<int>, swaps array<array<int>>").orderBy("label", "x").collect()
+    read = per_batch(labelled.select("label", "text"), numbered, "label int, x array<int>, swaps array<struct<a:array<int>,b:array<int>>>").orderBy("label", "x").collect()
     rows = [np.array(r.x, np.int64) for r in read]
-    swaps = [(i, np.array(s, np.int64)) for i, r in enumerate(read) for s in r.swaps]
+    swaps = [(i, np.array(s.a, np.int64), np.array(s.b, np.int64)) for i, r in enumerate(read) for s in r.swaps]
     weights, bias = fit(rows, np.array([r.label for r in read]), swaps, len(known), fairness=fairness)
     return {t: float(w) for t, w in zip(known, weights) if w}, bias
 

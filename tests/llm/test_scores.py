@@ -78,15 +78,40 @@ def test_swaps_lower_the_weight_of_group_words(spark):
 
 def test_swapped():
     swaps = toxicity.swaps_of()
-    one, none = swapped("A gay poet. The straight road, a gay day", swaps, [])[:2]
-    assert "gay" in one and "straight" in one and "people" in none and "poet" in one  # only the first sentence is swapped
+    (one, lost), (none, _) = swapped("A gay poet. The straight road, a gay day", swaps, [])[:2]
+    assert "straight" not in one and "gay" not in lost and "people" in none  # only the first sentence is swapped, and both words still stand
     assert len(swapped("A gay poet. The straight road", swaps, [])) == 4
-    (added,) = swapped("A poet at the river", swaps, ["gay", "people"])
-    assert terms("A poet at the river") < added and added & {"gay", "people"}
+    ((added, gone),) = swapped("A poet at the river", swaps, ["gay", "people"])
+    assert added & {"gay", "people"} and not gone
     assert swaps["frauen"] == ("männer", "menschen") and all(swaps[b][0] == a or a in ("", b) or b in swaps for a, (b, _) in swaps.items())
     assert swapped("x", {}, []) == []
 
 
+def test_every_sentence_is_swapped_as_the_whole_text_says():
+    swaps, dice = toxicity.swaps_of(), random.Random(5)
+    for _ in range(60):
+        sentences = [" ".join(dice.choices(["gay", "women", "men", "rich", "gayest", "womanly", "the", "river", "menace", "straight"], k=dice.randrange(1, 7))) for _ in range(dice.randrange(1, 14))]
+        got = swapped(". ".join(sentences), swaps, [])
+        want = []
+        for i, x in enumerate(sentences):
+            for k in (0, 1):
+                other = " ".join(swaps[w][k] if w in swaps else w for w in x.split())
+                if set(x.split()) & swaps.keys():
+                    before, after = terms(". ".join(sentences)), terms(". ".join([*sentences[:i], other, *sentences[i + 1 :]]))
+                    want.append((after - before, before - after))
+        assert got == want
+
+
+def test_labels_of_one_kind(spark):
+    docs, labels = corpus(60)
+    df = spark.createDataFrame(docs, DOCS)
+    for quality_label, toxic in ((1, 0), (0, 1)):
+        same = spark.createDataFrame([(i, quality_label, toxic, 1.0) for i, *_ in labels], LABELS)
+        for f in (quality_scores, toxicity_scores):
+            rows = f(df, same).collect()
+            assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows) and len({r.predicted for r in rows}) == 1
+
+
 def test_neutral_mentions_are_flagged_less_often(spark):
     """Held-out clean texts with a mention of a group: how many are flagged without and with the counterfactual pairs."""
     dice = random.Random(3)
