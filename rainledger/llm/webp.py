@@ -704,8 +704,11 @@ def counted(samples: np.ndarray) -> bytes:
     rows = np.ascontiguousarray(samples).reshape(-1, 4)
     head, at = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36, 40  # alpha; version 0
     stream, _ = coded(rows, width, True, head, at + 1)
-    colours, index = np.unique(rows.view("<u4")[:, 0], return_inverse=True) if len(rows) <= 1 << 14 else ((), ())
-    if not 0 < len(colours) <= min(256, max(len(rows) // 4, 1)):
+    pixels, most = rows.view("<u4")[:, 0], min(256, max(len(rows) // 4, 1))
+    if len(np.unique(pixels[:4096])) > most:  # the first pixels alone have too many colours, so all have
+        return stream
+    colours, index = np.unique(pixels, return_inverse=True)
+    if len(colours) > most:
         return stream
     n = len(colours)
     table = colours.view(np.uint8).reshape(-1, 4)
