@@ -15,6 +15,8 @@ QUADRANT_CODES = {"fine": "F", "hidden": "H", "buffered": "B", "double": "D"}
 STRESS_LABELS = {"safe": "Safe", "semi_critical": "Semi-critical", "critical": "Critical", "over_exploited": "Over-exploited", "salinity": "Saline", "Hilly Area": "Hilly area"}
 # First day (month, day) of each season.
 SEASON_STARTS = {"SW": (6, 1), "NE": (10, 1)}
+# Last day (month, day) of each season.
+SEASON_ENDS = {"SW": (9, 30), "NE": (12, 31)}
 
 
 def _folding() -> tuple[str, str]:
@@ -88,6 +90,15 @@ def season_of(start: Column) -> Column:
     return out
 
 
+def finished_season(start: Column, end: Column) -> Column:
+    """The season that a window from its first to its last day covers whole; null for others, which may go on."""
+    season = season_of(start)
+    out = F.lit(None).cast("string")
+    for name, (m, d) in SEASON_ENDS.items():
+        out = F.when((season == name) & (F.month(end) == m) & (F.dayofmonth(end) == d) & (F.year(start) == F.year(end)), name).otherwise(out)
+    return out
+
+
 def days_in_year(year: Column) -> Column:
     return F.dayofyear(F.make_date(year, F.lit(12), F.lit(31)))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rainledger.functions import names as N
 from rainledger.functions.columns import rounded
-from rainledger.operators import incremental
+from rainledger.operators import incremental, matching
 from rainledger.operators.spi import spi
 from rainledger.plans import rain as R
 from rainledger.sources import feeds, landed, sinks, tables
@@ -206,7 +206,28 @@ def rain_spi_months(spark, sf_dir):
     return scored.select("district", "year", "month", rounded(F.col("spi"), 2).alias("spi"))
 
 
-QUERIES = {f.__name__: f for f in (landed_answers, landed_places, landed_readings, landed_boundaries, landed_lines, landed_weekly_table, landed_html_tables, landed_windows, strict_documents, stored_parts, stored_years, named_periods, rain_spi_months)}
+def archived_seasons(spark, sf_dir):
+    """Nations' orders in windows of running and finished seasons, archived twice: the second time with other sums, and with a season that has ended since."""
+    o = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.to_date("o_orderdate").alias("day"), F.col("c_nationkey").cast("long").alias("nation"))
+    spans = spark.createDataFrame([(a, b) for y in (1996, 1997) for a, b in ((f"{y}-06-01", f"{y}-09-30"), (f"{y}-06-01", f"{y}-08-31"), (f"{y}-06-02", f"{y}-09-30"), (f"{y}-10-01", f"{y}-12-31"), (f"{y}-01-01", f"{y}-12-31"))], "start string, end string")
+    spans = spans.select(F.col("start").cast("date"), F.col("end").cast("date"))
+    sums = o.join(F.broadcast(spans), F.col("day").between(F.col("start"), F.col("end"))).groupBy("start", "end", "nation").agg(F.count("*").alias("n"))
+    path = own_dir(spark, "seasons")
+    sinks.archive_finished(sums.where("end < '1997-12-01'"), path, "start", "end")
+    sinks.archive_finished(sums.withColumn("n", F.col("n") * 10), path, "start", "end")
+    return spark.read.parquet(path).select("season", F.col("season_year").cast("long").alias("year"), "nation", "n")
+
+
+def nearby_wells(spark, sf_dir):
+    """Suppliers as recorders and customers as wells on a map of a kilometre: pairs at most 50 m apart, one to one."""
+    at = lambda k, m: 20 + (k * m % 9973) / 1_000_000.0
+    s = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), at(F.col("s_suppkey"), 3571).alias("lat"), at(F.col("s_suppkey"), 7919).alias("lon"))
+    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("other"), at(F.col("c_custkey"), 2741).alias("lat"), at(F.col("c_custkey"), 6133).alias("lon"))
+    pairs = matching.within(s, c, 50.0).withColumn("m", rounded(F.col("m"), 2))
+    return matching.greedy_pairs(pairs, "id", "other", "m")
+
+
+QUERIES = {f.__name__: f for f in (archived_seasons, nearby_wells, landed_answers, landed_places, landed_readings, landed_boundaries, landed_lines, landed_weekly_table, landed_html_tables, landed_windows, strict_documents, stored_parts, stored_years, named_periods, rain_spi_months)}
 
 _units = "SELECT s_suppkey, n_nationkey, n_name, n_regionkey, round(s_acctbal * 100)::BIGINT AS cents FROM supplier JOIN nation ON s_nationkey = n_nationkey"
 _stage = "round_even(cents / 1000.0::DOUBLE * 100, 0) / 100"
@@ -231,6 +252,8 @@ p AS (SELECT *, CASE WHEN mm IS NOT NULL AND a IS NOT NULL THEN greatest(least(C
 SELECT district, year, month, CASE WHEN p IS NOT NULL THEN round_even(greatest(least(CASE WHEN p < 0.02425 THEN {_low} WHEN p <= 0.97575 THEN {_mid} ELSE {_high} END, 3.5), -3.5) * 100, 0) / 100 END AS spi FROM p"""
 SQL = {
     "rain_spi_months": _spi,
+    "archived_seasons": "WITH w(season, y, a, b, k) AS (VALUES ('SW', 1996, DATE '1996-06-01', DATE '1996-09-30', 1), ('NE', 1996, DATE '1996-10-01', DATE '1996-12-31', 1), ('SW', 1997, DATE '1997-06-01', DATE '1997-09-30', 1), ('NE', 1997, DATE '1997-10-01', DATE '1997-12-31', 10)) SELECT season, y::BIGINT AS year, c_nationkey::BIGINT AS nation, count(*) * any_value(k) AS n FROM w JOIN orders ON o_orderdate::DATE BETWEEN a AND b JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
+    "nearby_wells": "WITH s AS (SELECT s_suppkey AS id, 20 + (s_suppkey * 3571 % 9973) / 1000000.0::DOUBLE AS lat, 20 + (s_suppkey * 7919 % 9973) / 1000000.0::DOUBLE AS lon FROM supplier), c AS (SELECT c_custkey AS other, 20 + (c_custkey * 2741 % 9973) / 1000000.0::DOUBLE AS lat, 20 + (c_custkey * 6133 % 9973) / 1000000.0::DOUBLE AS lon FROM customer), p AS (SELECT id, other, sqrt(pow(radians(c.lon - s.lon) * cos(radians(s.lat)), 2) + pow(radians(c.lat - s.lat), 2)) * 6371000.0 AS d FROM s, c WHERE abs(c.lat - s.lat) < 0.001 AND abs(c.lon - s.lon) < 0.001), q AS (SELECT id, other, round_even(d * 100, 0) / 100 AS m FROM p WHERE d <= 50), b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY id ORDER BY m, other) = 1) SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY other ORDER BY m, id) = 1",
     "landed_answers": f"WITH u AS ({_units}) SELECT 'unit ' || s_suppkey AS name, s_suppkey::VARCHAR AS key, ['Safe', 'Semi-critical', 'Critical', 'Over-exploited', 'new word'][s_suppkey % 5 + 1] AS category, CASE WHEN s_suppkey % 2 = 0 THEN 'Saline' END AS poor_quality, {_stage} AS stage_pct, NULL::DOUBLE AS extraction FROM u",
     "landed_places": f"WITH u AS ({_units}) SELECT n_name AS state, n_nationkey::VARCHAR AS state_code, 'd ' || s_suppkey AS district, s_suppkey::VARCHAR AS district_code FROM u",
     "landed_readings": "SELECT 'well ' || l_suppkey AS station, year(l_shipdate) AS year, count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS total, min(l_suppkey / 8.0::DOUBLE) AS lat, max(l_suppkey / 4.0::DOUBLE) AS lon FROM lineitem WHERE l_orderkey % 50 <> 0 AND l_orderkey % 70 <> 0 GROUP BY ALL",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
 from rainledger.functions.columns import finite
+from rainledger.functions.names import finished_season
 from rainledger.operators.shape import positional
 
 
@@ -85,6 +86,12 @@ def archive(df: DataFrame, path: str, keys: list[str]) -> int:
     return n
 
 
+def archive_finished(windows: DataFrame, path: str, start: str, end: str) -> int:
+    """Archives windows of whole seasons, each once, by season and year: running ones wait, and what came later doesn't change an archived one. How many seasons were new."""
+    rows = windows.withColumn("season", finished_season(F.col(start), F.col(end))).where("season IS NOT NULL").withColumn("season_year", F.year(end))
+    return archive(rows, path, ["season", "season_year"])
+
+
 def write_sorted(df: DataFrame, path: str, by: list[str], files: int) -> None:
     """Parquet in order, within files and from file to file by name: a range of keys lies in few files, which statistics tell from the others. No task holds more than its range."""
     df.repartitionByRange(files, *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)

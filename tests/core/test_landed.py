@@ -26,6 +26,8 @@ def test_names(spark):
     assert tuple(one(spark, "PERIOD: 01-06-2024 to 07-09-2024", "string", N.period(x))) == (date(2024, 6, 1), date(2024, 9, 7))
     assert one(spark, "31-02-2024 To 01-03-2024", "string", N.period(x)) is None
     assert [one(spark, d, "date", N.season_of(x)) for d in (date(2024, 6, 1), date(2024, 10, 1), date(2024, 6, 2))] == ["SW", "NE", None]
+    ends = [("2023-06-01", "2023-09-30"), ("2023-06-01", "2023-09-29"), ("2023-06-02", "2023-09-30"), ("2023-10-01", "2023-12-31"), ("2022-10-01", "2023-12-31"), (None, "2023-09-30")]
+    assert [one(spark, a, "string", N.finished_season(x.cast("date"), F.lit(b).cast("date"))) for a, b in ends] == ["SW", None, None, "NE", None, None]
     assert [one(spark, y, "int", N.days_in_year(x)) for y in (1900, 2000, 2023)] == [365, 366, 365]
     assert [one(spark, v, "string", N.coded(x, N.OFFICIAL_CODES)) for v in ("LD", "ND", None)] == ["Large Deficient", None, None]
     assert tuple(one(spark, [float(i) for i in range(1, 10)], "array<double>", N.odds(x))) == (10.0, 5.0, 30.0)
