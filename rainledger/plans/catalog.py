@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rainledger.plans import archives, groundwater, landing, layers, rain, review, status, status_spi, tables
+from rainledger.plans import archives, groundwater, landing, layers, publish, rain, review, status, status_spi, tables
 
 FLAGSHIP = "status_full"
-PARTS = (groundwater, rain, layers, status, tables, landing, archives, review, status_spi)
+PARTS = (groundwater, rain, layers, status, tables, landing, archives, review, status_spi, publish)
 
 
 def queries():
