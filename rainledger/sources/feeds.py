@@ -31,6 +31,8 @@ MISSING_BELOW = -998.0
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system and the path in it; a path without a scheme is local."""
+    if path.startswith("file:/"):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
     if re.match(r"^[a-z][a-z0-9+.-]*:/", path):
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
