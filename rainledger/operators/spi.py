@@ -37,22 +37,50 @@ def gamma_shape(s: np.ndarray) -> np.ndarray:
     return a
 
 
+#: Fixed value: shapes above it take the uniform expansion, whose error is below 1e-10 there.
+LARGE_SHAPE = 1e5
+
+
 def gamma_share(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma function by its series, below a + 1, and its continued fraction, above."""
-    scale = np.exp(a * np.log(np.maximum(x, 1e-300)) - x - np.array([math.lgamma(v) for v in a]))
+    """Regularised lower incomplete gamma function by its series, below a + 1, and its continued fraction, above, each until it stands still; about as many terms as ten roots of a are needed. Very large shapes take Temme's expansion."""
+    out, large = np.zeros(len(x)), a > LARGE_SHAPE
+    for f, own in ((_large_share, large & (x > 0)), (_share_by_terms, ~large & (x > 0))):
+        if own.any():
+            out[own] = f(a[own], x[own])
+    return out
+
+
+def _share_by_terms(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    scale = np.exp(a * np.log(x) - x - np.array([math.lgamma(v) for v in a]))
+    most = 400 + int(40 * math.sqrt(a.max()))
+    low, high = np.minimum(x, a + 1), np.maximum(x, a + 1)
     term = total = 1 / a
-    for k in range(1, 400):
-        term = term * x / (a + k)
+    for k in range(1, most):
+        term = term * low / (a + k)
         total = total + term
-    b = x + 1 - a
-    d = 1 / np.where(b == 0, 1e-300, b)
+        if (term < 1e-17 * total).all():
+            break
+    b = high + 1 - a
+    d = 1 / b
     c, h = np.full_like(x, 1e300), d
-    for k in range(1, 400):
+    for k in range(1, most):
         b, n = b + 2, -k * (k - a)
-        d = 1 / np.where(n * d + b == 0, 1e-300, n * d + b)
-        c = np.where(b + n / c == 0, 1e-300, b + n / c)
+        d = n * d + b
+        d = 1 / np.where(d == 0, 1e-300, d)
+        c = b + n / c
+        c = np.where(c == 0, 1e-300, c)
         h = h * d * c
-    return np.where(x <= 0, 0.0, np.where(x < a + 1, np.minimum(scale * total, 1), 1 - scale * h))
+        if (np.abs(d * c - 1) < 1e-16).all():
+            break
+    return np.where(x < a + 1, np.minimum(scale * total, 1), 1 - scale * h)
+
+
+def _large_share(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    m = (x - a) / a
+    eta = np.sign(m) * np.sqrt(2 * np.maximum(m - np.log1p(m), 0))
+    half = np.array([math.erfc(-v) / 2 for v in eta * np.sqrt(a / 2)])
+    rest = np.exp(-a * eta * eta / 2) / np.sqrt(2 * math.pi * a) * (-1 / 3 + eta * (1 / 12 - eta * (2 / 135 - eta / 864)))
+    return half - rest
 
 
 def spi(values: DataFrame, base: DataFrame, keys: list[str], value: str, least_years: int = 30, least_wet: int = 15, clip_p: float = 1e-6, clip_z: float = 3.5) -> DataFrame:

@@ -102,6 +102,14 @@ def test_spi_kernel():
     assert shape == pytest.approx([3.0], abs=1e-3)
 
 
+@pytest.mark.parametrize("a", [3, 300, 20_000, 90_000, 120_000])
+def test_spi_kernel_of_large_shapes(a):
+    """Sums of many rows vary little, so their shape is large; shares against sums of Poisson probabilities."""
+    x = np.array([a + z * math.sqrt(a) for z in (-1.5, -0.3, -0.01, 0.01, 0.3, 3.0)])
+    want = [1 - math.fsum(math.exp(k * math.log(v) - v - math.lgamma(k + 1)) for k in range(a)) for v in x]
+    assert spi.gamma_share(np.full(6, float(a)), x) == pytest.approx(want, abs=1e-9)
+
+
 def test_spi_on_rows(spark):
     dice = np.random.default_rng(1)
     base = spark.createDataFrame([("a", float(v)) for v in dice.gamma(2, 50, 50)] + [("b", 0.0)] * 50, "k string, v double")
