@@ -88,6 +88,13 @@ def test_as_of_and_pairs(spark):
     assert {r.other for r in matching.within(a, b, 50).collect()} == {10, 12}
 
 
+def test_spi_of_sums_that_vary_little(spark):
+    """A standard deviation above the mean of years that differ by half a per cent is about 1."""
+    base = spark.createDataFrame([("a", 1e6 * (1 + 0.005 * NormalDist().inv_cdf((k + 0.5) / 40))) for k in range(40)], "k string, v double")
+    got = {r.v: r.spi for r in spi.spi(spark.createDataFrame([("a", 1e6 * (1 + 0.005 * z)) for z in (-1.0, 0.0, 1.0)], "k string, v double"), base, ["k"], "v").collect()}
+    assert [got[v] for v in sorted(got)] == pytest.approx([-1, 0, 1], abs=0.05)
+
+
 def test_weighted_mean_and_dedupe(spark):
     cells = spark.createDataFrame([(0, 1.0), (1, None), (2, 4.0)], "cell int, v double")
     w = spark.createDataFrame([(0, "d", 1.0), (1, "d", 2.0), (2, "d", 1.0), (1, "e", 1.0)], "cell int, area string, w double")
