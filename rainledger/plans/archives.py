@@ -223,8 +223,7 @@ def nearby_wells(spark, sf_dir):
     at = lambda k, m: 20 + (k * m % 9973) / 1_000_000.0
     s = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), at(F.col("s_suppkey"), 3571).alias("lat"), at(F.col("s_suppkey"), 7919).alias("lon"))
     c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("other"), at(F.col("c_custkey"), 2741).alias("lat"), at(F.col("c_custkey"), 6133).alias("lon"))
-    pairs = matching.within(s, c, 50.0).withColumn("m", rounded(F.col("m"), 2))
-    return matching.greedy_pairs(pairs, "id", "other", "m")
+    return matching.greedy_pairs(matching.closest(s, c, 50.0), "id", "other", "m")
 
 
 QUERIES = {f.__name__: f for f in (archived_seasons, nearby_wells, landed_answers, landed_places, landed_readings, landed_boundaries, landed_lines, landed_weekly_table, landed_html_tables, landed_windows, strict_documents, stored_parts, stored_years, named_periods, rain_spi_months)}

@@ -8,6 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from rainledger.functions import columns as C
+from rainledger.functions.columns import rounded
 from rainledger.operators import matching, series, spi
 from rainledger.plans.groundwater import tiers
 from rainledger.sources import tables as T
@@ -88,6 +89,24 @@ def test_as_of_and_pairs(spark):
     assert {r.other for r in matching.within(a, b, 50).collect()} == {10, 12}
 
 
+def test_closest_of_crowded_places(spark):
+    dice = np.random.default_rng(5)
+    at = lambda n, spread: [(k, 20 + float(y) * spread, 75 + float(x) * spread) for k, (y, x) in enumerate(dice.integers(0, 30, (n, 2)))]
+    a, b = at(60, 4e-5) + [(100, 20.01, 75.0), (101, None, 75.0)], at(400, 2e-5) + [(999, 20.0103, 75.0)]
+    left, right = spark.createDataFrame(a, "id int, lat double, lon double"), spark.createDataFrame(b, "other int, lat double, lon double")
+    pairs = matching.within(left, right, 50).select("id", "other", rounded(F.col("m"), 2).alias("m")).collect()
+    want = {i: min((r.m, r.other) for r in pairs if r.id == i) for i in {r.id for r in pairs}}
+    assert {r.id: (r.m, r.other) for r in matching.closest(left, right, 50).collect()} == want and 100 in want
+    assert len(want) < 60
+
+
+def test_crowded_places_are_met_once(spark):
+    """40,000 recorders and 40,000 wells at three places each are 1.6 billion pairs."""
+    at = lambda name: spark.range(40_000).select(F.col("id").alias(name), (20 + (F.col("id") % 3) * 1e-5).alias("lat"), F.lit(75.0).alias("lon"))
+    got = matching.closest(at("id"), at("other"), 50)
+    assert {(r.k, r.other, r.m): r["count"] for r in got.groupBy((F.col("id") % 3).alias("k"), "other", "m").count().collect()} == {(0, 0, 0.0): 13_334, (1, 1, 0.0): 13_333, (2, 2, 0.0): 13_333}
+
+
 def test_spi_of_sums_that_vary_little(spark):
     """A standard deviation above the mean of years that differ by half a per cent is about 1."""
     base = spark.createDataFrame([("a", 1e6 * (1 + 0.005 * NormalDist().inv_cdf((k + 0.5) / 40))) for k in range(40)], "k string, v double")
