@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rainledger.functions import names as N
 from rainledger.functions.columns import TELEMETRY_MONTHS, cycle_of, current_cycle, month_index, rounded
 from rainledger.operators import geometry, incremental, shape
-from rainledger.operators.matching import crosswalk, nearest
+from rainledger.operators.matching import crosswalk
 from rainledger.operators.series import keep_first, trailing_mean
 from rainledger.operators.stress import missing, publish_gate, stress_status
 from rainledger.plans import groundwater as G
@@ -54,7 +54,7 @@ def gw_district_medians(spark, sf_dir):
 
 def gw_nearest(spark, sf_dir):
     """The nearest customer of the same nation within 50 of a supplier's balance, as the nearest manual well of a recorder."""
-    return nearest(G._pairs(spark, sf_dir), "tele", "manual", "gap")
+    return G.best_pairs(spark, sf_dir)
 
 
 def gw_season_years(spark, sf_dir):

@@ -107,6 +107,17 @@ def test_crowded_places_are_met_once(spark):
     assert {(r.k, r.other, r.m): r["count"] for r in got.groupBy((F.col("id") % 3).alias("k"), "other", "m").count().collect()} == {(0, 0, 0.0): 13_334, (1, 1, 0.0): 13_333, (2, 2, 0.0): 13_333}
 
 
+def test_closest_values(spark):
+    dice = np.random.default_rng(6)
+    for grain, low in ((1.0, 0), (100.0, 0), (100.0, 490_000), (7.3, 0)):
+        a = [(k, int(n), float(v + low) / grain) for k, (n, v) in enumerate(zip(dice.integers(0, 3, 80), dice.integers(-300, 900, 80)))] + [(500, None, 1.0), (501, 1, None)]
+        b = [(k, int(n), float(v + low) / grain) for k, (n, v) in enumerate(zip(dice.integers(0, 3, 150), dice.integers(-300, 900, 150)))] + [(500, None, 1.0)]
+        got = matching.closest_value(spark.createDataFrame(a, "id int, n int, x double"), spark.createDataFrame(b, "other int, n int, y double"), "n", 3.0)
+        gap = lambda x, y: float(np.rint(abs(x - y) * 100) / 100)
+        near = {i: [(gap(x, y), o) for o, m, y in b if m == n and gap(x, y) <= 3] for i, n, x in a[:-2]}
+        assert {r.id: (r.gap, r.other) for r in got.collect()} == {i: min(v) for i, v in near.items() if v}
+
+
 def test_counts_in_intervals(spark):
     dice = np.random.default_rng(7)
     for grain, n in ((100.0, 600), (3.0, 600), (1.0, 40)):
