@@ -137,43 +137,51 @@ class RasterSource(DataSource):
         return _RasterReader(self.options)
 
 
-class Page(InputPartition):
-    def __init__(self, path: str, number: int):
-        super().__init__((path, number))
-        self.path, self.number = path, number
+class Pages(InputPartition):
+    """A run of pages: (path, number) of each."""
+
+    def __init__(self, pages: list[tuple[str, int]]):
+        super().__init__(pages)
+        self.pages = pages
 
 
 class _PageReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.name = options["path"], options.get("namePattern", r"(\d+)\.json$")
         self.keys, self.bounds = [k for k in options.get("listKeys", "data,content,result").split(",") if k], Bounds("page", options, int)
+        self.most, self.rows = int(options.get("partitions", "256")), options.get("rows", "true").lower() == "true"
 
     def pushFilters(self, filters):  # noqa: N802
         yield from self.bounds.take(filters)
 
     def partitions(self):
-        return [Page(p, int(m[1])) for p, _, m in files(self.path, self.name) if self.bounds.holds(int(m[1]))] or [Page("", -1)]
+        found = [(p, int(m[1])) for p, _, m in files(self.path, self.name) if self.bounds.holds(int(m[1]))]
+        size = max(1, -(-len(found) // self.most))
+        return [Pages(found[k : k + size]) for k in range(0, len(found), size)] or [Pages([])]
 
     def read(self, partition):
-        if partition.number < 0:
-            return
         store, _ = opened(self.path)
-        with store.open_input_stream(partition.path) as f:
-            answer = json.loads(f.read() or b"null")
-        if isinstance(answer, dict):
-            answer = next((answer[k] for k in self.keys if isinstance(answer.get(k), list)), None)
-        rows = answer if isinstance(answer, list) else []
-        n = len(rows)
-        arrays = [pa.array([partition.number] * max(n, 1), pa.int32()), pa.array(range(n) if n else [None], pa.int32()), pa.array([n] * max(n, 1), pa.int32()), pa.array([json.dumps(x, ensure_ascii=False) for x in rows] if n else [None], pa.string())]
-        yield pa.RecordBatch.from_arrays(arrays, ["page", "place", "n_rows", "row"])
+        for path, number in partition.pages:
+            with store.open_input_stream(path) as f:
+                answer = json.loads(f.read() or b"null")
+            if isinstance(answer, dict):
+                answer = next((answer[k] for k in self.keys if isinstance(answer.get(k), list)), None)
+            rows = answer if isinstance(answer, list) else []
+            n = len(rows)
+            told = rows if self.rows else []
+            k = max(len(told), 1)
+            arrays = [pa.array([number] * k, pa.int32()), pa.array(range(k) if told else [None], pa.int32()), pa.array([n] * k, pa.int32()), pa.array([json.dumps(x, ensure_ascii=False) for x in told] if told else [None], pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, ["page", "place", "n_rows", "row"])
 
 
 class PageSource(DataSource):
-    """(page, place, n_rows, row) of the pages of an answer, a file and a partition each; row is JSON. An empty page has one row without a place.
+    """(page, place, n_rows, row) of the pages of an answer, a file each; row is JSON. An empty page has one row without a place.
 
     Options: path; namePattern, whose first group is the page's number;
     listKeys, under which a page may hold its list; first and last page;
-    pushDown. Pages that aren't wanted aren't read.
+    pushDown; partitions: over how many at most the pages are dealt, in runs;
+    rows = false: one row a page, with its n_rows only. Pages that aren't wanted
+    aren't read.
     """
 
     @classmethod
@@ -202,9 +210,11 @@ def rasters_by_year(spark: SparkSession, path: str, cells: int, **options) -> Da
 def paged(spark: SparkSession, path: str, limit: int, **options) -> DataFrame:
     """(page, place, row) of an answer fetched page by page: the first page with fewer rows than the limit is the last; later files are of an older, longer answer."""
     register(spark)
-    pages = spark.read.format("paged_answers").options(path=path, **options).load()
-    last = pages.where(F.col("n_rows") < limit).agg(F.min("page").alias("last"))
-    return pages.join(F.broadcast(last)).where(F.col("place").isNotNull() & (F.col("last").isNull() | (F.col("page") <= F.col("last")))).select("page", "place", "row")  # one row
+    pages = lambda **o: spark.read.format("paged_answers").options(path=path, **options | o).load()
+    short = pages(rows="false").where(F.col("n_rows") < limit).agg(F.min("page").alias("last")).first()["last"]
+    if short is None:
+        return pages().where("place IS NOT NULL").select("page", "place", "row")
+    return pages(last=short).where("place IS NOT NULL").select("page", "place", "row")
 
 
 def _put(path: str, data: bytes) -> None:

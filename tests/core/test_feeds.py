@@ -85,6 +85,16 @@ def test_pages_end_at_the_short_one(spark, tmp_path):
     assert feeds.paged(spark, str(tmp_path / "none"), 2).collect() == []
 
 
+def test_many_pages_are_dealt_in_runs(spark, tmp_path):
+    for k in range(600):
+        (tmp_path / f"p{k}.json").write_text(json.dumps([{"a": k}] * (2 if k < 400 else 1)))
+    raw = spark.read.format("paged_answers").option("path", str(tmp_path)).load()
+    assert raw.rdd.getNumPartitions() <= 256 and raw.count() == 1000
+    got = feeds.paged(spark, str(tmp_path), 2)
+    assert got.count() == 801 and got.agg(F.max("page")).first()[0] == 400
+    assert got.rdd.getNumPartitions() <= 256
+
+
 def rows_of(raw):
     return raw.select("path", F.explode(F.split("content", "\n")).alias("x")).where("x <> ''")
 
