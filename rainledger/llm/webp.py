@@ -15,10 +15,12 @@ don't make texts smaller, so only tests put those parts of the decoder to use.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections import Counter
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -79,17 +81,29 @@ class Code:
         if not len(symbols):
             self.only = 0
         if self.only is not None:
-            self.bits, self.table = 0, [self.only << 4]
-            self.entries = np.array(self.table, np.int32)
+            self.bits, self.entries = 0, np.array([self.only << 4])
             return
         sizes = used[symbols].astype(np.int64)
         if (1 << (self.bits - sizes)).sum() != 1 << self.bits:
             raise ValueError("not a complete prefix code")
         # In the order of the codes each symbol takes a stretch of the table; bits come lowest first, so places are then turned round.
         order = np.argsort(sizes, kind="stable")
-        straight = np.repeat((symbols[order] << 4 | sizes[order]).astype(np.int32), 1 << (self.bits - sizes[order]))
+        straight = np.repeat(symbols[order] << 4 | sizes[order], 1 << (self.bits - sizes[order]))
         self.entries = straight[backwards(self.bits)]
-        self.table = self.entries.tolist()
+
+    @cached_property
+    def table(self) -> list[int]:
+        return self.entries.tolist()
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        """How many of the next bits each entry takes."""
+        return self.entries & 15
+
+    @cached_property
+    def jumps(self) -> np.ndarray:
+        """The sizes; those of back-references lead beyond any stretch."""
+        return np.where((self.entries >= 256 << 4) & (self.entries < 280 << 4), 1 << 40, self.sizes)
 
     def read(self, bits: Bits) -> int:
         if self.only is not None:
@@ -191,42 +205,44 @@ def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits
     in turn is to follow these ends, and back-references. Without
     back-references a place of the cache means the last literal that went there.
     """
-    data = np.frombuffer(bits.data + bytes(24), np.uint8).astype(np.uint32)
+    data = np.frombuffer(bits.data + bytes(24), np.uint8).astype(np.int64)
     end = 8 * len(bits.data)
     literals: list[np.ndarray] = []
     turned: list[np.ndarray] = []  # places of the cache; -1 for literals
     copies_: list[tuple[int, int, int]] = []  # literals before it, length, distance
     done = made = 0
-    shifts = np.arange(8, dtype=np.uint32)
+    shifts = np.arange(8)
     while made < total:
         first = bits.at >> 3
         raw = data[first : first + STRETCH // 8 + 18]
-        three = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)
+        three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
         window = (three[:, None] >> shifts).reshape(-1)
-        entries: dict[int, np.ndarray] = {}
-        for code in codes[:4]:
-            if id(code) not in entries:
-                entries[id(code)] = code.entries[window & np.uint32((1 << code.bits) - 1)]
-        green, *others = (entries[id(code)] for code in codes[:4])
-        n = len(window) - 4 * 15
-        ends = np.arange(n, dtype=np.int32) + (green[:n] & 15)
-        after = ends.copy()
-        for entry in others:
-            ends += (entry & 15)[ends]
+        starts, last = np.arange(len(window)), len(window) - 1
+        n = last - 4 * 15
+        place = window[:n] & ((1 << codes[0].bits) - 1)
+        ends = after = starts[:n] + codes[0].jumps.take(place)
+        step: dict[int, np.ndarray] = {}  # where a sample that starts at a bit ends; from the last bit, where back-references lead, nowhere
+        for code in codes[1:4]:
+            if id(code) not in step:
+                step[id(code)] = starts + code.sizes.take(window & ((1 << code.bits) - 1))
+                step[id(code)][last] = last
+            ends = step[id(code)].take(ends, mode="clip")
         if cache_bits:
-            ends = np.where(green[:n] < 280 << 4, ends, after)
-        ends[(green[:n] >= 4096) & (green[:n] < 280 << 4)] = -1
+            ends = np.where(codes[0].entries.take(place) < 280 << 4, ends, after)
         follow, places = memoryview(ends), []
         put, at, room = places.append, bits.at - 8 * first, total - made
-        while at < n and len(places) < room:
-            to = follow[at]
-            if to >= 0:
+        while True:
+            for _ in range(room - len(places)):
+                if at >= n:
+                    break
                 put(at)
-                at = to
-                continue
+                at = follow[at]
+            if at != last:
+                break
+            at = places.pop()
             if cache_bits:
                 return None
-            entry = int(green[at])
+            entry = int(codes[0].entries[int(place[at])])
             bits.at = 8 * first + at + (entry & 15)
             size = prefixed((entry >> 4) - 256, bits)
             back = distance(prefixed(codes[4].read(bits), bits), width)
@@ -240,13 +256,13 @@ def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits
         if bits.at > end:
             raise ValueError("the stream ends early")
         p = np.array(places, np.int64)
-        if cache_bits:
-            turned.append(np.where(green[p] >= 280 << 4, (green[p] >> 4) - 280, -1))
-        value = (green[p] >> 4).astype(np.uint32) << np.uint32(8)
-        p += green[p] & 15
-        for entry, up in zip(others, (16, 0, 24)):
-            value |= (entry[p] >> 4).astype(np.uint32) << np.uint32(up)
-            p += entry[p] & 15
+        value = np.zeros(len(p), np.uint32)
+        for code, up in zip(codes, (8, 16, 0, 24)):
+            entry = code.entries.take(window.take(p) & ((1 << code.bits) - 1))
+            if cache_bits and code is codes[0]:
+                turned.append(np.where(entry >= 280 << 4, (entry >> 4) - 280, -1))
+            value |= (entry >> 4).astype(np.uint32) << np.uint32(up)
+            p += entry & 15
         literals.append(value)
         done += len(places)
         made = total - room + len(places)
@@ -519,78 +535,95 @@ def flat(samples: np.ndarray) -> bytes:
     return head + body.tobytes()
 
 
+def flat_size(samples: np.ndarray) -> int:
+    """The bytes of the flat stream."""
+    head, _, shift = opening(*samples.shape[1::-1])
+    return len(head) + samples.size + (shift > 0)
+
+
 def code_lengths(counts: dict[int, int], most: int) -> dict[int, int]:
     """Lengths of a prefix code of at least two symbols, none over most bits: the two lightest nodes are joined again and again, leaves and joined nodes each in their order."""
     while True:
-        symbols = sorted(counts, key=lambda s: (counts[s], s))
-        weight, m = [counts[s] for s in symbols], len(symbols)
-        parent, leaf, node = [0] * (2 * m - 1), 0, m
-        for new in range(m, 2 * m - 1):
+        symbols = sorted(sorted(counts), key=counts.__getitem__)
+        m = len(symbols)
+        leaves, nodes = [*map(counts.__getitem__, symbols), math.inf], [math.inf] * m
+        above_leaf, above_node, leaf, node = [0] * m, [0] * m, 0, 0
+        for new in range(m - 1):
             total = 0
             for _ in (0, 1):
-                if leaf < m and (node >= new or weight[leaf] <= weight[node]):
-                    pick, leaf = leaf, leaf + 1
+                if leaves[leaf] <= nodes[node]:
+                    total += leaves[leaf]
+                    above_leaf[leaf] = new
+                    leaf += 1
                 else:
-                    pick, node = node, node + 1
-                parent[pick] = new
-                total += weight[pick]
-            weight.append(total)
-        depth = [0] * (2 * m - 1)
-        for k in range(2 * m - 3, -1, -1):
-            depth[k] = depth[parent[k]] + 1
-        if max(depth[:m]) <= most:
+                    total += nodes[node]
+                    above_node[node] = new
+                    node += 1
+            nodes[new] = total
+        depth = [0] * m
+        for k in range(m - 3, -1, -1):
+            depth[k] = depth[above_node[k]] + 1
+        depth = [depth[k] + 1 for k in above_leaf]
+        if max(depth) <= most:
             return dict(zip(symbols, depth))
         counts = {s: n // 2 + 1 for s, n in counts.items()}
 
 
-def canonical(lengths: dict[int, int]) -> dict[int, int]:
-    """The codes of these lengths, first bit lowest."""
-    pairs = sorted((n, s) for s, n in lengths.items())
-    sizes = 1 << (15 - np.array([n for n, _ in pairs]))
-    return dict(zip([s for _, s in pairs], backwards(15)[np.cumsum(sizes) - sizes].tolist()))
+@lru_cache(maxsize=1)
+def backwards_list() -> list[int]:
+    return backwards(15).tolist()
 
 
-def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
-    """A prefix code after how often each symbol stands: the bits that describe it, their number, and the code and length of each symbol."""
-    alphabet, value, at = len(counts), 0, 0
+def canonical(lengths: dict[int, int]) -> dict[int, int]:
+    """The codes of these lengths, first bit lowest."""
+    turned, at, out = backwards_list(), 0, {}
+    for n, s in sorted((n, s) for s, n in lengths.items()):
+        out[s] = turned[at]
+        at += 1 << (15 - n)
+    return out
 
-    def put(x: int, n: int) -> None:
-        nonlocal value, at
-        value |= x << at
-        at += n
 
-    used = np.flatnonzero(counts).tolist()
-    codes, sizes = np.zeros(alphabet, np.int64), np.zeros(alphabet, np.int64)
-    if len(used) < 2:  # a simple code
-        put(1 | 1 << 2, 3)
-        put(used[0] if used else 0, 8)
-        return value, at, codes, sizes
-    lengths = code_lengths(dict(zip(used, counts[used].tolist())), 15)
-    sizes[used] = [lengths[k] for k in used]
-    order = np.array(used)[np.argsort(sizes[used], kind="stable")]
-    room = 1 << (15 - sizes[order])
-    codes[order] = backwards(15)[np.cumsum(room) - room]
-    said, turns = [], np.flatnonzero(np.diff(sizes, prepend=-1))
-    for value_, run in zip(sizes[turns].tolist(), np.diff(np.append(turns, alphabet)).tolist()):
-        if value_:
-            said.append((value_, 0, 0))
+def runs_of(sizes: list[int]) -> list[tuple[int, int, int]]:
+    """Code lengths as symbols, their extra bits and the number of these: runs are said at once."""
+    said = []
+    for size, same in groupby(sizes):
+        run = len(list(same))
+        if size:
+            said.append((size, 0, 0))
             run -= 1
         while run >= 3:
-            n = min(run, 6 if value_ else 138)
-            said.append((16, n - 3, 2) if value_ else (18, n - 11, 7) if n >= 11 else (17, n - 3, 3))
+            n = min(run, 6 if size else 138)
+            said.append((16, n - 3, 2) if size else (18, n - 11, 7) if n >= 11 else (17, n - 3, 3))
             run -= n
-        said += [(value_, 0, 0)] * run
-    kinds = Counter(x for x, _, _ in said)
+        if run:
+            said += [(size, 0, 0)] * run
+    return said
+
+
+def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray]:
+    """A prefix code after how often each symbol stands: the bits that describe it, their number, and each symbol's code and, from bit 32, its length."""
+    alphabet, n_of = len(counts), counts.tolist()
+    used = [k for k, n in enumerate(n_of) if n]
+    if len(used) < 2:  # a simple code
+        return 1 | 1 << 2 | (used[0] if used else 0) << 3, 11, np.zeros(alphabet, np.int64)
+    lengths = code_lengths({k: n_of[k] for k in used}, 15)
+    sizes, table = [0] * alphabet, [0] * alphabet
+    for k, code in canonical(lengths).items():
+        sizes[k] = lengths[k]
+        table[k] = code | lengths[k] << 32
+    said = runs_of(sizes)
+    kinds = Counter([x for x, _, _ in said])
     first = code_lengths(kinds if len(kinds) > 1 else {0: 0, 18: 0} | kinds, 7)
     bits = canonical(first)
-    put(0, 1)
-    put(15, 4)
+    value, at = 15 << 1, 5  # a normal code, of whose code lengths' lengths all stand there
     for x in LENGTH_ORDER:
-        put(first.get(x, 0), 3)
-    put(0, 1)
+        value |= first.get(x, 0) << at
+        at += 3
+    at += 1
     for x, extra, n in said:
-        put(bits[x] | extra << first[x], first[x] + n)
-    return value, at, codes, sizes
+        value |= (bits[x] | extra << first[x]) << at
+        at += first[x] + n
+    return value, at, np.array(table)
 
 
 def copies(pixels: np.ndarray, most: int = 4096) -> list[tuple[int, int, int]]:
@@ -619,6 +652,12 @@ def copies(pixels: np.ndarray, most: int = 4096) -> list[tuple[int, int, int]]:
     return found
 
 
+def distinct(values: np.ndarray) -> int:
+    """How many different values there are."""
+    s = np.sort(values)
+    return int(np.count_nonzero(s[1:] != s[:-1])) + (len(s) > 0)
+
+
 def spoken(value: int) -> tuple[int, int, int]:
     """The prefix symbol of a length or distance code, its extra bits and their number."""
     x = value - 1
@@ -647,45 +686,48 @@ def coded(rows: np.ndarray, width: int, main: bool, value: int, at: int) -> tupl
     found, near = copies(rows.view("<u4")[:, 0]), neighbours(width)
     argb = rows[:, [2, 1, 0, 3]].copy().view("<u4")[:, 0]
     cache_bits = min(max(n.bit_length() - 2, 1), 10)
-    places = cache_place(argb, cache_bits)
+    places = cache_place(argb, cache_bits).astype(np.uint16)
     order = np.argsort(places, kind="stable")
+    held, seen = places[order], argb[order]
+    again = (held[1:] == held[:-1]) & (seen[1:] == seen[:-1])
     hit = np.zeros(n, bool)
-    hit[order[1:]] = (places[order[1:]] == places[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
-    hits, kinds = int(hit.sum()), len(np.unique(places[hit]))
+    hit[order[1:]] = again
+    hits, kinds = int(np.count_nonzero(again)), distinct(held[1:][again])
     if 9 * hits - 5 * kinds <= 18 * sum(size for _, size, _ in found) - 26 * len(found) + 18 * n // 8:
         cache_bits, hit[:] = 0, False
     else:
         found = []
     value |= (1 | cache_bits << 1 if cache_bits else 0) << at
     at += (5 if cache_bits else 1) + main  # no meta codes
-    kept, taken = np.ones(n, bool), np.zeros(n, bool)
-    for start, size, _ in found:
-        kept[start + 1 : start + size] = False
-        taken[start] = True
-    taken, hit, places = taken[kept], hit[kept], places[kept]
-    steps = rows[kept][:, [1, 0, 2, 3]].astype(np.int64)  # four parts a step: the samples of a pixel, or length, its extra bits, distance, its extra bits
-    steps[hit, 0] = places[hit].astype(np.int64) + 280
-    extra = np.zeros((len(found), 2, 2), np.int64)
+    steps = rows[:, [1, 0, 2, 3]].astype(np.int64)  # four parts a step: the samples of a pixel, or length, its extra bits, distance, its extra bits
     if found:
+        kept, taken = np.ones(n, bool), np.zeros(n, bool)
+        for start, size, _ in found:
+            kept[start + 1 : start + size] = False
+            taken[start] = True
+        steps, taken = steps[kept], np.flatnonzero(taken[kept])
         said = np.array([(*spoken(size), *spoken(near.get(back, back + len(NEIGHBOURS)))) for _, size, back in found])
+        plain = np.delete(steps[:, 1:], taken, axis=0)
         steps[taken, 0], steps[taken, 2] = said[:, 0] + 256, said[:, 3]
-        extra = said[:, [1, 2, 4, 5]].reshape(-1, 2, 2)
-    whole = ~(taken | hit)
-    plain = steps[whole]
+    else:
+        steps[hit, 0] = places[hit].astype(np.int64) + 280
+        plain = steps[~hit, 1:] if cache_bits else steps[:, 1:]
     codes = [
         counted_code(np.bincount(steps[:, 0], minlength=280 + (1 << cache_bits if cache_bits else 0))),
-        counted_code(np.bincount(plain[:, 1:].reshape(-1), minlength=256)),
-        counted_code(np.bincount(steps[taken, 2], minlength=40)),
+        counted_code(np.bincount(plain.reshape(-1), minlength=256)),
+        counted_code(np.bincount(said[:, 3], minlength=40) if found else np.zeros(40, np.int64)),
     ]
     for k in (0, 1, 1, 1, 2):
         value |= codes[k][0] << at
         at += codes[k][1]
-    bits, sizes = np.zeros_like(steps), np.zeros_like(steps)
-    bits[:, 0], sizes[:, 0] = codes[0][2][steps[:, 0]], codes[0][3][steps[:, 0]]
-    bits[whole, 1:], sizes[whole, 1:] = codes[1][2][plain[:, 1:]], codes[1][3][plain[:, 1:]]
-    bits[taken, 2], sizes[taken, 2] = codes[2][2][steps[taken, 2]], codes[2][3][steps[taken, 2]]
-    bits[taken, 1::2], sizes[taken, 1::2] = extra[..., 0], extra[..., 1]
-    bits, sizes = bits.reshape(-1), sizes.reshape(-1)
+    both = np.empty_like(steps)
+    both[:, 0], both[:, 1:] = codes[0][2][steps[:, 0]], codes[1][2][steps[:, 1:]]
+    if found:
+        both[taken, 1], both[taken, 2], both[taken, 3] = said[:, 1] | said[:, 2] << 32, codes[2][2][said[:, 3]], said[:, 4] | said[:, 5] << 32
+    elif cache_bits:
+        both[hit, 1:] = 0
+    both = both.reshape(-1)
+    bits, sizes = both & 0xFFFFFFFF, both >> 32
     ends = np.cumsum(sizes) + at % 32
     starts = ends - sizes
     word, moved = starts >> 5, bits << (starts & 31)
@@ -705,7 +747,7 @@ def counted(samples: np.ndarray) -> bytes:
     head, at = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36, 40  # alpha; version 0
     stream, _ = coded(rows, width, True, head, at + 1)
     pixels, most = rows.view("<u4")[:, 0], min(256, max(len(rows) // 4, 1))
-    if len(np.unique(pixels[:4096])) > most:  # the first pixels alone have too many colours, so all have
+    if distinct(pixels[:4096]) > most:  # the first pixels alone have too many colours, so all have
         return stream
     colours, index = np.unique(pixels, return_inverse=True)
     if len(colours) > most:
@@ -729,7 +771,9 @@ def counted(samples: np.ndarray) -> bytes:
 
 def encode(samples: np.ndarray) -> bytes:
     """A lossless WebP file of (height, width, 4) samples red, green, blue, alpha: the smaller one of the counted and the flat stream."""
-    stream = min(counted(samples), flat(samples), key=len)
+    stream = counted(samples)
+    if len(stream) > flat_size(samples):
+        stream = flat(samples)
     chunk = b"VP8L" + struct.pack("<I", len(stream)) + stream + bytes(len(stream) & 1)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
 

@@ -349,3 +349,14 @@ def test_caches_and_palettes_are_read_back(seed):
         pixels = table[dice.integers(0, kinds, n) if seed % 2 else np.minimum(dice.geometric(0.05, n), kinds) - 1]
         pixels = np.where(dice.random(n)[:, None] < 0.1 * (seed % 3), dice.integers(0, 256, (n, 4), dtype=np.uint8), pixels).astype(np.uint8).reshape(-1, 48, 4)
         assert (decode(encode(pixels))[0] == pixels).all()
+
+
+def test_flat_streams_are_made_only_where_they_are_smaller(monkeypatch):
+    dice = np.random.default_rng(5)
+    for shape in ((1, 48, 4), (3, 48, 4), (5, 7, 4)):
+        samples = dice.integers(0, 256, shape, dtype=np.uint8)
+        assert webp.flat_size(samples) == len(webp.flat(samples))
+    text = (b"the rain of the season is over " * 40)[:1152]
+    samples = np.frombuffer(text, np.uint8).reshape(-1, 48, 4)
+    monkeypatch.setattr(webp, "flat", lambda samples: pytest.fail("not needed"))
+    assert (webp.decode(webp.encode(samples))[0] == samples).all()
