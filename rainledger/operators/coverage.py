@@ -3,11 +3,13 @@
 A polygon is a row (area, rings), as in `geometry`. Borders are rows of directed
 edges with the inside on their left, so what two members of a union share stands
 there twice, once each way, and cancels. Rings are chained by joins on end
-points; only a finished ring, one value of the result, is in one task.
+points; only a finished ring, one value of the result, is in one task. The few
+edges of a small area are one row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -67,8 +69,74 @@ def cycles_of(links: DataFrame) -> DataFrame:
         state = state.drop("moved")
 
 
+#: Areas of at most so many edges are chained in their own rows, larger ones by joins.
+IN_A_ROW = 256
+
+
+def simple_rings(at: int, by: dict[int, tuple[int, tuple[float, float]]]) -> list[list[dict[str, float]]]:
+    """The rings on a closed walk over edges (id: next, corner), from one of them; where the walk meets itself in a corner, a part ends."""
+    out, line, seen = [], [], {}
+    for _ in range(len(by) + 1):
+        to, here = by[at]
+        if here in seen:  # a loop is closed: the whole ring, or a part that touches it in this corner
+            first = seen[here]
+            out.append([{"x": x, "y": y} for x, y in line[first:]])
+            for corner in line[first + 1 :]:
+                del seen[corner]
+            line = line[: first + 1]
+        else:
+            seen[here] = len(line)
+            line.append(here)
+        at = to
+    return out
+
+
+def rings_of(edges: list[tuple[float, float, float, float]]) -> list[list[dict[str, float]]]:
+    """The rings of one area's edges: `followed` and the walks along it."""
+    leaving: dict[tuple[float, float], list[int]] = {}
+    for k, e in enumerate(edges):
+        leaving.setdefault(e[:2], []).append(k)
+
+    def turn(k: int, to: int) -> tuple[float, int]:
+        ax, ay = edges[k][2] - edges[k][0], edges[k][3] - edges[k][1]
+        bx, by = edges[to][2] - edges[to][0], edges[to][3] - edges[to][1]
+        return math.atan2(ax * by - ay * bx, ax * bx + ay * by), to
+
+    out, left = [], {k: (max(leaving[e[2:]], key=lambda to: turn(k, to)), e[:2]) for k, e in enumerate(edges)}
+    while left:
+        at = start = next(iter(left))
+        ring = {}
+        while at not in ring:
+            ring[at] = left.pop(at)
+            at = ring[at][0]
+        out += simple_rings(start, ring)
+    return out
+
+
 def chained(edges: DataFrame, of: str) -> DataFrame:
-    """(area, rings) of directed edges (of, x1, y1, x2, y2) that close: outer rings first, the largest before others."""
+    """(area, rings) of directed edges (of, x1, y1, x2, y2) that close: outer rings first, the largest before others. Small areas meet their edges once, in rows of their own."""
+    edges = settled(edges.where(F.col(of).isNotNull()), "borders")
+    large = settled(edges.groupBy(of).count().where(F.col("count") > IN_A_ROW).select(of), "large")
+    if not large.head(1):
+        return _chained_in_rows(edges, of)
+    return _chained_in_rows(edges.join(large, of, "left_anti"), of).unionByName(_chained_by_joins(edges.join(large, of, "left_semi"), of))
+
+
+def _chained_in_rows(edges: DataFrame, of: str) -> DataFrame:
+    kind = edges.schema[of].dataType.simpleString()
+    ring = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [rings_of(sorted(tuple(e.values()) for e in parts.as_py())) for parts in batch.column("parts")]
+            yield pa.RecordBatch.from_arrays([batch.column("area"), pa.array(lines, pa.list_(ring))], ["area", "lines"])
+
+    whole = edges.groupBy(F.col(of).alias("area")).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("parts")).mapInArrow(chain, f"area {kind}, lines array<{RING}>")
+    sized = F.transform("lines", lambda line: F.struct((-signed_area(line)).alias("s"), line.alias("line")))
+    return whole.select("area", F.transform(F.sort_array(sized), lambda r: r["line"]).alias("rings"))
+
+
+def _chained_by_joins(edges: DataFrame, of: str) -> DataFrame:
     ided = settled(edges.withColumn("id", F.monotonically_increasing_id()), "edges")
     links = settled(followed(ided, of), "links")
     whole = links.join(cycles_of(links), "id").select(of, "ring", "id", "next", "x1", "y1")
@@ -78,20 +146,9 @@ def chained(edges: DataFrame, of: str) -> DataFrame:
         for batch in batches:
             out, whose = [], []
             for row, (ring, parts) in enumerate(zip(batch.column("ring").to_pylist(), batch.column("parts").to_pylist(), strict=True)):
-                by, at, line, seen = {p["id"]: p for p in parts}, ring, [], {}
-                for _ in range(len(parts) + 1):
-                    here = (by[at]["x1"], by[at]["y1"])
-                    if here in seen:  # a loop is closed: the whole ring, or a part that touches it in this corner
-                        first = seen[here]
-                        out.append([{"x": x, "y": y} for x, y in line[first:]])
-                        whose.append(row)
-                        for corner in line[first + 1 :]:
-                            del seen[corner]
-                        line = line[: first + 1]
-                    else:
-                        seen[here] = len(line)
-                        line.append(here)
-                    at = by[at]["next"]
+                found = simple_rings(ring, {p["id"]: (p["next"], (p["x1"], p["y1"])) for p in parts})
+                out += found
+                whose += [row] * len(found)
             yield pa.RecordBatch.from_arrays([batch.column(of).take(pa.array(whose, pa.int64())), pa.array(out, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))], [of, "line"])
 
     rings = whole.groupBy(of, "ring").agg(F.collect_list(F.struct("id", "next", "x1", "y1")).alias("parts")).mapInArrow(ordered, f"{of} {kind}, line {RING}")

@@ -80,3 +80,18 @@ def test_inner_points_are_inside(spark):
     at = alone.select(C.inner_point(F.col("rings")).alias("p")).select("p.x", "p.y")
     assert G.point_in_polygon(at, alone.select("area", "rings")).first().area == 101
     assert spark.createDataFrame([(1, "x", []), (2, "x", None)], RINGS).select(C.inner_point(F.col("rings")).alias("p")).where("p IS NOT NULL").count() == 0
+
+
+def test_small_areas_are_chained_without_joins(spark, monkeypatch):
+    dice = np.random.default_rng(9)
+    cells = [(k, f"g{dice.integers(0, 4)}", [square(float(k % 10), float(k // 10))]) for k in range(100)]
+    df = spark.createDataFrame(cells, RINGS).repartition(3)
+    turned = lambda r: min(r[k:] + r[:k] for k in range(len(r)))
+    found = lambda: {r.area: sorted(turned(ring) for ring in plain(r.rings)) for r in C.dissolved(df, "g").collect()}
+    monkeypatch.setattr(C, "IN_A_ROW", 0)
+    by_joins = found()
+    monkeypatch.setattr(C, "IN_A_ROW", 100)  # some are larger
+    assert found() == by_joins
+    monkeypatch.undo()
+    monkeypatch.setattr(C, "followed", lambda *_: pytest.fail("joined"))
+    assert found() == by_joins
