@@ -143,11 +143,17 @@ def weighed(polygons: DataFrame) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                own = ring_weights([(c["x"], c["y"], c["node"]) for c in batch.column("ring")[k].as_py()])
-                n = pa.array([k] * len(own))
-                xs, ys, ws = zip(*own, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column("area").take(n), batch.column("turn").take(n), pa.array(range(len(own)), pa.int32()), pa.array(xs), pa.array(ys), pa.array(ws)], ["area", "turn", "at", "x", "y", "weight"])
+            rings, rows, ats, own, first = batch.column("ring"), [], [], [], 0
+            _, xs, ys, nodes = (c.to_pylist() for c in rings.flatten().flatten())
+            for k, n in enumerate(rings.value_lengths().to_pylist()):
+                found = ring_weights(list(zip(xs[first : first + n], ys[first : first + n], nodes[first : first + n], strict=True)))
+                rows += [k] * len(found)
+                ats += range(len(found))
+                own += found
+                first += n
+            if own:
+                corners = [pa.array(c, pa.float64()) for c in zip(*own, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("area").take(pa.array(rows)), batch.column("turn").take(pa.array(rows)), pa.array(ats, pa.int32()), *corners], ["area", "turn", "at", "x", "y", "weight"])
 
     return whole.mapInArrow(weigh, f"area {kind}, turn int, at int, x double, y double, weight double")
 

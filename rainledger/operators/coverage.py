@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,14 +74,14 @@ def cycles_of(links: DataFrame) -> DataFrame:
 IN_A_ROW = 256
 
 
-def simple_rings(at: int, by: dict[int, tuple[int, tuple[float, float]]]) -> list[list[dict[str, float]]]:
+def simple_rings(at: int, by: dict[int, tuple[int, tuple[float, float]]]) -> list[list[tuple[float, float]]]:
     """The rings on a closed walk over edges (id: next, corner), from one of them; where the walk meets itself in a corner, a part ends."""
     out, line, seen = [], [], {}
     for _ in range(len(by) + 1):
         to, here = by[at]
         if here in seen:  # a loop is closed: the whole ring, or a part that touches it in this corner
             first = seen[here]
-            out.append([{"x": x, "y": y} for x, y in line[first:]])
+            out.append(line[first:])
             for corner in line[first + 1 :]:
                 del seen[corner]
             line = line[: first + 1]
@@ -91,7 +92,14 @@ def simple_rings(at: int, by: dict[int, tuple[int, tuple[float, float]]]) -> lis
     return out
 
 
-def rings_of(edges: list[tuple[float, float, float, float]]) -> list[list[dict[str, float]]]:
+def ring_column(lines: list[list[tuple[float, float]]]) -> pa.Array:
+    """Rings as a column of lists of corners."""
+    points = [[p[k] for line in lines for p in line] for k in (0, 1)]
+    corners = pa.StructArray.from_arrays([pa.array(v, pa.float64()) for v in points], ["x", "y"])
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, lines))], pa.int32()), corners)
+
+
+def rings_of(edges: list[tuple[float, float, float, float]]) -> list[list[tuple[float, float]]]:
     """The rings of one area's edges: `followed` and the walks along it."""
     leaving: dict[tuple[float, float], list[int]] = {}
     for k, e in enumerate(edges):
@@ -124,12 +132,12 @@ def chained(edges: DataFrame, of: str) -> DataFrame:
 
 def _chained_in_rows(edges: DataFrame, of: str) -> DataFrame:
     kind = edges.schema[of].dataType.simpleString()
-    ring = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines = [rings_of(sorted(tuple(e.values()) for e in parts.as_py())) for parts in batch.column("parts")]
-            yield pa.RecordBatch.from_arrays([batch.column("area"), pa.array(lines, pa.list_(ring))], ["area", "lines"])
+            rings = pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, lines))], pa.int32()), ring_column([line for own in lines for line in own]))
+            yield pa.RecordBatch.from_arrays([batch.column("area"), rings], ["area", "lines"])
 
     whole = edges.groupBy(F.col(of).alias("area")).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("parts")).mapInArrow(chain, f"area {kind}, lines array<{RING}>")
     sized = F.transform("lines", lambda line: F.struct((-signed_area(line)).alias("s"), line.alias("line")))
@@ -144,12 +152,16 @@ def _chained_by_joins(edges: DataFrame, of: str) -> DataFrame:
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, whose = [], []
-            for row, (ring, parts) in enumerate(zip(batch.column("ring").to_pylist(), batch.column("parts").to_pylist(), strict=True)):
-                found = simple_rings(ring, {p["id"]: (p["next"], (p["x1"], p["y1"])) for p in parts})
+            out, whose, first = [], [], 0
+            parts = batch.column("parts")
+            ids, after, xs, ys = (c.to_pylist() for c in parts.flatten().flatten())
+            for row, (ring, n) in enumerate(zip(batch.column("ring").to_pylist(), parts.value_lengths().to_pylist(), strict=True)):
+                own = slice(first, first + n)
+                found = simple_rings(ring, dict(zip(ids[own], zip(after[own], zip(xs[own], ys[own])), strict=True)))
                 out += found
                 whose += [row] * len(found)
-            yield pa.RecordBatch.from_arrays([batch.column(of).take(pa.array(whose, pa.int64())), pa.array(out, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))], [of, "line"])
+                first += n
+            yield pa.RecordBatch.from_arrays([batch.column(of).take(pa.array(whose, pa.int64())), ring_column(out)], [of, "line"])
 
     rings = whole.groupBy(of, "ring").agg(F.collect_list(F.struct("id", "next", "x1", "y1")).alias("parts")).mapInArrow(ordered, f"{of} {kind}, line {RING}")
     sized = rings.select(of, F.struct((-signed_area(F.col("line"))).alias("s"), "line").alias("r"))

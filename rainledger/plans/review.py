@@ -15,6 +15,7 @@ from rainledger.plans import groundwater as G
 from rainledger.plans import rain as R
 from rainledger.plans import status as S
 from rainledger.plans.tables import STAR
+from rainledger.sources.shared import settled
 from rainledger.sources.tables import load
 
 #: Reasons by layer, in the order in which they are tried: layer, fact, reason.
@@ -170,7 +171,7 @@ def repaired_areas(spark, sf_dir):
 
 def simplified_borders(spark, sf_dir):
     """The nations' unions of their customers' cells with half of their corners' text: corners that are left of each ring."""
-    u = coverage.dissolved(_cells(spark, sf_dir), "nation")
+    u = settled(coverage.dissolved(_cells(spark, sf_dir), "nation"), "unions")
     corners = u.agg(F.sum(F.size(F.flatten("rings"))).alias("n")).first()["n"] or 0
     kept = borders.simplified(u, corners * 5, 0)
     return kept.select(F.col("area").cast("long").alias("nation"), F.posexplode("rings").alias("ring", "line")).select("nation", "ring", F.size("line").alias("corners"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rainledger.operators import borders as B
 from rainledger.operators import coverage as C
+from rainledger.plans import review
+from rainledger.sources.shared import settled
 from tests.core.test_coverage import area, inside, plain
 
 RINGS = "area int, rings array<array<struct<x:double,y:double>>>"
@@ -127,3 +129,12 @@ def test_simplified_maps_have_no_gaps(spark):
     assert kept[0] == sum(len(r) for _, rings in before for r in rings) and kept == sorted(kept, reverse=True) and kept[3] < kept[2]
     assert full * 2 // 3 * 0.9 < text([(r.area, plain(r.rings)) for r in B.simplified(df, full * 2 // 3).collect()])  # and no more goes than must
     assert B.simplified(df.limit(0), 100).collect() == []
+
+
+def test_unions_are_made_once(spark, monkeypatch, tmp_path):
+    """What is asked of the unions before they are simplified doesn't chain their rings again."""
+    names = []
+    monkeypatch.setattr(review, "settled", lambda df, name: names.append(name) or settled(df, name))
+    spark.createDataFrame([(k, k % 3) for k in range(40)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    got = review.simplified_borders(spark, str(tmp_path))
+    assert names == ["unions"] and {r.nation for r in got.collect()} == {0, 1, 2}
