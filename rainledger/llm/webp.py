@@ -5,11 +5,12 @@ colour cache, and inverts the predictor, cross-colour, subtract-green and
 palette transforms. Where an image has one group of codes, all literals of
 eight bits and no cache, its samples are unpacked at once with numpy; streams of
 one group are looked up at all their bits at once and then followed; other
-streams are read symbol by symbol. The writer counts its prefix codes, makes
-back-references or a colour cache where pixels repeat, and a palette where there
-are few colours; images that this makes no smaller (short or random ones) are
-flat streams of eight bits. It makes no other transforms or meta codes: they
-don't make texts smaller, so only tests put those parts of the decoder to use.
+streams are read symbol by symbol. The writer works on the images of many texts
+at once. It counts its prefix codes, makes back-references or a colour cache
+where pixels repeat, and a palette where there are few colours; images that this
+makes no smaller (short or random ones) are flat streams of eight bits. It makes
+no other transforms or meta codes: they don't make texts smaller, so only tests
+put those parts of the decoder to use.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import hashlib
 import math
 import struct
 import zlib
-from collections import Counter
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
-from itertools import groupby
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,22 +76,26 @@ class Code:
 
     def __init__(self, lengths: bytes):
         used = np.frombuffer(lengths, np.uint8)
-        symbols = np.flatnonzero(used)
-        self.flat8 = len(symbols) == 256 and symbols[-1] == 255 and bool((used[:256] == 8).all())
-        self.only = int(symbols[0]) if len(symbols) == 1 else None
-        self.bits = int(used.max()) if len(used) else 0
-        if not len(symbols):
-            self.only = 0
-        if self.only is not None:
+        symbols = used.nonzero()[0]
+        self.only = None
+        if len(symbols) < 2:
+            self.only = int(symbols[0]) if len(symbols) else 0
             self.bits, self.entries = 0, np.array([self.only << 4])
             return
-        sizes = used[symbols].astype(np.int64)
-        if (1 << (self.bits - sizes)).sum() != 1 << self.bits:
-            raise ValueError("not a complete prefix code")
         # In the order of the codes each symbol takes a stretch of the table; bits come lowest first, so places are then turned round.
-        order = np.argsort(sizes, kind="stable")
-        straight = np.repeat(symbols[order] << 4 | sizes[order], 1 << (self.bits - sizes[order]))
-        self.entries = straight[backwards(self.bits)]
+        sizes = used[symbols]
+        order = sizes.argsort(kind="stable")
+        sizes, symbols = sizes[order].astype(np.int64), symbols[order]
+        self.bits = int(sizes[-1])
+        spans = (1 << self.bits) >> sizes
+        if spans.sum() != 1 << self.bits:
+            raise ValueError("not a complete prefix code")
+        self.entries = (symbols << 4 | sizes).repeat(spans).take(backwards(self.bits))
+
+    @property
+    def flat8(self) -> bool:
+        """Whether this is the code of the flat streams: 256 symbols of eight bits, which are the samples."""
+        return self.bits == 8 and bool((self.octets == REVERSED).all()) and bool((self.sizes == 8).all())
 
     @cached_property
     def table(self) -> list[int]:
@@ -100,6 +106,11 @@ class Code:
         """How many of the next bits each entry takes."""
         return self.entries & 15
 
+    @cached_property
+    def octets(self) -> np.ndarray:
+        """The symbols' lower eight bits: those of a sample."""
+        return (self.entries >> 4).astype(np.uint8)
+
     @cached_property
     def jumps(self) -> np.ndarray:
         """The sizes; those of back-references lead beyond any stretch."""
@@ -188,8 +199,9 @@ def distance(code: int, width: int) -> int:
     return max(dx + dy * width, 1)
 
 
-#: Bits of a stream that are looked up at a time.
+#: Bits of a stream that are looked up at a time, and the places there.
 STRETCH = 1 << 15
+STARTS = np.arange(STRETCH + 128)
 
 
 def cache_place(pixels: np.ndarray, cache_bits: int) -> np.ndarray:
@@ -205,38 +217,44 @@ def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits
     in turn is to follow these ends, and back-references. Without
     back-references a place of the cache means the last literal that went there.
     """
-    data = np.frombuffer(bits.data + bytes(24), np.uint8).astype(np.int64)
-    end = 8 * len(bits.data)
+    data, end = bits.data + bytes(24), 8 * len(bits.data)
     literals: list[np.ndarray] = []
     turned: list[np.ndarray] = []  # places of the cache; -1 for literals
     copies_: list[tuple[int, int, int]] = []  # literals before it, length, distance
     done = made = 0
-    shifts = np.arange(8)
     while made < total:
         first = bits.at >> 3
-        raw = data[first : first + STRETCH // 8 + 18]
-        three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
-        window = (three[:, None] >> shifts).reshape(-1)
-        starts, last = np.arange(len(window)), len(window) - 1
+        many = min(STRETCH // 8 + 16, len(data) - first - 3)
+        four = np.ndarray(many, "<u4", data, first, (1,)).astype(np.int64)
+        window = np.empty((many, 8), np.int64)
+        for k in range(8):
+            np.right_shift(four, k, out=window[:, k])
+        window = window.reshape(-1)
+        starts, last = STARTS[: len(window)], len(window) - 1
         n = last - 4 * 15
         place = window[:n] & ((1 << codes[0].bits) - 1)
-        ends = after = starts[:n] + codes[0].jumps.take(place)
+        after = codes[0].jumps.take(place)
+        after += starts[:n]
+        ends = after
         step: dict[int, np.ndarray] = {}  # where a sample that starts at a bit ends; from the last bit, where back-references lead, nowhere
         for code in codes[1:4]:
             if id(code) not in step:
-                step[id(code)] = starts + code.sizes.take(window & ((1 << code.bits) - 1))
+                step[id(code)] = code.sizes.take(window & ((1 << code.bits) - 1))
+                step[id(code)] += starts
                 step[id(code)][last] = last
             ends = step[id(code)].take(ends, mode="clip")
         if cache_bits:
             ends = np.where(codes[0].entries.take(place) < 280 << 4, ends, after)
-        follow, places = memoryview(ends), []
+        follow, places = array("q", ends.tobytes()), array("q")
         put, at, room = places.append, bits.at - 8 * first, total - made
         while True:
-            for _ in range(room - len(places)):
-                if at >= n:
-                    break
-                put(at)
-                at = follow[at]
+            try:
+                for _ in repeat(None, room - len(places)):
+                    end_of = follow[at]  # beyond the stretch there is none
+                    put(at)
+                    at = end_of
+            except IndexError:
+                pass
             if at != last:
                 break
             at = places.pop()
@@ -255,15 +273,17 @@ def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits
         bits.at = 8 * first + at
         if bits.at > end:
             raise ValueError("the stream ends early")
-        p = np.array(places, np.int64)
-        value = np.zeros(len(p), np.uint32)
-        for code, up in zip(codes, (8, 16, 0, 24)):
-            entry = code.entries.take(window.take(p) & ((1 << code.bits) - 1))
-            if cache_bits and code is codes[0]:
-                turned.append(np.where(entry >= 280 << 4, (entry >> 4) - 280, -1))
-            value |= (entry >> 4).astype(np.uint32) << np.uint32(up)
-            p += entry & 15
-        literals.append(value)
+        p = np.frombuffer(places, np.int64)
+        value = np.empty((len(p), 4), np.uint8)
+        entry = codes[0].entries.take(place.take(p))
+        value[:, 1] = entry >> 4
+        if cache_bits:
+            turned.append(np.where(entry >= 280 << 4, (entry >> 4) - 280, -1))
+        p = p + (entry & 15)
+        for code, k in zip(codes[1:4], (2, 0, 3)):
+            value[:, k] = code.octets.take(window.take(p) & ((1 << code.bits) - 1))
+            p = step[id(code)].take(p)
+        literals.append(value.view("<u4")[:, 0])
         done += len(places)
         made = total - room + len(places)
     plain = literals[0] if len(literals) == 1 else np.concatenate(literals)
@@ -283,11 +303,15 @@ def read_steps(bits: Bits, codes: list[Code], total: int, width: int, cache_bits
         out[at : at + before - taken] = plain[taken:before]
         at += before - taken
         taken = before
-        if size <= back:
-            out[at : at + size] = out[at - back : at - back + size]
-        else:
-            out[at : at + size] = np.resize(out[at - back : at], size)
-        at += size
+        if back == 1:
+            out[at : at + size] = out[at - 1]
+            at += size
+            continue
+        start, end = at - back, at + size
+        while at < end:  # of an overlapping stretch, twice as much each time
+            now = min(at - start, end - at)
+            out[at : at + now] = out[start : start + now]
+            at += now
     out[at:] = plain[taken:]
     return out
 
@@ -369,6 +393,11 @@ def channels(pixels: np.ndarray) -> np.ndarray:
     return pixels.astype("<u4").view(np.uint8).reshape(*pixels.shape, 4)
 
 
+def turned_round(pixels: np.ndarray) -> np.ndarray:
+    """Pixels in 32 bits with red and blue exchanged."""
+    return pixels & np.uint32(0xFF00FF00) | pixels >> np.uint32(16) & np.uint32(255) | (pixels & np.uint32(255)) << np.uint32(16)
+
+
 def predicted(mode: int, left, top, right, corner) -> list[int]:
     """The predictor of a mode from the neighbours' samples; right is above and to the right."""
     mean = lambda x, y: [(i + j) >> 1 for i, j in zip(x, y)]
@@ -466,7 +495,7 @@ def decode_vp8l(data: bytes) -> np.ndarray:
         raise ValueError("the stream ends early")
     for kind, *how in reversed(undo):
         pixels = (unpredict, uncross, add_green, colour_in)[kind](pixels, *how)
-    out = channels(pixels)[..., [2, 1, 0, 3]]
+    out = channels(turned_round(pixels))
     if not alpha:
         out[..., 3] = 255
     return out
@@ -541,115 +570,184 @@ def flat_size(samples: np.ndarray) -> int:
     return len(head) + samples.size + (shift > 0)
 
 
-def code_lengths(counts: dict[int, int], most: int) -> dict[int, int]:
+def code_lengths(counts: list[int], most: int) -> list[int]:
     """Lengths of a prefix code of at least two symbols, none over most bits: the two lightest nodes are joined again and again, leaves and joined nodes each in their order."""
+    m = len(counts)
     while True:
-        symbols = sorted(sorted(counts), key=counts.__getitem__)
-        m = len(symbols)
-        leaves, nodes = [*map(counts.__getitem__, symbols), math.inf], [math.inf] * m
-        above_leaf, above_node, leaf, node = [0] * m, [0] * m, 0, 0
+        order = sorted(range(m), key=counts.__getitem__)
+        leaves, nodes = [*map(counts.__getitem__, order), math.inf], [math.inf] * m
+        above_leaf, above_node, leaf, node = [], [], 0, 0
+        light, joined = leaves[0], math.inf
         for new in range(m - 1):
             total = 0
             for _ in (0, 1):
-                if leaves[leaf] <= nodes[node]:
-                    total += leaves[leaf]
-                    above_leaf[leaf] = new
+                if light <= joined:
+                    total += light
+                    above_leaf.append(new)
                     leaf += 1
+                    light = leaves[leaf]
                 else:
-                    total += nodes[node]
-                    above_node[node] = new
+                    total += joined
+                    above_node.append(new)
                     node += 1
+                    joined = nodes[node]
             nodes[new] = total
-        depth = [0] * m
+            if node == new:
+                joined = total
+        depth = [1] * (m - 1)  # of a node's parts
         for k in range(m - 3, -1, -1):
             depth[k] = depth[above_node[k]] + 1
-        depth = [depth[k] + 1 for k in above_leaf]
-        if max(depth) <= most:
-            return dict(zip(symbols, depth))
-        counts = {s: n // 2 + 1 for s, n in counts.items()}
-
-
-@lru_cache(maxsize=1)
-def backwards_list() -> list[int]:
-    return backwards(15).tolist()
+        if depth[above_leaf[0]] <= most:  # the lightest leaf is the deepest
+            lengths = [0] * m
+            for k, up in zip(order, above_leaf):
+                lengths[k] = depth[up]
+            return lengths
+        counts = [n // 2 + 1 for n in counts]
 
 
-def canonical(lengths: dict[int, int]) -> dict[int, int]:
-    """The codes of these lengths, first bit lowest."""
-    turned, at, out = backwards_list(), 0, {}
-    for n, s in sorted((n, s) for s, n in lengths.items()):
-        out[s] = turned[at]
-        at += 1 << (15 - n)
-    return out
-
-
-def runs_of(sizes: list[int]) -> list[tuple[int, int, int]]:
-    """Code lengths as symbols, their extra bits and the number of these: runs are said at once."""
-    said = []
-    for size, same in groupby(sizes):
-        run = len(list(same))
-        if size:
-            said.append((size, 0, 0))
-            run -= 1
-        while run >= 3:
-            n = min(run, 6 if size else 138)
-            said.append((16, n - 3, 2) if size else (18, n - 11, 7) if n >= 11 else (17, n - 3, 3))
-            run -= n
-        if run:
-            said += [(size, 0, 0)] * run
-    return said
-
-
-def counted_code(counts: np.ndarray) -> tuple[int, int, np.ndarray]:
-    """A prefix code after how often each symbol stands: the bits that describe it, their number, and each symbol's code and, from bit 32, its length."""
-    alphabet, n_of = len(counts), counts.tolist()
-    used = [k for k, n in enumerate(n_of) if n]
-    if len(used) < 2:  # a simple code
-        return 1 | 1 << 2 | (used[0] if used else 0) << 3, 11, np.zeros(alphabet, np.int64)
-    lengths = code_lengths({k: n_of[k] for k in used}, 15)
-    sizes, table = [0] * alphabet, [0] * alphabet
-    for k, code in canonical(lengths).items():
-        sizes[k] = lengths[k]
-        table[k] = code | lengths[k] << 32
-    said = runs_of(sizes)
-    kinds = Counter([x for x, _, _ in said])
-    first = code_lengths(kinds if len(kinds) > 1 else {0: 0, 18: 0} | kinds, 7)
-    bits = canonical(first)
-    value, at = 15 << 1, 5  # a normal code, of whose code lengths' lengths all stand there
-    for x in LENGTH_ORDER:
-        value |= first.get(x, 0) << at
-        at += 3
-    at += 1
-    for x, extra, n in said:
-        value |= (bits[x] | extra << first[x]) << at
-        at += first[x] + n
-    return value, at, np.array(table)
-
-
-def copies(pixels: np.ndarray, most: int = 4096) -> list[tuple[int, int, int]]:
-    """(start, length, distance) of stretches of at least 3 pixels that stand before too, in order and without overlap."""
-    n = len(pixels) - 2
-    if n < 2:
-        return []
-    x = pixels.astype(np.uint64)
-    key = x[:-2] * np.uint64(0x9E3779B97F4A7C15) + x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + x[2:] * np.uint64(0x165667B19E3779F9)
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
-    before = np.full(n, -1)
-    before[order[1:][same]] = order[:-1][same]
+@lru_cache(maxsize=4096)
+def opening_of(kinds: tuple[int, ...]) -> tuple[int, list[int], list[int]]:
+    """For how often each code length symbol stands: the bits before the code lengths, 63, and the symbols' codes and lengths."""
+    there = [k for k, n in enumerate(kinds) if n]
+    if len(there) < 2:
+        there = sorted({0, 18, *there})
+    lengths, codes, at = [0] * 19, [0] * 19, 0
+    for k, size in zip(there, code_lengths([kinds[k] for k in there], 7)):
+        lengths[k] = size
+    turned = backwards(7).tolist()
+    for n, k in sorted((lengths[k], k) for k in there):
+        codes[k] = turned[at]
+        at += 1 << (7 - n)
+    value = 15 << 1  # a normal code, of whose code lengths' lengths all stand there
+    for k, x in enumerate(LENGTH_ORDER):
+        value |= lengths[x] << 5 + 3 * k
+    return value, codes, lengths
+
+
+def before_each(sizes: np.ndarray) -> np.ndarray:
+    """The sum of the sizes before each."""
+    return sizes.cumsum() - sizes
+
+
+def packed(bits: np.ndarray, sizes: np.ndarray, stream: np.ndarray, at: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Bits, at most 63 a step, of streams one after the other, the first of each at a bit under 64 of its first word: all words, where a stream's words begin and where its bits end."""
+    many = np.bincount(stream, minlength=len(at))
+    first = before_each(many)
+    ends = np.append(0, sizes.cumsum())
+    own = ends[first + many] - ends[first] + at
+    words = own // 64 + 2
+    base = before_each(words)
+    starts = ends[:-1] + (64 * base + at - ends[first])[stream]
+    word, within, bits = starts >> 6, (starts & 63).view(np.uint64), bits.view(np.uint64)
+    new = np.append(0, (word[1:] != word[:-1]).nonzero()[0] + 1)[: len(word)]
+    body = np.zeros(int(words.sum()), "<u8")
+    if len(word):
+        body[word[new]] = np.bitwise_or.reduceat(bits << within, new)
+        body[word[new] + 1] |= np.bitwise_or.reduceat(bits >> np.uint64(1) >> (np.uint64(63) - within), new)
+    return body.tobytes(), 8 * base, own
+
+
+def runs_of(sizes: np.ndarray, first: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Code lengths of codes one after the other as symbols, their extra bits, the number of these and the code: runs are said at once."""
+    new = np.append(True, sizes[1:] != sizes[:-1])
+    new[first] = True
+    begin = new.nonzero()[0]
+    value = sizes[begin]
+    run = np.append(begin[1:], len(sizes)) - begin
+    once = (value > 0).astype(np.int64)  # a length is said before its run
+    run -= once
+    most = np.where(value > 0, 6, 138)
+    full, left = run // most, run % most
+    some = (left >= 3).astype(np.int64)
+    many = once + full + some + np.where(some, 0, left)
+    which = np.arange(len(begin)).repeat(many)
+    k = np.arange(len(which)) - before_each(many)[which]
+    value, left = value[which], left[which]
+    long = (k >= once[which]) & (k < (once + full)[which])
+    size = np.where(long, most[which], left)  # of what is said at once
+    long |= (k == (once + full)[which]) & (some[which] > 0)
+    kind = np.where(value > 0, 0, np.where(size >= 11, 2, 1))  # of the symbols 16, 17 and 18
+    kind = np.where(long, kind, 3)
+    symbol = np.where(long, 16 + kind, value)
+    extra = np.where(long, size - np.array([3, 3, 11, 0])[kind], 0)
+    return symbol, extra, np.array([2, 3, 7, 0])[kind], code[begin[which]]
+
+
+def counted_codes(counts: np.ndarray, alphabets: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Prefix codes after how often each symbol of each alphabet stands: the bits that describe each code and their number, and all symbols' codes and lengths."""
+    first, code = before_each(alphabets), np.arange(len(alphabets)).repeat(alphabets)
+    used = counts.nonzero()[0]
+    many = np.bincount(code[used], minlength=len(alphabets))
+    sizes, table = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
+    said: list[tuple[int, int]] = [(1 | 1 << 2, 11)] * len(many)  # a simple code of the symbol 0
+    for k, at in zip((many == 1).nonzero()[0].tolist(), used[many[code[used]] == 1].tolist()):
+        said[k] = (1 | 1 << 2 | at - int(first[k]) << 3, 11)
+    used = used[many[code[used]] > 1]
+    if not len(used):
+        return said, table, sizes
+    n_of, lengths, at = counts[used].tolist(), [], 0
+    normal = (many > 1).nonzero()[0]
+    for n in many[normal].tolist():
+        lengths += code_lengths(n_of[at : at + n], 15)
+        at += n
+    sizes[used] = lengths
+    order = np.sort((code[used] << 4 | sizes[used]) << 32 | used) & 0xFFFFFFFF
+    spans = 1 << (15 - sizes[order])
+    table[order] = backwards(15)[before_each(spans) & 0x7FFF]  # each code takes all 15 bits
+    symbol, extra, n, of = runs_of(sizes, first, code)
+    kinds = np.bincount(of * 19 + symbol, minlength=19 * len(many)).reshape(-1, 19)[normal].astype(np.uint16)
+    heads = [opening_of(tuple(k)) for k in kinds.tolist()]
+    short, long = np.zeros((len(many), 19), np.int64), np.zeros((len(many), 19), np.int64)
+    short[normal], long[normal] = [h[1] for h in heads], [h[2] for h in heads]
+    kept = many[of] > 1
+    symbol, extra, n, of = symbol[kept], extra[kept], n[kept], of[kept]
+    size = long[of, symbol]
+    body, base, own = packed(short[of, symbol] | extra << size, size + n, of, np.zeros(len(many), np.int64))
+    for k, (head, _, _), at, n in zip(normal.tolist(), heads, base[normal].tolist(), own[normal].tolist()):
+        said[k] = head | int.from_bytes(body[at : at + (n + 7) // 8], "little") << 63, 63 + n
+    return said, table, sizes
+
+
+#: Odd numbers that mix three pixels and their image into a key.
+MIXED = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
+
+
+def alike(pixels: np.ndarray, image: np.ndarray, here: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Whether three pixels are the same at two places of an image."""
+    equal = image[here] == image[there]
     for k in range(3):
-        before[pixels[k : k + n] != pixels[np.maximum(before, 0) + k]] = -1
-    here = before >= 0
-    starts = np.flatnonzero(here & ~np.append(False, here[:-1] & (before[1:] == before[:-1] + 1)))
-    ends = np.flatnonzero(here & ~np.append(here[1:] & (before[1:] == before[:-1] + 1), False)) + 3
-    found, at = [], 0
-    for start, end, back in zip(starts.tolist(), ends.tolist(), (starts - before[starts]).tolist()):
+        equal &= pixels[here + k] == pixels[there + k]
+    return equal
+
+
+def copies(pixels: np.ndarray, image: np.ndarray, most: int = 4096) -> np.ndarray:
+    """Starts, lengths and distances of stretches of at least 3 pixels that stand before in their image too, in order and without overlap."""
+    found: list[tuple[int, int, int]] = []
+    inside = (image[:-2] == image[2:]).nonzero()[0]
+    x, up = pixels.astype(np.uint64), len(pixels).bit_length()
+    key = sum((part * np.uint64(k) for part, k in zip((x[:-2], x[1:-1], x[2:], image[2:].view(np.uint64)), MIXED)), np.uint64(0))
+    key = np.sort(key[inside] >> up << up | inside.view(np.uint64))  # places stand in the lowest bits, so equal keys are in their order
+    order, key = (key & np.uint64((1 << up) - 1)).astype(np.int64), key >> up
+    same = key[1:] == key[:-1]
+    here, there = order[1:][same], order[:-1][same]
+    if not (equal := alike(pixels, image, here, there)).all():  # different pixels have one key, so these are sorted themselves: what is found doesn't depend on the images beside
+        order = inside[np.lexsort((pixels[inside + 2], pixels[inside + 1], pixels[inside], image[inside]))]
+        here, there = order[1:], order[:-1]
+        equal = alike(pixels, image, here, there)
+    before = np.full(len(pixels), -1)
+    before[here[equal]] = there[equal]
+    here = (before >= 0).nonzero()[0]
+    before = before[here]
+    new = np.append(True, (here[1:] != here[:-1] + 1) | (before[1:] != before[:-1] + 1))[: len(here)]
+    starts, ends = here[new], here[np.append(new[1:], True)[: len(here)]] + 3
+    at = 0
+    for start, end, back in zip(starts.tolist(), ends.tolist(), (starts - before[new]).tolist()):
         start = max(start, at)
         while end - start >= 3:
             size = min(end - start, most)
             found.append((start, size, back))
             at = start = start + size
-    return found
+    return np.array(found, np.int64).reshape(-1, 3).T
 
 
 def distinct(values: np.ndarray) -> int:
@@ -658,143 +756,208 @@ def distinct(values: np.ndarray) -> int:
     return int(np.count_nonzero(s[1:] != s[:-1])) + (len(s) > 0)
 
 
-def spoken(value: int) -> tuple[int, int, int]:
-    """The prefix symbol of a length or distance code, its extra bits and their number."""
-    x = value - 1
-    if x < 4:
-        return x, 0, 0
-    extra = x.bit_length() - 2
+def spoken(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The prefix symbols of length or distance codes, their extra bits and the number of these."""
+    x = values - 1
+    extra = np.maximum(np.frexp(x)[1].astype(np.int64) - 2, 0)
     return 2 * extra + (x >> extra), x & ((1 << extra) - 1), extra
 
 
 @lru_cache(maxsize=16)
-def neighbours(width: int) -> dict[int, int]:
-    """The short code of each distance that has one."""
-    return {dx + dy * width: k + 1 for k, (dx, dy) in reversed(list(enumerate(NEIGHBOURS))) if dx + dy * width >= 1}
+def neighbours(width: int) -> np.ndarray:
+    """The short code of each distance that has one, 0 for others."""
+    out = np.zeros(9 * width + 9, np.int64)
+    for k, (dx, dy) in reversed(list(enumerate(NEIGHBOURS))):
+        if dx + dy * width >= 1:
+            out[dx + dy * width] = k + 1
+    return out
 
 
-def coded(rows: np.ndarray, width: int, main: bool, value: int, at: int) -> tuple[bytes, int]:
-    """An entropy-coded image of (pixels, 4) samples behind the bits that value holds, and the number of all bits.
+def coded(images: list[tuple[np.ndarray, int, bool, int, int]]) -> list[tuple[bytes, int]]:
+    """Entropy-coded images, each given as (pixels, 4) samples, their width, whether it's a main image, and the bits before it and their number: all bytes, and the number of all bits.
 
     With counted prefix codes (one for red, blue and alpha), and either
     back-references or a colour cache, whichever leaves fewer bits by an
     estimate: a literal counts for 18 bits, a back-reference for 26, a place of
     the cache for 9 and, once, 5 for its code. The cache, whose code is long to
-    describe, has to save an eighth of the literals' bits more.
+    describe, has to save an eighth of the literals' bits more. All images are
+    worked on at once, as what short ones take is mostly the calls.
     """
-    n = len(rows)
-    found, near = copies(rows.view("<u4")[:, 0]), neighbours(width)
-    argb = rows[:, [2, 1, 0, 3]].copy().view("<u4")[:, 0]
-    cache_bits = min(max(n.bit_length() - 2, 1), 10)
-    places = cache_place(argb, cache_bits).astype(np.uint16)
-    order = np.argsort(places, kind="stable")
-    held, seen = places[order], argb[order]
+    many = np.array([len(x[0]) for x in images])
+    rows, image = np.concatenate([x[0] for x in images]), np.arange(len(images)).repeat(many)
+    pixels, total = rows.view("<u4")[:, 0], len(rows)
+    start, size, back = copies(pixels, image)
+    cache_bits = np.clip(np.frexp(many)[1].astype(np.int64) - 2, 1, 10)
+    places = ((turned_round(pixels) * np.uint32(CACHE_MULTIPLIER)) >> (32 - cache_bits).astype(np.uint32)[image]).astype(np.int64)
+    up = total.bit_length()
+    held = np.sort((image << 10 | places) << up | np.arange(total))  # equal places in the order of their pixels
+    order, held = held & ((1 << up) - 1), held >> up
+    seen = pixels[order]
     again = (held[1:] == held[:-1]) & (seen[1:] == seen[:-1])
-    hit = np.zeros(n, bool)
-    hit[order[1:]] = again
-    hits, kinds = int(np.count_nonzero(again)), distinct(held[1:][again])
-    if 9 * hits - 5 * kinds <= 18 * sum(size for _, size, _ in found) - 26 * len(found) + 18 * n // 8:
-        cache_bits, hit[:] = 0, False
-    else:
-        found = []
-    value |= (1 | cache_bits << 1 if cache_bits else 0) << at
-    at += (5 if cache_bits else 1) + main  # no meta codes
-    steps = rows[:, [1, 0, 2, 3]].astype(np.int64)  # four parts a step: the samples of a pixel, or length, its extra bits, distance, its extra bits
-    if found:
-        kept, taken = np.ones(n, bool), np.zeros(n, bool)
-        for start, size, _ in found:
-            kept[start + 1 : start + size] = False
-            taken[start] = True
-        steps, taken = steps[kept], np.flatnonzero(taken[kept])
-        said = np.array([(*spoken(size), *spoken(near.get(back, back + len(NEIGHBOURS)))) for _, size, back in found])
-        plain = np.delete(steps[:, 1:], taken, axis=0)
-        steps[taken, 0], steps[taken, 2] = said[:, 0] + 256, said[:, 3]
-    else:
-        steps[hit, 0] = places[hit].astype(np.int64) + 280
-        plain = steps[~hit, 1:] if cache_bits else steps[:, 1:]
-    codes = [
-        counted_code(np.bincount(steps[:, 0], minlength=280 + (1 << cache_bits if cache_bits else 0))),
-        counted_code(np.bincount(plain.reshape(-1), minlength=256)),
-        counted_code(np.bincount(said[:, 3], minlength=40) if found else np.zeros(40, np.int64)),
-    ]
-    for k in (0, 1, 1, 1, 2):
-        value |= codes[k][0] << at
-        at += codes[k][1]
-    both = np.empty_like(steps)
-    both[:, 0], both[:, 1:] = codes[0][2][steps[:, 0]], codes[1][2][steps[:, 1:]]
-    if found:
-        both[taken, 1], both[taken, 2], both[taken, 3] = said[:, 1] | said[:, 2] << 32, codes[2][2][said[:, 3]], said[:, 4] | said[:, 5] << 32
-    elif cache_bits:
-        both[hit, 1:] = 0
-    both = both.reshape(-1)
-    bits, sizes = both & 0xFFFFFFFF, both >> 32
-    ends = np.cumsum(sizes) + at % 32
-    starts = ends - sizes
-    word, moved = starts >> 5, bits << (starts & 31)
-    most = int(ends[-1]) // 32 + 2
-    body = np.bincount(word, moved & 0xFFFFFFFF, most) + np.bincount(word + 1, moved >> 32, most)  # no bit stands twice, so sums are exact
-    body = body.astype("<u4")
-    before = at // 32 * 4
-    body[0] |= value >> 8 * before
-    total = at - at % 32 + int(ends[-1])
-    return ((value & ((1 << 8 * before) - 1)).to_bytes(before, "little") + body.tobytes())[: -(-total // 8)], total
-
-
-def counted(samples: np.ndarray) -> bytes:
-    """The VP8L stream of samples with counted prefix codes; of few colours, with a palette where that's smaller."""
-    height, width, _ = samples.shape
-    rows = np.ascontiguousarray(samples).reshape(-1, 4)
-    head, at = SIGNATURE | width - 1 << 8 | height - 1 << 22 | 1 << 36, 40  # alpha; version 0
-    stream, _ = coded(rows, width, True, head, at + 1)
-    pixels, most = rows.view("<u4")[:, 0], min(256, max(len(rows) // 4, 1))
-    if distinct(pixels[:4096]) > most:  # the first pixels alone have too many colours, so all have
-        return stream
-    colours, index = np.unique(pixels, return_inverse=True)
-    if len(colours) > most:
-        return stream
-    n = len(colours)
-    table = colours.view(np.uint8).reshape(-1, 4)
-    value, size = coded(np.diff(table, axis=0, prepend=np.zeros((1, 4), np.uint8)).astype(np.uint8), n, False, 0, 0)
-    head |= (1 | PALETTE << 1 | n - 1 << 3) << at
-    at += 11
-    head |= (int.from_bytes(value, "little") & ((1 << size) - 1)) << at
-    packed = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
-    each, now = 8 >> packed, -(-width >> packed)
-    grid = np.zeros((height, now << packed), np.uint8)
-    grid[:, :width] = index.reshape(height, width)
-    small = np.zeros((height * now, 4), np.uint8)
-    for k in range(1 << packed):
-        small[:, 1] |= grid[:, k :: 1 << packed].reshape(-1) << np.uint8(each * k)
-    small[:, 3] = 255
-    return min(stream, coded(small, now, True, head, at + size + 1)[0], key=len)
+    twice = held[1:][again]
+    kinds = np.bincount(twice[np.append(True, twice[1:] != twice[:-1])[: len(twice)]] >> 10, minlength=len(images))
+    hits = np.bincount(twice >> 10, minlength=len(images))
+    refers = image[start]
+    saved = 18 * np.bincount(refers, size, len(images)).astype(np.int64) - 26 * np.bincount(refers, minlength=len(images))
+    cached = 9 * hits - 5 * kinds > saved + 18 * many // 8
+    taken = ~cached[refers]
+    start, size, back, refers = start[taken], size[taken], back[taken], refers[taken]
+    # A step is a literal, a back-reference or a place of the cache.
+    kind = np.zeros(total, np.int8)
+    change = np.zeros(total + 1, np.int8)
+    change[start + 1] = 1
+    change[start + size] -= 1
+    kind[start] = 1
+    kind[order[1:][again]] += 2 * cached[image[order[1:][again]]]
+    kept = (np.cumsum(change[:-1], dtype=np.int8) == 0).nonzero()[0]
+    kind, of = kind[kept], image[kept]
+    literal, referred, known = (kind == 0).nonzero()[0], (kind == 1).nonzero()[0], (kind == 2).nonzero()[0]
+    width = np.array([x[1] for x in images])
+    near = back + len(NEIGHBOURS)
+    for w in set(width.tolist()):
+        short = neighbours(w)
+        close = ((width[refers] == w) & (back < len(short))).nonzero()[0]
+        code = short[back[close]]
+        near[close] = np.where(code > 0, code, near[close])
+    (length, more, more_n), (far, rest, rest_n) = spoken(size), spoken(near)
+    alphabets = np.concatenate([280 + np.where(cached, 1 << cache_bits, 0), np.full(len(images), 256), np.full(len(images), 40)])
+    base = before_each(alphabets).reshape(3, -1)
+    green = rows[kept, 1].astype(np.int64)
+    green[referred] = 256 + length
+    green[known] = 280 + places[kept[known]]
+    green += base[0][of]
+    plain = rows[kept[literal]][:, [0, 2, 3]] + base[1][of[literal]][:, None]
+    far += base[2][refers]
+    said, table, sizes = counted_codes(np.bincount(np.concatenate([green, plain.reshape(-1), far]), minlength=int(alphabets.sum())), alphabets)
+    heads, ats = [], []
+    for k, (_, _, main, value, at) in enumerate(images):
+        value |= (1 | int(cache_bits[k]) << 1 if cached[k] else 0) << at
+        at += (5 if cached[k] else 1) + main  # no meta codes
+        for j in (0, 1, 1, 1, 2):
+            bits, n = said[j * len(images) + k]
+            value |= bits << at
+            at += n
+        heads.append(value)
+        ats.append(at)
+    # A step has 60 bits at most: four codes of 15, or two with at most 10 and 20 more.
+    bits, ends = table[green], sizes[green]
+    for which, parts in ((literal, [(table[x], sizes[x]) for x in plain.T]), (referred, [(more, more_n), (table[far], sizes[far]), (rest, rest_n)])):
+        b, e = bits[which], ends[which]
+        for value, n in parts:
+            b |= value << e
+            e += n
+        bits[which], ends[which] = b, e
+    body, base, own = packed(bits, ends, of, np.array(ats) % 64)
+    out = []
+    for value, at, k, n in zip(heads, ats, base.tolist(), own.tolist()):
+        before = at // 64 * 8
+        first = int.from_bytes(body[k : k + 8], "little") | value >> 8 * before
+        total = 8 * before + n
+        out.append((((value & ((1 << 8 * before) - 1)).to_bytes(before, "little") + first.to_bytes(8, "little") + body[k + 8 : k + (n + 7) // 8])[: -(-total // 8)], total))
+    return out
+
+
+def counted(images: list[np.ndarray]) -> list[bytes]:
+    """The VP8L streams of images with counted prefix codes; of few colours, with a palette where that's smaller."""
+    all_rows = [np.ascontiguousarray(x).reshape(-1, 4) for x in images]
+    heads = [SIGNATURE | x.shape[1] - 1 << 8 | x.shape[0] - 1 << 22 | 1 << 36 for x in images]  # alpha; version 0
+    at = 40
+    streams = [stream for stream, _ in coded([(rows, x.shape[1], True, head, at + 1) for rows, x, head in zip(all_rows, images, heads)])]
+    few = []
+    for k, rows in enumerate(all_rows):
+        pixels, most = rows.view("<u4")[:, 0], min(256, max(len(rows) // 4, 1))
+        if distinct(pixels[:4096]) > most:  # the first pixels alone have too many colours, so all have
+            continue
+        colours, index = np.unique(pixels, return_inverse=True)
+        if len(colours) <= most:
+            few.append((k, colours, index))
+    if not few:
+        return streams
+    tables = [np.diff(colours.view(np.uint8).reshape(-1, 4), axis=0, prepend=np.zeros((1, 4), np.uint8)).astype(np.uint8) for _, colours, _ in few]
+    small = []
+    for (k, colours, index), (value, size) in zip(few, coded([(table, len(table), False, 0, 0) for table in tables])):
+        height, width, _ = images[k].shape
+        n = len(colours)
+        head = heads[k] | (1 | PALETTE << 1 | n - 1 << 3) << at
+        head |= (int.from_bytes(value, "little") & ((1 << size) - 1)) << at + 11
+        packing = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
+        each, now = 8 >> packing, -(-width >> packing)
+        grid = np.zeros((height, now << packing), np.uint8)
+        grid[:, :width] = index.reshape(height, width)
+        rows = np.zeros((height * now, 4), np.uint8)
+        for j in range(1 << packing):
+            rows[:, 1] |= grid[:, j :: 1 << packing].reshape(-1) << np.uint8(each * j)
+        rows[:, 3] = 255
+        small.append((rows, now, True, head, at + 11 + size + 1))
+    for (k, _, _), (stream, _) in zip(few, coded(small)):
+        streams[k] = min(streams[k], stream, key=len)
+    return streams
+
+
+def encode_all(images: list[np.ndarray]) -> list[bytes]:
+    """A lossless WebP file of each of (height, width, 4) samples red, green, blue, alpha: the smaller one of the counted and the flat stream."""
+    out = []
+    for samples, stream in zip(images, counted(images)):
+        if len(stream) > flat_size(samples):
+            stream = flat(samples)
+        chunk = b"VP8L" + struct.pack("<I", len(stream)) + stream + bytes(len(stream) & 1)
+        out.append(b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk)
+    return out
 
 
 def encode(samples: np.ndarray) -> bytes:
-    """A lossless WebP file of (height, width, 4) samples red, green, blue, alpha: the smaller one of the counted and the flat stream."""
-    stream = counted(samples)
-    if len(stream) > flat_size(samples):
-        stream = flat(samples)
-    chunk = b"VP8L" + struct.pack("<I", len(stream)) + stream + bytes(len(stream) & 1)
-    return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
+    return encode_all([samples])[0]
 
 
 #: Samples in a row of 48 pixels; rows in one image.
 ROW, ROWS = 192, 16384
 
 
+#: Pixels that are coded at a time.
+AT_ONCE = 1 << 16
+
+
+def files(payloads: Iterable[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """The files of payloads in their order, and whether each is its payload's last."""
+    images, last, pixels = [], [], 0
+    for payload in payloads:
+        rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW // 4, 4)
+        for at in range(0, len(rows), ROWS):
+            images.append(rows[at : at + ROWS])
+            last.append(at + ROWS >= len(rows))
+            pixels += images[-1].size // 4
+            if pixels >= AT_ONCE:
+                yield from zip(encode_all(images), last)
+                images, last, pixels = [], [], 0
+    if images:
+        yield from zip(encode_all(images), last)
+
+
+def store_all(payloads: Iterable[bytes]) -> Iterator[bytes]:
+    """Each payload of a multiple of ROW bytes as WebP files of 48 pixels a row, one file for each ROWS rows."""
+    media = b""
+    for file, last in files(payloads):
+        media += file
+        if last:
+            yield media
+            media = b""
+
+
 def store(payload: bytes) -> bytes:
-    """A payload of a multiple of ROW bytes as WebP files of 48 pixels a row, one file for each ROWS rows."""
-    rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW // 4, 4)
-    return b"".join(encode(rows[k : k + ROWS]) for k in range(0, len(rows), ROWS))
+    (media,) = store_all([payload])
+    return media
+
+
+SQUARES = np.arange(256) ** 2
 
 
 def feature(images: list[np.ndarray]) -> str:
     """Mean and spread of the samples, and whether each of 64 stretches is lighter than the mean, in hexadecimal."""
     flat = images[0].reshape(-1) if len(images) == 1 else np.concatenate([x.reshape(-1) for x in images])
-    sums = np.add.reduceat(flat, np.arange(64) * len(flat) // 64, dtype=np.int64)
-    sizes = np.diff(np.append(np.arange(64) * len(flat) // 64, len(flat)))
+    edges = np.arange(65) * len(flat) // 64
+    sums, sizes = np.add.reduceat(flat, edges[:-1], dtype=np.int64), edges[1:] - edges[:-1]
     total = int(sums.sum())
-    square = int(np.dot(np.bincount(flat, minlength=256), np.arange(256) ** 2))
+    square = int(np.dot(np.bincount(flat, minlength=256), SQUARES))
     bits = np.packbits(sums * len(flat) > total * sizes)
     mean = total / len(flat)
     return f"{mean:.4f} {max(square / len(flat) - mean * mean, 0) ** 0.5:.4f} {bits.tobytes().hex()}"
@@ -814,8 +977,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for text in utf8(batch.column("text")):
-            media = store(text.ljust(max(-(-len(text) // ROW), 1) * ROW))
+        texts = utf8(batch.column("text"))
+        for text, media in zip(texts, store_all(x.ljust(max(-(-len(x) // ROW), 1) * ROW) for x in texts)):
             images = decode(media)
             back = b"".join(x.tobytes() for x in images)
             rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(images)))

@@ -360,3 +360,39 @@ def test_flat_streams_are_made_only_where_they_are_smaller(monkeypatch):
     samples = np.frombuffer(text, np.uint8).reshape(-1, 48, 4)
     monkeypatch.setattr(webp, "flat", lambda samples: pytest.fail("not needed"))
     assert (webp.decode(webp.encode(samples))[0] == samples).all()
+
+
+def test_images_of_many_texts_are_coded_at_once(monkeypatch):
+    """What short texts take is mostly the calls, so these don't follow the texts; media don't depend on what is coded beside them."""
+    dice = random.Random(8)
+    words = ["".join(dice.choices("etaoinshrdlu", k=dice.randrange(1, 9))) for _ in range(90)]
+    texts = [" ".join(dice.choices(words, k=dice.randrange(1, 400))).encode() for _ in range(150)]
+    texts += [b"", b" " * 900, b"ab" * 3000, bytes(dice.choices(b"ab", k=5000)), bytes(dice.choices(range(256), k=4000)), texts[3] * 5]
+    dice.shuffle(texts)
+    payloads = [x.ljust(max(-(-len(x) // 192), 1) * 192) for x in texts]
+    alone = [store(x) for x in payloads]
+    coded, calls = webp.coded, []
+    monkeypatch.setattr(webp, "coded", lambda images: (calls.append(len(images)), coded(images))[1])
+    assert list(webp.store_all(payloads)) == alone
+    assert len(calls) <= 3 * (1 + sum(map(len, payloads)) // 4 // webp.AT_ONCE)
+    assert [b"".join(x.tobytes() for x in decode(media)) for media in alone] == payloads
+
+
+def test_media_of_several_files_keep_their_texts_and_order(monkeypatch):
+    monkeypatch.setattr(webp, "ROWS", 3)
+    monkeypatch.setattr(webp, "AT_ONCE", 48 * 7)
+    payloads = [bytes([65 + k]) * 192 * n for k, n in enumerate((1, 3, 4, 9, 1, 1, 22, 2))]
+    media = list(webp.store_all(iter(payloads)))
+    assert [b"".join(x.tobytes() for x in decode(m)) for m in media] == payloads
+    assert [len(decode(m)) for m in media] == [-(-len(x) // 576) for x in payloads]
+    assert list(webp.store_all([])) == []
+
+
+def test_media_do_not_depend_on_keys_that_fall_together(monkeypatch):
+    dice = random.Random(9)
+    payloads = ["".join(dice.choices("ab  ", k=192 * n)).encode() for n in (1, 2, 9, 30)] * 2
+    payloads += [b" " * 1920, bytes(range(192)), bytes(range(192)) * 7]
+    media = list(webp.store_all(payloads))
+    for mixed in ((0, 0, 0, 0), (1 << 40, 0, 0, 0), (0, 0, 0, 1 << 60)):
+        monkeypatch.setattr(webp, "MIXED", mixed)
+        assert list(webp.store_all(payloads)) == media
