@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainledger.llm.decontaminate import without_leaks
-from rainledger.llm.frames import shared_dir, table
+from rainledger.llm.frames import shared_dir, small_batches, table
 from rainledger.llm.near_duplicates import near_duplicates
 from rainledger.llm.packing import pack
 from rainledger.llm.queries import vocabulary
@@ -27,6 +27,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose toxicity score is under 0.5."""
+    small_batches(spark)
     return toxicity_scores(docs, table(spark, sf_dir, "labels"), carry=COLUMNS).where("predicted = 0").select(*COLUMNS)
 
 
@@ -37,6 +38,7 @@ def _rows(docs: DataFrame, *names: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest id. Rows are told apart by two hashes of all they hold, so texts are shuffled once."""
+    small_batches(spark)
     held = [x for c in COLUMNS for x in (F.col(c).isNull(), F.col(c))]
     keyed = docs.withColumn("k1", F.xxhash64(*held)).withColumn("k2", F.hash(*held))
     kept = near_duplicates(_rows(keyed, "doc_id", "k1", "k2"), id_col="row").where("kept").select("doc_id.k1", "doc_id.k2")
@@ -45,6 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of 200-byte strings that stand elsewhere too; parts of characters at the cuts go as well, and n_chars follows."""
+    small_batches(spark)
     kept = without_repeats(_rows(docs, "doc_id", "lang", "source"), id_col="row", as_text=True)
     return kept.select("doc_id.*", "text", F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
 
@@ -56,6 +59,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
+    small_batches(spark)
     return pack(docs, vocabulary())
 
 

@@ -30,6 +30,16 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Spark's limit of an Arrow batch's bytes, 64 MB unless set.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """From now on Arrow batches of this session have about so many bytes at most, unless it has a limit of its own: what executors hold of them lies outside the heap, in both processes."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(most))
+
+
 class Scratch:
     """Tables of one operator in the shared folder: lineage ends there and each is computed once.
 

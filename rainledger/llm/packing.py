@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rainledger.llm.frames import settled
+from rainledger.llm.frames import release, settled
 from rainledger.llm.tokens import Cache, splitter
 
 _caches: dict[str, Cache] = {}
@@ -44,6 +44,13 @@ def id_bytes(text: str, path: str) -> bytes:
     return b"".join(parts)
 
 
+def forget() -> None:
+    """Drops the tokenizer and what it cached, which a reused worker would keep through whatever its executor does next."""
+    _caches.clear()
+    splitter.cache_clear()
+    release()
+
+
 def cuts(n: int, capacity: int, grid: int) -> list[int]:
     """Lengths of the pieces of a document of n tokens, in order: whole sequences, half a sequence if the rest is longer, the rest on the grid, a tail.
 
@@ -197,20 +204,23 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, grid: int = 8, end_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, ranks = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for batch in batches:
-            rows: list[tuple] = []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = id_bytes(text or "", path) + end
-                start = 0
-                for length in cuts(len(ids) // 4, capacity, grid):
-                    rows.append((i, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), len(ids) // 4, part, ranks[length]))
-                    ranks[length] += 1
-                    start += length
-            if rows:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1024):
+                batch, rows = whole.slice(k, 1024), []
+                for i, text in enumerate(batch.column("text").to_pylist()):
+                    ids = id_bytes(text or "", path) + end
+                    start = 0
+                    for length in cuts(len(ids) // 4, capacity, grid):
+                        rows.append((i, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), len(ids) // 4, part, ranks[length]))
+                        ranks[length] += 1
+                        start += length
                 at, *rest = zip(*rows, strict=True)
                 arrays = [batch.column("id").take(pa.array(at, pa.int64()))]
                 arrays += [pa.array(x, pa.int64()) for x in rest]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "place"])
+                rows = at = rest = arrays = None
+            release()
+        forget()
 
     pieces = settled(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, part long, place long")

@@ -255,6 +255,8 @@ def shard_marks(shipped: DataFrame, length: int) -> DataFrame:
                 size += len(row[5])
         if held:
             yield solve()
+        held = []
+        release()
 
     dealt = shipped.repartition("h", "salt").sortWithinPartitions("h", "salt", "s")
     return dealt.mapInArrow(run, "h long, s long, marks binary, salts long, f1 array<long>, f2 array<long>")

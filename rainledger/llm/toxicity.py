@@ -165,12 +165,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
         return sum(map(words.__getitem__, found & words.keys())) + sum(sum(map(starts.__getitem__, {w[:n] for w in found if len(w) > n} & starts.keys())) for n in STARTS)
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw = np.array([strength(x or "") for x in batch.column("text").to_pylist()]) + bias
+        text = batch.column("id").field(text_col) if inside else batch.column("text")
+        raw = np.array([strength(x or "") for x in text.to_pylist()]) + bias
         value = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(value), pa.array((value >= at).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     whole = F.struct(*carry) if carry else F.col(id_col)
-    rows = docs.select(whole.alias("id"), F.col(text_col).alias("text"), F.coalesce(crc(F.col(id_col)) % folds == held_out, F.lit(False)).alias("held_out"))
+    inside = bool(carry) and text_col in carry  # then the text goes to Python once
+    rows = docs.select(whole.alias("id"), *([] if inside else [F.col(text_col).alias("text")]), F.coalesce(crc(F.col(id_col)) % folds == held_out, F.lit(False)).alias("held_out"))
     kind = rows.schema["id"].dataType.simpleString()
     found = per_batch(rows, scored, f"doc_id {kind}, held_out boolean, score double, predicted int")
     return found.select("doc_id.*", "held_out", "score", "predicted") if carry else found

@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from rainledger.llm.packing import column_generation, cuts, knapsack, layout, pack
@@ -75,3 +76,17 @@ def test_repeated_rows_and_none(spark):
     assert sorted((r.doc_id or -1, r.length) for r in pack(df, vocabulary()).collect()) == [(-1, 1), (1, 3), (1, 3)]
     assert pack(df.limit(0), vocabulary()).collect() == []
     assert cuts(4100, 2048, 8) == [2048, 2048, 4] and cuts(1900, 2048, 8) == [1024, 872, 4]
+
+
+def test_workers_keep_no_tokenizer(spark):
+    def kept(batches):
+        from rainledger.llm import packing
+
+        for batch in batches:
+            n = len(packing._caches) + packing.splitter.cache_info().currsize
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
+
+    docs = spark.createDataFrame([(i, f"word {i} and some more") for i in range(2100)], "doc_id long, text string").repartition(4)
+    pieces = pack(docs, vocabulary()).collect()
+    assert sorted(r.doc_id for r in pieces if r.start == 0) == list(range(2100))
+    assert {r.n for r in docs.select("doc_id").mapInArrow(kept, "n long").collect()} == {0}

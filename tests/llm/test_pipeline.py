@@ -5,8 +5,10 @@ from array import array
 from collections import defaultdict
 
 import pytest
+from pyspark import AccumulatorParam
 
 import corpus_pipeline
+from rainledger.llm import frames, toxicity
 from rainledger.llm.queries import vocabulary
 from tests.llm.test_near_duplicates import brute as near
 from tests.llm.test_suffix import brute as suffix
@@ -15,6 +17,14 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ITEM = "In the small harbour town the ferry leaves before dawn and carries bread, letters and lamp oil to the outer islands where few people live."
 
 
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     dice = random.Random(11)
@@ -87,3 +97,34 @@ def test_no_documents(spark, tables, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tables[0])
         assert docs.collect() == []
+
+
+def test_batches_of_the_stages_are_bounded(spark, tables):
+    sizes = spark.sparkContext.accumulator(0, Largest())
+    spark.conf.unset(frames.BATCH)
+    corpus_pipeline.toxicity(spark, spark.read.parquet(f"{tables[0]}/documents.parquet"), tables[0])
+
+    def size(batches):
+        for batch in batches:
+            sizes.add(batch.nbytes)
+            yield batch
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) AS text")
+    assert rows.mapInArrow(size, "text string").count() == 3000
+    assert 4 << 20 < sizes.value < 10 << 20
+    spark.conf.set(frames.BATCH, "1m")
+    corpus_pipeline.packing(spark, spark.createDataFrame([], DOCS), tables[0])
+    assert spark.conf.get(frames.BATCH) == "1m"
+    spark.conf.unset(frames.BATCH)
+
+
+def test_toxicity_sends_each_text_to_python_once(spark, tables, monkeypatch):
+    seen = []
+    given = toxicity.per_batch
+    monkeypatch.setattr(toxicity, "per_batch", lambda df, *rest: seen.append(df.columns) or given(df, *rest))
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    carried = toxicity.toxicity_scores(docs, spark.read.parquet(f"{tables[0]}/labels.parquet"), carry=corpus_pipeline.COLUMNS)
+    assert seen[-1] == ["id", "held_out"]
+    plain = toxicity.toxicity_scores(docs, spark.read.parquet(f"{tables[0]}/labels.parquet"))
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.score)
+    assert [(r.doc_id, r.score) for r in sorted(carried.collect(), key=key)] == [(r.doc_id, r.score) for r in sorted(plain.collect(), key=key)]
