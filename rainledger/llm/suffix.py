@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from rainledger.llm.frames import Scratch, per_batch, release
 
-#: Bytes of a gram; windows in a segment at most; bytes that are hashed at a time; bytes of a suffix array at most.
-GRAM, MOST, BLOCK, SHARD = 16, 256, 1 << 17, 1 << 19
+#: Bytes of a gram, enough that different texts of common words seldom share one; windows in a segment at most; bytes that are hashed at a time; bytes from which a suffix array takes no further group.
+GRAM, MOST, BLOCK, SHARD = 32, 256, 1 << 17, 1 << 16
 #: Contents of one key in a shard at most.
 CONTENTS = 1024
 
@@ -140,57 +140,77 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = np.zeros(n, np.uint64)
     for k in range(8):
         words |= wide[k : n + k] << np.uint64(56 - 8 * k)
-    order = np.argsort(words, kind="stable")
+    # The first round's letters are numbers of the bytes that occur, 0 beyond the end; as many as fit beside a place.
+    room, found = n.bit_length(), np.bincount(data, minlength=256) > 0
+    bits = int(found.sum()).bit_length()
+    depth = (63 - room) // bits
+    wide = np.zeros(n + depth, np.int64)
+    wide[:n] = np.cumsum(found)[data]
+    first = np.zeros(n, np.int64)
+    for k in range(depth):
+        first = first << bits | wide[k : n + k]
+    run = np.sort(first << room | np.arange(n))
+    order, first = run & (1 << room) - 1, run >> room
     fresh = np.ones(n, bool)
-    fresh[1:] = words[order[1:]] != words[order[:-1]]
-    heads = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    fresh[1:] = first[1:] != first[:-1]
     rank = np.empty(n + 1, np.int64)
-    rank[order], rank[n] = heads, -1
-    depth = 8
+    rank[order], rank[n] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)), -1
     at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
     while len(at):
         here = order[at]
-        # What the text's end cuts off comes before all that goes on, the shorter first.
-        further = np.where(here + depth < n, rank[np.minimum(here + depth, n)], n - here - depth - 1)
-        pick = np.argsort((rank[here] << 32) + further, kind="stable")
-        here, further = here[pick], further[pick]
-        group = rank[here]
+        here, fresh = refined(rank[here], rank[here + depth] + 1, here, room)
         order[at] = here
-        new = np.ones(len(at), bool)
-        new[1:] = (group[1:] != group[:-1]) | (further[1:] != further[:-1])
-        rank[here] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-        at = at[~(new & np.append(new[1:], True))]
+        rank[here] = at[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
+        at = at[~(fresh & np.append(fresh[1:], True))]
         depth *= 2
     return order, rank[:n], words
 
 
+def refined(group: np.ndarray, further: np.ndarray, here: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places sorted by group and by what stands further on, and which of them differ from the one before; numbers of `room` bits, of which three mostly fit one word."""
+    if 3 * room <= 63:
+        run = np.sort((group << room | further) << room | here)
+        here, key = run & (1 << room) - 1, run >> room
+    else:
+        key = group << 32 | further
+        pick = np.argsort(key, kind="stable")
+        here, key = here[pick], key[pick]
+    fresh = np.ones(len(here), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    return here, fresh
+
+
 def common_prefixes(order: np.ndarray, rank: np.ndarray, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, cap: int) -> np.ndarray:
-    """Kasai's common prefixes of neighbours in the suffix array, up to cap; the stretches go in step, each from its start."""
+    """Kasai's common prefixes of neighbours in the suffix array, up to cap.
+
+    Where the byte before a place is also the one before its neighbour, the
+    prefix is that of the place before, less one; so only the other places, and
+    the start of each stretch, are compared. A stretch bounds what these need
+    beyond cap.
+    """
     n = len(order)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
-    wide = np.concatenate([words, np.zeros(cap + 16, np.uint64)])
-    out = np.zeros(n, np.int64)
-    have = np.zeros(len(starts), np.int64)
-    lanes = np.arange(len(starts))
-    for step in range(int(sizes.max(initial=0))):
-        lanes = lanes[sizes[lanes] > step]
-        here = starts[lanes] + step
-        other = before[here]
-        held = np.where(other >= 0, np.maximum(have[lanes] - 1, 0), 0)
-        going = np.flatnonzero((other >= 0) & (held < cap))
-        while len(going):
-            difference = wide[here[going] + held[going]] ^ wide[other[going] + held[going]]
-            same = difference == 0
-            held[going[same]] += 8
-            rest = difference[~same]
-            held[going[~same]] += 7 - np.searchsorted(_bytes_on, rest, "right")
-            going = going[same]
-            going = going[held[going] < cap]
-        room = n - np.maximum(here, other)
-        held = np.minimum(np.minimum(held, cap), np.where(other >= 0, room, 0))
-        have[lanes] = held
-        out[rank[here]] = held
+    byte = words >> np.uint64(56)
+    turn = before < 1
+    turn[1:] |= byte[:-1] != byte[before[1:] - 1]
+    turn[starts] = True
+    here = np.flatnonzero(turn)
+    other, most = before[here], cap + int(sizes.max(initial=0))
+    wide = np.concatenate([words, np.zeros(most + 16, np.uint64)])
+    held = np.zeros(len(here), np.int64)
+    going = np.flatnonzero(other >= 0)
+    while len(going):
+        difference = wide[here[going] + held[going]] ^ wide[other[going] + held[going]]
+        same = difference == 0
+        held[going[same]] += 8
+        held[going[~same]] += 7 - np.searchsorted(_bytes_on, difference[~same], "right")
+        going = going[same]
+        going = going[held[going] < most]
+    held = np.minimum(held, np.where(other >= 0, n - np.maximum(here, other), 0))
+    runs = np.diff(np.append(here, n))
+    out = np.empty(n, np.int64)
+    out[rank] = np.minimum(np.repeat(held + here, runs) - np.arange(n), cap)
     return out
 
 
@@ -232,31 +252,37 @@ def shard_marks(shipped: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
+        out: list[tuple] = []
 
-        def solve() -> pa.RecordBatch:
+        def solve() -> None:
             wide = any(r[4] > 1 for r in held)
             marks, prints = repeated_windows([r[5] for r in held], length, np.array([r[2] > 1 for r in held]), wide)
-            f = [[p[k].view(np.int64) if r[4] > 1 else None for r, p in zip(held, prints)] if wide else [None] * len(held) for k in range(2)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in held], pa.int64()), pa.array([r[3] for r in held], pa.int64()), pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), pa.array([r[4] for r in held], pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in f)],
-                ["h", "s", "marks", "salts", "f1", "f2"],
-            )
+            for k, (r, m) in enumerate(zip(held, marks)):
+                f1, f2 = (x.view(np.int64) for x in prints[k]) if r[4] > 1 else (None, None)
+                out.append((r[0], r[3], np.packbits(m).tobytes(), r[4], f1, f2))
+            held.clear()
+
+        def settled() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 2)
+            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 6, kinds)], ["h", "s", "marks", "salts", "f1", "f2"])
+            out.clear()
+            release()
+            return made
 
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("h", "salt", "n", "s", "salts", "piece")), strict=True):
                 if size >= SHARD and row[:2] != last:
-                    yield solve()
-                    held, size = [], 0
-                    release()
+                    solve()
+                    size = 0
                 if held and (held[-1][0], held[-1][3]) == (row[0], row[3]):
                     continue  # a repeated row's segment again
                 held.append(row)
                 last = row[:2]
                 size += len(row[5])
+            yield settled()
         if held:
-            yield solve()
-        held = []
-        release()
+            solve()
+        yield settled()
 
     dealt = shipped.repartition("h", "salt").sortWithinPartitions("h", "salt", "s")
     return dealt.mapInArrow(run, "h long, s long, marks binary, salts long, f1 array<long>, f2 array<long>")
@@ -295,21 +321,42 @@ def merged(shards: DataFrame, most: int = 1_000_000) -> DataFrame:
     return found.groupBy("h", "s").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
 
 
-def removed(size: int, marks: list[tuple[int, bytes | None]], length: int) -> np.ndarray:
-    """Which bytes of a text of that size the marked windows cover; marks: (place, bits of its windows or None for all)."""
+def removed(starts: np.ndarray, size: int, marks: pa.ListArray, length: int) -> np.ndarray:
+    """Which of so many bytes the marked windows of the texts at these starts cover; marks of a text: (place, bits of its windows or null for all), or null."""
+    place, bits = marks.flatten().flatten()
+    places = place.to_numpy(zero_copy_only=False)
+    at = np.repeat(starts, marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)) + (places >> 9)
+    whole = bits.is_null().to_numpy(zero_copy_only=False)
     turns = np.zeros(size + 1, np.int32)
-    for place, bits in marks:
-        start, windows = place >> 9, (place & 511) + 1
-        if bits is None:
-            turns[start] += 1
-            turns[start + windows + length - 1] -= 1
-        else:
-            at = start + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=windows))
-            np.add.at(turns, at, 1)
-            np.add.at(turns, at + length, -1)
+    np.add.at(turns, at[whole], 1)
+    np.add.at(turns, (at + (places & 511) + length)[whole], -1)
+    some = bits.drop_null().to_pylist()
+    ends = np.cumsum([8 * len(x) for x in some], dtype=np.int64)
+    on = np.flatnonzero(np.unpackbits(np.frombuffer(b"".join(some), np.uint8)))
+    which = np.searchsorted(ends, on, "right")
+    first = (at[~whole] - np.append(0, ends[:-1]) if some else at[:0])[which] + on
+    np.add.at(turns, first, 1)
+    np.add.at(turns, first + length, -1)
     return np.cumsum(turns[:-1]) > 0
 
 
+def without_marked(texts: list[bytes], marks: pa.ListArray, length: int) -> tuple[pa.Array, pa.Array, list[bytes]]:
+    """(bytes removed, spans, what is left) of each text, worked out for all of them together; a byte between them keeps spans apart."""
+    sizes = np.array([len(x) for x in texts])
+    ends = np.cumsum(sizes + 1)
+    starts = ends - sizes - 1
+    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    gone = removed(starts, len(data), marks, length)
+    edges = np.flatnonzero(np.diff(gone, prepend=False)).reshape(-1, 2)
+    owner = np.searchsorted(ends, edges[:, 0], "right")
+    cuts = np.append(0, np.cumsum(np.bincount(owner, minlength=len(texts))))
+    spans = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([pa.array(x - starts[owner]) for x in edges.T], ["start", "end"]))
+    left = data[~gone].tobytes()
+    lost = np.add.reduceat(gone, starts, dtype=np.int64)
+    upto = np.cumsum(sizes + 1 - lost)
+    return pa.array(lost), spans, [left[b - n : b - 1] for b, n in zip(upto.tolist(), (sizes + 1 - lost).tolist())]
+
+
 def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """Each row of docs without the bytes that strings of `length` bytes cover which also start elsewhere.
 
@@ -376,23 +423,20 @@ def without_repeats(docs: DataFrame, length: int = 200, contents: int = CONTENTS
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         expand = zstandard.ZstdDecompressor().decompress
-        sizes, lost, spans, kept = [], [], [], []
-        for packed, found in zip(batch.column("packed").to_pylist(), batch.column("marks").to_pylist()):
-            text = expand(packed)
+        sizes, lost, spans, rest = [], [], [], []
+        held, size = [], 0
+        packed = batch.column("packed").to_pylist()
+        for i, text in enumerate(map(expand, packed), 1):
+            held.append(text)
             sizes.append(len(text))
-            if not found:
-                lost.append(0)
-                spans.append([])
-                kept.append(text)
-                continue
-            gone = removed(len(text), [(m["place"], m["marks"]) for m in found], length)
-            edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
-            lost.append(int(gone.sum()))
-            spans.append([{"start": a, "end": b} for a, b in edges.tolist()])
-            kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
-        rest = pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(lost, pa.int64()), pa.array(spans, span), rest], ["doc_id", "n_bytes", "n_removed", "spans", "text" if as_text else "kept"])
+            size += len(text)
+            if size >= BLOCK or i == len(packed):
+                n, span, kept = without_marked(held, batch.column("marks").slice(i - len(held), len(held)), length)
+                lost.append(n)
+                spans.append(span)
+                rest += [x.decode(errors="ignore") for x in kept] if as_text else kept
+                held, size = [], 0
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.concat_arrays(lost), pa.concat_arrays(spans), pa.array(rest, pa.string() if as_text else pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "text" if as_text else "kept"])
 
     return per_batch(small.join(lists.hint("shuffle_hash"), ["k1", "k2"], "left"), finish, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, " + ("text string" if as_text else "kept binary"))
 

@@ -2,10 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rainledger.llm import suffix
-from rainledger.llm.suffix import common_prefixes, repeated_windows, segments, suffix_array, without_repeats
+from rainledger.llm.suffix import common_prefixes, repeated_windows, segments, suffix_array, without_marked, without_repeats
 
 
 def brute(texts, length):
@@ -66,6 +67,17 @@ def test_segments_hold_each_window_once_and_follow_content():
     assert all(len({texts[o][s : s + w + 199] for o, s, w, c in zip(owner, start, windows, content) if c == x}) == 1 for x in set(content.tolist()))
 
 
+def test_different_texts_of_common_words_share_few_keys():
+    dice = random.Random(4)
+    words = ["the", "of", "and", "in", "to", "thing", "thered", "ation", "onthe", "inger", "andes", "hered", "ofthe", "enter", "isthat", "withon"]
+    texts = [" ".join(dice.choices(words, k=500)).encode() for _ in range(400)]
+    owner, _, _, key, _, _ = segments(texts, 200)
+    homes = {}
+    for o, h in zip(owner.tolist(), key.tolist()):
+        homes.setdefault(h, set()).add(o)
+    assert sum(len(homes[h]) > 1 for h in key.tolist()) < 0.01 * len(key)
+
+
 def test_windows_of_a_shard():
     texts = [t.encode() for t in corpus(2) if t and len(t) >= 200]
     marks, prints = repeated_windows(texts, 200, np.zeros(len(texts), bool), True)
@@ -89,6 +101,18 @@ def test_against_brute_force(spark, monkeypatch, contents, shard):
         assert sum(s.end - s.start for s in got[i].spans) == n
 
 
+def test_spans_of_neighbouring_texts():
+    a = "".join(map(str, range(60)))  # 110 bytes
+    texts = [x.encode() for x in (a, "", a, "x" + a[:30] + "y" + a[40:70], "")]
+    bits = np.packbits([k in (1, 31) for k in range(52)]).tobytes()
+    whole = [{"place": 90, "marks": None}]  # 91 windows from 0
+    marks = pa.array([whole, None, whole, [{"place": 51, "marks": bits}], []], pa.list_(pa.struct([("place", pa.int64()), ("marks", pa.binary())])))
+    lost, spans, kept = without_marked(texts, marks, 20)
+    assert lost.to_pylist() == [110, 0, 110, 40, 0]
+    assert [[(s["start"], s["end"]) for s in x] for x in spans.to_pylist()] == [[(0, 110)], [], [(0, 110)], [(1, 21), (31, 51)], []]
+    assert kept == [b"", b"", b"", texts[3][:1] + texts[3][21:31] + texts[3][51:], b""]
+
+
 def test_repeated_rows_nulls_and_none(spark):
     long = " ".join(map(str, range(100)))
     df = spark.createDataFrame([(1, long), (1, long), (None, "b" * 500), (None, None)], "doc_id long, text string")
